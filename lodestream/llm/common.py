@@ -69,7 +69,7 @@ def byte_class(excluded: str) -> np.ndarray:
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
 
 
@@ -77,7 +77,8 @@ def _tables(n: int) -> list[np.ndarray]:
     """Powers of the odd base and of its inverse modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
         n = max(n, 2 * BLOCK_BYTES)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(n, b)]).astype(np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        one = np.ones(1, np.uint64)
+        _powers[:] = [np.cumprod(np.concatenate([one, np.full(n, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _powers
 
 
