@@ -7,7 +7,8 @@ first n - ceil(3n/4) + 1 tokens under any global order. Here a candidate must do
   tokens are dealt by token, so passages that many documents share come last and seldom enter a prefix.
 - B: by another hash; C: B reversed. They are checked on the pair's sets before their intersection is counted.
 
-Documents of equal sets are one class. In round one each token's classes are candidates of the least class only, so a
+Before the sets are fetched, a candidate must pass the bounds of sizes, of positions, and of parity bitmaps (two bits a
+token), each of which no similar pair fails. Documents of equal sets are one class. In round one each token's classes are candidates of the least class only, so a
 group of copies gives links in proportion to its size; in round two, only pairs of one token that are not connected yet
 are candidates. So every link that joins components is found, and a group of n near copies needs no n * n pairs.
 
@@ -55,6 +56,12 @@ def signature(tokens: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(tokens + np.uint64(0x632BE59BD9B4E019)), initial=np.uint64(0)).view(np.int64)) if len(tokens) else 0
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """A bitmap of 2 bits a token or more that tells of each cell whether an odd number of tokens fell into it. Two sets differ in at least as many tokens as their bitmaps in bits."""
+    bits = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+    return np.packbits((np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def _cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -72,7 +79,10 @@ def _signed(batches):
         found = sets(batch.column("text"))
         ids = batch.column("doc_id")
         none = pa.nulls(len(found))
-        yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in found], pa.int64()), pa.array([signature(s) for s in found], pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], ["doc_id", "n", "sig", "chunk", "counts"])
+        maps = [parity(s) for s in found]
+        offsets = np.concatenate([[0], np.cumsum([len(m) // 8 for m in maps])]).astype(np.int32)
+        maps = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(maps), np.int64)))
+        yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in found], pa.int64()), pa.array([signature(s) for s in found], pa.int64()), maps, none.cast(pa.int32()), none.cast(pa.binary())], ["doc_id", "n", "sig", "bits", "chunk", "counts"])
         waiting += [_cells(s) for s in found]
         n_waiting += sum(map(len, found))
         if n_waiting > 2_000_000:
@@ -83,7 +93,7 @@ def _signed(batches):
             count()
         parts = [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, SKETCH_CHUNKS)]
         none = pa.nulls(SKETCH_CHUNKS)
-        yield pa.RecordBatch.from_arrays([none.cast(ids.type), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "n", "sig", "chunk", "counts"])
+        yield pa.RecordBatch.from_arrays([none.cast(ids.type), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.list_(pa.int64())), pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "n", "sig", "bits", "chunk", "counts"])
 
 
 def _levels(batches):
@@ -131,9 +141,13 @@ def _chosen_sets(bitmap):
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link. classes: (sig, n, rep); docs: (doc_id, text, p)."""
+    """The pairs (a, b) of classes that link. classes: (sig, n, rep, bits); docs: (doc_id, text, p)."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes, "sig")
+    side = {c: classes.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"}
+    total = F.col("n_a") + F.col("n_b")
+    pairs = pairs.join(side["a"], "a").where(F.col("n_a") > 0).join(side["b"], "b").where(F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3)
+    pairs = cut_lineage(pairs.where(_differing(F.col("bits_a"), F.col("bits_b")) * 7 <= total).select("a", "b"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes.select("sig", "rep"), "sig")
     bitmap = spark.sparkContext.broadcast(fixed_bitmap(ids.select(_bit("rep").alias("p")), BITMAP_BITS))
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.where("text is not null").mapInArrow(_chosen_sets(bitmap), f"doc_id {kind}, sig bigint, tokens array<bigint>")
@@ -147,6 +161,14 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return both.where((F.least(nx, ny) * 4 >= F.greatest(nx, ny) * 3) & order_b & order_c).where(100 * shared >= 75 * (nx + ny - shared)).select("a", "b")
 
 
+def _differing(x, y):
+    """In how many bits two parity bitmaps differ, the longer one folded; lengths are powers of two and differ once at most."""
+    half = lambda c: F.zip_with(F.slice(c, F.lit(1), (F.size(c) / 2).cast("int")), F.slice(c, (F.size(c) / 2).cast("int") + 1, (F.size(c) / 2).cast("int")), lambda p, q: p.bitwiseXOR(q))
+    a = F.when(F.size(x) > F.size(y), half(x)).otherwise(x)
+    b = F.when(F.size(y) > F.size(x), half(y)).otherwise(y)
+    return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+
+
 def _bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(1 << BITMAP_BITS))
 
@@ -169,34 +191,42 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _possible(n, pos, m, at):
+    """Whether sets of n and m tokens that share the pos-th and the at-th of order A can be similar, by their sizes and by how many can come before and after."""
+    n, pos, m, at = map(F.col, (n, pos, m, at))
+    return (F.least(n, m) * 4 >= F.greatest(n, m) * 3) & ((F.least(pos, at) + F.least(n - pos, m - at)) * 7 >= (n + m) * 3)
+
+
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id)."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", _bit("doc_id").alias("p"))
-    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, chunk int, counts binary"))
-    rows = signed.where("chunk is null").select("doc_id", "n", "sig")
+    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, bits array<bigint>, chunk int, counts binary"))
+    rows = signed.where("chunk is null").select("doc_id", "n", "sig", "bits")
     parts = signed.where("chunk is not null").select("chunk", "counts").repartition(min(SKETCH_CHUNKS, 16), "chunk").mapInArrow(_levels, "chunk int, levels binary")
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for r in parts.collect():  # 2 ** SKETCH_BITS bytes in all
         size = len(levels) // SKETCH_CHUNKS
         levels[r.chunk * size : (r.chunk + 1) * size] = np.frombuffer(bytes(r.levels), np.uint8)
-    classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
+    classes = cut_lineage(classes)
 
     tokens = docs.where("text is not null").select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels)), "token bigint, sig bigint, n int, pos int")
     of = Window.partitionBy("token")
     shared = tokens.withColumn("lo", F.min("sig").over(of)).withColumn("hi", F.max("sig").over(of)).where("lo != hi")
-    shared = cut_lineage(shared.dropDuplicates(["token", "sig"]).drop("hi"))
+    shared = shared.drop("hi").withColumn("lead", F.min(F.struct("sig", "n", "pos")).over(of))
+    shared = cut_lineage(shared.dropDuplicates(["token", "sig"]))
 
-    stars = shared.where("sig != lo").select(F.col("lo").alias("a"), F.col("sig").alias("b")).distinct()
+    near = _possible("n", "pos", "lead.n", "lead.pos")
+    stars = shared.where("sig != lo").where(near).select(F.col("lo").alias("a"), F.col("sig").alias("b")).distinct()
     edges = cut_lineage(verified(cut_lineage(stars), classes, docs))
     connected = components(edges)
 
     at = shared.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
-    at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").where("sig != lo").drop("c_lo", "c_hi", "lo")
+    at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").where("sig != lo").drop("c_lo", "c_hi", "lo", "lead")
     at = cut_lineage(at)
     x, y = at.alias("x"), at.alias("y")
-    bound = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    apart = (F.col("x.c") < F.col("y.c")) & (F.least("x.n", "y.n") * 4 >= F.greatest("x.n", "y.n") * 3) & (bound * 7 >= (F.col("x.n") + F.col("y.n")) * 3)
+    apart = (F.col("x.c") < F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos")
     rest = cut_lineage(x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())
     if not rest.isEmpty():
         more = cut_lineage(verified(rest, classes, docs))
@@ -206,7 +236,7 @@ def link(docs: DataFrame) -> DataFrame:
 
     known = classes.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     known = known.join(known.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("sig", "n", "component_id")
-    out = rows.join(known, ["sig", "n"], "left")
+    out = rows.drop("bits").join(known, ["sig", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
