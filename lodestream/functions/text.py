@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,8 +79,8 @@ def normalize_block(block: Column) -> Column:
 
 
 def is_known_boilerplate(block: Column, longest: int = 300) -> Column:
-    """block is normalised."""
-    return (F.length(block) <= longest) & has_any(block, fixed.lines(fixed.BOILERPLATE_PHRASES))
+    """block is normalised. One alternation, so that the block is worked out once."""
+    return (F.length(block) <= longest) & block.rlike("|".join(re.escape(x) for x in fixed.lines(fixed.BOILERPLATE_PHRASES)))
 
 
 def strip_tags(html: Column) -> Column:
@@ -89,16 +91,24 @@ def strip_html(html: Column) -> Column:
     return trim_ws(F.regexp_replace(strip_tags(html), f"{WS}+", " "))
 
 
+def _decode_numeric(text: Column, pattern: str, mark: str, base: int) -> Column:
+    def one(t: Column, digits: Column) -> Column:
+        return F.replace(t, F.concat(F.lit(mark), digits, F.lit(";")), F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32"))
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit(mark)), F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1))), t, one)).otherwise(t))
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
     """The nine rules in order, the ampersand first; numeric references one distinct code at a time."""
     for entity, c in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'")):
         text = F.replace(text, F.lit(entity), F.lit(c))
-    for pattern, base in ((r"&#(\d{1,7});", 10), (r"&#x([0-9a-fA-F]{1,6});", 16)):
-        code = lambda d, b=base: F.decode(F.unhex(F.lpad(F.conv(d, b, 16), 8, "0")), "UTF-32")
-        mark = "&#" if base == 10 else "&#x"
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        decoded = F.aggregate(found, text, lambda t, d, m=mark, f=code: F.replace(t, F.concat(F.lit(m), d, F.lit(";")), f(d)))
-        text = F.when(F.contains(text, F.lit(mark)), decoded).otherwise(text)
+    text = _decode_numeric(text, r"&#(\d{1,7});", "&#", 10)
+    text = _decode_numeric(text, r"&#x([0-9a-fA-F]{1,6});", "&#x", 16)
     return F.replace(text, F.lit("&nbsp;"), F.lit(" "))
 
 

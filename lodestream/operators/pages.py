@@ -58,13 +58,17 @@ def _links(section: Column, base: Column) -> Column:
     return F.transform(pairs, lambda p: F.struct(urls.resolve(base, T.trim_ws(p["h"])).alias("url"), F.left(T.trim_ws(F.regexp_replace(p["t"], "<[^>]*>", "")), F.lit(200)).alias("link_text")))
 
 
+def _placed(section: str, rank: int):
+    return lambda x, i: F.struct(x["url"].alias("link"), x["link_text"], F.lit(section).alias("source_location"), (F.lit(rank * 100_000) + i).alias("rank"))
+
+
 def page_links(pages: DataFrame, most: int = 200, footer: bool = True, body: bool = False, same_domain: bool = True) -> DataFrame:
     """Links by section, the first of each URL on a page; nav before header before footer before body."""
     chosen = [s for s in SECTIONS if (s != "footer" or footer) and (s != "body" or body)]
     parts = []
     for rank, s in enumerate(SECTIONS):
         whole = F.col("html") if s == "body" else F.array_join(F.regexp_extract_all("html", F.lit(rf"(?is)<{s}[\s>].*?</{s}>"), F.lit(0)), "\n")
-        parts.append(F.transform(_links(whole, F.col("url")), lambda x, i, r=rank, s=s: F.struct(x["url"].alias("link"), x["link_text"], F.lit(s).alias("source_location"), (F.lit(r * 100_000) + i).alias("rank"))))
+        parts.append(F.transform(_links(whole, F.col("url")), _placed(s, rank)))
     out = pages.select("page_id", F.col("url").alias("found_on"), F.explode(F.concat(*parts)).alias("x")).select("page_id", "found_on", "x.*")
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id", "link").orderBy("rank"))).where("_n = 1").where(F.col("source_location").isin(chosen))
     out = out.where(urls.domain(F.col("link")) == urls.domain(F.col("found_on"))) if same_domain else out

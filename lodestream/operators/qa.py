@@ -65,8 +65,11 @@ def hallucination_score(verdicts: DataFrame, threshold: float = 0.9) -> DataFram
 
 def verify_claims(claims: DataFrame, sources: DataFrame, n: int = 5, full: float = 0.8, part: float = 0.4) -> DataFrame:
     """A model-free verifier: the share of a claim's n-grams that stand in some source. claims: (claim_id, claim); sources: (text). Joined by n-gram."""
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words(c)) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words(c), i, F.lit(n)), " ")))
+    def grams(c: str):
+        at = lambda w: F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1)))
+        words = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+        return T.let(words, lambda w: F.array_distinct(F.transform(at(w), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))))
+
     of = claims.select("claim_id", F.explode(grams("claim")).alias("g"))
     there = sources.select(F.explode(grams("text")).alias("g")).join(of.select("g").distinct(), "g", "left_semi").distinct().withColumn("hit", F.lit(1))
     out = of.join(there, "g", "left").groupBy("claim_id").agg((F.count("hit") / F.count("*")).alias("share"))

@@ -2,10 +2,190 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from lodestream.functions import text as T
+from lodestream.functions import urls as U
+from lodestream.operators import bundle, content, pages, qa, urls
+from lodestream.plans import inputs, oracles
+from lodestream.plans.inputs import articles, documents, page_items, table, url_variants
+from lodestream.sources import discovery
+from lodestream.streaming import incremental
+
+SEP = "\n"  # the test documents have no blank lines
+
+
+def _heads(s, d):
+    p = page_items(s, d)
+    return p.select("url", F.element_at(F.array(*map(F.lit, (200, 301, 403, 404, 503, 200, 200))), (F.col("page_id") % 7 + 1).cast("int")).alias("http_status"), "html")
+
+
+def _redirects(s, d):
+    return page_items(s, d).select("url", F.when(F.col("page_id") % 3 == 0, F.regexp_replace("url", "^http:", "https:")).otherwise(F.col("url")).alias("final_url"))
+
+
+def _meta(s, d):
+    p = table(s, d, "part")
+    title = F.concat("p_name", F.lit(" by "), "p_brand", F.lit(" in many sizes"))
+    return p.select(F.col("p_partkey").cast("string").alias("entity_name"), title.alias("title"), F.rpad(F.concat("p_name", F.lit(" - "), "p_type", F.lit(" ")), (F.col("p_partkey") % 60 + 120).cast("int"), "x").alias("description"), F.col("p_name").alias("keyword"))
+
+
+def _keywords(s, d):
+    p = table(s, d, "part")
+    ws = F.split("p_name", " ")
+    body = F.concat_ws(" ", "p_name", "p_type", F.lower("p_brand"), F.lit("made to last and sold in many shops"))
+    none = F.array().cast("array<string>")
+    out = p.select(F.col("p_partkey").alias("id"), F.get(ws, F.lit(0)).alias("headings"), body.alias("body"), T.word_count(body).alias("word_count"), F.slice(ws, 1, 2).alias("head"), F.split(F.lower("p_type"), " ").alias("mid"), F.array(F.lower("p_brand")).alias("entities"), F.when(F.col("p_partkey") % 4 == 0, F.array(F.lit("shops"))).otherwise(none).alias("negatives"))
+    return qa.keyword_sufficiency(out)
+
+
+def _verdicts(s, d):
+    o = table(s, d, "orders")
+    return qa.hallucination_score(o.select(F.col("o_custkey").cast("string").alias("entity_name"), F.when(F.col("o_orderstatus") == "F", "supported").when(F.col("o_orderstatus") == "P", "partial").otherwise("unsupported").alias("verdict")))
+
+
+def _routes(s, d):
+    c, k = table(s, d, "customer"), F.col("c_custkey")
+    return qa.route(c.select(F.col("c_name").alias("entity_name"), F.when(k % 5 != 0, k % 3 != 0).alias("hallucination_ok"), F.when(k % 5 != 0, k % 4 != 0).alias("citation_ok"), F.when(k % 5 != 0, k % 7 != 0).alias("keyword_ok"), F.when(k % 5 != 0, k % 11 != 0).alias("meta_ok"), (k % 13).alias("source_count"), (k % 6).cast("int").alias("loop_count")))
+
+
+def _seeds(s, d):
+    e = table(s, d, "supplier").select(F.col("s_name").alias("entity_name"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string"), F.lit(".org/")).alias("website"), "s_suppkey")
+    r = e.crossJoin(F.broadcast(discovery.seed_paths(s))).select(F.concat(F.lit("https://s"), F.col("s_suppkey").cast("string"), F.lit(".org"), "path").alias("url"), (F.length("path") + F.col("s_suppkey")).alias("n"))
+    return discovery.seed_urls(e, r.select("url", F.when(F.col("n") % 2 == 0, "HEAD").otherwise("GET").alias("method"), F.when(F.col("n") % 3 == 0, 404).otherwise(200).alias("status_code")))
+
+
+def _relevance(s, d):
+    p = page_items(s, d).select("pool_pos", "url", F.lit("all").alias("entity_name"))
+    n = p.withColumn("i", F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos")) - 1)
+    line = F.concat((F.col("i") % 200 + 1).cast("string"), F.lit(". "), F.element_at(F.array(*map(F.lit, ("KEEP", "drop", "maybe"))), (F.col("pool_pos") % 3 + 1).cast("int")))
+    text = n.where("pool_pos % 4 != 0").groupBy("entity_name", F.floor(F.col("i") / 200).cast("int").alias("batch")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    return content.relevance(p, text)
+
+
+def _intents(s, d):
+    docs = documents(s, d)
+    n = docs.withColumn("i", F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos")) - 1)
+    kind = F.element_at(F.array(*map(F.lit, ("About Us", "news", "unheard of"))), (F.col("doc_id") % 3 + 1).cast("int"))
+    answer = n.where("doc_id % 5 != 0").groupBy("entity_name", F.floor(F.col("i") / 10).cast("int").alias("batch")).agg(F.to_json(F.array_sort(F.collect_list(F.struct((F.col("i") % 10 + 1).alias("index"), kind.alias("intent"), ((F.col("doc_id") % 15) / 10).alias("confidence"))))).alias("text"))
+    return content.tag_intents(docs, answer, ["about_us", "news"])
+
+
+def _dom(s, d):
+    return table(s, d, "pages")
+
+
+def _images(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    src = F.concat(F.lit("/img/"), F.when(k % 3 == 0, "logo-").otherwise("pic-"), k.cast("string"), F.when(k % 2 == 0, ".svg").otherwise(".png"))
+    return bundle.company_media(p.select(F.col("p_brand").alias("entity_name"), k.alias("pos"), src.alias("src"), F.lower("p_name").alias("alt"), F.when(k % 5 == 0, "brand").otherwise("x").alias("cls"), (k % 500).cast("int").alias("width")))
+
+
+def _claims(s, d):
+    claims = table(s, d, "benchmark").select(F.col("item_id").alias("claim_id"), F.col("text").alias("claim"))
+    return qa.verify_claims(claims, table(s, d, "documents").where("text is not null").select("text"))
+
+
+def _profiles(s, d):
+    c, k = table(s, d, "customer"), F.col("c_custkey")
+    some = lambda n: F.when(k % n == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
+    return bundle.profile_completeness(c.select(k.alias("id"), F.col("c_name").alias("full_name"), F.when(k % 2 == 0, F.col("c_mktsegment")).alias("headline"), F.when(k % 3 == 0, "").otherwise("Malta").alias("location"), F.when(k % 5 == 0, "s").alias("summary"), some(4).alias("positions"), some(3).alias("education"), some(7).alias("skills")))
+
+
+def _breaker(s, d):
+    e = table(s, d, "events").select("event_id", "user_id", (F.col("value") > 40).alias("ok"))
+    return qa.circuit_breaker(e, "user_id", "event_id", "ok")
+
+
+def _sitemaps(s, d):
+    p = page_items(s, d)
+    one = F.concat(F.lit("<url><loc>"), "url", F.lit("</loc><priority>"), (F.col("page_id") % 3 / 10).cast("string"), F.lit("</priority></url>"))
+    x = p.groupBy("entity_name").agg(F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))), lambda r: r["x"]), "")).alias("xml"))
+    return discovery.sitemap_urls(x, most=5)
+
+
+def _feeds(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    body = F.concat(F.lit('<?xml version="1.0"?><'), F.when(k % 3 == 0, "feed").when(k % 3 == 1, "rss").otherwise("html"), F.lit("><title> "), "p_name", F.lit(" </title>"), F.repeat(F.lit("<item >a</item>"), (k % 4).cast("int")))
+    return discovery.feeds(p.select(k.cast("string").alias("url"), body.alias("body")))
+
+
+def _analysis(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    slug = lambda x: F.struct(F.lower(x).alias("slug"))
+    none = F.array().cast("array<struct<slug: string>>")
+    a = F.to_json(F.struct(F.struct(F.when(k % 2 == 0, F.array(slug("p_brand"), slug("p_type"))).otherwise(none).alias("primary"), F.array(slug("p_type")).alias("secondary")).alias("categories"), F.struct(F.array(slug("p_name")).alias("existing")).alias("tags")))
+    return bundle.analysis_flat(p.select(k.cast("string").alias("entity_name"), a.alias("analysis")))
+
+
+def _known(s, d):
+    p = page_items(s, d)
+    return urls.exclude_known(p.select("url"), p.where("page_id % 3 = 0"))
+
 
 def queries() -> dict:
-    return {}
+    q = {
+        "url_normalize": lambda s, d: table(s, d, "pages").select("page_id", "url", U.normalize(F.col("url")).alias("norm_url")),
+        "url_dedup": lambda s, d: urls.dedup(url_variants(s, d)),
+        "url_canonicalize": lambda s, d: urls.canonicalize(url_variants(s, d), _redirects(s, d)),
+        "url_filter": lambda s, d: urls.filter_patterns(page_items(s, d), [r"\?page=", "blog"], ["example"]),
+        "url_liveness": lambda s, d: urls.liveness(page_items(s, d).select("url"), _heads(s, d), _heads(s, d).select("url", F.when(F.length("url") % 2 == 0, 200).otherwise(403).alias("http_status"), F.left("html", F.length("url") * 30).alias("body"))),
+        "url_domain": lambda s, d: table(s, d, "pages").select("page_id", U.domain(F.col("url")).alias("domain")),
+        "resolve_url": lambda s, d: table(s, d, "pages").select("page_id", U.resolve(F.col("url"), F.lit("/a?utm_source=x&page=2&Ref=1#f")).alias("rooted"), U.resolve(F.col("url"), F.lit("//cdn.org/x")).alias("schemeless"), U.strip_tracking(F.col("url")).alias("cleaned")),
+        "exclude_known_urls": _known,
+        "page_links": lambda s, d: pages.page_links(table(s, d, "pages"), most=5, body=True),
+        "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["a"], max_pages=2, per_page=4),
+        "extract_title": lambda s, d: _dom(s, d).select("page_id", pages.title(F.col("html")).alias("title")),
+        "extract_meta_description": lambda s, d: _dom(s, d).select("page_id", pages.meta(F.regexp_replace("html", "<meta charset=\"utf-8\">", '<meta name="description" content="A &amp; b">'), "name", "description").alias("meta_description")),
+        "extract_text": lambda s, d: pages.page_items(_dom(s, d)).select("page_id", "word_count", "status", "text_preview", "text_content"),
+        "sitemap_parser": _sitemaps,
+        "rss_feeds": _feeds,
+        "seed_url_builder": _seeds,
+        "api_search": lambda s, d: discovery.api_items(table(s, d, "events").select("event_id", F.col("event_type").alias("source"), F.concat(F.lit('{"job": '), "props", F.lit(', "title": "'), "event_type", F.lit(' at work"}')).alias("body")), {"externalId": ["$.id", "$.job.k"], "title": ["$.name", "$.title"]}, ["click", "view"], ["view"], ("title",)).select("event_id", "source", "externalId", "title"),
+        "test_dummy": lambda s, d: discovery.synthetic_items(table(s, d, "supplier").select(F.col("s_name").alias("entity_name")), 3, "7"),
+        "word_count": lambda s, d: table(s, d, "documents").select("doc_id", T.word_count(F.col("text")).alias("word_count")),
+        "english_detector": lambda s, d: table(s, d, "documents").select("doc_id", T.is_english(F.col("text")).alias("is_english")),
+        "content_filter": lambda s, d: content.content_filter(documents(s, d)),
+        "duplicate_text_demotion": lambda s, d: content.demote_duplicates(documents(s, d)),
+        "duplicate_text_demotion_by_entity": lambda s, d: content.demote_duplicates(documents(s, d), 2, "entity_name"),
+        "split_blocks": lambda s, d: content.blocks(documents(s, d), SEP).select("doc_id", "pos", "block"),
+        "boilerplate_frequency": lambda s, d: content.boilerplate_frequency(documents(s, d), SEP, 0.1),
+        "boilerplate_strip": lambda s, d: content.boilerplate_strip(documents(s, d), SEP, 0.1),
+        "split_sentences": lambda s, d: table(s, d, "documents").select("doc_id", F.posexplode(T.split_sentences(F.col("text"))).alias("pos", "sentence")),
+        "count_occurrences": lambda s, d: table(s, d, "documents").select("doc_id", T.count_occurrences(F.col("text"), F.lit("the")).alias("n")),
+        "citation_join": lambda s, d: qa.broken_citations(articles(s, d)),
+        "citation_coverage": lambda s, d: qa.citation_coverage(articles(s, d)),
+        "keyword_sufficiency": _keywords,
+        "meta_compliance": lambda s, d: qa.meta_compliance(_meta(s, d)),
+        "hallucination_score": _verdicts,
+        "hallucination_detector": _claims,
+        "route_decision": _routes,
+        "circuit_breaker": _breaker,
+        "url_relevance": _relevance,
+        "intent_tagger": _intents,
+        "content_analysis_flatten": _analysis,
+        "profile_completeness": _profiles,
+        "group_by_entity": lambda s, d: content.by_entity(documents(s, d), F.col("status"), ["success", "error"]),
+        "intent_breakdown": lambda s, d: content.histogram(documents(s, d), "title", ["entity_name"]).select("entity_name", F.to_json("counts").alias("counts")),
+        "average_score": lambda s, d: _verdicts(s, d).agg(T.js_round(F.avg("hallucination_score"), 3).cast("double").alias("avg_score"), F.count("*").alias("n")),
+        "origin_mode": lambda s, d: page_items(s, d).groupBy("entity_name", U.origin(F.col("url")).alias("origin")).agg(F.count("*").alias("n"), F.min("pool_pos").alias("p")).groupBy("entity_name").agg(F.max_by("origin", F.struct("n", -F.col("p"))).alias("origin")),
+        "latest_wins": lambda s, d: content.latest(table(s, d, "conversations").select("conv_id", F.col("turn").alias("pool_pos"), F.when(F.col("role") == "user", F.col("text")).alias("user_text"), F.when(F.col("role") == "assistant", F.col("text")).alias("assistant_text")), ["user_text", "assistant_text"], "conv_id"),
+        "slugify": lambda s, d: table(s, d, "part").select("p_partkey", T.slugify(F.concat("p_name", F.lit(" & Co. "), "p_brand")).alias("slug"), T.slug_to_title(T.slugify(F.col("p_type"))).alias("title")),
+        "meta_output": lambda s, d: bundle.meta_output(_meta(s, d).select("entity_name", "title", "description", F.split("keyword", " ").alias("keywords"))),
+        "markdown_output": lambda s, d: bundle.markdown_output(articles(s, d)),
+        "html_output": lambda s, d: bundle.html_output(articles(s, d)),
+        "json_output": lambda s, d: bundle.json_output(articles(s, d).select("entity_name", "markdown", F.col("title").alias("meta_title"), F.when(F.col("k") % 2 == 0, F.col("p_type")).alias("meta_description"), F.array(F.lower("p_brand")).alias("categories"))),
+        "schema_org_injector": lambda s, d: bundle.schema_org(articles(s, d).select("entity_name", F.get("citations", F.lit(0))["url"].alias("url"), F.when(F.col("k") % 2 == 0, F.col("p_type")).alias("description"), F.lit(None).cast("string").alias("founded"), F.array(F.struct(F.col("p_name").alias("question"), F.col("p_brand").alias("answer"))).alias("faqs"))),
+        "company_media": _images,
+        "llm_json_parse": lambda s, d: table(s, d, "events").select("event_id", T.model_json(F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```"))).alias("json")),
+        "event_windows": lambda s, d: incremental.windowed_counts(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 2).alias("total")),
+        "relational_rollup": lambda s, d: table(s, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")),
+        "relational_top_orders": lambda s, d: table(s, d, "orders").withColumn("r", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))).where("r <= 3").join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey", "o_totalprice", "r"),
+        "relational_semi_anti": lambda s, d: table(s, d, "part").join(table(s, d, "lineitem").where("l_quantity > 49"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey"),
+    }
+    return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.ORACLES
