@@ -36,7 +36,7 @@ def demote_duplicates(items: DataFrame, least: int = 3, scope: str | None = None
 
 def blocks(items: DataFrame, separator: str = r"\n\s*\n") -> DataFrame:
     """(entity_name, doc_id, pos, block, norm)."""
-    out = items.select("entity_name", "doc_id", F.posexplode(T.split_blocks(F.col("text_content"), separator)).alias("pos", "block"))
+    out = items.select("entity_name", "doc_id", F.posexplode_outer(T.split_blocks(F.col("text_content"), separator)).alias("pos", "block")).where("pos is not null")
     return out.withColumn("norm", T.normalize_block(F.col("block")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import text as T
 from lodestream.functions import urls
 
+# explode_outer and a filter: for a plain explode Catalyst would work the array out once more, for a filter on its size
 ANCHOR = r"""(?is)<a\s[^>]*href\s*=\s*["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
 SECTIONS = ("nav", "header", "footer", "body")
 
@@ -53,8 +54,8 @@ def page_items(pages: DataFrame, min_words: int = 50) -> DataFrame:
 
 def _links(section: Column, base: Column) -> Column:
     """array of (url, link_text) of a piece of HTML."""
-    pairs = F.arrays_zip(F.regexp_extract_all(section, F.lit(ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all(section, F.lit(ANCHOR), F.lit(2)).alias("t"))
-    pairs = F.filter(pairs, lambda p: ~p["h"].rlike(r"(?i)^\s*(mailto:|javascript:|tel:|ftp:|data:)"))
+    whole = F.transform(F.regexp_extract_all(section, F.lit(ANCHOR), F.lit(0)), lambda a: F.struct(F.regexp_extract(a, ANCHOR, 1).alias("h"), F.regexp_extract(a, ANCHOR, 2).alias("t")))
+    pairs = F.filter(whole, lambda p: ~p["h"].rlike(r"(?i)^\s*(mailto:|javascript:|tel:|ftp:|data:)"))
     return F.transform(pairs, lambda p: F.struct(urls.resolve(base, T.trim_ws(p["h"])).alias("url"), F.left(T.trim_ws(F.regexp_replace(p["t"], "<[^>]*>", "")), F.lit(200)).alias("link_text")))
 
 
@@ -69,7 +70,7 @@ def page_links(pages: DataFrame, most: int = 200, footer: bool = True, body: boo
     for rank, s in enumerate(SECTIONS):
         whole = F.col("html") if s == "body" else F.array_join(F.regexp_extract_all("html", F.lit(rf"(?is)<{s}[\s>].*?</{s}>"), F.lit(0)), "\n")
         parts.append(F.transform(_links(whole, F.col("url")), _placed(s, rank)))
-    out = pages.select("page_id", F.col("url").alias("found_on"), F.explode(F.concat(*parts)).alias("x")).select("page_id", "found_on", "x.*")
+    out = pages.select("page_id", F.col("url").alias("found_on"), F.explode_outer(F.concat(*parts)).alias("x")).select("page_id", "found_on", "x.*").where("link is not null")
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id", "link").orderBy("rank"))).where("_n = 1").where(F.col("source_location").isin(chosen))
     out = out.where(urls.domain(F.col("link")) == urls.domain(F.col("found_on"))) if same_domain else out
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("rank"))).where(F.col("_n") <= most)
@@ -80,7 +81,7 @@ def deep_links(pool: DataFrame, patterns: list[str], max_pages: int = 30, per_pa
     """Links of the entity's first pages whose path has a pattern; no junk, none known, first occurrence of each."""
     path = F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1))
     chosen = pool.where(T.has_any(path, patterns)).withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("page_id"))).where(F.col("_n") <= max_pages)
-    out = chosen.select("page_id", F.col("url").alias("found_on"), F.posexplode(_links(F.col("html"), F.col("url"))).alias("pos", "x")).select("page_id", "found_on", "pos", "x.*")
+    out = chosen.select("page_id", F.col("url").alias("found_on"), F.posexplode_outer(_links(F.col("html"), F.col("url"))).alias("pos", "x")).select("page_id", "found_on", "pos", "x.*").where("url is not null")
     out = out.where(~urls.is_junk(F.col("url"))).join(pool.select("url").distinct(), "url", "left_anti")
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).where(F.col("_n") <= per_page)
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy("page_id", "pos"))).where("_n = 1")

@@ -135,7 +135,7 @@ def queries() -> dict:
         "resolve_url": lambda s, d: table(s, d, "pages").select("page_id", U.resolve(F.col("url"), F.lit("/a?utm_source=x&page=2&Ref=1#f")).alias("rooted"), U.resolve(F.col("url"), F.lit("//cdn.org/x")).alias("schemeless"), U.strip_tracking(F.col("url")).alias("cleaned")),
         "exclude_known_urls": _known,
         "page_links": lambda s, d: pages.page_links(table(s, d, "pages"), most=5, body=True),
-        "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["a"], max_pages=2, per_page=4),
+        "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["/en/"], max_pages=2, per_page=4),
         "extract_title": lambda s, d: _dom(s, d).select("page_id", pages.title(F.col("html")).alias("title")),
         "extract_meta_description": lambda s, d: _dom(s, d).select("page_id", pages.meta(F.regexp_replace("html", "<meta charset=\"utf-8\">", '<meta name="description" content="A &amp; b">'), "name", "description").alias("meta_description")),
         "extract_text": lambda s, d: pages.page_items(_dom(s, d)).select("page_id", "word_count", "status", "text_preview", "text_content"),
@@ -152,7 +152,7 @@ def queries() -> dict:
         "split_blocks": lambda s, d: content.blocks(documents(s, d), SEP).select("doc_id", "pos", "block"),
         "boilerplate_frequency": lambda s, d: content.boilerplate_frequency(documents(s, d), SEP, 0.1),
         "boilerplate_strip": lambda s, d: content.boilerplate_strip(documents(s, d), SEP, 0.1),
-        "split_sentences": lambda s, d: table(s, d, "documents").select("doc_id", F.posexplode(T.split_sentences(F.col("text"))).alias("pos", "sentence")),
+        "split_sentences": lambda s, d: table(s, d, "documents").select("doc_id", F.posexplode_outer(T.split_sentences(F.col("text"))).alias("pos", "sentence")).where("pos is not null"),
         "count_occurrences": lambda s, d: table(s, d, "documents").select("doc_id", T.count_occurrences(F.col("text"), F.lit("the")).alias("n")),
         "citation_join": lambda s, d: qa.broken_citations(articles(s, d)),
         "citation_coverage": lambda s, d: qa.citation_coverage(articles(s, d)),
