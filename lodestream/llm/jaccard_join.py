@@ -8,9 +8,9 @@ first n - ceil(3n/4) + 1 tokens under any global order. Here a candidate must do
 - B: by another hash; C: B reversed. They are checked on the pair's sets before their intersection is counted.
 
 Before the sets are fetched, a candidate must pass the bounds of sizes, of positions, and of parity bitmaps (two bits a
-token), each of which no similar pair fails. Documents of equal sets are one class. In round one each token's classes are candidates of the least class only, so a
-group of copies gives links in proportion to its size; in round two, only pairs of one token that are not connected yet
-are candidates. So every link that joins components is found, and a group of n near copies needs no n * n pairs.
+token), each of which no similar pair fails. Documents of equal sets are one class. In round one each class is a candidate of the least class of its rarest shared
+token, in round two of those of its other tokens where they are not connected yet, so a group of near copies gives
+candidates in proportion to its size; in round three, pairs of one token that are still not connected are candidates. So every link that joins components is found, and a group of n near copies needs no n * n pairs.
 
 The sketch has 2**SKETCH_BITS counters whatever the input; it steers the order only, and any order gives the same result.
 Sets are recomputed from the texts of candidates; a bitmap of fixed size picks those before any shuffle.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lodestream.llm.common import Words, blocks, byte_class, cut_lineage, fixed_bitmap, grams, in_bitmap, mix, table
 
 N = 5
-SKETCH_BITS, SKETCH_CHUNKS = 22, 64
+SKETCH_BITS, SKETCH_CHUNKS = 24, 64
 BITMAP_BITS = 24
 WORD = byte_class(" \t\n\x0b\x0c\r")
 
@@ -68,11 +68,11 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 def _signed(batches):
     """Each document's set size and signature, and at the end what the partition adds to the sketch."""
-    sketch, waiting, n_waiting, ids = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0, None
+    sketch, waiting, n_waiting, ids = np.zeros(1 << SKETCH_BITS, np.uint16), [], 0, None
 
     def count():
-        nonlocal sketch
-        sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
+        cells, n = np.unique(np.concatenate(waiting), return_counts=True)
+        sketch[cells] = np.minimum(sketch[cells].astype(np.int64) + n, 65535)  # beyond, a token is common enough
         waiting.clear()
 
     for batch in blocks(batches, "text"):
@@ -101,7 +101,7 @@ def _levels(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-            x = np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)
+            x = np.frombuffer(zlib.decompress(counts), np.uint16).astype(np.uint64)
             sums[chunk] = sums[chunk] + x if chunk in sums else x
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.ceil(np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()], pa.binary())], ["chunk", "levels"])
 
@@ -147,7 +147,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     total = F.col("n_a") + F.col("n_b")
     pairs = pairs.join(side["a"], "a").where(F.col("n_a") > 0).join(side["b"], "b").where(F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3)
     pairs = cut_lineage(pairs.where(_differing(F.col("bits_a"), F.col("bits_b")) * 7 <= total).select("a", "b"))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes.select("sig", "rep"), "sig")
+    ids = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct().join(classes.select("sig", "rep"), "sig")
     bitmap = spark.sparkContext.broadcast(fixed_bitmap(ids.select(_bit("rep").alias("p")), BITMAP_BITS))
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.where("text is not null").mapInArrow(_chosen_sets(bitmap), f"doc_id {kind}, sig bigint, tokens array<bigint>")
@@ -217,12 +217,24 @@ def link(docs: DataFrame) -> DataFrame:
     shared = shared.drop("hi").withColumn("lead", F.min(F.struct("sig", "n", "pos")).over(of))
     shared = cut_lineage(shared.dropDuplicates(["token", "sig"]))
 
-    near = _possible("n", "pos", "lead.n", "lead.pos")
-    stars = shared.where("sig != lo").where(near).select(F.col("lo").alias("a"), F.col("sig").alias("b")).distinct()
-    edges = cut_lineage(verified(cut_lineage(stars), classes, docs))
+    # round one: each class with the least class of its rarest shared token
+    near = shared.where("sig != lo").where(_possible("n", "pos", "lead.n", "lead.pos"))
+    edges = verified(cut_lineage(near.groupBy(F.col("sig").alias("b")).agg(F.min_by("lo", "pos").alias("a"))), classes, docs)
+    edges = cut_lineage(edges)
     connected = components(edges)
 
-    at = shared.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
+    # round two: with those of its other tokens, where they are not connected yet
+    def labelled(rows: DataFrame, of_: str, name: str) -> DataFrame:
+        return rows.join(connected.select(F.col("v").alias(of_), F.col("c").alias(name)), of_, "left").withColumn(name, F.coalesce(name, of_))
+
+    stars = labelled(labelled(near.select("lo", "sig").distinct(), "sig", "c"), "lo", "d").where("c != d").select(F.col("lo").alias("a"), F.col("sig").alias("b"))
+    more = cut_lineage(verified(cut_lineage(stars), classes, docs))
+    if not more.isEmpty():
+        edges = cut_lineage(edges.union(more))
+        connected = components(edges)
+
+    # round three: pairs of one token that are not connected yet
+    at = labelled(shared, "sig", "c")
     at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").where("sig != lo").drop("c_lo", "c_hi", "lo", "lead")
     at = cut_lineage(at)
     x, y = at.alias("x"), at.alias("y")
@@ -231,8 +243,7 @@ def link(docs: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         more = cut_lineage(verified(rest, classes, docs))
         if not more.isEmpty():
-            edges = edges.union(more)
-            connected = components(edges)
+            connected = components(edges.union(more))
 
     known = classes.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     known = known.join(known.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("sig", "n", "component_id")
