@@ -217,7 +217,7 @@ def _scored(logp, model):
                 for n in OPENINGS:
                     found |= {f"{o}~" for o in openings.intersection(w[:n] for w in words if len(w) > n)}
                 z = bias + sum(weights.get(f, 0.0) for f in sorted(found))
-                scores.append(1 / (1 + math.exp(-max(min(z, 30.0), -700.0))))
+                scores.append(0.0 if z < -700 else 1 / (1 + math.exp(-min(z, 700.0))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return run
