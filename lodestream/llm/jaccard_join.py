@@ -33,6 +33,8 @@ from lodestream.llm.common import Words, blocks, byte_class, cut_lineage, fixed_
 N = 5
 SKETCH_BITS, SKETCH_CHUNKS = 24, 64
 BITMAP_BITS = 24
+SEEN = 1_000_000
+FOLDED = 16
 WORD = byte_class(" \t\n\x0b\x0c\r")
 
 
@@ -108,11 +110,15 @@ def _levels(batches):
 
 def _prefixes(levels):
     def run(batches):
+        seen: set[int] = set()  # copies of a set that a task has sent already add nothing
         for batch in blocks(batches, "text"):
             parts = []
+            if len(seen) > SEEN:
+                seen.clear()
             for tokens in sets(batch.column("text")):
-                n = len(tokens)
-                if n:
+                n, sig = len(tokens), signature(tokens)
+                if n and sig not in seen:
+                    seen.add(sig)
                     level = levels.value[_cells(tokens)]
                     order = (level.astype(np.uint64) << np.uint64(58)) | (mix(tokens ^ np.uint64(0xA5A5A5A5)) >> np.uint64(6))
                     p = prefix_size(n)
@@ -120,7 +126,7 @@ def _prefixes(levels):
                     first = first[np.argsort(order[first])]
                     pos = np.arange(1, p + 1)
                     shared = level[first] > 0  # a cell that counted one token holds nobody else's
-                    parts.append((tokens[first][shared].view(np.int64), np.full(int(shared.sum()), signature(tokens)), np.full(int(shared.sum()), n), pos[shared]))
+                    parts.append((tokens[first][shared].view(np.int64), np.full(int(shared.sum()), sig), np.full(int(shared.sum()), n), pos[shared]))
             if parts:
                 token, sig, n, pos = map(np.concatenate, zip(*parts))
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(sig.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32))], ["token", "sig", "n", "pos"])
@@ -169,6 +175,13 @@ def _differing(x, y):
     return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
 
 
+def _folded(bits: str):
+    """A parity bitmap folded to FOLDED * 64 bits at most."""
+    part = lambda i: F.slice(bits, i * FOLDED + 1, F.lit(FOLDED))
+    fold = F.aggregate(F.sequence(F.lit(1), (F.size(bits) / FOLDED).cast("int") - 1), part(F.lit(0)), lambda x, i: F.zip_with(x, part(i), lambda p, q: p.bitwiseXOR(q)))
+    return F.when(F.size(bits) > FOLDED, fold).otherwise(F.col(bits))
+
+
 def _bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(1 << BITMAP_BITS))
 
@@ -214,36 +227,40 @@ def link(docs: DataFrame) -> DataFrame:
     tokens = docs.where("text is not null").select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels)), "token bigint, sig bigint, n int, pos int")
     of = Window.partitionBy("token")
     shared = tokens.withColumn("lo", F.min("sig").over(of)).withColumn("hi", F.max("sig").over(of)).where("lo != hi")
-    shared = shared.drop("hi").withColumn("lead", F.min(F.struct("sig", "n", "pos")).over(of))
+    shared = shared.drop("lo", "hi").withColumn("lead", F.min(F.struct("pos", "sig", "n")).over(of)).withColumn("k", F.count("*").over(of))
     shared = cut_lineage(shared.dropDuplicates(["token", "sig"]))
 
-    # round one: each class with the least class of its rarest shared token
-    near = shared.where("sig != lo").where(_possible("n", "pos", "lead.n", "lead.pos"))
-    edges = verified(cut_lineage(near.groupBy(F.col("sig").alias("b")).agg(F.min_by("lo", "pos").alias("a"))), classes, docs)
-    edges = cut_lineage(edges)
-    connected = components(edges)
+    # round one: each class with the leads of its rarest and of its commonest shared token
+    near = shared.where("sig != lead.sig").where(_possible("n", "pos", "lead.n", "lead.pos")).withColumn("lo", F.col("lead.sig"))
+    firsts = near.groupBy(F.col("sig").alias("b")).agg(F.array_distinct(F.array(F.min_by("lo", "pos"), F.min_by("lo", F.struct(-F.col("k"), "pos")))).alias("as"))
+    firsts = cut_lineage(firsts.select(F.explode("as").alias("a"), "b"))
+    connected = components(verified(firsts, classes, docs))
 
-    # round two: with those of its other tokens, where they are not connected yet
     def labelled(rows: DataFrame, of_: str, name: str) -> DataFrame:
         return rows.join(connected.select(F.col("v").alias(of_), F.col("c").alias(name)), of_, "left").withColumn(name, F.coalesce(name, of_))
 
+    def with_links(more: DataFrame) -> DataFrame:
+        """The components with more links: those between the same two components count once."""
+        ends = labelled(labelled(more, "a", "c"), "b", "d").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+        return components(connected.select(F.col("v").alias("a"), F.col("c").alias("b")).union(ends))
+
+    # round two: with the leads of its other tokens, where they are not connected yet
     stars = labelled(labelled(near.select("lo", "sig").distinct(), "sig", "c"), "lo", "d").where("c != d").select(F.col("lo").alias("a"), F.col("sig").alias("b"))
-    more = cut_lineage(verified(cut_lineage(stars), classes, docs))
+    more = cut_lineage(verified(cut_lineage(stars.join(firsts, ["a", "b"], "left_anti")), classes, docs))
     if not more.isEmpty():
-        edges = cut_lineage(edges.union(more))
-        connected = components(edges)
+        connected = with_links(more)
 
     # round three: pairs of one token that are not connected yet
-    at = labelled(shared, "sig", "c")
-    at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").where("sig != lo").drop("c_lo", "c_hi", "lo", "lead")
-    at = cut_lineage(at)
+    at = labelled(shared.where("sig != lead.sig").drop("lead", "k"), "sig", "c")
+    at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").drop("c_lo", "c_hi")
+    at = cut_lineage(at.join(classes.select("sig", _folded("bits").alias("bits")), "sig"))
     x, y = at.alias("x"), at.alias("y")
-    apart = (F.col("x.c") < F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos")
+    apart = (F.col("x.c") < F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos") & (_differing(F.col("x.bits"), F.col("y.bits")) * 7 <= F.col("x.n") + F.col("y.n"))
     rest = cut_lineage(x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())
     if not rest.isEmpty():
         more = cut_lineage(verified(rest, classes, docs))
         if not more.isEmpty():
-            connected = components(edges.union(more))
+            connected = with_links(more)
 
     known = classes.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     known = known.join(known.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("sig", "n", "component_id")
