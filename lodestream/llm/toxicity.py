@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from lodestream.llm.common import blocks, held_out, table
 TRAIN_DOCS = 20_000
 FEATURES = 600
 OPENINGS = (4, 5, 6)
-CACHE = 100_000
+CACHE = 400_000
 
 # What symbols stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "*": "aeiou"}
@@ -41,25 +42,37 @@ _CODES[97:123] = np.arange(1, 27)
 _CODES[0xDF:0x100] = np.arange(27, 60)
 _CODES[[0xF7]] = 0
 _CODES[0x100:] = 60
+_ONE = np.concatenate([_CODES[:128], np.zeros(64, np.int32), np.full(64, 60, np.int32)]).astype(np.int64)  # of a first byte in UTF-8
+_ONE[65:91] = _ONE[97:123]
+_TWO = np.concatenate([np.zeros(128, np.int32), _CODES[0xE0:0xFF], _CODES[0xDF:0x100], np.zeros(64, np.int32)]).astype(np.int64)  # of a second byte after C3; capitals as small letters
+_TWO[0x97] = 0
 
 WORDS = re.compile(r"[^\W\d_]+")
 _L = r"[^\W\d_]"
-DISGUISED = re.compile(rf"{_L}[0-9@$!|+€*]+{_L}|(?<![^\s])[0-9@$!|+€*]{{1,2}}{_L}{_L}|({_L})\1\1|(?<![^\W_]){_L}(?:[ .*_-]{_L}){{2,}}(?![^\W_])|{_L}\$\$?(?!\S)", re.I)
+_RUN = rf"(?<![^\W_]){_L}(?:[ .*_-]{_L}){{2,}}(?![^\W_])"
+DISGUISED = re.compile(rf"{_L}[0-9@$!|+€*]+{_L}|^[0-9@$!|+€*]{{1,2}}{_L}{_L}|({_L})\1\1|{_RUN}|{_L}\$\$?$")
+RUN = re.compile(_RUN)
+RUN_ENDS = re.compile(rf"[ .*_-]{_L}[ .*_-]{_L}(?![^\W_])")
 EDGE = ".,;:?!*%&#\"'()[]{}<>-_"
 
 
-def letter_codes(text: str) -> np.ndarray:
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = _CODES[np.minimum(points, 0x24F)]
-    out[points >= 0x2000] *= points[points >= 0x2000] > 0x206F
-    return out
+def letter_codes(data: np.ndarray) -> np.ndarray:
+    """Of each character of UTF-8 bytes, in lower case."""
+    out = _ONE[data]
+    wide = np.flatnonzero(data >= 0xC2)
+    lead, second, third = data[wide], data[np.minimum(wide + 1, len(data) - 1)], data[np.minimum(wide + 2, len(data) - 1)]
+    out[wide[lead == 0xC2]] = 0
+    out[wide[lead == 0xC3]] = _TWO[second[lead == 0xC3]]
+    out[wide[(lead == 0xE2) & ((second == 0x80) | (second == 0x81) & (third < 0xB0))]] = 0  # general punctuation
+    return out[(data & 0xC0) != 0x80] if len(wide) else out
 
 
 def _trigrams(batches):
     counts = np.zeros(ALPHABET**3, np.int64)
     for batch in blocks(batches, "text"):
-        x = letter_codes("  ".join(["", *filter(None, batch.column("text").to_pylist()), ""]))
-        counts += np.bincount((x[:-2] * ALPHABET + x[1:-1]) * ALPHABET + x[2:], minlength=len(counts))
+        x = letter_codes(np.frombuffer("  ".join(["", *filter(None, batch.column("text").to_pylist()), ""]).encode(), np.uint8))
+        if len(x) > 2:
+            counts += np.bincount((x[:-2] * ALPHABET + x[1:-1]) * ALPHABET + x[2:], minlength=len(counts))
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])], ["i", "n"])
 
@@ -77,11 +90,14 @@ def char_model(docs: DataFrame) -> np.ndarray:
 
 
 class Restorer:
-    """Reads disguised words under a character model."""
+    """Reads disguised words under a character model. wanted: the features that are looked for; None for all."""
 
-    def __init__(self, logp: np.ndarray):
+    def __init__(self, logp: np.ndarray, wanted=None):
         self.cost = (-logp).tolist()
-        self.seen: dict[str, str] = {}
+        self.wanted = wanted
+        self.seen: set[str] = set()
+        self.hits: dict[str, list[str]] = {}  # of the tokens seen, those that have wanted features
+        self.hit: set[str] = set()
 
     def options(self, token: str) -> list[list[tuple[str, float]]]:
         """For each character what it may be read as, "" for nothing and " " for the end of a word, with costs."""
@@ -118,28 +134,75 @@ class Restorer:
             out.append(c)
         return "".join(reversed(out)).strip()
 
-    def token(self, token: str) -> str:
-        if token not in self.seen:
-            if len(self.seen) > CACHE:
-                self.seen.clear()
-            self.seen[token] = self.viterbi(token)
-        return self.seen[token]
+    def read(self, token: str) -> str:
+        """The most likely reading of a disguised token."""
+        return self.viterbi(re.sub(r"([^\w\s])\1\1+$", "", token).strip(EDGE))
+
+    def split(self, text: str) -> tuple[list[str], list[str]]:
+        """The tokens of a text in lower case, and readings of those that make runs of single letters, spaces among them."""
+        text, readings = text.lower(), []
+        if RUN_ENDS.search(text):
+            rest, done = [], 0
+            for m in RUN.finditer(text):
+                if " " in m[0] and m.start() >= done:
+                    lo, hi = m.span()
+                    while lo > done and not text[lo - 1].isspace():
+                        lo -= 1
+                    while hi < len(text) and not text[hi].isspace():
+                        hi += 1
+                    rest.append(text[done:lo])
+                    readings.append(self.read(text[lo:hi]))
+                    done = hi
+            text = " ".join([*rest, text[done:]])
+        return text.split(), readings
 
     def restore(self, text: str) -> str:
-        """The text with its disguised words restored, lower case."""
-        text, out, done = text.lower(), [], 0
-        for m in DISGUISED.finditer(text):
-            if m.start() < done:
-                continue
-            lo, hi = m.span()
-            while lo > done and not text[lo - 1].isspace():
-                lo -= 1
-            while hi < len(text) and not text[hi].isspace():
-                hi += 1
-            token = re.sub(r"([^\w\s])\1\1+$", "", text[lo:hi]).strip(EDGE)
-            out += [text[done:lo], self.token(token)]
-            done = hi
-        return "".join([*out, text[done:]])
+        """A text without its disguises: its tokens in lower case, then what runs of letters say."""
+        tokens, readings = self.split(text)
+        return " ".join([*(self.read(t) if DISGUISED.search(t) else t for t in tokens), *readings])
+
+    def _kept(self, reading: str) -> list[str]:
+        if self.wanted is None:
+            return list(features(reading))
+        words = WORDS.findall(reading)
+        found = [w for w in words if w in self.wanted]
+        for n in OPENINGS:
+            found += [f for w in words if len(w) > n and (f := f"{w[:n]}~") in self.wanted]
+        return found
+
+    def features(self, text: str) -> set[str]:
+        """The wanted features of a restored text."""
+        tokens, readings = self.split(text)
+        tokens, seen, hits = set(tokens), self.seen, self.hits
+        if len(seen) > CACHE:
+            for x in (seen, hits, self.hit):
+                x.clear()
+        new = tokens - seen
+        for t in new:
+            if kept := self._kept(self.read(t) if DISGUISED.search(t) else t):
+                hits[t] = kept
+                self.hit.add(t)
+        seen |= new
+        out: set[str] = set()
+        for t in tokens & self.hit:
+            out.update(hits[t])
+        for r in readings:
+            out.update(self._kept(r))
+        return out
+
+
+def features(self, text: str) -> set[str]:
+        """The wanted features of a restored text."""
+        tokens, readings = self.split(text)
+        tokens, seen = set(tokens), self.seen
+        if len(seen) > CACHE:
+            seen.clear()
+        for t in tokens.difference(seen):
+            seen[t] = self._kept(self.read(t) if DISGUISED.search(t) else t)
+        out = set(chain.from_iterable(map(seen.__getitem__, tokens)))
+        for r in readings:
+            out.update(self._kept(r))
+        return out
 
 
 def features(text: str) -> set[str]:
@@ -153,7 +216,7 @@ def _counts(logp):
         restorer, counts = Restorer(logp.value), Counter()
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                counts.update((f, toxic) for f in features(restorer.restore(text)))
+                counts.update((f, toxic) for f in restorer.features(text))
         rows = [(f, y, n) for (f, y), n in counts.items()]
         for lo in range(0, len(rows), 100_000):
             f, y, n = zip(*rows[lo : lo + 100_000])
@@ -164,9 +227,9 @@ def _counts(logp):
 
 def _present(logp, ids):
     def run(batches):
-        restorer = Restorer(logp.value)
+        restorer = Restorer(logp.value, ids.keys())
         for batch in batches:
-            found = [sorted(ids[f] for f in features(restorer.restore(t)) if f in ids) for t in batch.column("text").to_pylist()]
+            found = [sorted(ids[f] for f in restorer.features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["toxic", "ids"])
 
     return run
@@ -207,16 +270,13 @@ def fit(docs: DataFrame, labels: DataFrame, logp, train_docs: int = TRAIN_DOCS)
 
 def _scored(logp, model):
     def run(batches):
-        restorer, weights, bias = Restorer(logp.value), model.value["weights"], model.value["bias"]
-        openings = {f[:-1] for f in weights if f[-1] == "~"}
+        weights, bias = model.value["weights"], model.value["bias"]
+        restorer = Restorer(logp.value, weights.keys())
         for batch in blocks(batches, "text", 4 << 20):
             scores = []
             for text in batch.column("text").to_pylist():
-                words = set(WORDS.findall(restorer.restore(text or "")))
-                found = {w for w in words if w in weights}
-                for n in OPENINGS:
-                    found |= {f"{o}~" for o in openings.intersection(w[:n] for w in words if len(w) > n)}
-                z = bias + sum(weights.get(f, 0.0) for f in sorted(found))
+                found = restorer.features(text or "")
+                z = bias + sum(weights[f] for f in sorted(found))
                 scores.append(0.0 if z < -700 else 1 / (1 + math.exp(-min(z, 700.0))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
