@@ -124,12 +124,11 @@ def _prefixes(levels):
                     p = prefix_size(n)
                     first = np.argpartition(order, p - 1)[:p] if p < n else np.arange(n)
                     first = first[np.argsort(order[first])]
-                    pos = np.arange(1, p + 1)
                     shared = level[first] > 0  # a cell that counted one token holds nobody else's
-                    parts.append((tokens[first][shared].view(np.int64), np.full(int(shared.sum()), sig), np.full(int(shared.sum()), n), pos[shared]))
+                    parts.append((tokens[first][shared].view(np.int64), np.full(int(shared.sum()), sig), np.flatnonzero(shared) + 1 + (n << 32)))
             if parts:
-                token, sig, n, pos = map(np.concatenate, zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(sig.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32))], ["token", "sig", "n", "pos"])
+                token, sig, at = map(np.concatenate, zip(*parts))
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(sig.astype(np.int64)), pa.array(at.astype(np.int64))], ["token", "sig", "at"])
 
     return run
 
@@ -224,10 +223,11 @@ def link(docs: DataFrame) -> DataFrame:
     classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
     classes = cut_lineage(classes)
 
-    tokens = docs.where("text is not null").select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels)), "token bigint, sig bigint, n int, pos int")
+    tokens = docs.where("text is not null").select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels)), "token bigint, sig bigint, at bigint")
     of = Window.partitionBy("token")
     shared = tokens.withColumn("lo", F.min("sig").over(of)).withColumn("hi", F.max("sig").over(of)).where("lo != hi")
-    shared = shared.drop("lo", "hi").withColumn("lead", F.min(F.struct("pos", "sig", "n")).over(of)).withColumn("k", F.count("*").over(of))
+    shared = shared.select("token", "sig", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos"))
+    shared = shared.withColumn("lead", F.min(F.struct("pos", "sig", "n")).over(of)).withColumn("k", F.count("*").over(of))
     shared = cut_lineage(shared.dropDuplicates(["token", "sig"]))
 
     # round one: each class with the leads of its rarest and of its commonest shared token
