@@ -32,7 +32,7 @@ from lodestream.llm.common import blocks, mix, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK = 65_536, 1024
-CACHE = 300_000
+CACHE = 150_000
 MARK = "▁"
 NONE = -(1 << 60)
 LOW = 64  # the low bits of a packed score hold a length
@@ -210,7 +210,7 @@ class Encoder:
         for w in {w for ws, ids in zip(split, found) if None in ids for w, i in zip(ws, ids) if i is None}:
             new.setdefault(len(w), []).append(w)
         for n, words in new.items():
-            step = max(1, 200_000 // n)
+            step = max(1, 50_000 // n)
             for lo in range(0, len(words), step):
                 self.seen.update(zip(words[lo : lo + step], best_words(self.model, words[lo : lo + step])))
         return [b"".join([self.seen[w] if i is None else i for w, i in zip(ws, ids)] if None in ids else ids) for ws, ids in zip(split, found)]
@@ -288,7 +288,7 @@ def _lists(data: list[bytes | None]) -> pa.Array:
 def _encode_words(model):
     def run(batches):
         encoder = Encoder(model.value)
-        for batch in blocks(batches, "text", 4 << 20):
+        for batch in blocks(batches, "text"):
             texts = batch.column("text").to_pylist()
             data = encoder.encode([t or "" for t in texts])
             yield pa.RecordBatch.from_arrays([batch.column("row"), _lists([None if t is None else d for t, d in zip(texts, data)])], ["row", "ids"])
