@@ -22,6 +22,7 @@ from lodestream.llm.common import cut_lineage, table
 
 SHARDS = 16
 DRIVER_GROUPS = 200_000
+SPLIT_NODES = 512
 
 
 def smallest_capacity(sizes: list[int], shards: int) -> tuple[int, list[int]]:
@@ -46,39 +47,66 @@ def smallest_capacity(sizes: list[int], shards: int) -> tuple[int, list[int]]:
     return lo, cuts(lo)
 
 
+def _undecided(nodes: list[tuple], shards: int) -> list[tuple]:
+    """Of nodes (prefix, size, largest group, groups) in order, those of several groups in which a cut of the least capacity can fall.
+
+    A walk that cuts at ends of nodes only never gets further than the true one, a walk that cuts nodes of several groups
+    anywhere never less far; so the least capacities for which they need no more than `shards` shards enclose the true one.
+    """
+    ends = np.cumsum(np.array([n[1] for n in nodes], dtype=np.int64)).tolist()
+    starts, total, several = [0, *ends[:-1]], ends[-1], [n[3] > 1 for n in nodes]
+
+    def behind(x: int) -> int:
+        i = bisect.bisect_right(starts, x) - 1
+        return total if x >= total else starts[i]
+
+    def ahead(x: int) -> int:
+        return min(x, total) if x >= total or several[bisect.bisect_right(starts, x) - 1] else behind(x)
+
+    def least(step, low: int) -> int:
+        high = total
+        while low < high:
+            mid, at = (low + high) // 2, 0
+            for _ in range(shards):
+                at = step(at + mid)
+            low, high = (low, mid) if at == total else (mid + 1, high)
+        return low
+
+    low = least(ahead, max(max(n[2] for n in nodes), -(-total // shards)))
+    high = least(behind, low)
+    near, lo, hi = set(), 0, 0
+    for _ in range(shards):
+        if lo + low >= total:
+            break
+        near.update(range(bisect.bisect_right(starts, lo + low) - 1, bisect.bisect_right(starts, hi + high)))
+        lo, hi = behind(lo + low), ahead(hi + high)
+    return [nodes[i] for i in sorted(near) if several[i]]
+
+
 def cut_keys(groups: DataFrame, shards: int) -> list[str]:
     """Upper bounds of all shards but the last, for groups (g: order key of hex digits, size)."""
 
-    def sums(width: int, inside: list[str] | None, of: int) -> list[tuple[str, int, int, int]]:
-        at = groups if inside is None else groups.where(F.substring("g", 1, of).isin(inside))
-        rows = at.groupBy(F.substring("g", 1, width).alias("p")).agg(F.sum("size"), F.max("size"), F.count("*")).collect()
+    def sums(p) -> list[tuple[str, int, int, int]]:
+        rows = groups.select(p.alias("p"), "size").where("p is not null").groupBy("p").agg(F.sum("size"), F.max("size"), F.count("*")).collect()
         return [tuple(r) for r in rows]
 
-    width = 3
-    nodes = {width: sums(width, None, 0)}
-    if not nodes[width]:
+    nodes = sorted(sums(F.substring("g", 1, 3)))
+    if not nodes:
         return []
-    total, largest = sum(n[1] for n in nodes[3]), max(n[2] for n in nodes[3])
-    low, high = max(largest, -(-total // shards)), -(-total // shards) + largest
-    while True:
-        flat = sorted(n for ns in nodes.values() for n in ns)
-        ends = np.cumsum([n[1] for n in flat]).tolist()
-        starts = [0, *ends[:-1]]
-        near, lo, hi = set(), 0, 0
-        for _ in range(shards):  # where cut i can fall, for any capacity between low and high
-            lo, hi = min(lo + low, total), min(hi + high, total)
-            near.update(range(max(bisect.bisect_right(starts, lo) - 1, 0), min(bisect.bisect_left(ends, hi) + 1, len(flat))))
-            lo = starts[max(bisect.bisect_right(starts, lo) - 1, 0)]
-        split = [flat[i] for i in near if len(flat[i][0]) == width and flat[i][3] > 1]
-        if not split or width >= 32:
-            break
-        finer = 32 if sum(n[3] for n in split) <= DRIVER_GROUPS else min(width + 2, 32)
-        inside = [n[0] for n in split]
-        nodes[finer] = sums(finer, inside, width)
-        nodes[width] = [n for n in nodes[width] if n not in set(split)]
-        width = finer
-    _, cuts = smallest_capacity([n[1] for n in flat], shards)
-    return [flat[i - 1][0] + "~" * (len(flat[i - 1][0]) < 32) for i in cuts[:-1]]
+    while split := _undecided(nodes, shards):
+        longer = 32
+        if sum(n[3] for n in split) > DRIVER_GROUPS:  # large nodes first: what is cut out of them narrows all later places
+            most = max(n[1] for n in split)
+            split = sorted((n for n in split if n[1] * 16 >= most), key=lambda n: (-n[1], n[0]))[:SPLIT_NODES]
+            longer = 2 if len(split) * 16 <= SPLIT_NODES else 1
+        inside: dict[int, list[str]] = {}
+        for n in split:
+            inside.setdefault(len(n[0]), []).append(n[0])
+        finer = sums(F.coalesce(*(F.when(F.substring("g", 1, w).isin(ps), F.substring("g", 1, w + longer)) for w, ps in inside.items())))
+        gone = {n[0] for n in split}
+        nodes = sorted([n for n in nodes if n[0] not in gone] + finer)
+    _, cuts = smallest_capacity([n[1] for n in nodes], shards)
+    return [nodes[i - 1][0] + "~" * (len(nodes[i - 1][0]) < 32) for i in cuts[:-1]]
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

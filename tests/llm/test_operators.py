@@ -201,6 +201,31 @@ def test_shards(spark, odd, none, monkeypatch):
     assert shard.assign_shards(odd).count() == len(ODD) and shard.assign_shards(none).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.01, 1 / 3])
+def test_shards_collect_few_groups(spark, monkeypatch, share):
+    """One large group must not send the others to the driver."""
+    n = 60_000
+    small = spark.range(n).select(F.md5(F.col("id").cast("string").cast("binary")).alias("g"), F.lit(2000).cast("bigint").alias("size"))
+    groups = small.unionByName(spark.createDataFrame([("5" * 32, int(n * 2000 * share / (1 - share)))], "g string, size bigint")).cache()
+    collected, collect = [], type(groups).collect
+
+    def counting(self):
+        rows = collect(self)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(groups), "collect", counting)
+    monkeypatch.setattr(shard, "DRIVER_GROUPS", 2_000)
+    keys = shard.cut_keys(groups, 16)
+    monkeypatch.undo()
+    assert sum(collected) < 12_000
+    rows = sorted(map(tuple, groups.collect()))
+    loads = [0] * 16
+    for g, size in rows:
+        loads[sum(g > k for k in keys)] += size
+    assert max(loads) == shard.smallest_capacity([size for _, size in rows], 16)[0]
+
+
 def test_toxicity(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     docs = docs.where("length(text) < 3000")
