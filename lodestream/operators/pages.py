@@ -32,8 +32,8 @@ _CMS = [*(rf'(?is)<div[^>]+class="[^"]*\b{c}\b[^"]*"[^>]*>(.*?)</div>{tail}' for
 _BLOCKS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
 
 
-def extract_text(html: Column, longest: int = 50_000) -> Column:
-    """The main region without chrome, paragraphs apart. Blank lines between them are then deleted, as the page scraper does."""
+def extract_text(html: Column, longest: int | None = 50_000) -> Column:
+    """The main region without chrome, paragraphs apart; longest: characters kept, None for all. Blank lines between them are then deleted, as the page scraper does."""
     cms = [F.when(F.length(_first(html, p)) > 100, _first(html, p)) for p in _CMS]
     out = F.coalesce(_first(html, "(?is)<main[^>]*>(.*?)</main>"), _first(html, "(?is)<article[^>]*>(.*?)</article>"), *cms, _first(html, "(?is)<body[^>]*>(.*?)</body>"), html)
     for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript"):
@@ -42,12 +42,13 @@ def extract_text(html: Column, longest: int = 50_000) -> Column:
         out = F.regexp_replace(out, p, by)
     out = T.decode_entities(T.strip_tags(out))
     out = F.regexp_replace(F.regexp_replace(out, r"[^\S\n]+", " "), r"\n\s*\n", "\n\n")
-    return F.left(T.trim_ws(F.regexp_replace(out, r"(?m)^\s+|\s+$", "")), F.lit(longest))
+    out = T.trim_ws(F.regexp_replace(out, r"(?m)^\s+|\s+$", ""))
+    return out if longest is None else F.left(out, F.lit(longest))
 
 
-def page_items(pages: DataFrame, min_words: int = 50) -> DataFrame:
+def page_items(pages: DataFrame, min_words: int = 50, longest: int | None = 50_000) -> DataFrame:
     """Scraped pages: title, text, counts, status. A bot wall or a text no longer than the page's own summary is low content."""
-    out = pages.withColumn("text_content", extract_text(F.col("html"))).withColumn("og", meta(F.col("html"), "property", "og:description"))
+    out = pages.withColumn("text_content", extract_text(F.col("html"), longest)).withColumn("og", meta(F.col("html"), "property", "og:description"))
     low = (T.word_count(F.col("text_content")) < min_words) | T.is_block_page(F.col("text_content")) | T.is_truncated(F.col("text_content"), F.col("og"))
     return out.select("page_id", "url", title(F.col("html")).alias("title"), T.word_count(F.col("text_content")).alias("word_count"), F.when(low, "low_content").otherwise("success").alias("status"), T.preview(F.col("text_content")).alias("text_preview"), "text_content")
 
@@ -63,8 +64,8 @@ def _placed(section: str, rank: int):
     return lambda x, i: F.struct(x["url"].alias("link"), x["link_text"], F.lit(section).alias("source_location"), (F.lit(rank * 100_000) + i).alias("rank"))
 
 
-def page_links(pages: DataFrame, most: int = 200, footer: bool = True, body: bool = False, same_domain: bool = True) -> DataFrame:
-    """Links by section, the first of each URL on a page; nav before header before footer before body."""
+def page_links(pages: DataFrame, most: int | None = 200, footer: bool = True, body: bool = False, same_domain: bool = True) -> DataFrame:
+    """Links by section, the first of each URL on a page; nav before header before footer before body. most: links of a page, None for all."""
     chosen = [s for s in SECTIONS if (s != "footer" or footer) and (s != "body" or body)]
     parts = []
     for rank, s in enumerate(SECTIONS):
@@ -73,16 +74,20 @@ def page_links(pages: DataFrame, most: int = 200, footer: bool = True, body: boo
     out = pages.select("page_id", F.col("url").alias("found_on"), F.explode_outer(F.concat(*parts)).alias("x")).select("page_id", "found_on", "x.*").where("link is not null")
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id", "link").orderBy("rank"))).where("_n = 1").where(F.col("source_location").isin(chosen))
     out = out.where(urls.domain(F.col("link")) == urls.domain(F.col("found_on"))) if same_domain else out
-    out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("rank"))).where(F.col("_n") <= most)
+    if most is not None:
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("rank"))).where(F.col("_n") <= most)
     return out.select("page_id", F.col("link").alias("url"), "link_text", "source_location")
 
 
-def deep_links(pool: DataFrame, patterns: list[str], max_pages: int = 30, per_page: int = 50) -> DataFrame:
-    """Links of the entity's first pages whose path has a pattern; no junk, none known, first occurrence of each."""
+def deep_links(pool: DataFrame, patterns: list[str], max_pages: int | None = 30, per_page: int | None = 50) -> DataFrame:
+    """Links of the entity's first pages whose path has a pattern; no junk, none known, first occurrence of each. max_pages, per_page: None for all."""
     path = F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1))
-    chosen = pool.where(T.has_any(path, patterns)).withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("page_id"))).where(F.col("_n") <= max_pages)
+    chosen = pool.where(T.has_any(path, patterns))
+    if max_pages is not None:
+        chosen = chosen.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("page_id"))).where(F.col("_n") <= max_pages)
     out = chosen.select("page_id", F.col("url").alias("found_on"), F.posexplode_outer(_links(F.col("html"), F.col("url"))).alias("pos", "x")).select("page_id", "found_on", "pos", "x.*").where("url is not null")
     out = out.where(~urls.is_junk(F.col("url"))).join(pool.select("url").distinct(), "url", "left_anti")
-    out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).where(F.col("_n") <= per_page)
+    if per_page is not None:
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).where(F.col("_n") <= per_page)
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy("page_id", "pos"))).where("_n = 1")
     return out.select("url", "found_on", "link_text")

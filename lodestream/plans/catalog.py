@@ -134,11 +134,11 @@ def queries() -> dict:
         "url_domain": lambda s, d: table(s, d, "pages").select("page_id", U.domain(F.col("url")).alias("domain")),
         "resolve_url": lambda s, d: table(s, d, "pages").select("page_id", U.resolve(F.col("url"), F.lit("/a?utm_source=x&page=2&Ref=1#f")).alias("rooted"), U.resolve(F.col("url"), F.lit("//cdn.org/x")).alias("schemeless"), U.strip_tracking(F.col("url")).alias("cleaned")),
         "exclude_known_urls": _known,
-        "page_links": lambda s, d: pages.page_links(table(s, d, "pages"), most=5, body=True),
-        "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["/en/"], max_pages=2, per_page=4),
+        "page_links": lambda s, d: pages.page_links(table(s, d, "pages"), most=None, body=True),
+        "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["/en/"], max_pages=None, per_page=None),
         "extract_title": lambda s, d: _dom(s, d).select("page_id", pages.title(F.col("html")).alias("title")),
         "extract_meta_description": lambda s, d: _dom(s, d).select("page_id", pages.meta(F.regexp_replace("html", "<meta charset=\"utf-8\">", '<meta name="description" content="A &amp; b">'), "name", "description").alias("meta_description")),
-        "extract_text": lambda s, d: pages.page_items(_dom(s, d)).select("page_id", "word_count", "status", "text_preview", "text_content"),
+        "extract_text": lambda s, d: pages.page_items(_dom(s, d), longest=None).select("page_id", "word_count", "status", "text_preview", "text_content"),
         "sitemap_parser": _sitemaps,
         "rss_feeds": _feeds,
         "seed_url_builder": _seeds,

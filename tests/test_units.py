@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
-from lodestream.operators import bundle, content, qa
+from lodestream.operators import bundle, content, pages, qa
+from lodestream.plans import catalog
 from lodestream.sources import discovery
 from lodestream.streaming import incremental
 
@@ -75,3 +76,21 @@ def test_streaming(spark, tmp_path):
         q.stop()
     assert spark.table("dedup").count() == 3
     assert {r.entity_name: r.loop_count for r in spark.table("loops").collect()} == {"e0": 3, "e1": 6}
+
+
+def test_caps(spark, tmp_path):
+    """The operators cut where they are told to; their queries take everything."""
+    links = lambda name, n: "".join(f'<a href="/{name}{i}">x</a>' for i in range(n))
+    html = f"<body><nav>{links('n', 3)}</nav><p>{'word ' * 12_000}</p>{links('b', 250)}</body>"
+    rows = [(i, f"https://a.org/en/{i}", html.replace('"/b', f'"/b{i}-').replace('"/n', f'"/n{i}-')) for i in range(35)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert pages.page_links(table, body=True).count() == 35 * 200
+    assert pages.page_links(table, most=2).count() == 35 * 2
+    pool = table.withColumn("entity_name", F.lit("a.org"))
+    assert pages.deep_links(pool, ["/en/"]).count() == 30 * 50
+    assert pages.deep_links(pool, ["/en/"], max_pages=2, per_page=4).count() == 8
+    table.write.parquet(str(tmp_path / "pages.parquet"))
+    run = lambda name: catalog.queries()[name](spark, str(tmp_path))
+    assert run("page_links").count() == run("deep_links").count() == 35 * 253
+    assert {r.word_count for r in run("extract_text").collect()} == {12_249}  # the paragraph's last word and the first link are joined
+    assert {r.n for r in pages.page_items(table).select(F.length("text_content").alias("n")).collect()} == {50_000}
