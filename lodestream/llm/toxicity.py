@@ -1,8 +1,8 @@
 """Toxicity by noisy-channel deobfuscation.
 
-Disguised words (leetspeak, letters spaced or dotted apart, letters repeated) become a lattice of characters: each symbol
-may stand for the letters it resembles or for nothing, a repeated letter may be dropped, a gap between single letters may
-be closed. Viterbi search under a character trigram model picks the reading; the restored text is then scored.
+Disguised words (leetspeak, letters spaced or dotted apart, letters repeated, and mixtures) become a lattice of characters:
+each symbol may stand for the letters it resembles or for nothing, a repeated letter may be dropped, a gap between single
+letters may be closed. A token without any letter is a number and stays as it is, and so is a run without any letter. Viterbi search under a character trigram model picks the reading; the restored text is then scored.
 
 The character model is counted over all documents: it is a table of ALPHABET ** 3 numbers, whatever the corpus. The scorer
 is a logistic regression on words and word openings, learned from a bounded sample of labelled rows that are not held out,
@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +48,11 @@ _TWO[0x97] = 0
 
 WORDS = re.compile(r"[^\W\d_]+")
 _L = r"[^\W\d_]"
-_RUN = rf"(?<![^\W_]){_L}(?:[ .*_-]{_L}){{2,}}(?![^\W_])"
-DISGUISED = re.compile(rf"{_L}[0-9@$!|+€*]+{_L}|^[0-9@$!|+€*]{{1,2}}{_L}{_L}|({_L})\1\1|{_RUN}|{_L}\$\$?$")
-RUN = re.compile(_RUN)
-RUN_ENDS = re.compile(rf"[ .*_-]{_L}[ .*_-]{_L}(?![^\W_])")
+SYMBOL = re.compile(r"[0-9@$!|+€*]")
+LETTER = re.compile(_L)
+DOUBLED = re.compile(rf"({_L})\1")
+RUN = re.compile(r"(?<![^\W_])[^\W_](?:(?:[\W_]+[^\W_])+|(?:\s+[@$!|+€*](?!\S)){2,})(?![^\W_])")  # single letters, digits or symbols; anything else between them
+MEMBER = re.compile(r"[^\W_]|(?<!\S)[@$!|+€*](?!\S)")
 EDGE = ".,;:?!*%&#\"'()[]{}<>-_"
 
 
@@ -98,24 +98,28 @@ class Restorer:
         self.seen: set[str] = set()
         self.hits: dict[str, list[str]] = {}  # of the tokens seen, those that have wanted features
         self.hit: set[str] = set()
+        self.runs: dict[str, str] = {}
 
-    def options(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each character what it may be read as, "" for nothing and " " for the end of a word, with costs."""
-        out = []
+    def options(self, token: str, pairs: bool = False) -> list[list[tuple[str, float]]]:
+        """For each character what it may be read as, "" for nothing and " " for the end of a word, with costs. In a run a symbol next to a letter may be a gap. pairs: keep letters that stand exactly twice."""
+        out, run = [], bool(RUN.fullmatch(token))
         for i, c in enumerate(token):
             if c in LEET:
-                out.append([("", DROP), *((x, SWAP) for x in LEET[c])])
+                inner = run and not c.isdigit() and not (token[i - 1 : i].isspace() and token[i + 1 : i + 2].isspace())
+                out.append([("", CLOSE if inner else DROP), *((x, SWAP) for x in LEET[c])])
+            elif not c.isalpha() and i and not token[i - 1].isalpha() and token[i - 1] not in LEET:
+                out.append([("", 0.0)])
             elif not c.isalpha():
                 out.append([("", CLOSE), (" ", 0.0)])
-            elif i and token[i - 1] == c:
+            elif i and token[i - 1] == c and not (pairs and token[i - 2 : i - 1] != c and token[i + 1 : i + 2] != c):
                 out.append([("", SINGLE), (c, 0.0)])
             else:
                 out.append([(c, 0.0)])
         return out
 
-    def viterbi(self, token: str) -> str:
+    def viterbi(self, token: str, pairs: bool = False) -> str:
         cost, states = self.cost, {(0, 0): (0.0, None)}
-        for options in [*self.options(token), [(" ", 0.0)]]:
+        for options in [*self.options(token, pairs), [(" ", 0.0)]]:
             to: dict = {}
             coded = [(c, 0 if c == " " else min(int(_CODES[min(ord(c), 0x24F)]), 60) if c else -1, p) for c, p in options]
             for (a, b), (total, back) in states.items():
@@ -135,31 +139,37 @@ class Restorer:
         return "".join(reversed(out)).strip()
 
     def read(self, token: str) -> str:
-        """The most likely reading of a disguised token."""
-        return self.viterbi(re.sub(r"([^\w\s])\1\1+$", "", token).strip(EDGE))
+        """The most likely reading of a disguised token; if letters stand twice, as in many words, then the one that keeps them too."""
+        token = re.sub(r"([^\w\s])\1\1+$", "", token).strip(EDGE)
+        best = self.viterbi(token)
+        if DOUBLED.search(token) and (kept := self.viterbi(token, pairs=True)) != best:
+            return f"{kept} {best}"
+        return best
+
+    def disguised(self, token: str) -> bool:
+        token = token.strip(EDGE)
+        return bool(SYMBOL.search(token) and LETTER.search(token) or DOUBLED.search(token))
 
     def split(self, text: str) -> tuple[list[str], list[str]]:
-        """The tokens of a text in lower case, and readings of those that make runs of single letters, spaces among them."""
-        text, readings = text.lower(), []
-        if RUN_ENDS.search(text):
-            rest, done = [], 0
-            for m in RUN.finditer(text):
-                if " " in m[0] and m.start() >= done:
-                    lo, hi = m.span()
-                    while lo > done and not text[lo - 1].isspace():
-                        lo -= 1
-                    while hi < len(text) and not text[hi].isspace():
-                        hi += 1
-                    rest.append(text[done:lo])
-                    readings.append(self.read(text[lo:hi]))
-                    done = hi
-            text = " ".join([*rest, text[done:]])
-        return text.split(), readings
+        """The tokens of a text in lower case, and readings of its runs of single letters."""
+        text = text.lower()
+        rest, readings, done = [], [], 0
+        for m in RUN.finditer(text):
+            run = m[0]
+            if LETTER.search(run) and len(MEMBER.findall(run)) > 2:
+                if len(self.runs) > CACHE:
+                    self.runs.clear()
+                if run not in self.runs:
+                    self.runs[run] = self.read(run)
+                rest.append(text[done : m.start()])
+                readings.append(self.runs[run])
+                done = m.end()
+        return (" ".join([*rest, text[done:]]) if readings else text).split(), readings
 
     def restore(self, text: str) -> str:
         """A text without its disguises: its tokens in lower case, then what runs of letters say."""
         tokens, readings = self.split(text)
-        return " ".join([*(self.read(t) if DISGUISED.search(t) else t for t in tokens), *readings])
+        return " ".join([*(self.read(t) if self.disguised(t) else t for t in tokens), *readings])
 
     def _kept(self, reading: str) -> list[str]:
         if self.wanted is None:
@@ -179,7 +189,7 @@ class Restorer:
                 x.clear()
         new = tokens - seen
         for t in new:
-            if kept := self._kept(self.read(t) if DISGUISED.search(t) else t):
+            if kept := self._kept(self.read(t) if self.disguised(t) else t):
                 hits[t] = kept
                 self.hit.add(t)
         seen |= new
@@ -191,20 +201,6 @@ class Restorer:
         return out
 
 
-def features(self, text: str) -> set[str]:
-        """The wanted features of a restored text."""
-        tokens, readings = self.split(text)
-        tokens, seen = set(tokens), self.seen
-        if len(seen) > CACHE:
-            seen.clear()
-        for t in tokens.difference(seen):
-            seen[t] = self._kept(self.read(t) if DISGUISED.search(t) else t)
-        out = set(chain.from_iterable(map(seen.__getitem__, tokens)))
-        for r in readings:
-            out.update(self._kept(r))
-        return out
-
-
 def features(text: str) -> set[str]:
     """The distinct words of a restored text, and their openings marked by a tilde."""
     words = set(WORDS.findall(text))

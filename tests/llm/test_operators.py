@@ -240,3 +240,15 @@ def test_toxicity(spark, odd, none):
     restore = toxicity.Restorer(logp.value).restore
     assert restore("s t u p i d") == "stupid" and restore("THE!! 108.51.216.133") == "the!! 108.51.216.133"
     assert re.fullmatch("l+o+s+e+r", restore("looooser"))
+
+
+def test_disguises(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) < 3000")
+    restorer = toxicity.Restorer(toxicity.char_model(docs))
+    for shown in ("5tupid", "stuupid", '"5tupid', "-5tupid", "stup1d", "s/t/u/p/i/d", "s,t,u,p,i,d", "s|t|u|p|i|d", "s  t  u  p  i  d", "s\nt\nu\np\ni\nd", "s t u p 1 d", "5tuup1d", "s. t. u. p. 1. d."):
+        assert "stupid" in restorer.restore(f"You are {shown} today").split(), shown
+        assert "stupid" in restorer.features(f"You are {shown} today"), shown
+    for shown, word in (("1053r", "loser"), ("1 d 1 o t", "idiot"), ("ki11", "kill"), ("hat3", "hate"), ("d13", "die"), ("fool5", "fools"), ("pass", "pass")):
+        assert word in restorer.restore(f"You {shown} now").split(), shown
+    for same in ("in 1999 and 2001", "1 2 3 4", "! ! !"):
+        assert restorer.restore(same) == same
