@@ -21,7 +21,8 @@ from lodestream.llm.common import blocks, table
 # HTML's element classes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe"}
-HIDDEN = {"head", "script", "style", "template", "noscript", "title", "datalist", "select", "noembed", "noframes", "iframe", "object", "audio", "video", "canvas", "svg", "math"}
+HIDDEN = {"head", "script", "style", "template", "noscript", "title", "datalist", "noembed", "noframes", "iframe", "object", "audio", "video", "canvas", "desc", "defs", "metadata", "annotation", "annotation-xml"}
+FOREIGN = {"svg", "math"}
 SPACED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "dl", "table", "figure", "fieldset", "hr"}
 BLOCK = SPACED | {"html", "body", "address", "article", "aside", "center", "dd", "details", "dialog", "dir", "div", "dt", "figcaption", "footer", "form", "header", "hgroup", "legend", "li", "main", "menu", "nav", "search", "section", "summary", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"}
 LISTS = {"ul", "ol", "menu", "dir"}
@@ -64,7 +65,7 @@ def parse(source: str) -> Node:
         if not tag or tag == "html":
             continue
         if m[1]:
-            if tag in BLOCK or tag in HIDDEN:
+            if tag in BLOCK or tag in HIDDEN or tag in FOREIGN or tag == "select":
                 close({tag}, {"table"} if tag not in ("table", "body") and tag != "div" else set())
             else:
                 close({tag}, BLOCK)
@@ -86,11 +87,30 @@ def parse(source: str) -> Node:
             body = source[done : end.start() if end else len(source)]
             node.children.append(html.unescape(body) if tag == "textarea" else body)
             done = end.end() if end else len(source)
-        elif tag not in VOID:
+        elif tag not in VOID and not (m[3].endswith("/") and any(n.tag in FOREIGN for n in stack)):
             stack.append(node)
     return root
 
 
+def choose(select: Node) -> None:
+    """Hide the options that a closed list does not show; an open list shows each on a line."""
+    options, todo = [], [select]
+    while todo:
+        node = todo.pop()
+        if node.tag == "option":
+            options.append(node)
+        else:
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    if "multiple" in select.attrs or re.fullmatch(r"0*([2-9]|[1-9]\d+)", select.attrs.get("size", "")):
+        for o in options:
+            o.tag = "div"
+        return
+    chosen = [o for o in options if "selected" in o.attrs][-1:] or [o for o in options if "disabled" not in o.attrs][:1]
+    for o in options:
+        if o not in chosen:
+            o.attrs["hidden"] = ""
+
+
 class Out:
     """Lines with collapsed white space; gaps between blocks are held back until text follows."""
 
@@ -172,6 +192,8 @@ def render(source: str) -> str:
                 out.text(node)
             continue
         tag = node.tag
+        if tag == "select" and step == "in":
+            choose(node)
         gap = 2 if tag in SPACED and not (tag in LISTS and len(lists) > (step == "out")) else 1 if tag in BLOCK or tag in LISTS else 0
         if step == "in":
             there, shown = visible(node, shown)

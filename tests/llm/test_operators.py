@@ -252,3 +252,12 @@ def test_disguises(spark):
         assert word in restorer.restore(f"You {shown} now").split(), shown
     for same in ("in 1999 and 2001", "1 2 3 4", "! ! !"):
         assert restorer.restore(same) == same
+
+
+def test_html_formulas_pictures_and_choices():
+    render = html_text.render
+    assert render("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == "so x=2 holds"
+    assert render("<p>a <svg><title>t</title><desc>d</desc><defs/><path d='M0'/><text>label</text></svg> b") == "a label b"
+    assert render("<p>size <select><option>S<option selected>M<option>L</select> only") == "size M only"
+    assert render("<select><option>S</option><option>M</option></select>") == "S"
+    assert render("<select multiple><option>S<option>M</select>") == "S\nM"
