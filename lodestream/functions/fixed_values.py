@@ -137,10 +137,52 @@ GENERAL_KNOWLEDGE_PATTERNS = r"""
 \bas\s+(?:one\s+of\s+)?the\s+(?:largest|biggest|most)\b
 """
 
-#: What sentence splitting strips, in order: pattern and replacement.
-MARKDOWN_MARKS = [(r"(?m)^#+\s+.*$", ""), (r"(?m)^---+$", ""), (r"(?m)^>\s+", ""), (r"\*\*([^*]+)\*\*", "$1"), (r"\*([^*]+)\*", "$1"), (r"`[^`]+`", ""), (r"```[\s\S]*?```", ""), (r"\[([^\]]+)\]\([^)]+\)", "$1"), (r"(?m)^-\s+", ""), (r"(?m)^\d+\.\s+", "")]
+#: Stems of those patterns that match without a digit.
+CLAIM_STEMS = "headquartered based licens regulated acquired merged partnership sponsor".split()
+
+#: What sentence splitting strips, in order: a mark without which the pattern can't match, pattern and replacement.
+MARKDOWN_MARKS = [
+    ("#", r"(?m)^#+\s+.*$", ""),
+    ("---", r"(?m)^---+$", ""),
+    (">", r"(?m)^>\s+", ""),
+    ("**", r"\*\*([^*]+)\*\*", "$1"),
+    ("*", r"\*([^*]+)\*", "$1"),
+    ("`", r"`[^`]+`", ""),
+    ("```", r"```[\s\S]*?```", ""),
+    ("](", r"\[([^\]]+)\]\([^)]+\)", "$1"),
+    ("-", r"(?m)^-\s+", ""),
+    (".", r"(?m)^\d+\.\s+", ""),
+]
 ABBREVIATIONS = [("Dr.", "Dr"), ("Mr.", "Mr"), ("Ms.", "Ms"), ("Inc.", "Inc"), ("Ltd.", "Ltd"), ("Co.", "Co"), ("vs.", "vs"), ("e.g.", "eg"), ("i.e.", "ie"), ("etc.", "etc"), ("No.", "No")]
 
 
+#: Signs of a bot check in a page that a browser got.
+CHALLENGE_MARKERS = """
+cf-browser-verification
+Checking your browser
+Just a moment...
+cf-challenge-running
+Attention Required! | Cloudflare
+_cf_chl_opt
+"""
+
+#: Logo rules: where to look, pattern, points.
+LOGO_SIGNS = [("any", "logo", 10), ("any", "brand", 5), ("src", r"\.svg", 5), ("src", "dark|black|primary|colored", 5), ("src", "horizontal|wide|full", 3), ("src", "white|light|reversed|inverted", -5), ("src", r"favicon\.ico$", -5)]
+
+#: Main regions of common content systems, in the order in which they are tried.
+REGIONS = [
+    r'(?is)<div[^>]+class="[^"]*\bentry-content\b[^"]*"[^>]*>(.*?)</div>',
+    r'(?is)<div[^>]+class="[^"]*\bpost-content\b[^"]*"[^>]*>(.*?)</div>',
+    r'(?is)<div[^>]+class="[^"]*\bpage-content\b[^"]*"[^>]*>(.*?)</div>',
+    r'(?is)<div[^>]+class="[^"]*\belementor-widget-text-editor\b[^"]*"[^>]*>(.*?)</div>\s*</div>',
+    r'(?is)<div[^>]+class="[^"]*\belementor-widget-theme-post-content\b[^"]*"[^>]*>(.*?)</div>\s*</div>',
+    r'(?is)<div[^>]+data-widget_type="text-editor[^"]*"[^>]*>(.*?)</div>\s*</div>',
+    r"""(?is)<[^>]+role=["']main["'][^>]*>(.*?)</[a-z]+>""",
+    r'(?is)<div[^>]+class="[^"]*\bcontent-area\b[^"]*"[^>]*>(.*?)</div>',
+    r'(?is)<div[^>]+class="[^"]*\bsite-content\b[^"]*"[^>]*>(.*?)</div>',
+    r"""(?is)<div[^>]+id=["']content["'][^>]*>(.*?)</div>""",
+]
+
+
 def lines(text: str) -> list[str]:
     return [x for x in text.split("\n") if x]

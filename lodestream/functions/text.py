@@ -76,13 +76,19 @@ def split_blocks(text: Column, separator: str = r"\n\s*\n") -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), separator), trim_ws), lambda b: b != "")
 
 
+def collapse_ws(text: Column) -> Column:
+    """Runs of white space as one blank; the regular expression runs only where there is a run."""
+    blank = F.translate(text, SPACES, " " * len(SPACES))
+    return let(blank, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " +", " ")).otherwise(t))
+
+
 def normalize_block(block: Column) -> Column:
-    return trim_ws(F.regexp_replace(F.lower(block), f"{WS}+", " "))
+    return trim_ws(collapse_ws(F.lower(block)))
 
 
 def is_known_boilerplate(block: Column, longest: int = 300) -> Column:
-    """block is normalised. One alternation, so that the block is worked out once."""
-    return (F.length(block) <= longest) & block.rlike("|".join(re.escape(x) for x in fixed.lines(fixed.BOILERPLATE_PHRASES)))
+    """block is normalised and, in a lambda, worked out once."""
+    return (F.length(block) <= longest) & has_any(block, fixed.lines(fixed.BOILERPLATE_PHRASES))
 
 
 def strip_tags(html: Column) -> Column:
@@ -139,25 +145,78 @@ def escape_regex(text: Column) -> Column:
 
 
 def count_occurrences(text: Column, keyword: Column) -> Column:
-    return F.when(keyword == "", 0).otherwise(F.regexp_count(text, F.concat(F.lit(f"(?i){ASCII_B}"), escape_regex(keyword), F.lit(ASCII_B))))
+    return F.when((keyword == "") | ~F.contains(F.lower(text), F.lower(keyword)), 0).otherwise(F.regexp_count(text, F.concat(F.lit(f"(?i){ASCII_B}"), escape_regex(keyword), F.lit(ASCII_B))))
+
+
+def _where(text: Column, mark: str, pattern: str, by: str) -> Column:
+    """A replacement that is only tried on texts that hold the mark."""
+    return let(text, lambda t: F.when(F.contains(t, F.lit(mark)), F.regexp_replace(t, pattern, by)).otherwise(t))
 
 
 def split_sentences(text: Column, shortest: int = 10) -> Column:
     """Sentences of more than `shortest` characters, free of Markdown marks."""
-    for pattern, by in fixed.MARKDOWN_MARKS:
-        text = F.regexp_replace(text, pattern, by)
+    for mark, pattern, by in fixed.MARKDOWN_MARKS:
+        text = _where(text, mark, pattern, by)
+    same = "|".join(re.escape(long[:-1]) for long, short in fixed.ABBREVIATIONS if long == short + ".")
+    text = _where(text, ".", rf"(?<!{_W})({same})\.", "$1\x01")
     for long, short in fixed.ABBREVIATIONS:
-        text = F.regexp_replace(text, f"(?<!{_W})" + re.escape(long), short + "\x01")
+        if long != short + ".":
+            text = _where(text, long, f"(?<!{_W})" + re.escape(long), short + "\x01")
     parts = F.transform(F.split(text, rf"(?<=[.!?]){WS}+"), lambda s: trim_ws(F.replace(s, F.lit("\x01"), F.lit("."))))
     return F.filter(parts, lambda s: F.length(s) > shortest)
 
 
 def is_claim(sentence: Column) -> Column:
-    """A factual claim that is not general knowledge."""
+    """A factual claim that is not general knowledge. No pattern matches without a digit or one of the stems that are looked for first."""
     both = fixed.CLAIM_PATTERNS.strip("\n").split("\n\n")
     free, cased = ("|".join(fixed.lines(x)) for x in both)
     general = "|".join(fixed.lines(fixed.GENERAL_KNOWLEDGE_PATTERNS))
-    return (sentence.rlike("(?i)" + ascii_words(free)) | sentence.rlike(ascii_words(cased))) & ~sentence.rlike("(?i)" + ascii_words(general))
+    may = sentence.rlike("[0-9]") | has_any(F.lower(sentence), fixed.CLAIM_STEMS)
+    return may & (sentence.rlike("(?i)" + ascii_words(free)) | sentence.rlike(ascii_words(cased))) & ~sentence.rlike("(?i)" + ascii_words(general))
+
+
+def front_matter(markdown: Column) -> Column:
+    """What stands between the first line and the next line of ---, null if there is none."""
+    return F.nullif(F.regexp_extract(markdown, r"^---\s*\n([\s\S]*?)\n---", 1), F.lit(""))
+
+
+def front_field(front: Column, name: str) -> Column:
+    return F.nullif(trim_ws(F.regexp_extract(front, rf"""(?m)^(?:meta_{name}|{name})\s*:\s*["']?(.*?)["']?\s*$""", 1)), F.lit(""))
+
+
+def first_h1(markdown: Column) -> Column:
+    return F.nullif(trim_ws(F.regexp_extract(markdown, r"(?m)^#\s+(.+)$", 1)), F.lit(""))
+
+
+def first_paragraph(markdown: Column) -> Column:
+    """The lines of the first paragraph that is no heading or rule, joined by blanks."""
+    lines = F.transform(F.split(F.regexp_replace(markdown, r"^---\s*\n[\s\S]*?\n---\s*\n?", ""), "\n"), trim_ws)
+    text = F.filter(lines, lambda x: ~x.startswith("#") & ~x.startswith("---") & ~x.startswith("==="))
+    return let(text, lambda ls: let(F.filter(F.sequence(F.lit(0), F.size(ls)), lambda i: (i < F.size(ls)) & (F.get(ls, i) != "")), lambda at: F.nullif(F.array_join(_run(ls, F.get(at, F.lit(0))), " "), F.lit(""))))
+
+
+def _run(lines: Column, first: Column) -> Column:
+    """The lines from `first` to before the next empty one."""
+    rest = F.slice(lines, first + 1, F.size(lines))
+    end = F.array_position(rest, F.lit(""))
+    return F.when(first.isNull(), F.array().cast("array<string>")).when(end > 0, F.slice(rest, F.lit(1), (end - 1).cast("int"))).otherwise(rest)
+
+
+def markdown_sections(markdown: Column) -> Column:
+    """h1, h2, h3, first_paragraphs (the first line after each heading), body, title, description, word_count. Citations don't count."""
+    front = front_matter(markdown)
+    rest = F.regexp_replace(trim_ws(F.regexp_replace(markdown, r"^---\s*\n[\s\S]*?\n---", "")), r"\[#?\d+\]", "")
+    level = lambda x: F.length(F.regexp_extract(x, r"^(#+)\s+.", 1))
+    lines = F.transform(F.split(rest, "\n"), lambda x: F.struct(trim_ws(x).alias("t"), level(trim_ws(x)).alias("n")))
+    lines = F.filter(lines, lambda x: (x["t"] != "") & (~x["t"].startswith("#") | x["n"].between(1, 3)))
+
+    def parts(ls: Column) -> Column:
+        heads = lambda n: F.transform(F.filter(ls, lambda x: x["n"] == n), lambda x: trim_ws(F.regexp_replace(x["t"], r"^#+\s+", "")))
+        firsts = F.filter(ls, lambda x, i: (x["n"] == 0) & (F.get(ls, i - 1)["n"] > 0))
+        body = F.array_join(F.filter(ls, lambda x: x["n"] == 0)["t"], " ")
+        return F.struct(heads(1).alias("h1"), heads(2).alias("h2"), heads(3).alias("h3"), firsts["t"].alias("first_paragraphs"), body.alias("body"), front_field(front, "title").alias("title"), front_field(front, "description").alias("description"), word_count(body).alias("word_count"))
+
+    return let(lines, parts)
 
 
 def refs(markdown: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
 from lodestream.functions import urls
 
@@ -14,7 +15,9 @@ SECTIONS = ("nav", "header", "footer", "body")
 
 
 def _first(html: Column, *patterns: str) -> Column:
-    return F.coalesce(*(F.when(html.rlike(p), F.regexp_extract(html, p, 1)) for p in patterns))
+    """What the first pattern that matches holds; each is tried once."""
+    one = lambda p: T.let(F.regexp_extract(html, p, 0), lambda m: F.when(m != "", F.regexp_extract(m, p, 1)))
+    return F.coalesce(*map(one, patterns))
 
 
 def title(html: Column) -> Column:
@@ -28,13 +31,12 @@ def meta(html: Column, attribute: str, name: str) -> Column:
     return T.decode_entities(T.trim_ws(_first(html, rf"""(?i)<meta[^>]+{a}[^>]+content=["']([^"']+)["']""", rf"""(?i)<meta[^>]+content=["']([^"']+)["'][^>]+{a}""")))
 
 
-_CMS = [*(rf'(?is)<div[^>]+class="[^"]*\b{c}\b[^"]*"[^>]*>(.*?)</div>{tail}' for c, tail in (("entry-content", ""), ("post-content", ""), ("page-content", ""), ("elementor-widget-text-editor", r"\s*</div>"), ("elementor-widget-theme-post-content", r"\s*</div>"))), r'(?is)<div[^>]+data-widget_type="text-editor[^"]*"[^>]*>(.*?)</div>\s*</div>', r"""(?is)<[^>]+role=["']main["'][^>]*>(.*?)</[a-z]+>""", *(rf'(?is)<div[^>]+class="[^"]*\b{c}\b[^"]*"[^>]*>(.*?)</div>' for c in ("content-area", "site-content")), r"""(?is)<div[^>]+id=["']content["'][^>]*>(.*?)</div>"""]
 _BLOCKS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
 
 
 def extract_text(html: Column, longest: int | None = 50_000) -> Column:
     """The main region without chrome, paragraphs apart; longest: characters kept, None for all. Blank lines between them are then deleted, as the page scraper does."""
-    cms = [F.when(F.length(_first(html, p)) > 100, _first(html, p)) for p in _CMS]
+    cms = [T.let(_first(html, p), lambda m: F.when(F.length(m) > 100, m)) for p in fixed.REGIONS]
     out = F.coalesce(_first(html, "(?is)<main[^>]*>(.*?)</main>"), _first(html, "(?is)<article[^>]*>(.*?)</article>"), *cms, _first(html, "(?is)<body[^>]*>(.*?)</body>"), html)
     for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript"):
         out = F.regexp_replace(out, rf"(?is)<{tag}[^>]*>.*?</{tag}>", "")

@@ -24,35 +24,80 @@ def broken_citations(articles: DataFrame) -> DataFrame:
     return articles.select("entity_name", F.explode(F.array_except(T.refs(F.col("markdown")), F.col("sources"))).alias("ref"))
 
 
+PLAN = (
+    "meta struct<title string, description string>, faqs array<struct<question string, answer string, q string, a string>>, keywords array<string>, head_terms array<string>, negatives array<string>, "
+    "target_keywords struct<primary string, secondary array<string>, long_tail array<string>>, "
+    "keywords_used struct<head_terms array<string>, mid_tail array<string>, entities array<string>, negatives array<string>>, "
+    "keyword_distribution struct<overview struct<headline_keywords array<string>, body_keywords array<string>>, categories array<struct<heading_keywords array<string>, body_keywords array<string>>>>"
+)
+
+
+def _terms(*lists) -> F.Column:
+    """Distinct terms of the lists in order, trimmed and lower; null lists and empty terms are left out."""
+    some = F.flatten(F.filter(F.array(*lists), lambda x: x.isNotNull()))
+    return F.array_distinct(F.filter(F.transform(some, lambda k: F.lower(T.trim_ws(k))), lambda k: k.isNotNull() & (k != "")))
+
+
+def plan_keywords(plan) -> F.Column:
+    """head, mid, entities and negatives of an SEO plan (a struct of PLAN), whatever its shape."""
+    used, target, spread = plan["keywords_used"], plan["target_keywords"], plan["keyword_distribution"]
+    of_categories = F.flatten(F.transform(spread["categories"], lambda c: F.concat(F.coalesce(c["heading_keywords"], F.array().cast("array<string>")), F.coalesce(c["body_keywords"], F.array().cast("array<string>")))))
+    head = _terms(used["head_terms"], F.array(target["primary"]), spread["overview"]["headline_keywords"], plan["head_terms"])
+    mid = _terms(used["mid_tail"], target["secondary"], target["long_tail"], spread["overview"]["body_keywords"], of_categories)
+    return F.struct(head.alias("head"), mid.alias("mid"), _terms(used["entities"]).alias("entities"), _terms(used["negatives"], plan["negatives"]).alias("negatives"))
+
+
 def keyword_sufficiency(articles: DataFrame, low: float = 0.01, high: float = 0.03, threshold: float = 0.6) -> DataFrame:
-    """articles: (id, headings, body, word_count, head, mid, entities, negatives: arrays). Weights 0.4, 0.25, 0.15 and 0.2 over the tiers that are there."""
-    text = F.lower(F.concat_ws("\n", "headings", "body"))
-    has = lambda where: lambda k: F.contains(where, F.lower(k))
+    """articles: (id, markdown, plan JSON). Head terms by place (H1, H2, first paragraphs, title) and density, mid-tail by H2, H3 and body, entities by body, negatives anywhere. Weights 0.4, 0.25, 0.15 and 0.2 over the tiers that are there."""
+    out = articles.select("id", T.markdown_sections(F.col("markdown")).alias("s"), plan_keywords(F.from_json("plan", PLAN)).alias("k"))
+    join = lambda by, *parts: F.lower(F.concat_ws(by, *parts))
+    out = out.select("id", "k.*", F.col("s.body").alias("text"), F.col("s.word_count").alias("words"), F.lower("s.body").alias("body"), join("\n", "s.h1", "s.h2", "s.first_paragraphs", "s.title").alias("prominent"), join("\n", "s.h2", "s.h3", "s.body").alias("below"), join(" ", "s.h1", "s.h2", "s.h3", "s.body", "s.title", "s.description").alias("whole"))
+    has = lambda where: lambda k: F.contains(where, k)
 
     def head_score(k):
-        place = F.when(F.contains(F.lower("headings"), F.lower(k)), 1.0).when(F.contains(F.lower("body"), F.lower(k)), 0.5).otherwise(0.0)
-        density = T.count_occurrences(text, F.lower(k)) / F.greatest(F.col("word_count"), F.lit(1))
-        return place * 0.6 + F.when(density == 0, 0.0).when(density < low, 0.5).when(density <= high, 1.0).otherwise(0.3) * 0.4
+        place = F.when(F.contains("prominent", k), 1.0).when(F.contains("body", k), 0.5).otherwise(0.0)
+        density = T.count_occurrences(F.col("text"), k) / F.col("words")
+        return place * 0.6 + T.let(density, lambda d: F.when((F.col("words") == 0) | (d == 0), 0.0).when(d < low, 0.5).when(d <= high, 1.0).otherwise(0.3)) * 0.4
 
     mean = lambda scores: F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores)
-    share = lambda c: F.size(F.filter(c, has(text))) / F.size(c)
-    found, need = F.size(F.filter("mid", has(text))), F.least(F.lit(2), F.size("mid"))
+    found, need = F.size(F.filter("mid", has("below"))), F.least(F.lit(2), F.size("mid"))
     mid = F.when(found >= need, found / F.size("mid")).otherwise(found / need * 0.5)
-    tiers = [("head", 0.4, mean(F.transform("head", head_score))), ("mid", 0.25, mid), ("entities", 0.15, share("entities")), ("negatives", 0.2, F.when(F.exists("negatives", has(text)), 0.0).otherwise(1.0))]
+    share = F.size(F.filter("entities", has("body"))) / F.size("entities")
+    tiers = [("head", 0.4, mean(F.transform("head", head_score))), ("mid", 0.25, mid), ("entities", 0.15, share), ("negatives", 0.2, F.when(F.exists("negatives", has("whole")), 0.0).otherwise(1.0))]
     weight = sum((F.when(F.size(c) > 0, w).otherwise(0.0) for c, w, _ in tiers), F.lit(0.0))
     total = sum((F.when(F.size(c) > 0, s * w).otherwise(0.0) for c, w, s in tiers), F.lit(0.0))
     score = F.when(weight == 0, 1.0).otherwise(T.js_round(total / weight, 2)).cast("double")
-    wanted = F.concat("head", "mid", "entities")
-    return articles.select("id", (score >= threshold).alias("qa_pass"), score.alias("keyword_score"), F.size(F.filter(wanted, lambda k: ~has(text)(k))).alias("n_missing"), F.size(F.filter("negatives", has(text))).alias("n_negatives"))
+    missing = F.size(F.filter("head", lambda k: ~F.contains("prominent", k) & ~F.contains("body", k))) + F.size(F.filter("mid", lambda k: ~F.contains("below", k))) + F.size(F.filter("entities", lambda k: ~F.contains("body", k)))
+    return out.select("id", score.alias("keyword_score"), missing.alias("n_missing"), F.size(F.filter("negatives", has("whole"))).alias("n_negatives")).select("id", (F.col("keyword_score") >= threshold).alias("qa_pass"), "keyword_score", "n_missing", "n_negatives")
+
+
+def resolve_meta(pool: DataFrame) -> DataFrame:
+    """(entity_name, title, description, head_terms). Of an entity's rows in pool order: fields of their own, front matter, the first H1 or paragraph, the SEO plan. pool: (entity_name, pool_pos, meta_title, meta_description, content_markdown, seo_plan JSON)."""
+    plan, md = F.from_json("seo_plan", PLAN), F.col("content_markdown")
+    front = T.front_matter(md)
+    levels = {
+        "title": [F.col("meta_title"), T.front_field(front, "title"), T.first_h1(md), F.col("p.meta.title")],
+        "description": [F.col("meta_description"), T.front_field(front, "description"), T.first_paragraph(md), F.col("p.meta.description")],
+    }
+    rows = pool.withColumn("p", plan)
+    terms = _terms(F.col("p.head_terms"), F.array("p.target_keywords.primary"), F.col("p.target_keywords.secondary"), F.col("p.keywords"))
+    rows = rows.select("entity_name", "pool_pos", F.when(F.size(terms) > 0, terms).alias("terms"), *(F.nullif(c, F.lit("")).alias(f"{name}{i}") for name, cs in levels.items() for i, c in enumerate(cs)))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("pool_pos")))
+    return rows.groupBy("entity_name").agg(*(F.coalesce(*(first(f"{name}{i}") for i in range(4))).alias(name) for name in levels), F.coalesce(first("terms"), F.array().cast("array<string>")).alias("head_terms"))
 
 
 def meta_compliance(items: DataFrame, title_max: int = 60, title_min: int = 30, desc_min: int = 150, desc_max: int = 160, threshold: float = 1.0) -> DataFrame:
-    """items: (entity_name, title, description, keyword). Seven checks; titles must differ from other entities'."""
-    same = lambda c: F.size(F.array_remove(F.collect_set("entity_name").over(Window.partitionBy(F.lower(c))), F.col("entity_name"))) == 0
-    has = lambda c: F.contains(F.lower(c), F.lower("keyword"))
-    checks = [F.length("title") <= title_max, F.length("title") >= title_min, F.length("description").between(desc_min, desc_max), has("title"), has("description"), ~(F.col("title").endswith("...") | F.col("description").endswith("...")), same("title") & same("description")]
-    passed = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0))
-    return items.select("entity_name", passed.alias("checks_passed"), F.lit(len(checks)).alias("checks_total"), (passed / len(checks) >= threshold).alias("qa_pass"))
+    """items: (entity_name, title, description, head_terms). Seven checks; titles and descriptions must differ from other entities'. Without either text nothing is checked."""
+    out = items.withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "description")})
+    for c in ("title", "description"):  # by the least and greatest name, not by all names of a text
+        many = out.where(F.col(c) != "").groupBy(F.lower(c).alias(f"_{c}")).agg(F.min("entity_name").alias("_lo"), F.max("entity_name").alias("_hi")).where("_lo != _hi").select(f"_{c}", F.lit(True).alias(f"{c}_again"))
+        out = out.withColumn(f"_{c}", F.lower(c)).join(many, f"_{c}", "left")
+    has = lambda c: F.exists("head_terms", lambda k: F.contains(F.lower(c), k))
+    cut = lambda c: F.col(c).endswith("...") | F.col(c).endswith("\u2026")
+    checks = [F.length("title") <= title_max, F.length("title") >= title_min, F.length("description").between(desc_min, desc_max), has("title"), has("description"), ~(cut("title") | cut("description")), F.col("title_again").isNull() & F.col("description_again").isNull()]
+    there = (F.col("title") != "") | (F.col("description") != "")
+    passed = F.when(there, sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0))).otherwise(0)
+    return out.select("entity_name", passed.alias("checks_passed"), F.when(there, len(checks)).otherwise(0).alias("checks_total"), (there & (passed / len(checks) >= threshold)).alias("qa_pass"))
 
 
 def hallucination_score(verdicts: DataFrame, threshold: float = 0.9) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestream.functions import fixed_values as fixed
+from lodestream.functions import text as T
 from lodestream.functions import urls
 
 
@@ -37,12 +39,15 @@ def filter_patterns(items: DataFrame, exclude: list[str], include: list[str] = (
 
 
 def liveness(items: DataFrame, head: DataFrame, browser: DataFrame) -> DataFrame:
-    """HEAD 200-399 lives; 403, 429 and 503 get a second look by browser. Each response: (url, http_status, body)."""
-    h, b = head.select("url", F.col("http_status").alias("h")), browser.select("url", F.col("http_status").alias("b"), F.length("body").alias("size"))
+    """HEAD 200-399 lives; 403, 429 and 503 get a second look by browser, where a bot check is dead whatever its status. Each response: (url, http_status, body); a browser row without status is a failed fetch, a URL without browser row was not looked at and is kept."""
+    h = head.select("url", F.col("http_status").alias("h"))
+    b = browser.select("url", F.lit(True).alias("looked"), F.col("http_status").alias("b"), F.coalesce(F.length("body"), F.lit(0)).alias("size"), T.has_any(F.coalesce("body", F.lit("")), fixed.lines(fixed.CHALLENGE_MARKERS)).alias("challenge"))
     out = items.join(h, "url", "left").join(b, "url", "left")
+    status = F.coalesce(F.col("b").cast("string"), F.lit("failed"))
     reason = (
         F.when(F.col("h").between(200, 399), F.lit(None)).when(~F.coalesce(F.col("h").isin(403, 429, 503), F.lit(False)), F.concat(F.lit("head "), F.coalesce(F.col("h").cast("string"), F.lit("failed"))))
-        .when(F.col("b").isNull(), F.lit(None)).when(F.col("b").between(200, 399) | (F.col("size") > 1000), F.lit(None)).otherwise(F.concat(F.lit("browser "), F.col("b").cast("string")))
+        .when(F.col("looked").isNull(), F.lit(None)).when(F.col("challenge"), F.concat(F.lit("browser "), status, F.lit(", challenge")))
+        .when(F.col("b").between(200, 399) | (F.col("b").isNotNull() & (F.col("size") > 1000)), F.lit(None)).otherwise(F.concat(F.lit("browser "), status))
     )
     return out.select("url", F.when(reason.isNull(), "kept").otherwise("dead_link").alias("status"), reason.alias("reason"))
 

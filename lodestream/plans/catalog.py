@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
-from lodestream.operators import bundle, content, pages, qa, urls
+from lodestream.operators import bundle, content, generation, pages, qa, reports, urls
 from lodestream.plans import inputs, oracles
 from lodestream.plans.inputs import articles, documents, page_items, table, url_variants
 from lodestream.sources import discovery
@@ -18,26 +18,112 @@ SEP = "\n"  # the test documents have no blank lines
 
 def _heads(s, d):
     p = page_items(s, d)
-    return p.select("url", F.element_at(F.array(*map(F.lit, (200, 301, 403, 404, 503, 200, 200))), (F.col("page_id") % 7 + 1).cast("int")).alias("http_status"), "html")
+    return p.select("url", F.element_at(F.array(*map(F.lit, (200, 301, 403, 404, 503, 200, 200))), (F.col("page_id") % 7 + 1).cast("int")).alias("http_status"), "html", "page_id")
+
+
+def _liveness(s, d):
+    h, k = _heads(s, d), F.col("page_id")
+    status = F.when(k % 11 == 0, F.lit(None)).when(F.length("url") % 2 == 0, 200).otherwise(403).cast("int")
+    body = F.concat(F.left("html", F.length("url") * 30), F.when(k % 5 == 0, "<title>Just a moment...</title>").otherwise(""))
+    return urls.liveness(page_items(s, d).select("url"), h.select("url", "http_status"), h.where(k % 13 != 0).select("url", status.alias("http_status"), body.alias("body")))
 
 
 def _redirects(s, d):
     return page_items(s, d).select("url", F.when(F.col("page_id") % 3 == 0, F.regexp_replace("url", "^http:", "https:")).otherwise(F.col("url")).alias("final_url"))
 
 
+def _description():
+    return F.rpad(F.concat("p_name", F.lit(" - "), "p_type", F.lit(" ")), (F.col("p_partkey") % 60 + 120).cast("int"), "x")
+
+
 def _meta(s, d):
-    p = table(s, d, "part")
-    title = F.concat("p_name", F.lit(" by "), "p_brand", F.lit(" in many sizes"))
-    return p.select(F.col("p_partkey").cast("string").alias("entity_name"), title.alias("title"), F.rpad(F.concat("p_name", F.lit(" - "), "p_type", F.lit(" ")), (F.col("p_partkey") % 60 + 120).cast("int"), "x").alias("description"), F.col("p_name").alias("keyword"))
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    title = F.concat("p_name", F.lit(" by "), "p_brand", F.lit(" in many sizes"), F.when(k % 17 == 0, "\u2026").otherwise(""))
+    return p.select(k.cast("string").alias("entity_name"), F.when(k % 19 != 0, title).alias("title"), F.when(k % 23 != 0, _description()).alias("description"), F.array(F.lit("no such term"), F.lower("p_name")).alias("head_terms"))
+
+
+def _plan(k):
+    """An SEO plan of a part, as JSON."""
+    target = F.struct(F.get(F.split("p_name", " "), F.lit(0)).alias("primary"), F.split("p_type", " ").alias("secondary"), F.array(F.lit("long tail")).alias("long_tail"))
+    meta = F.struct(F.concat(F.lit("About "), "p_name", F.lit(" and more of the kind")).alias("title"), _description().alias("description"))
+    faqs = F.when(k % 3 == 0, F.array(F.struct(F.concat("p_name", F.lit("?")).alias("question"), F.lower("p_brand").alias("answer"))))
+    return F.to_json(F.struct(meta.alias("meta"), target.alias("target_keywords"), faqs.alias("faqs")))
+
+
+def _analysis_json(k):
+    """An analysis of a part, as JSON; every second one has a secondary category alone."""
+    slug = lambda x: F.struct(F.lower(x).alias("slug"), F.lit("fits").alias("why"))
+    none = F.array().cast("array<struct<slug: string, why: string>>")
+    facts = F.struct((k % 100 + 1900).alias("founded"), F.when(k % 4 == 0, "Malta").alias("headquarters"), F.array(F.struct(F.lit("Ann").alias("name"), F.lit("CEO").alias("role"))).alias("key_people"), F.array(F.lit("A1")).alias("licenses"))
+    return F.to_json(F.struct(F.struct(F.when(k % 2 == 0, F.array(slug("p_brand"), slug("p_type"))).otherwise(none).alias("primary"), F.array(slug("p_type")).alias("secondary")).alias("categories"), F.struct(F.transform(F.split("p_name", " "), slug).alias("existing"), F.array(F.struct(F.lit("new").alias("label")), F.struct(F.lit("newer").alias("label"))).alias("suggested_new")).alias("tags"), facts.alias("key_facts"), F.array(F.struct(F.lit(1).alias("index"), F.lit("https://a.org/").alias("url"), F.lit("A").alias("title"))).alias("source_citations")))
+
+
+def _bundles(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    return p.select(F.concat("p_name", F.lit(" "), k.cast("string")).alias("entity_name"), F.when(k % 5 != 0, F.concat(F.lit("# "), "p_name", F.lit("\n\nText."))).alias("markdown"), F.when(k % 7 != 0, _analysis_json(k)).alias("analysis"), F.when(k % 11 != 0, _plan(k)).alias("seo_plan"), F.when(k % 3 == 0, F.concat(F.lit("https://p"), k.cast("string"), F.lit(".org/"))).alias("url"), k.alias("k"))
 
 
 def _keywords(s, d):
-    p = table(s, d, "part")
+    p, k = table(s, d, "part"), F.col("p_partkey")
     ws = F.split("p_name", " ")
-    body = F.concat_ws(" ", "p_name", "p_type", F.lower("p_brand"), F.lit("made to last and sold in many shops"))
-    none = F.array().cast("array<string>")
-    out = p.select(F.col("p_partkey").alias("id"), F.get(ws, F.lit(0)).alias("headings"), body.alias("body"), T.word_count(body).alias("word_count"), F.slice(ws, 1, 2).alias("head"), F.split(F.lower("p_type"), " ").alias("mid"), F.array(F.lower("p_brand")).alias("entities"), F.when(F.col("p_partkey") % 4 == 0, F.array(F.lit("shops"))).otherwise(none).alias("negatives"))
-    return qa.keyword_sufficiency(out)
+    md = F.concat(F.lit("---\ntitle: "), F.get(ws, F.lit(1)), F.lit("\n---\n# Top\n\n## "), F.get(ws, F.lit(0)), F.lit("\n\nIt is "), "p_name", F.lit(" and "), F.lower("p_type"), F.lit(" of "), F.lower("p_brand"), F.lit(" [#1].\nMade to last and sold in many shops.\n\n### Last"))
+    used = F.struct(F.slice(ws, 1, 2).alias("head_terms"), F.split(F.lower("p_type"), " ").alias("mid_tail"), F.array(F.lower("p_brand"), F.lit("missing one")).alias("entities"), F.when(k % 4 == 0, F.array(F.lit("Shops"))).alias("negatives"))
+    return qa.keyword_sufficiency(p.select(k.alias("id"), md.alias("markdown"), F.to_json(F.struct(used.alias("keywords_used"))).alias("plan")))
+
+
+def _sections(s, d):
+    a = articles(s, d).select("entity_name", F.concat(F.lit("---\ntitle: \"A\"\ndescription: 'b c'\n---\n# One\n\n"), "markdown").alias("m")).select("entity_name", T.markdown_sections(F.col("m")).alias("s"))
+    return a.select("entity_name", *(F.array_join(f"s.{c}", "|").alias(c) for c in ("h1", "h2", "h3", "first_paragraphs")), "s.body", "s.title", "s.description", "s.word_count")
+
+
+def _pool_meta(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    rows = p.select(k.cast("string").alias("entity_name"), k.alias("pool_pos"), F.when(k % 2 == 0, F.concat(F.lit("Own "), "p_name")).alias("meta_title"), F.lit(None).cast("string").alias("meta_description"), F.concat(F.when(k % 3 == 0, "---\ntitle: \"Front\"\n---\n").otherwise(""), F.when(k % 5 == 0, "# Head\n\n").otherwise(""), F.when(k % 7 == 0, "First line\nand second.\n\nMore.").otherwise("")).alias("content_markdown"), F.lit(None).cast("string").alias("seo_plan"))
+    plans = p.select(k.cast("string").alias("entity_name"), (k + 1_000_000_000).alias("pool_pos"), *(F.lit(None).cast("string").alias(c) for c in ("meta_title", "meta_description", "content_markdown")), _plan(k).alias("seo_plan"))
+    return qa.resolve_meta(rows.union(plans)).withColumn("head_terms", F.array_join("head_terms", "|"))
+
+
+def _sources(s, d):
+    return generation.assemble_sources(documents(s, d), 5_000)
+
+
+def _prompts(s, d):
+    t = table(s, d, "conversations")
+    pages = t.select(F.col("conv_id").cast("string").alias("entity_name"), F.col("turn").alias("pool_pos"), "role", F.concat(F.lit("u"), "turn").alias("url"), F.col("text").alias("text_content"), F.when(F.col("turn") > 0, F.col("role")).alias("title"), F.length("role").alias("word_count"))
+    return generation.assemble_pages(pages, 400).select("entity_name", generation.build_prompt("Read {doc:rules} {doc:none}: {entity_content}", F.col("entity_content"), {"rules": "well"}).alias("prompt"), "word_count")
+
+
+def _analyzed(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    answer = F.when(k % 9 == 0, "I can't.").otherwise(F.concat(F.lit("Here:\n```json\n"), _analysis_json(k), F.lit("\n```")))
+    return generation.analyses(p.select(k.cast("string").alias("entity_name"), answer.alias("text"), F.lit(7).alias("word_count")), "p/m")
+
+
+def _zipped(s, d):
+    c = generation.claims(articles(s, d), 2)
+    k = F.element_at(F.split("entity_name", " "), -1).cast("int")
+    answers = c.where("batch = 0").groupBy("entity_name", "batch").count().where(k % 3 != 0)
+    text = F.when(k % 3 == 1, '```json\n[{"verdict": "supported", "severity": "low"}]\n```').otherwise('Verdicts: [{"verdict": "partial"}, {"verdict": "supported", "quote": "q"}]')
+    return generation.zip_verdicts(c, answers.select("entity_name", "batch", text.alias("text")))
+
+
+def _revisions(s, d):
+    a = articles(s, d)
+    return generation.revised(a.select("entity_name", F.col("markdown").alias("original"), F.concat(F.lit("```markdown\n"), F.replace("markdown", F.lit("Growth is steady"), F.lit("The growth is steady, as people say")), F.lit("\n```")).alias("answer"), F.array(F.lit("people"), F.lit("growth")).alias("keywords")))
+
+
+def _statuses(s, d):
+    k = F.col("doc_id")
+    return documents(s, d).withColumn("status", F.when(k % 50 == 0, "error").when(k % 9 == 0, "low_content").when(k % 31 == 0, "skipped").otherwise("success")).withColumn("word_count", T.word_count(F.col("text_content"))).withColumn("text_preview", T.preview(F.col("text_content")))
+
+
+def _errors(s, d):
+    return reports.error_rollup(documents(s, d).select("entity_name", "pool_pos", F.when(F.col("status") == "error", F.concat(F.lit("failed at "), "pool_pos")).alias("error")))
+
+
+def _tiers(s, d):
+    x, k = documents(s, d), F.col("doc_id")
+    return reports.first_good(x.select("doc_id", "url"), [("http", x.where(k % 2 == 0).select("url", F.left("text_content", F.lit(400)).alias("text_content"))), ("browser", x.where(k % 3 == 0).select("url", F.left("text_content", F.lit(900)).alias("text_content"))), ("archive", x.where(k % 5 == 0).select("url", "text_content"))]).select("doc_id", "scrape_method", "word_count", "status")
 
 
 def _verdicts(s, d):
@@ -57,16 +143,16 @@ def _seeds(s, d):
 
 
 def _relevance(s, d):
-    p = page_items(s, d).select("pool_pos", "url", F.lit("all").alias("entity_name"))
+    p = page_items(s, d).select("pool_pos", "url", "entity_name")
     n = p.withColumn("i", F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos")) - 1)
-    line = F.concat((F.col("i") % 200 + 1).cast("string"), F.lit(". "), F.element_at(F.array(*map(F.lit, ("KEEP", "drop", "maybe"))), (F.col("pool_pos") % 3 + 1).cast("int")))
-    text = n.where("pool_pos % 4 != 0").groupBy("entity_name", F.floor(F.col("i") / 200).cast("int").alias("batch")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
-    return content.relevance(p, text)
+    line = F.concat((F.col("i") % 20 + 1).cast("string"), F.lit(". "), F.element_at(F.array(*map(F.lit, ("KEEP", "drop", "maybe"))), (F.col("pool_pos") % 3 + 1).cast("int")))
+    text = n.where("pool_pos % 4 != 0").groupBy("entity_name", F.floor(F.col("i") / 20).cast("int").alias("batch")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    return content.relevance(p, text, 20)
 
 
 def _intents(s, d):
-    docs = documents(s, d)
-    n = docs.withColumn("i", F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos")) - 1)
+    docs = documents(s, d).withColumn("relevance", F.element_at(F.array(*map(F.lit, ("KEEP", "MAYBE", "DROP", ""))), (F.col("doc_id") % 4 + 1).cast("int")))
+    n = docs.where("relevance in ('KEEP', '')").withColumn("i", F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos")) - 1)
     kind = F.element_at(F.array(*map(F.lit, ("About Us", "news", "unheard of"))), (F.col("doc_id") % 3 + 1).cast("int"))
     answer = n.where("doc_id % 5 != 0").groupBy("entity_name", F.floor(F.col("i") / 10).cast("int").alias("batch")).agg(F.to_json(F.array_sort(F.collect_list(F.struct((F.col("i") % 10 + 1).alias("index"), kind.alias("intent"), ((F.col("doc_id") % 15) / 10).alias("confidence"))))).alias("text"))
     return content.tag_intents(docs, answer, ["about_us", "news"])
@@ -78,8 +164,9 @@ def _dom(s, d):
 
 def _images(s, d):
     p, k = table(s, d, "part"), F.col("p_partkey")
-    src = F.concat(F.lit("/img/"), F.when(k % 3 == 0, "logo-").otherwise("pic-"), k.cast("string"), F.when(k % 2 == 0, ".svg").otherwise(".png"))
-    return bundle.company_media(p.select(F.col("p_brand").alias("entity_name"), k.alias("pos"), src.alias("src"), F.lower("p_name").alias("alt"), F.when(k % 5 == 0, "brand").otherwise("x").alias("cls"), (k % 500).cast("int").alias("width")))
+    stem = F.element_at(F.array(*map(F.lit, ("logo-", "pic-", "dark-logo-", "white-logo-", "icon-", "wide-", "favicon."))), (k % 7 + 1).cast("int"))
+    src = F.concat(F.lit("/img/"), F.when(k % 7 == 6, "favicon.ico").otherwise(F.concat(stem, k.cast("string"), F.when(k % 2 == 0, ".svg").otherwise(".png"))))
+    return bundle.company_media(p.select(F.col("p_brand").alias("entity_name"), k.alias("pos"), src.alias("src"), F.lower("p_name").alias("alt"), F.when(k % 5 == 0, "brand").otherwise("x").alias("cls"), F.when(k % 6 == 0, "Logo").alias("id"), (k % 500).cast("int").alias("width")))
 
 
 def _claims(s, d):
@@ -90,7 +177,8 @@ def _claims(s, d):
 def _profiles(s, d):
     c, k = table(s, d, "customer"), F.col("c_custkey")
     some = lambda n: F.when(k % n == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
-    return bundle.profile_completeness(c.select(k.alias("id"), F.col("c_name").alias("full_name"), F.when(k % 2 == 0, F.col("c_mktsegment")).alias("headline"), F.when(k % 3 == 0, "").otherwise("Malta").alias("location"), F.when(k % 5 == 0, "s").alias("summary"), some(4).alias("positions"), some(3).alias("education"), some(7).alias("skills")))
+    positions = F.when(k % 4 == 0, F.array().cast("array<struct<description: string>>")).otherwise(F.array(F.struct(F.lit("").alias("description")), F.struct(F.repeat("c_name", (k % 3).cast("int")).alias("description"))))
+    return bundle.profile_completeness(c.select(k.alias("id"), F.when(k % 2 == 0, F.col("c_mktsegment")).alias("headline"), F.repeat("c_name", (k % 6).cast("int")).alias("summary"), positions.alias("positions"), some(3).alias("education"), some(7).alias("skills"), some(5).alias("languages"), F.when(k % 3 == 0, "").otherwise("Malta").alias("location"), some(2).alias("certifications"), F.when(k % 11 == 0, F.array(F.lit("x"))).alias("volunteer")))
 
 
 def _breaker(s, d):
@@ -113,10 +201,21 @@ def _feeds(s, d):
 
 def _analysis(s, d):
     p, k = table(s, d, "part"), F.col("p_partkey")
-    slug = lambda x: F.struct(F.lower(x).alias("slug"))
-    none = F.array().cast("array<struct<slug: string>>")
-    a = F.to_json(F.struct(F.struct(F.when(k % 2 == 0, F.array(slug("p_brand"), slug("p_type"))).otherwise(none).alias("primary"), F.array(slug("p_type")).alias("secondary")).alias("categories"), F.struct(F.array(slug("p_name")).alias("existing")).alias("tags")))
-    return bundle.analysis_flat(p.select(k.cast("string").alias("entity_name"), a.alias("analysis")))
+    return bundle.analysis_flat(p.select(k.cast("string").alias("entity_name"), _analysis_json(k).alias("analysis")))
+
+
+def _plans(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    return bundle.seo_plan_flat(p.select(k.cast("string").alias("entity_name"), _plan(k).alias("plan")))
+
+
+def _described(s, d):
+    k = F.col("page_id")
+    text = F.concat(F.lit("A &amp; b "), k.cast("string"))
+    by_name = F.concat(F.lit('<meta name="description" content="'), text, F.lit('">'))
+    by_content = F.concat(F.lit("<meta content='"), text, F.lit("' data-x=1 name='description'>"))
+    html = F.concat(F.when(k % 3 == 0, by_name).when(k % 3 == 1, by_content).otherwise(""), "html")
+    return table(s, d, "pages").select("page_id", pages.meta(html, "name", "description").alias("meta_description"))
 
 
 def _known(s, d):
@@ -130,14 +229,14 @@ def queries() -> dict:
         "url_dedup": lambda s, d: urls.dedup(url_variants(s, d)),
         "url_canonicalize": lambda s, d: urls.canonicalize(url_variants(s, d), _redirects(s, d)),
         "url_filter": lambda s, d: urls.filter_patterns(page_items(s, d), [r"\?page=", "blog"], ["example"]),
-        "url_liveness": lambda s, d: urls.liveness(page_items(s, d).select("url"), _heads(s, d), _heads(s, d).select("url", F.when(F.length("url") % 2 == 0, 200).otherwise(403).alias("http_status"), F.left("html", F.length("url") * 30).alias("body"))),
+        "url_liveness": _liveness,
         "url_domain": lambda s, d: table(s, d, "pages").select("page_id", U.domain(F.col("url")).alias("domain")),
         "resolve_url": lambda s, d: table(s, d, "pages").select("page_id", U.resolve(F.col("url"), F.lit("/a?utm_source=x&page=2&Ref=1#f")).alias("rooted"), U.resolve(F.col("url"), F.lit("//cdn.org/x")).alias("schemeless"), U.strip_tracking(F.col("url")).alias("cleaned")),
         "exclude_known_urls": _known,
         "page_links": lambda s, d: pages.page_links(table(s, d, "pages"), most=None, body=True),
         "deep_links": lambda s, d: pages.deep_links(page_items(s, d), ["/en/"], max_pages=None, per_page=None),
         "extract_title": lambda s, d: _dom(s, d).select("page_id", pages.title(F.col("html")).alias("title")),
-        "extract_meta_description": lambda s, d: _dom(s, d).select("page_id", pages.meta(F.regexp_replace("html", "<meta charset=\"utf-8\">", '<meta name="description" content="A &amp; b">'), "name", "description").alias("meta_description")),
+        "extract_meta_description": _described,
         "extract_text": lambda s, d: pages.page_items(_dom(s, d), longest=None).select("page_id", "word_count", "status", "text_preview", "text_content"),
         "sitemap_parser": _sitemaps,
         "rss_feeds": _feeds,
@@ -166,17 +265,33 @@ def queries() -> dict:
         "intent_tagger": _intents,
         "content_analysis_flatten": _analysis,
         "profile_completeness": _profiles,
+        "seo_plan_flatten": _plans,
+        "markdown_sections": _sections,
+        "meta_resolution": _pool_meta,
+        "source_assembly": _sources,
+        "prompt_build": _prompts,
+        "content_analyzer": _analyzed,
+        "claim_verdicts": _zipped,
+        "tone_editor": _revisions,
+        "rescrape_partition": lambda s, d: _statuses(s, d).select("doc_id", reports.needs_rescrape(_statuses(s, d)).alias("by_browser"), reports.needs_rescrape(_statuses(s, d), known_only=True).alias("by_api")),
+        "tier_fallback": _tiers,
+        "entity_summary": lambda s, d: reports.entity_summary(_statuses(s, d)),
+        "run_summary": lambda s, d: reports.run_summary(reports.entity_summary(_statuses(s, d))),
+        "error_rollup": _errors,
+        "status_sort": lambda s, d: reports.by_status(_statuses(s, d).select("doc_id", "status"), "doc_id"),
+        "top_of_category": lambda s, d: reports.top_of_each(table(s, d, "events").select("event_id", "event_type", "value"), "event_type", [F.desc("value"), "event_id"], 5),
         "group_by_entity": lambda s, d: content.by_entity(documents(s, d), F.col("status"), ["success", "error"]),
         "intent_breakdown": lambda s, d: content.histogram(documents(s, d), "title", ["entity_name"]).select("entity_name", F.to_json("counts").alias("counts")),
         "average_score": lambda s, d: _verdicts(s, d).agg(T.js_round(F.avg("hallucination_score"), 3).cast("double").alias("avg_score"), F.count("*").alias("n")),
         "origin_mode": lambda s, d: page_items(s, d).groupBy("entity_name", U.origin(F.col("url")).alias("origin")).agg(F.count("*").alias("n"), F.min("pool_pos").alias("p")).groupBy("entity_name").agg(F.max_by("origin", F.struct("n", -F.col("p"))).alias("origin")),
         "latest_wins": lambda s, d: content.latest(table(s, d, "conversations").select("conv_id", F.col("turn").alias("pool_pos"), F.when(F.col("role") == "user", F.col("text")).alias("user_text"), F.when(F.col("role") == "assistant", F.col("text")).alias("assistant_text")), ["user_text", "assistant_text"], "conv_id"),
         "slugify": lambda s, d: table(s, d, "part").select("p_partkey", T.slugify(F.concat("p_name", F.lit(" & Co. "), "p_brand")).alias("slug"), T.slug_to_title(T.slugify(F.col("p_type"))).alias("title")),
-        "meta_output": lambda s, d: bundle.meta_output(_meta(s, d).select("entity_name", "title", "description", F.split("keyword", " ").alias("keywords"))),
+        "meta_output": lambda s, d: bundle.meta_output(_bundles(s, d)),
         "markdown_output": lambda s, d: bundle.markdown_output(articles(s, d)),
         "html_output": lambda s, d: bundle.html_output(articles(s, d)),
-        "json_output": lambda s, d: bundle.json_output(articles(s, d).select("entity_name", "markdown", F.col("title").alias("meta_title"), F.when(F.col("k") % 2 == 0, F.col("p_type")).alias("meta_description"), F.array(F.lower("p_brand")).alias("categories"))),
-        "schema_org_injector": lambda s, d: bundle.schema_org(articles(s, d).select("entity_name", F.get("citations", F.lit(0))["url"].alias("url"), F.when(F.col("k") % 2 == 0, F.col("p_type")).alias("description"), F.lit(None).cast("string").alias("founded"), F.array(F.struct(F.col("p_name").alias("question"), F.col("p_brand").alias("answer"))).alias("faqs"))),
+        "json_output": lambda s, d: bundle.json_output(_bundles(s, d)),
+        "json_output_flat": lambda s, d: bundle.json_output(_bundles(s, d), "flat"),
+        "schema_org_injector": lambda s, d: bundle.schema_org(_bundles(s, d).withColumn("json", F.lit(None).cast("string"))),
         "company_media": _images,
         "llm_json_parse": lambda s, d: table(s, d, "events").select("event_id", T.model_json(F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```"))).alias("json")),
         "event_windows": lambda s, d: incremental.windowed_counts(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 2).alias("total")),

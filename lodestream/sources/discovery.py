@@ -72,4 +72,4 @@ def synthetic_items(entities: DataFrame, n: int = 3, fail_entity: str = "") -> D
     fails = F.contains(F.lower("entity_name"), F.lit(fail_entity.lower())) if fail_entity else F.lit(False)
     i = F.explode(F.when(fails, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(n))))
     out = entities.select("entity_name", fails.alias("fails"), i.alias("i"))
-    return out.select("entity_name", F.when(~F.col("fails"), F.concat(F.lit("https://example.com/"), T.slugify(F.col("entity_name")), F.lit("/page-"), F.col("i").cast("string"))).alias("url"), F.when(~F.col("fails"), F.concat(F.lit("Page "), F.col("i").cast("string"))).alias("title"), F.when(F.col("fails"), F.lit("Simulated failure")).alias("error"))
+    return out.select("entity_name", F.when(~F.col("fails"), F.concat(F.lit("https://"), F.regexp_replace(F.lower("entity_name"), f"{T.WS}+", "-"), F.lit(".example.com/page-"), F.col("i").cast("string"))).alias("url"), F.when(~F.col("fails"), F.concat("entity_name", F.lit(" \u2014 Page "), F.col("i").cast("string"))).alias("title"), F.when(F.col("fails"), F.concat(F.lit("Simulated failure for "), "entity_name")).alias("error"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
-from lodestream.operators import bundle, content, pages, qa
+from lodestream.operators import bundle, content, pages, qa, urls
 from lodestream.plans import catalog
 from lodestream.sources import discovery
 from lodestream.streaming import incremental
@@ -40,8 +40,9 @@ def test_scores(spark):
     assert (row.citation_score, row.qa_pass, row.uncited_claims_count, row.broken_citations_count) == (0.5, False, 1, 1)
     votes = spark.createDataFrame([("e", v) for v in ["supported"] * 8 + ["partial", "unsupported"]], "entity_name string, verdict string")
     assert qa.hallucination_score(votes).first().hallucination_score == 0.85
-    k = spark.createDataFrame([(1, "x", "x", 1, [], ["x", "q", "r", "s", "t"], [], [])], "id int, headings string, body string, word_count int, head array<string>, mid array<string>, entities array<string>, negatives array<string>")
-    assert qa.keyword_sufficiency(k).first().keyword_score == 0.25
+    plan = '{"keywords_used": {"mid_tail": ["x", "q", "r", "s", "t"]}}'
+    k = spark.createDataFrame([(1, "## y\n\nx", plan), (2, "## y\n\nx q", plan)], "id int, markdown string, plan string")
+    assert [r.keyword_score for r in qa.keyword_sufficiency(k).orderBy("id").collect()] == [0.25, 0.4]
     cases = [("a", True, True, True, True, 10, 3, "failed"), ("b", True, False, True, True, 5, 0, "flag_manual"), ("c", True, True, True, True, 0, 0, "failed"), ("d", None, None, None, None, 4, 0, "flag_manual"), ("e", True, True, False, True, 9, 0, "loop_tone"), ("f", True, True, True, True, 9, 0, "approve")]
     rows = spark.createDataFrame([c[:7] for c in cases], "entity_name string, hallucination_ok boolean, citation_ok boolean, keyword_ok boolean, meta_ok boolean, source_count int, loop_count int")
     assert {r.entity_name: r.decision for r in qa.route(rows).collect()} == {c[0]: c[7] for c in cases}
@@ -94,3 +95,39 @@ def test_caps(spark, tmp_path):
     assert run("page_links").count() == run("deep_links").count() == 35 * 253
     assert {r.word_count for r in run("extract_text").collect()} == {12_249}  # the paragraph's last word and the first link are joined
     assert {r.n for r in pages.page_items(table).select(F.length("text_content").alias("n")).collect()} == {50_000}
+
+
+def test_logo_points(spark):
+    """Name, dark, wide, vector and width; a favicon; a white one; a small icon."""
+    rows = [("/dark-logo-wide.svg", "", "", "", 200), ("/favicon.ico", "", "", "", 16), ("/white-logo.png", "", "", "", 0), ("/x.png", "icon", "", "", 20)]
+    df = spark.createDataFrame(rows, "src string, alt string, cls string, id string, width int")
+    scores = [r[0] for r in df.select(bundle.logo_score(*(F.col(c) for c in ("src", "alt", "cls", "id", "width")))).collect()]
+    assert scores == [10 + 5 + 5 + 3 + 2, -5 - 3 - 3, 10 - 5, -3 - 3]
+
+
+def test_analysis_schemas(spark):
+    """Plain texts, {slug, why} and {detail, source}; more than five tags; claims with sources."""
+    docs = ['{"categories": {"primary": "games"}, "tags": {"existing": ["a", "b", "c", "d"], "suggested": ["e", "f", "g"]}, "key_facts": {"hq": "Rome", "employees": 5}, "source_citations": ["x", {"claim": "c", "sources": ["u", "v"]}]}', '{"key_facts": {"licenses": [{"detail": "L"}], "contact": {"email": "a@b.c", "phone": "1"}}}']
+    got = bundle.analysis_flat(spark.createDataFrame([(str(i), d) for i, d in enumerate(docs)], "entity_name string, analysis string")).orderBy("entity_name").collect()
+    assert (got[0].primary_category, got[0].tags_preview, got[0].facts_preview) == ("games", "a, b, c, d, e (+2)", "Rome \u00b7 ~5 employees")
+    assert got[0].source_citations_text == "1. x\n2. c \u2014 u, v" and got[0].tags_text == "Existing: a, b, c, d\nSuggested new: e, f, g"
+    assert (got[1].primary_category, got[1].key_facts_text) == ("Unknown", "Licenses: L\nEmail: a@b.c, Phone: 1")
+
+
+def test_liveness_challenge(spark):
+    head = spark.createDataFrame([(u, 403) for u in "abcd"], "url string, http_status int")
+    browser = spark.createDataFrame([("a", 200, "ok"), ("b", 200, "Just a moment..."), ("c", 500, "x" * 1001), ("d", None, None)], "url string, http_status int, body string")
+    got = {r.url: r.status for r in urls.liveness(head.select("url"), head, browser).collect()}
+    assert got == {"a": "kept", "b": "dead_link", "c": "kept", "d": "dead_link"}
+
+
+def test_meta_checks(spark):
+    rows = [("a", "A good title of the right length, cut\u2026", "d" * 155, ["good", "d"]), ("b", None, None, ["x"]), ("c", "Same title as another entity has it", "e" * 155 + "x", ["e"]), ("d", "same TITLE as another entity has it", "f" * 155, ["same", "f"])]
+    got = {r.entity_name: (r.checks_passed, r.checks_total) for r in qa.meta_compliance(spark.createDataFrame(rows, "entity_name string, title string, description string, head_terms array<string>")).collect()}
+    assert got == {"a": (6, 7), "b": (0, 0), "c": (6, 7), "d": (6, 7)}
+
+
+def test_numbering_across_ranges(spark):
+    rows = spark.createDataFrame([("e", i * 3) for i in range(50)] + [("f", 7)], "entity_name string, pool_pos long")
+    got = sorted((r.entity_name, r.pool_pos, r._i) for r in content.numbered(rows, step=10).collect())
+    assert got == [("e", i * 3, i) for i in range(50)] + [("f", 7, 0)]
