@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; only where none is named, one of its own."""
+    """The shared folder named by spark.checkpoint.dir. Where none is named, one of its own in local mode, as in tests, and an error on a cluster."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -31,6 +36,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Tables:
+    """Intermediate tables, as Parquet in the shared folder: columns are read as needed and files are deleted as soon as nobody reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.n = spark, f"{shared_dir(spark)}/{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+                if self.folder.rpartition("/")[2] in path:
+                    hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                    hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], m: str, total: int) -> DataFrame:
+    """rows joined with a table of one row a key, whose column m says how many rows the key has. Keys of more than a thousandth of all rows are fewer than a thousand: they are broadcast, and their rows stay where they are."""
+    most = max(total // 1000, 1000)
+    values = [c for c in keyed.columns if c not in (*on, m)]
+    hot = F.broadcast(keyed.where(F.col(m) > most).drop(m).withColumn("_hot", F.lit(True)))
+    tagged = rows.join(hot, on, "left")
+    rest = tagged.where("_hot is null").drop("_hot", *values).join(keyed.where(F.col(m) <= most).drop(m), on)
+    return tagged.where("_hot").drop("_hot").unionByName(rest)
+
+
 def held_out(doc_id) -> F.Column:
     """crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -1,22 +1,30 @@
 """N-gram Jaccard self-join by multiple global orders.
 
 A text's set is its distinct shingles of N words. Two sets of Jaccard similarity 3/4 or more share a token among their
-first n - ceil(3n/4) + 1 tokens under any global order. Here a candidate must do so under three:
+first n - ceil(3n/4) + 1 tokens under any global order. Here a pair must do so under three before its sets are fetched:
 
-- A: rarest first, by the logarithm of a count sketch of all shingles, then by hash. This order drives the join: prefix
-  tokens are dealt by token, so passages that many documents share come last and seldom enter a prefix.
-- B: by another hash; C: B reversed. They are checked on the pair's sets before their intersection is counted.
+- A: rarest first, by the number of classes that have a token, then by its hash. Classes are dealt to groups, and a group
+  sends each of its tokens once, with a count, packed, to the token's bucket; the bucket replies with the sum's logarithm.
+  Tokens that only one class has go no further, so what goes on is in proportion to what texts share, at every size. The
+  tokens of one half of all hashes come first in the order and only they are counted: a prefix rarely needs others.
+- B: by another hash; C: B reversed. Their prefixes are fetched for the pairs that order A and the bounds below leave.
 
-Before the sets are fetched, a candidate must pass the bounds of sizes, of positions, and of parity bitmaps (two bits a
-token), each of which no similar pair fails. Documents of equal sets are one class. In round one each class is a candidate of the least class of its rarest shared
+Those bounds, which no similar pair fails, are of sizes, of positions under A, and of parity bitmaps (two bits a token).
+Last, the sets of pairs that passed all orders are fetched and their intersection is counted.
+
+Documents of equal sets are one class. In round one each class is a candidate of the least class of its rarest shared
 token, in round two of those of its other tokens where they are not connected yet, so a group of near copies gives
-candidates in proportion to its size; in round three, pairs of one token that are still not connected are candidates. So every link that joins components is found, and a group of n near copies needs no n * n pairs.
+candidates in proportion to its size; in round three, pairs of one token that are still not connected are candidates, if
+their sizes and smaller parity bitmaps allow it. So every link that joins components is found, and a group of n near copies
+needs no n * n pairs.
 
-The sketch has 2**SKETCH_BITS counters whatever the input; it steers the order only, and any order gives the same result.
-Sets are recomputed from the texts of candidates; a bitmap of fixed size picks those before any shuffle.
+Order A works on 48 bits of a shingle's hash, B and C on 32, the intersection on 64: equal tokens are equal in each. Groups
+and buckets are of GROUP tokens, about, and their number follows the input. Sets are recomputed from the texts of
+candidates; a bitmap of fixed size picks those before any shuffle.
 
 Nulls and edge cases: null, empty and blank texts have empty sets and are linked with nothing. Texts of fewer than N words
-have their whole sequence as one token. Rows of the same doc_id are linked by their texts only. Other columns are ignored.
+have their whole sequence as one token. Rows of the same doc_id are linked by their texts only; a null doc_id takes part,
+and its row's component is the least id that is not null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.common import Words, blocks, byte_class, cut_lineage, fixed_bitmap, grams, in_bitmap, mix, table
+from lodestream.llm.common import Tables, Words, blocks, byte_class, fixed_bitmap, grams, in_bitmap, mix, table
 
 N = 5
-SKETCH_BITS, SKETCH_CHUNKS = 24, 64
+TOKEN_BYTES, COUNTED = 6, 1 << 47  # of a token under order A; tokens below COUNTED come first
 BITMAP_BITS = 24
-SEEN = 1_000_000
-FOLDED = 16
+SEEN = 100_000
+FOLDED = 8  # longs of the smaller bitmap of round three
+GROUP = 1 << 19
 WORD = byte_class(" \t\n\x0b\x0c\r")
 
 
@@ -58,112 +67,168 @@ def signature(tokens: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(tokens + np.uint64(0x632BE59BD9B4E019)), initial=np.uint64(0)).view(np.int64)) if len(tokens) else 0
 
 
-def parity(tokens: np.ndarray) -> bytes:
-    """A bitmap of 2 bits a token or more that tells of each cell whether an odd number of tokens fell into it. Two sets differ in at least as many tokens as their bitmaps in bits."""
-    bits = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+def parity(tokens: np.ndarray, bits: int = 0) -> bytes:
+    """A bitmap, of 2 bits a token or more if its size isn't given, that tells of each cell whether an odd number of tokens fell into it. Two sets differ in at least as many tokens as their bitmaps in bits."""
+    bits = bits or 1 << max(6, int(2 * len(tokens) - 1).bit_length())
     return np.packbits((np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _cells(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def first_half(tokens: np.ndarray) -> np.ndarray:
+    """What order A needs of a set: the counted tokens, and of the others as many first ones as a prefix may need."""
+    tokens = np.sort(tokens & np.uint64((1 << 8 * TOKEN_BYTES) - 1))
+    counted = int(np.searchsorted(tokens, COUNTED))
+    return tokens[: max(counted, prefix_size(len(tokens)))]
 
 
-def _signed(batches):
-    """Each document's set size and signature, and at the end what the partition adds to the sketch."""
-    sketch, waiting, n_waiting, ids = np.zeros(1 << SKETCH_BITS, np.uint16), [], 0, None
+def pack(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // TOKEN_BYTES, 8), np.uint8)
+    out[:, :TOKEN_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
+    return out.view("<u8").ravel()
 
-    def count():
-        cells, n = np.unique(np.concatenate(waiting), return_counts=True)
-        sketch[cells] = np.minimum(sketch[cells].astype(np.int64) + n, 65535)  # beyond, a token is common enough
-        waiting.clear()
 
+def _signed(batches):
+    """Each document's set size, signature and parity bitmap, and what order A needs of the set, where the task hasn't given it for an equal one."""
+    seen: set[int] = set()
     for batch in blocks(batches, "text"):
         found = sets(batch.column("text"))
-        ids = batch.column("doc_id")
-        none = pa.nulls(len(found))
+        sigs, firsts = [signature(s) for s in found], []
+        if len(seen) > SEEN:
+            seen.clear()
+        for s, sig in zip(found, sigs):
+            firsts.append(pack(first_half(s)) if len(s) and sig not in seen else None)
+            seen.add(sig)
         maps = [parity(s) for s in found]
         offsets = np.concatenate([[0], np.cumsum([len(m) // 8 for m in maps])]).astype(np.int32)
         maps = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(maps), np.int64)))
-        yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in found], pa.int64()), pa.array([signature(s) for s in found], pa.int64()), maps, none.cast(pa.int32()), none.cast(pa.binary())], ["doc_id", "n", "sig", "bits", "chunk", "counts"])
-        waiting += [_cells(s) for s in found]
-        n_waiting += sum(map(len, found))
-        if n_waiting > 2_000_000:
-            count()
-            n_waiting = 0
-    if ids is not None:
-        if waiting:
-            count()
-        parts = [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, SKETCH_CHUNKS)]
-        none = pa.nulls(SKETCH_CHUNKS)
-        yield pa.RecordBatch.from_arrays([none.cast(ids.type), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.list_(pa.int64())), pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "n", "sig", "bits", "chunk", "counts"])
-
-
-def _levels(batches):
-    """Sums of the partitions' counts, as logarithms; one partition has all of a chunk."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-            x = np.frombuffer(zlib.decompress(counts), np.uint16).astype(np.uint64)
-            sums[chunk] = sums[chunk] + x if chunk in sums else x
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.ceil(np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()], pa.binary())], ["chunk", "levels"])
-
-
-def _prefixes(levels):
-    def run(batches):
-        seen: set[int] = set()  # copies of a set that a task has sent already add nothing
-        for batch in blocks(batches, "text"):
-            parts = []
-            if len(seen) > SEEN:
-                seen.clear()
-            for tokens in sets(batch.column("text")):
-                n, sig = len(tokens), signature(tokens)
-                if n and sig not in seen:
-                    seen.add(sig)
-                    level = levels.value[_cells(tokens)]
-                    order = (level.astype(np.uint64) << np.uint64(58)) | (mix(tokens ^ np.uint64(0xA5A5A5A5)) >> np.uint64(6))
-                    p = prefix_size(n)
-                    first = np.argpartition(order, p - 1)[:p] if p < n else np.arange(n)
-                    first = first[np.argsort(order[first])]
-                    shared = level[first] > 0  # a cell that counted one token holds nobody else's
-                    parts.append((tokens[first][shared].view(np.int64), np.full(int(shared.sum()), sig), np.flatnonzero(shared) + 1 + (n << 32)))
-            if parts:
-                token, sig, at = map(np.concatenate, zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(sig.astype(np.int64)), pa.array(at.astype(np.int64))], ["token", "sig", "at"])
+        folded = pa.FixedSizeListArray.from_arrays(pa.array(np.frombuffer(b"".join(parity(s, 64 * FOLDED) for s in found), np.int64)), FOLDED).cast(pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array(sigs, pa.int64()), maps, folded, pa.array(firsts, pa.binary())], ["doc_id", "n", "sig", "bits", "folded", "firsts"])
+
+
+class Group:
+    """The classes of a group, their tokens, and its distinct counted tokens in the order of buckets."""
+
+    def __init__(self, rows: pa.Table, buckets: int):
+        sig, at = np.unique(rows["sig"].to_numpy(), return_index=True)
+        firsts, n = rows["firsts"].take(pa.array(at)).to_pylist(), rows["n"].to_numpy()[at]
+        self.sig, self.n, self.tokens = sig, n, unpack(b"".join(firsts))
+        self.of = np.repeat(np.arange(len(sig)), [len(x) // TOKEN_BYTES for x in firsts])
+        counted = self.tokens < COUNTED
+        self.distinct, n_classes = np.unique(self.tokens[counted], return_counts=True)
+        bucket = (mix(self.distinct) % np.uint64(buckets)).astype(np.int64)
+        self.order = np.argsort(bucket, kind="stable")
+        self.bucket, self.n_classes = bucket[self.order], n_classes[self.order].astype(np.uint32)
+
+    def by_bucket(self) -> pa.Table:
+        cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        tokens = [pack(self.distinct[o]) for o in np.split(self.order, cuts[1:])] if len(cuts) else []
+        counts = [x.tobytes() for x in np.split(self.n_classes, cuts[1:])] if len(cuts) else []
+        return pa.table({"bucket": pa.array(self.bucket[cuts], pa.int64()), "tokens": pa.array(tokens, pa.binary()), "counts": pa.array(counts, pa.binary())})
+
+    def entries(self, replies: pa.Table) -> pa.Table:
+        """(token, sig, n, pos) of the prefix tokens that more than one class has or that aren't counted."""
+        at = np.argsort(replies["bucket"].to_numpy())
+        levels = np.zeros(len(self.distinct), np.uint64)
+        levels[self.order] = np.frombuffer(b"".join(zlib.decompress(x) for x in replies["levels"].take(pa.array(at)).to_pylist()), np.uint8)
+        level = np.full(len(self.tokens), 255, np.uint64)
+        counted = self.tokens < COUNTED
+        level[counted] = levels[np.searchsorted(self.distinct, self.tokens[counted])]
+        order = np.lexsort((self.tokens | (level << np.uint64(8 * TOKEN_BYTES)), self.of))
+        of = self.of[order]
+        pos = np.arange(len(of)) - np.searchsorted(of, of, "left") + 1
+        kept = (pos <= prefix_size(self.n)[of]) & (level[order] > 0)
+        return pa.table({"token": self.tokens[order][kept].view(np.int64), "sig": self.sig[of[kept]], "n": self.n[of[kept]].astype(np.int32), "pos": pos[kept].astype(np.int32)})
+
+
+def _to_buckets(buckets: int):
+    def run(key, rows):
+        out = Group(rows, buckets).by_bucket()
+        return out.add_column(0, "grp", pa.array([key[0].as_py()] * len(out), pa.int64()))
 
     return run
 
 
-def _chosen_sets(bitmap):
+def _levels(bucket):
+    """Replies: for each group's tokens the logarithm of the number of classes, rounded up; 0 for one class."""
+    tokens = [unpack(x) for x in bucket["tokens"].to_pylist()]
+    counts = [np.frombuffer(x, np.uint32) for x in bucket["counts"].to_pylist()]
+    distinct, at = np.unique(np.concatenate(tokens), return_inverse=True)
+    total = np.bincount(at, np.concatenate(counts), len(distinct))
+    levels, ends = np.ceil(np.log2(total)).astype(np.uint8)[at], np.cumsum([len(x) for x in tokens])
+    packed = [zlib.compress(x.tobytes(), 1) for x in np.split(levels, ends[:-1])]
+    return pa.table({"grp": bucket["grp"], "bucket": bucket["bucket"], "levels": pa.array(packed, pa.binary())})
+
+
+def _entries(buckets: int):
+    def run(rows, replies):
+        return Group(rows, buckets).entries(replies)
+
+    return run
+
+
+def _order_b(tokens: np.ndarray) -> np.ndarray:
+    return np.sort(mix(tokens ^ np.uint64(0x5A5A5A5A)))
+
+
+def _ends(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit fingerprints of the prefix tokens under B and C."""
+    ranks, p = _order_b(tokens), prefix_size(len(tokens))
+    return ranks[:p].astype(np.uint32).view(np.int32), ranks[len(ranks) - p :].astype(np.uint32).view(np.int32)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)), pa.array(np.concatenate(parts)))
+
+
+def _chosen(bitmap, whole: bool):
+    """Of the texts whose bit is set: the whole sets, or the prefixes under B and C."""
+
     def run(batches):
         for batch in blocks(batches, "text"):
             chosen = batch.filter(pa.array(in_bitmap(bitmap.value, batch.column("p").to_numpy(zero_copy_only=False).astype(np.uint64))))
-            if chosen.num_rows:
-                found = [s[np.argsort(mix(s ^ np.uint64(0x5A5A5A5A)))].view(np.int64) for s in sets(chosen.column("text"))]
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([chosen.column("doc_id"), pa.array([signature(s.view(np.uint64)) for s in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))], ["doc_id", "sig", "tokens"])
+            found = [s for s in sets(chosen.column("text")) if len(s)] if chosen.num_rows else []
+            if found:
+                sig = pa.array([signature(s) for s in found], pa.int64())
+                if whole:
+                    yield pa.RecordBatch.from_arrays([sig, _lists([s.view(np.int64) for s in found])], ["sig", "tokens"])
+                else:
+                    yield pa.RecordBatch.from_arrays([sig, *map(_lists, zip(*map(_ends, found)))], ["sig", "b_tokens", "c_tokens"])
 
     return run
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def fetched(ids: DataFrame, classes: DataFrame, docs: DataFrame, whole: bool) -> DataFrame:
+    """Whole sets (sig, tokens), or prefixes (sig, b_tokens, c_tokens), of the classes in ids(sig), from the texts of their least documents."""
+    ids = ids.join(classes.select("sig", "rep"), "sig")
+    bitmap = docs.sparkSession.sparkContext.broadcast(fixed_bitmap(ids.select(_bit("rep").alias("p")), BITMAP_BITS))
+    kind = "tokens array<bigint>" if whole else "b_tokens array<int>, c_tokens array<int>"
+    return docs.where("text is not null").mapInArrow(_chosen(bitmap, whole), f"sig bigint, {kind}").join(ids.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
+
+
+def _both_ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
     """The pairs (a, b) of classes that link. classes: (sig, n, rep, bits); docs: (doc_id, text, p)."""
-    spark = docs.sparkSession
-    side = {c: classes.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"}
-    total = F.col("n_a") + F.col("n_b")
-    pairs = pairs.join(side["a"], "a").where(F.col("n_a") > 0).join(side["b"], "b").where(F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3)
-    pairs = cut_lineage(pairs.where(_differing(F.col("bits_a"), F.col("bits_b")) * 7 <= total).select("a", "b"))
-    ids = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct().join(classes.select("sig", "rep"), "sig")
-    bitmap = spark.sparkContext.broadcast(fixed_bitmap(ids.select(_bit("rep").alias("p")), BITMAP_BITS))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.where("text is not null").mapInArrow(_chosen_sets(bitmap), f"doc_id {kind}, sig bigint, tokens array<bigint>")
-    found = found.join(ids.select("sig", F.col("rep").alias("doc_id")), ["sig", "doc_id"]).drop("doc_id").dropDuplicates(["sig"])
-    both = pairs.join(found.select(F.col("sig").alias("b"), F.col("tokens").alias("y")), "b").join(found.select(F.col("sig").alias("a"), F.col("tokens").alias("x")), "a")
-    nx, ny = F.size("x"), F.size("y")
-    p = {c: (F.size(c) - F.ceil(F.size(c) * 0.75) + 1).cast("int") for c in "xy"}
-    order_b = F.arrays_overlap(F.slice("x", F.lit(1), p["x"]), F.slice("y", F.lit(1), p["y"]))
-    order_c = F.arrays_overlap(F.slice("x", nx - p["x"] + 1, p["x"]), F.slice("y", ny - p["y"] + 1, p["y"]))
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where((F.least(nx, ny) * 4 >= F.greatest(nx, ny) * 3) & order_b & order_c).where(100 * shared >= 75 * (nx + ny - shared)).select("a", "b")
+
+    def sides(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        for c in "ba":
+            pairs = pairs.join(of.select(*(F.col(x).alias(c if x == "sig" else f"{x}_{c}") for x in of.columns)), c)
+        return pairs
+
+    near = sides(pairs, classes.select("sig", "n", "bits")).where(F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3)
+    near = tables.keep(near.where(_differing(F.col("bits_a"), F.col("bits_b")) * 7 <= F.col("n_a") + F.col("n_b")).select("a", "b"))
+    both = sides(near, fetched(_both_ends(near), classes, docs, whole=False))
+    both = tables.keep(both.where(F.arrays_overlap("b_tokens_a", "b_tokens_b") & F.arrays_overlap("c_tokens_a", "c_tokens_b")).select("a", "b"))
+    tables.drop(near)
+    shared, total = F.size(F.array_intersect("tokens_a", "tokens_b")), F.size("tokens_a") + F.size("tokens_b")
+    links = tables.keep(sides(both, fetched(_both_ends(both), classes, docs, whole=True)).where(100 * shared >= 75 * (total - shared)).select("a", "b"))
+    tables.drop(both)
+    return links
 
 
 def _differing(x, y):
@@ -174,21 +239,13 @@ def _differing(x, y):
     return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
 
 
-def _folded(bits: str):
-    """A parity bitmap folded to FOLDED * 64 bits at most."""
-    part = lambda i: F.slice(bits, i * FOLDED + 1, F.lit(FOLDED))
-    fold = F.aggregate(F.sequence(F.lit(1), (F.size(bits) / FOLDED).cast("int") - 1), part(F.lit(0)), lambda x, i: F.zip_with(x, part(i), lambda p, q: p.bitwiseXOR(q)))
-    return F.when(F.size(bits) > FOLDED, fold).otherwise(F.col(bits))
-
-
 def _bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(1 << BITMAP_BITS))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """(v, c): the least vertex c that v is connected with, for the vertices of edges (a, b); by large and small stars."""
-    flat = F.when(F.col("a") != F.col("b"), 0)
-    edges = cut_lineage(edges.where(flat.isNotNull()).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = tables.keep(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         both = edges.union(edges.select("b", "a"))
@@ -196,7 +253,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = cut_lineage(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").union(least.select("a", F.col("m").alias("b"))).distinct())
+        last, edges = edges, tables.keep(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").union(least.select("a", F.col("m").alias("b"))).distinct())
+        tables.drop(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
@@ -204,37 +262,34 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _possible(n, pos, m, at):
-    """Whether sets of n and m tokens that share the pos-th and the at-th of order A can be similar, by their sizes and by how many can come before and after."""
+    """Whether similar sets of n and m tokens can have their first common token under A at these positions: all that they share comes from there on."""
     n, pos, m, at = map(F.col, (n, pos, m, at))
-    return (F.least(n, m) * 4 >= F.greatest(n, m) * 3) & ((F.least(pos, at) + F.least(n - pos, m - at)) * 7 >= (n + m) * 3)
+    return (F.least(n, m) * 4 >= F.greatest(n, m) * 3) & ((F.least(n - pos, m - at) + 1) * 7 >= (n + m) * 3)
 
 
 def link(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id)."""
+    """(doc_id, n_shingles, component_id). doc_id may be of any type that has an order."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    tables = Tables(spark)
     docs = docs.select("doc_id", "text", _bit("doc_id").alias("p"))
-    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, bits array<bigint>, chunk int, counts binary"))
-    rows = signed.where("chunk is null").select("doc_id", "n", "sig", "bits")
-    parts = signed.where("chunk is not null").select("chunk", "counts").repartition(min(SKETCH_CHUNKS, 16), "chunk").mapInArrow(_levels, "chunk int, levels binary")
-    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for r in parts.collect():  # 2 ** SKETCH_BITS bytes in all
-        size = len(levels) // SKETCH_CHUNKS
-        levels[r.chunk * size : (r.chunk + 1) * size] = np.frombuffer(bytes(r.levels), np.uint8)
-    classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
-    classes = cut_lineage(classes)
-
-    tokens = docs.where("text is not null").select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels)), "token bigint, sig bigint, at bigint")
-    of = Window.partitionBy("token")
-    shared = tokens.withColumn("lo", F.min("sig").over(of)).withColumn("hi", F.max("sig").over(of)).where("lo != hi")
-    shared = shared.select("token", "sig", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos"))
-    shared = shared.withColumn("lead", F.min(F.struct("pos", "sig", "n")).over(of)).withColumn("k", F.count("*").over(of))
-    shared = cut_lineage(shared.dropDuplicates(["token", "sig"]))
+    signed = tables.keep(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, bits array<bigint>, folded array<bigint>, firsts binary"))
+    rows = signed.select("doc_id", "n", "sig")
+    classes = tables.keep(signed.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("folded").alias("folded")))
+
+    n_groups = 1 + (signed.agg(F.sum(F.length("firsts"))).first()[0] or 0) // (TOKEN_BYTES * GROUP)
+    grouped = signed.where("firsts is not null").select(F.pmod(F.xxhash64("sig"), F.lit(n_groups)).alias("grp"), "sig", "n", "firsts").groupBy("grp")
+    replies = grouped.applyInArrow(_to_buckets(n_groups), "grp bigint, bucket bigint, tokens binary, counts binary").groupBy("bucket").applyInArrow(_levels, "grp bigint, bucket bigint, levels binary")
+    of_token = tables.keep(grouped.cogroup(replies.groupBy("grp")).applyInArrow(_entries(n_groups), "token bigint, sig bigint, n int, pos int"))
+    lead = of_token.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"), F.min(F.struct("pos", "sig", "n")).alias("lead"), F.count("*").alias("k"))
+    lead = lead.where("lo != hi").select("token", "k", *(F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("pos", "sig", "n")))
+    near = tables.keep(of_token.join(lead, "token").where("sig != lead_sig"))
+    tables.drop(of_token)
 
     # round one: each class with the leads of its rarest and of its commonest shared token
-    near = shared.where("sig != lead.sig").where(_possible("n", "pos", "lead.n", "lead.pos")).withColumn("lo", F.col("lead.sig"))
-    firsts = near.groupBy(F.col("sig").alias("b")).agg(F.array_distinct(F.array(F.min_by("lo", "pos"), F.min_by("lo", F.struct(-F.col("k"), "pos")))).alias("as"))
-    firsts = cut_lineage(firsts.select(F.explode("as").alias("a"), "b"))
-    connected = components(verified(firsts, classes, docs))
+    may = near.where(_possible("n", "pos", "lead_n", "lead_pos"))
+    firsts = may.groupBy(F.col("sig").alias("b")).agg(F.array_distinct(F.array(F.min_by("lead_sig", "pos"), F.min_by("lead_sig", F.struct(-F.col("k"), "pos")))).alias("as"))
+    firsts = tables.keep(firsts.select(F.explode("as").alias("a"), "b"))
+    connected = components(verified(firsts, classes, docs, tables), tables)
 
     def labelled(rows: DataFrame, of_: str, name: str) -> DataFrame:
         return rows.join(connected.select(F.col("v").alias(of_), F.col("c").alias(name)), of_, "left").withColumn(name, F.coalesce(name, of_))
@@ -242,29 +297,41 @@ def link(docs: DataFrame) -> DataFrame:
     def with_links(more: DataFrame) -> DataFrame:
         """The components with more links: those between the same two components count once."""
         ends = labelled(labelled(more, "a", "c"), "b", "d").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-        return components(connected.select(F.col("v").alias("a"), F.col("c").alias("b")).union(ends))
+        new = components(connected.select(F.col("v").alias("a"), F.col("c").alias("b")).union(ends), tables)
+        tables.drop(connected, more)
+        return new
 
     # round two: with the leads of its other tokens, where they are not connected yet
-    stars = labelled(labelled(near.select("lo", "sig").distinct(), "sig", "c"), "lo", "d").where("c != d").select(F.col("lo").alias("a"), F.col("sig").alias("b"))
-    more = cut_lineage(verified(cut_lineage(stars.join(firsts, ["a", "b"], "left_anti")), classes, docs))
+    stars = labelled(labelled(may.select("lead_sig", "sig").distinct(), "sig", "c"), "lead_sig", "d").where("c != d").select(F.col("lead_sig").alias("a"), F.col("sig").alias("b"))
+    more = verified(stars.join(firsts, ["a", "b"], "left_anti"), classes, docs, tables)
     if not more.isEmpty():
         connected = with_links(more)
-
-    # round three: pairs of one token that are not connected yet
-    at = labelled(shared.where("sig != lead.sig").drop("lead", "k"), "sig", "c")
-    at = at.withColumn("c_lo", F.min("c").over(of)).withColumn("c_hi", F.max("c").over(of)).where("c_lo != c_hi").drop("c_lo", "c_hi")
-    at = cut_lineage(at.join(classes.select("sig", _folded("bits").alias("bits")), "sig"))
-    x, y = at.alias("x"), at.alias("y")
-    apart = (F.col("x.c") < F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos") & (_differing(F.col("x.bits"), F.col("y.bits")) * 7 <= F.col("x.n") + F.col("y.n"))
-    rest = cut_lineage(x.join(y, (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())
-    if not rest.isEmpty():
-        more = cut_lineage(verified(rest, classes, docs))
+    tables.drop(firsts)
+
+    # round three: pairs of one token that are not connected yet; leads have been compared with all
+    at = tables.keep(labelled(near.select("token", "sig", "n", "pos"), "sig", "c"))
+    tables.drop(near)
+    open_ = at.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("token")
+    left = tables.keep(at.join(open_, "token").join(classes.select("sig", "folded"), "sig"))
+    tables.drop(at)
+    size = F.floor(F.log(F.col("n") + 0.5) / F.log(F.lit(4 / 3)))  # similar sets are at most one step apart
+    y = left.withColumn("size", size).alias("y")
+    x = left.withColumn("size", F.explode(F.array(size, size + 1))).withColumn("up", F.col("size") - size).alias("x")
+    ordered = (F.col("up") == 1) | (F.col("x.c") < F.col("y.c"))
+    differing = sum(F.bit_count(F.get("x.folded", F.lit(i)).bitwiseXOR(F.get("y.folded", F.lit(i)))) for i in range(FOLDED))
+    apart = ordered & (F.col("x.c") != F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos") & (differing * 7 <= F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.size") == F.col("y.size")) & apart)
+    pairs = tables.keep(pairs.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct())
+    tables.drop(left)
+    if not pairs.isEmpty():
+        more = verified(pairs, classes, docs, tables)
         if not more.isEmpty():
             connected = with_links(more)
+    tables.drop(pairs)
 
     known = classes.join(connected.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     known = known.join(known.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("sig", "n", "component_id")
-    out = rows.drop("bits").join(known, ["sig", "n"], "left")
+    out = rows.join(known, ["sig", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
