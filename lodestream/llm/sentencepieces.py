@@ -8,14 +8,17 @@ Where no piece has a space mark after another character, a text's best segmentat
 each distinct word is searched once, thousands side by side as rows of an array. Texts of more than GIANT characters are
 cut into chunks of CHUNK that different tasks can take. A chunk yields a max-plus transfer matrix: entry [e, x] is the best
 score of going from e characters into the chunk (where a piece from the chunk before ended) to x characters into the next.
-Matrices are combined associatively by a scan; the scan's argmax gives each chunk's own entry and exit, from which it is
-backtraced independently. Characters that no piece holds become their UTF-8 bytes' pieces.
+Matrices are combined associatively, in segments and then within each; the argmax at a chunk's borders gives its own entry
+and exit, from which it is backtraced independently. A text's matrices take less memory than the text: 2 KB for CHUNK
+characters. Characters that no piece holds become their UTF-8 bytes' pieces.
+
+Of equally good segmentations the one with the longest last piece counts, then with the longest last but one, and so on.
+Matrices carry, below the score, each entry's rank by this rule, so the ids are the same wherever a text is cut.
 
 Decoding joins the pieces' bytes. It returns the text, but for U+2581, which the model cannot tell from a space.
 
-Nulls and edge cases: a null text gives null ids and an empty one no ids, and so back. Equally good segmentations are
-resolved alike for equal texts. Rows that repeat give equal rows; equal ids with different texts stay apart. Other columns
-are kept by `encode` and `decode`.
+Nulls and edge cases: a null text gives null ids and an empty one no ids, and so back. Rows that repeat give equal rows;
+equal ids with different texts stay apart. Other columns are kept by `encode` and `decode`.
 """
 
 from __future__ import annotations
@@ -28,10 +31,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm.common import blocks, mix, table
+from lodestream.llm.common import Tables, blocks, mix, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-GIANT, CHUNK = 65_536, 1024
+GIANT, CHUNK, SEGMENT = 65_536, 4096, 256
 CACHE = 150_000
 MARK = "▁"
 NONE = -(1 << 60)
@@ -231,18 +234,25 @@ def scan(matrices: np.ndarray) -> np.ndarray:
 
 
 def transfers(model: Model, chunks: list[str], sizes: list[int]) -> np.ndarray:
-    """[chunk, entry, exit]; chunks come with longest - 1 characters of what follows, sizes without."""
+    """[chunk, entry, exit]; chunks come with longest - 1 characters of what follows, sizes without. The low bits rank the entries of an exit by the tie rule."""
     n, width = model.longest, max(sizes)
     _, scores = model.lattice(coded(chunks), width, n)
-    scores = np.ascontiguousarray(scores.transpose(0, 2, 1)) & ~(LOW - 1)
+    scores = np.ascontiguousarray(scores.transpose(0, 2, 1))
     best = np.full((len(chunks), n, width + 2 * n), NONE)
     best[:, range(n), range(n)] = 0
-    live = np.array(sizes)
-    for at in range(width):
-        here = np.where((at < live)[:, None], best[:, :, at], NONE)
-        ahead = best[:, :, at + 1 : at + n + 1]
-        np.maximum(ahead, here[:, :, None] + scores[at][:, None, :], out=ahead)
-    return np.maximum(np.stack([best[i, :, s : s + n] for i, s in enumerate(sizes)]), NONE)
+    ranks = np.zeros((width + n, len(chunks), n), np.int8)
+    live, of_chunk, entries = np.array(sizes)[:, None], np.arange(len(chunks))[:, None], np.arange(n)[None, :]
+    for at in range(width + n):
+        last = best[:, :, at] & (LOW - 1)  # the last piece's length; what a piece of the chunk before brings is longer than any
+        if at:
+            order = np.argsort(last * LOW + ranks[at - last, of_chunk, entries] + (entries == at) * (LOW * LOW), axis=1)
+            np.put_along_axis(ranks[at], order, entries.astype(np.int8), axis=1)
+        if at < width:
+            here = np.where(at < live, best[:, :, at] & -LOW, NONE)
+            ahead = best[:, :, at + 1 : at + n + 1]
+            np.maximum(ahead, here[:, :, None] + scores[at][:, None, :], out=ahead)
+    out = np.stack([(best[i, :, s : s + n] & -LOW) | ranks[s : s + n, i].T for i, s in enumerate(sizes)])
+    return np.where(out < NONE // 2, NONE, out)
 
 
 def backtrace(model: Model, chunk: str, entry: int, leave: int, size: int) -> bytes:
@@ -266,15 +276,29 @@ def backtrace(model: Model, chunk: str, entry: int, leave: int, size: int) -> by
 
 def boundary_states(matrices: np.ndarray) -> list[tuple[int, int]]:
     """Entry and exit of each chunk on the best path that starts at 0 and ends at the end."""
-    prefix, out, leave = scan(matrices), [], 0
-    for i in range(len(matrices) - 1, -1, -1):
-        before = prefix[i - 1][0] if i else np.where(np.arange(len(matrices[0])) == 0, 0, NONE)
-        entry = int((before + matrices[i][:, leave]).argmax())
+    scores = matrices & -LOW
+    parts = [scores[i : i + SEGMENT] for i in range(0, len(scores), SEGMENT)]
+    start = np.where(np.arange(scores.shape[1]) == 0, 0, NONE)
+    wholes = scan(np.stack([product(x) for x in parts]))
+    arrived, out, leave = [], [], 0  # the best scores of coming to each entry of each chunk
+    for x, before in zip(parts, [start, *(w[0] for w in wholes[:-1])]):
+        inner = scan(x[:-1]) if len(x) > 1 else x[:0]
+        arrived += [before, *np.maximum((before[None, :, None] + inner).max(axis=1), NONE)]
+    for before, m in zip(arrived[::-1], matrices[::-1]):
+        entry = int((before + m[:, leave]).argmax())
         out.append((entry, leave))
         leave = entry
     return out[::-1]
 
 
+def product(matrices: np.ndarray) -> np.ndarray:
+    """The max-plus product of a stack of matrices, pairwise by levels."""
+    while len(matrices) > 1:
+        pairs = np.maximum(maxplus(matrices[: len(matrices) // 2 * 2 : 2], matrices[1::2]), NONE)
+        matrices = np.concatenate([pairs, matrices[-1:]]) if len(matrices) % 2 else pairs
+    return matrices[0]
+
+
 LIST = pa.list_(pa.int32())
 
 
@@ -296,11 +320,26 @@ def _encode_words(model):
     return run
 
 
+def _cut(prefix: str, chunk: int, ahead: int):
+    """Chunks of a text, each with what `ahead` characters follow; in batches of few."""
+
+    def run(batches):
+        for batch in blocks(batches, "text"):
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                text = prefix + text.replace(" ", MARK)
+                for first in range(0, len(text), 64 * chunk):
+                    at = range(first, min(len(text), first + 64 * chunk), chunk)
+                    columns = [pa.array([key] * len(at)), pa.array([i // chunk for i in at], pa.int32()), pa.array([min(chunk, len(text) - i) for i in at], pa.int32()), pa.array([text[i : i + chunk + ahead] for i in at])]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "i", "size", "chunk"])
+
+    return run
+
+
 def _transfers(model):
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
+            for lo in range(0, batch.num_rows, 32):
+                part = batch.slice(lo, 32)
                 t = transfers(model.value, part.column("chunk").to_pylist(), part.column("size").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("key"), part.column("i"), pa.array([x.tobytes() for x in t], pa.binary())], ["key", "i", "t"])
 
@@ -337,12 +376,11 @@ def encode(docs: DataFrame, model, giant: int = GIANT, chunk: int = CHUNK) -> Da
     large = F.coalesce(F.char_length("text") > giant, F.lit(False))
     row = rows.schema["row"].dataType.simpleString()
     few = rows.where(~large).mapInArrow(_encode_words(model), f"row {row}, ids array<int>")
-    # giants: rows of equal key are equal rows and share their chunks
-    giants = rows.where(large).withColumn("key", F.sha2(F.concat_ws("\n", F.to_json("row"), "text"), 256))
-    text = F.concat(F.lit(m.prefix), F.replace("text", F.lit(" "), F.lit(MARK)))
-    chunks = giants.dropDuplicates(["key"]).select("key", text.alias("text")).select("key", "text", F.explode(F.sequence(F.lit(0), ((F.char_length("text") - 1) / chunk).cast("int"))).alias("i"))
-    size = F.least(F.lit(chunk), F.char_length("text") - F.col("i") * chunk)
-    chunks = chunks.select("key", "i", size.alias("size"), F.substring("text", F.col("i") * chunk + 1, F.lit(chunk + m.longest - 1)).alias("chunk")).repartition("key", "i")
+    # giants: equal texts share their chunks
+    tables = Tables(docs.sparkSession)
+    giants = tables.keep(rows.where(large).withColumn("key", F.sha2("text", 256)))
+    texts = giants.select("key", "text").dropDuplicates(["key"])
+    chunks = tables.keep(texts.mapInArrow(_cut(m.prefix, chunk, m.longest - 1), "key string, i int, size int, chunk string").repartition("key", "i"))
     matrices = chunks.mapInArrow(_transfers(model), "key string, i int, t binary")
     states = matrices.groupBy("key").applyInArrow(_states, "key string, i int, entry int, leave int")
     traced = chunks.join(states, ["key", "i"]).mapInArrow(_backtraced(model), "key string, i int, ids array<int>")
