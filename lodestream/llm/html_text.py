@@ -5,7 +5,10 @@ around paragraphs, headings, lists and tables, one line for other blocks, marker
 cells padded to the width of their column. Pages are independent, so one pass over the table with no shuffle does it.
 
 Nulls and edge cases: a null page gives null text, an empty one an empty text. Broken markup (open tags, stray end tags, a
-page cut off anywhere) is rendered as far as it goes. Rows that repeat are rendered alike. Other columns are kept.
+page cut off anywhere) is rendered as far as it goes; a quote that is never closed belongs to its tag's attributes as any
+other character. Cells under a rowspan or colspan are empty cells. Columns are padded to their widest cell of up to WIDEST
+characters; longer cells stick out. Indentation stops at DEEPEST characters. Time and memory follow the page's size. Rows
+that repeat are rendered alike. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -29,9 +32,23 @@ LISTS = {"ul", "ol", "menu", "dir"}
 CLOSED_BY = {"li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "caption"}, {"table"}), "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"})}
 P_SCOPE = {"td", "th", "caption", "button", "table"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+ATTR = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|(?![\"'])([^\s>]*+)))?")
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?]|/[^a-zA-Z])[^>]*+>?", re.S)
 SPACE = re.compile(r"[ \t\n\r\f]+")
+WIDEST, DEEPEST = 120, 120
+
+
+def unescape(text: str) -> str:
+    if "&#" in text:  # numbers too long to be a character's
+        text = re.sub(r"&#(?:\d{8,}|[xX][0-9a-fA-F]{8,});?", "\ufffd", re.sub(r"&#([xX]?)0+(?=[0-9a-fA-F])", r"&#\1", text))
+    return html.unescape(text) if "&" in text else text
+
+
+def number(text: str, most: int) -> int:
+    """The number a text begins with, 1 if none, at most `most`."""
+    digits = re.match(r"\s*0*([0-9]*)", text)[1]
+    return most if len(digits) > 9 else min(int(digits or "1"), most)
 
 
 class Node:
@@ -41,54 +58,93 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+class Stack:
+    """The open elements, and where those of each tag and the blocks among them are."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks = [root], {}, []
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def pop_to(self, n: int) -> None:
+        for node in self.nodes[n:]:
+            self.at[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+        del self.nodes[n:]
+
+    def last(self, tags: set[str]) -> int:
+        if tags is BLOCK:
+            return self.blocks[-1] if self.blocks else 0
+        return max((at[-1] for t in tags if (at := self.at.get(t))), default=0)
+
+    def close(self, tags: set[str], until: set[str]) -> None:
+        """Up to the innermost element of `tags`, if none of `until` is within it."""
+        if (n := self.last(tags)) and n >= self.last(until):
+            self.pop_to(n)
+
+
 def parse(source: str) -> Node:
     root = Node("html", {})
-    stack, done = [root], 0
-
-    def close(tags: set[str], until: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in until:
-                return
-
-    while done < len(source):
-        m = TOKEN.search(source, done)
-        text = source[done : m.start() if m else len(source)]
-        if text:
-            stack[-1].children.append(html.unescape(text) if "&" in text else text)
+    stack, done, size, quotes = Stack(root), 0, len(source), True
+    while done < size:
+        at = source.find("<", done)
+        m = None
+        while at >= 0 and not (m := TAG.match(source, at) or COMMENT.match(source, at)):
+            at = source.find("<", at + 1)
+        if text := source[done : at if m else size]:
+            stack.nodes[-1].children.append(unescape(text))
         if not m:
             break
         done = m.end()
-        tag = (m[2] or "").lower()
-        if not tag or tag == "html":
+        if m.re is COMMENT:
+            continue
+        tag, attrs, first = m[2].lower(), {}, source.find(">", done)
+        if first < 0:  # cut off: shown as it is
+            stack.nodes[-1].children.append(unescape(source[at:]))
+            break
+        stop = size if quotes else first
+        while done < stop and source[done] != ">" and (a := ATTR.match(source, done, stop)):
+            attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
+            done = a.end()
+        end = source.find(">", done)
+        if end < 0:  # the last ends of tags are within quotes: from here on quotes don't count
+            quotes, end = False, first
+        closed, done = source[end - 1] == "/", end + 1
+        if tag == "html":
             continue
         if m[1]:
             if tag in BLOCK or tag in HIDDEN or tag in FOREIGN or tag == "select":
-                close({tag}, {"table"} if tag not in ("table", "body") and tag != "div" else set())
+                stack.close({tag}, {"table"} if tag not in ("table", "body", "div") else set())
             else:
-                close({tag}, BLOCK)
+                stack.close({tag}, BLOCK)
+            continue
+        if tag == "select" and stack.at.get("select"):  # within another it ends that one
+            stack.close({"select"}, set())
             continue
-        attrs = {a[0].lower(): html.unescape(a[1] or a[2] or a[3]) for a in ATTR.findall(m[3])} if m[3].strip(" /") else {}
         if tag in BLOCK:
-            if stack[-1].tag == "head":
-                stack.pop()
-            close({"p"}, P_SCOPE)
+            if stack.nodes[-1].tag == "head":
+                stack.pop_to(len(stack.nodes) - 1)
+            stack.close({"p"}, P_SCOPE)
         if tag in CLOSED_BY:
-            close(*CLOSED_BY[tag])
-        if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
-            stack.append(Node("tr", {}))
-            stack[-2].children.append(stack[-1])
+            stack.close(*CLOSED_BY[tag])
+        if tag in ("td", "th") and stack.nodes[-1].tag in ("table", "thead", "tbody", "tfoot"):
+            row = Node("tr", {})
+            stack.nodes[-1].children.append(row)
+            stack.push(row)
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, done)
-            body = source[done : end.start() if end else len(source)]
-            node.children.append(html.unescape(body) if tag == "textarea" else body)
-            done = end.end() if end else len(source)
-        elif tag not in VOID and not (m[3].endswith("/") and any(n.tag in FOREIGN for n in stack)):
-            stack.append(node)
+            end = re.compile(rf"</{tag}\b[^>]*+>?", re.I).search(source, done)
+            body = source[done : end.start() if end else size]
+            node.children.append(unescape(body) if tag == "textarea" else body)
+            done = end.end() if end else size
+        elif tag not in VOID and not (closed and (tag in FOREIGN or stack.last(FOREIGN))):
+            stack.push(node)
     return root
 
 
@@ -125,7 +181,7 @@ class Out:
         if self.parts:
             self.parts.append("\n" * self.gap)
         if self.gap or not self.parts:
-            self.parts.append(self.prefix[: len(self.prefix) - len(self.mark)] + self.mark)
+            self.parts.append(self.prefix[: max(len(self.prefix) - len(self.mark), 0)] + self.mark)
             self.mark, self.space = "", False
         self.gap = 0
 
@@ -149,6 +205,12 @@ class Out:
             self.parts.append(line.rstrip())
         self.block(1)
 
+    def indent(self, n: int) -> int:
+        """How far it went in."""
+        n = n if len(self.prefix) + n <= DEEPEST else 0
+        self.prefix += " " * n
+        return n
+
     def br(self) -> None:
         if self.gap or not self.parts:
             self._start()
@@ -161,7 +223,10 @@ class Out:
 def aligned(rows: list[list[str]]) -> list[str]:
     """Cells padded to their columns' widths; a cell of several lines takes several."""
     cells = [[c.split("\n") for c in row] for row in rows]
-    widths = [max((len(line) for row in cells if i < len(row) for line in row[i]), default=0) for i in range(max(map(len, cells), default=0))]
+    widths = [0] * max(map(len, cells), default=0)
+    for row in cells:
+        for i, cell in enumerate(row):
+            widths[i] = max(widths[i], *(len(line) for line in cell if len(line) <= WIDEST), 0)
     return ["  ".join((c[j] if j < len(c) else "").ljust(w) for c, w in zip(row, widths)) for row in cells for j in range(max(map(len, row), default=0))]
 
 
@@ -173,11 +238,27 @@ def visible(node: Node, shown: bool) -> tuple[bool, bool]:
     return True, False if "visibility:hidden" in style or "visibility:collapse" in style else True if "visibility:visible" in style else shown
 
 
+class Grid:
+    """A table's rows, and up to which row each column is taken by a cell above."""
+
+    def __init__(self):
+        self.rows: list[list[str]] = []
+        self.taken: dict[int, int] = {}
+
+    def put(self, row: int, text: str, across: int, down: int) -> None:
+        cells = self.rows[row]
+        while self.taken.get(len(cells), 0) > row:
+            cells.append("")
+        if down > 1:
+            self.taken.update((len(cells) + i, row + down) for i in range(across))
+        cells += [text] + [""] * (across - 1)
+
+
 def render(source: str) -> str:
     outs, lists, tables = [Out()], [], []
     todo: list = [("in", parse(source), True, False)]
     while todo:
-        step, node, shown, pre = todo.pop()
+        step, node, shown, pre = todo.pop()  # on the way out, pre: what the way in has left
         out = outs[-1]
         if isinstance(node, str):
             if shown and pre:
@@ -209,44 +290,45 @@ def render(source: str) -> str:
                 continue
             if gap and tag not in ("td", "th"):
                 out.block(gap)
+            left = None
             if tag in LISTS:
-                lists.append([tag == "ol", int(node.attrs.get("start", "1")) if node.attrs.get("start", "1").isdecimal() else 1])
+                lists.append([tag == "ol", number(node.attrs.get("start", "1"), 10**9)])
             elif tag == "li":
                 of = lists[-1] if lists else [False, 1]
-                mark = f"{of[1]}. " if of[0] else "- "
+                out.mark = f"{of[1]}. " if of[0] else "- "
                 of[1] += 1
-                out.prefix += " " * len(mark)
-                out.mark = mark
+                left = out.indent(len(out.mark))
             elif tag in ("dd", "blockquote"):
-                out.prefix += "  "
+                left = out.indent(2)
             elif tag == "table":
-                tables.append([])
+                tables.append(Grid())
             elif tag == "tr" and tables:
-                tables[-1].append([])
-            elif tag in ("td", "th") and tables and tables[-1]:
+                tables[-1].rows.append([])
+            elif tag in ("td", "th") and tables and tables[-1].rows:
+                left = (tables[-1], len(tables[-1].rows) - 1)
                 outs.append(Out())
                 lists.append([False, 1])
-            todo.append(("out", node, shown, len(mark) if tag == "li" else 0))
+            todo.append(("out", node, shown, left))
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             inner = pre or tag in ("pre", "textarea")
             todo += [("in", c, shown, inner) for c in reversed(children)]
             continue
+        left = pre
         if tag in LISTS:
             lists.pop()
-        elif tag == "li":
-            out.prefix, out.mark = out.prefix[: len(out.prefix) - pre], ""
-        elif tag in ("dd", "blockquote"):
-            out.prefix = out.prefix[:-2]
+        elif left and tag in ("li", "dd", "blockquote"):
+            out.prefix = out.prefix[:-left]
         elif tag == "table":
-            out.lines(aligned(tables.pop()))
-        elif tag in ("td", "th") and tables and tables[-1]:
+            out.lines(aligned(tables.pop().rows))
+        elif left:
             lists.pop()
-            tables[-1][-1].append(outs.pop().value())
-            span = node.attrs.get("colspan", "1")
-            tables[-1][-1] += [""] * (min(int(span), 1000) - 1 if span.isdecimal() else 0)
+            grid, row = left
+            grid.put(row, outs.pop().value(), number(node.attrs.get("colspan", "1"), 1000) or 1, number(node.attrs.get("rowspan", "1"), 65534) or 65534)
             continue
+        if tag == "li":
+            out.mark = ""
         if gap:
             out.block(gap)
     return outs[0].value()
