@@ -1,8 +1,11 @@
 """Benchmark decontamination by winnowing.
 
-A window of SPAN words holds SPAN - K + 1 k-grams; the smallest of their hashes is its fingerprint. Equal windows have equal
-fingerprints, so a join of training and test fingerprints finds every shared span of SPAN words or more, and hits that
-follow each other extend to the whole shared span. Items of fewer words are one window with a k-gram of all their words.
+A window of SPAN words holds SPAN - K + 1 k-grams; the one with the least hash, the first of equal ones, is selected. Windows
+that follow each other mostly select the same k-gram, which is kept once, with its position. Equal windows select the same
+k-gram of theirs, so a join of training and test fingerprints meets every shared span of SPAN words or more. Each hit is
+extended word by word to both sides, as far as a window that selected it can reach, and counts if SPAN words or more agree;
+the extended hits of a longer shared span overlap and cover it. Items of fewer words are one window, of which the whole must
+agree; its k-gram has all its words if it has fewer than K.
 
 Before the join, a bitmap of fixed size tells which training fingerprints can have a partner. It prunes only: the join
 compares fingerprint and words, so the bitmap's false hits, or a bitmap filled by a huge benchmark, change no result.
@@ -25,34 +28,48 @@ FILTER_BITS = 24
 WORD = byte_class("".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])))
 
 
-def fingerprints(hashes: np.ndarray, n: int) -> np.ndarray:
-    """For each window of n words the least hash of its k-grams."""
+def selected(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the k-grams that windows of n words select, each once, and their fingerprints."""
     g = grams(hashes, min(K, n))
     span = n - min(K, n) + 1
     m = max(len(g) - span + 1, 0)
-    out = g[:m].copy()
+    least, at = g[:m].copy(), np.arange(m)
     for j in range(1, span):
-        np.minimum(out, g[j : j + m], out=out)
-    return out ^ np.uint64(n)
+        less = g[j : j + m] < least
+        least[less], at[less] = g[j : j + m][less], np.flatnonzero(less) + j
+    at = np.unique(at)
+    return at, g[at] ^ np.uint64(n)
 
 
-def _item_windows(batches):
+def _surrounded(words: Words, at: int, n: int, lo: int, hi: int) -> tuple[str, list[str], list[str]]:
+    """A k-gram's text, and the words before it, nearest first, and after it that a window of n words can hold."""
+    k = min(K, n)
+    before = [words.text(i, i + 1) for i in range(at - 1, max(at - (n - k), lo) - 1, -1)]
+    return words.text(at, at + k), before, [words.text(i, i + 1) for i in range(at + k, min(at + n, hi))]
+
+
+STRINGS = pa.list_(pa.string())
+
+
+def _item_fingerprints(batches):
     for batch in blocks(batches, "text"):
         words, ids = Words(batch.column("text"), WORD), batch.column("item_id")
         rows: list[tuple] = []
-        for i, (lo, hi) in enumerate(zip(words.bounds[:-1], words.bounds[1:])):
+        for i, (lo, hi) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
             if hi > lo:
                 n = min(SPAN, hi - lo)
-                f = fingerprints(words.hashes[lo:hi], int(n)).view(np.int64)
-                rows += [(i, int(f[j]), int(n), words.text(lo + j, lo + j + n)) for j in range(len(f))]
-        at, f, n, win = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())).cast(pa.string()), pa.array(f, pa.int64()), pa.array(n, pa.int32()), pa.array(win, pa.string())], ["item", "f", "n", "win"])
+                at, f = selected(words.hashes[lo:hi], n)
+                rows += [(i, v, n, *_surrounded(words, lo + j, n, lo, hi)) for j, v in zip(at.tolist(), f.view(np.int64).tolist())]
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), STRINGS, STRINGS)
+        at, *rest = (pa.array(c, t) for c, t in zip(columns, kinds))
+        yield pa.RecordBatch.from_arrays([ids.take(at).cast(pa.string()), *rest], ["item", "f", "n", "gram", "before", "after"])
 
 
-def item_windows(items: DataFrame) -> DataFrame:
-    """(item, f, n, win): the windows of each item."""
+def item_fingerprints(items: DataFrame) -> DataFrame:
+    """(item, f, n, gram, before, after): the selected k-grams of each item."""
     kept = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
-    return kept.mapInArrow(_item_windows, "item string, f bigint, n int, win string").distinct()
+    return kept.mapInArrow(_item_fingerprints, "item string, f bigint, n int, gram string, before array<string>, after array<string>").distinct()
 
 
 def _candidates(bitmap, lengths: list[int]):
@@ -60,42 +77,53 @@ def _candidates(bitmap, lengths: list[int]):
         for batch in blocks(batches, "text"):
             words = Words(batch.column("text"), WORD)
             bounds = words.bounds
-            rows: list[tuple[int, int, int, int, str]] = []
+            rows: list[tuple] = []
             for n in lengths:
-                f = fingerprints(words.hashes, n)
-                at = np.flatnonzero(in_bitmap(bitmap.value, f >> np.uint64(64 - FILTER_BITS)))
+                at, f = selected(words.hashes, n)
+                there = in_bitmap(bitmap.value, f >> np.uint64(64 - FILTER_BITS))
+                at, f = at[there], f[there].view(np.int64)
                 doc = np.searchsorted(bounds, at, "right") - 1
-                ok = at + n <= bounds[doc + 1]
-                rows += [(d, p, n, v, words.text(p, p + n)) for d, p, v in zip(doc[ok].tolist(), at[ok].tolist(), f[at[ok]].view(np.int64).tolist())]
+                ok = at + min(K, n) <= bounds[doc + 1]
+                rows += [(d, p - int(bounds[d]), n, v, *_surrounded(words, p, n, int(bounds[d]), int(bounds[d + 1]))) for d, p, v in zip(doc[ok].tolist(), at[ok].tolist(), f[ok].tolist())]
             without = np.setdiff1d(np.arange(batch.num_rows), [r[0] for r in rows]).tolist()
-            counts = np.diff(bounds)
-            docs = [r[0] for r in rows] + without
-            none = [None] * len(without)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid").take(pa.array(docs, pa.int64())), batch.column("doc_id").take(pa.array(docs, pa.int64())), pa.array(counts[np.array(docs, np.int64)], pa.int64()),
-                 pa.array([r[1] - int(bounds[r[0]]) for r in rows] + none, pa.int32()), pa.array([r[2] for r in rows] + none, pa.int32()), pa.array([r[3] for r in rows] + none, pa.int64()), pa.array([r[4] for r in rows] + none, pa.string())],
-                ["rid", "doc_id", "n_words", "start", "n", "f", "win"],
-            )
+            docs, *rest = zip(*rows, *((d, None, None, None, None, None, None) for d in without))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), STRINGS, STRINGS)
+            counts, docs = np.diff(bounds), np.array(docs, np.int64)
+            columns = [batch.column("rid").take(pa.array(docs)), batch.column("doc_id").take(pa.array(docs)), pa.array(counts[docs], pa.int64()), *(pa.array(c, t) for c, t in zip(rest, kinds))]
+            yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "n_words", "at", "n", "f", "gram", "before", "after"])
 
     return scan
 
 
+def _agreeing(x: str, y: str):
+    """How many first words of two arrays are equal."""
+    same = F.zip_with(x, y, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    first = F.array_position(same, F.lit(False))
+    return F.when(first > 0, first - 1).otherwise(F.size(same)).cast("int")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(rid, doc_id, n_words, n_hit, items, contaminated) for each document; items: sorted ids, as strings, with a window in it."""
     spark = docs.sparkSession
-    windows = item_windows(items)
-    lengths = [r.n for r in windows.select("n").distinct().collect()]  # at most SPAN of them
+    prints = item_fingerprints(items)
+    lengths = [r.n for r in prints.select("n").distinct().collect()]  # at most SPAN of them
     bits = F.shiftrightunsigned("f", 64 - FILTER_BITS)
-    bitmap = spark.sparkContext.broadcast(fixed_bitmap(windows.select(bits.alias("p")), FILTER_BITS))
+    bitmap = spark.sparkContext.broadcast(fixed_bitmap(prints.select(bits.alias("p")), FILTER_BITS))
     docs = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    found = docs.mapInArrow(_candidates(bitmap, lengths), f"rid bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, start int, n int, f bigint, win string")
-    # rows without a window get keys of their own, which match nothing and spread over the tasks
-    found = found.withColumn("f", F.coalesce("f", "rid")).withColumn("win", F.coalesce("win", F.concat(F.lit("\n"), F.col("rid").cast("string"))))
-    hits = found.join(windows.drop("n"), ["f", "win"], "left").groupBy("rid").agg(
+    found = docs.mapInArrow(_candidates(bitmap, lengths), f"rid bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, at int, n int, f bigint, gram string, before array<string>, after array<string>")
+    # rows without a fingerprint get keys of their own, which match nothing and spread over the tasks
+    found = found.withColumn("f", F.coalesce("f", "rid")).withColumn("gram", F.coalesce("gram", F.concat(F.lit("\n"), F.col("rid").cast("string"))))
+    theirs = prints.select("item", "f", "gram", F.col("before").alias("item_before"), F.col("after").alias("item_after"))
+    hits = found.join(theirs, ["f", "gram"], "left")
+    k = F.least(F.lit(K), F.col("n"))
+    hits = hits.withColumn("left_", _agreeing("before", "item_before")).withColumn("right_", _agreeing("after", "item_after"))
+    hits = hits.withColumn("hit", F.coalesce(F.col("item").isNotNull() & (F.col("left_") + k + F.col("right_") >= F.col("n")), F.lit(False)))
+    span = F.struct((F.col("at") - F.col("left_")).alias("start"), (F.col("at") + k + F.col("right_")).alias("end"))
+    hits = hits.groupBy("rid").agg(
         F.first("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.collect_set(F.when(F.col("item").isNotNull(), F.struct("start", (F.col("start") + F.col("n")).alias("end"))))).alias("spans"),
-        F.array_sort(F.collect_set("item")).alias("items"),
+        F.array_sort(F.collect_set(F.when(F.col("hit"), span))).alias("spans"),
+        F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("item")))).alias("items"),
     )
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).alias("to"), F.lit(0).cast("bigint").alias("n")),
