@@ -3,7 +3,8 @@
 The documents' lines are an alphabet of ids, the ids in order a text, and its suffixes are sorted by distributed prefix
 doubling: after round r suffixes are ranked by their first 2**r lines, and the rank pair at i and i + 2**r gives the next
 rank. Suffixes whose rank nobody shares are done and leave, so a round handles only lines that still repeat. Ranks are
-dealt by a range sort of the distinct pairs, not by one task.
+dealt by a range sort of the distinct pairs, not by one task, and the ranks of the commonest lines and runs, under a thousand,
+are broadcast, so no task gets all copies of one.
 
 A repeated run is worth deleting from `min_words` words on. Every line of such a run lies in a shortest window of
 min_words words that opens or closes inside the run, so the LCP intervals at the depths of these windows (suffixes that
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.common import cut_lineage, table
+from lodestream.llm.common import cut_lineage, join_counted, table
 
 MIN_WORDS = 50
 M = 1 << 28  # more than the lines of a document
@@ -49,8 +50,9 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 def _ranked(pairs: DataFrame) -> DataFrame:
     """(k, th, pos, c) for the rows whose pair (a, b) repeats; c is in the order of the pairs."""
     repeated = pairs.groupBy("a", "b").count().where("count > 1")
-    ranks = cut_lineage(repeated.orderBy("a", "b").select("a", "b", F.monotonically_increasing_id().alias("c")))
-    return cut_lineage(pairs.join(ranks, ["a", "b"]).select("k", "th", "pos", "c"))
+    ranks = cut_lineage(repeated.orderBy("a", "b").select("a", "b", F.monotonically_increasing_id().alias("c"), "count"))
+    total = ranks.agg(F.sum("count")).first()[0] or 0
+    return cut_lineage(join_counted(pairs, ranks, ["a", "b"], "count", total).select("k", "th", "pos", "c"))
 
 
 def later_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -78,8 +80,9 @@ def later_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     at = F.struct(F.col("doc_id"), "k", "th", "s")
     found = cut_lineage(found.select("k", "th", "s", "n", "size", "c1", "c2", at.alias("at")))
     interval = ["size", "n", "c1", "c2"]
-    first = found.groupBy(*interval).agg(F.min("at").alias("first"), F.count("*").alias("m")).where("m > 1").drop("m")
-    return found.join(first, interval).where("at != first").select("k", "th", "s", "n")
+    first = cut_lineage(found.groupBy(*interval).agg(F.min("at").alias("first"), F.count("*").alias("m")).where("m > 1"))
+    total = first.agg(F.sum("m")).first()[0] or 0
+    return join_counted(found, first, interval, "m", total).where("at != first").select("k", "th", "s", "n")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
