@@ -74,6 +74,26 @@ def test_jaccard_chain(spark):
     assert got == label
 
 
+def test_jaccard_shared_passages(spark, monkeypatch):
+    """A passage makes up most of many texts, of which few are similar, in one group and in many; brute force over all pairs."""
+    import random
+
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"t{i % 40 if i % 7 else i}x{j}" for j in range(rnd.randrange(8, 20))])) for i in range(150)]
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for group in (1 << 19, 64):
+        monkeypatch.setattr(jaccard_join, "GROUP", group)
+        assert {r.doc_id: r.component_id for r in jaccard_join.link(docs).collect()} == label
+    assert 5 < len(set(label.values())) < 140
+
+
 def test_langid(spark, sf_dir, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs)
@@ -103,19 +123,29 @@ def test_sentencepieces_round_trip(spark, pieces, odd, none):
 
 
 @pytest.mark.parametrize("chunk", [3, 17, 64])
-def test_scan_is_as_good_as_one_search(pieces, chunk):
-    m = pieces.value
-    value = {i: s // sentencepieces.LOW for i, s in zip(m.ids.tolist(), m.scores.tolist()) if i >= 0}
-    for text in ("The quick  brown fox jumps, ----------- über 1234567890 梦梦 \n x", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 5):
+def test_scan_gives_the_same_ids(pieces, chunk, monkeypatch):
+    """Chunked or by words, whatever the chunk, and with many equally good segmentations."""
+    import random
+
+    monkeypatch.setattr(sentencepieces, "SEGMENT", 4)
+    rnd = random.Random(chunk)
+    m, words = pieces.value, ["the", "aaaaaaaaaaaa", "------", "1234567890", "über", "梦梦", "quick", "\n", "", "jumps,", "ababababa"]
+    texts = ["The quick  brown fox jumps, ----------- über 1234567890 梦梦 \n x", "a" * 190, *("".join(rnd.choice("ab -1") for _ in range(150)) for _ in range(20)), *(" ".join(rnd.choices(words, k=40)) for _ in range(20))]
+    for text in texts:
         s = m.prefix + text.replace(" ", sentencepieces.MARK)
         parts, sizes = [s[i : i + chunk + m.longest - 1] for i in range(0, len(s), chunk)], [min(chunk, len(s) - i) for i in range(0, len(s), chunk)]
         states = sentencepieces.boundary_states(sentencepieces.transfers(m, parts, sizes))
         scanned = sentencepieces.data_ids(b"".join(sentencepieces.backtrace(m, p, a, b, n) for p, (a, b), n in zip(parts, states, sizes)))
-        whole = sentencepieces.data_ids(sentencepieces.Encoder(m).encode([text])[0])
-        assert sum(value.get(i, 0) for i in scanned) == sum(value.get(i, 0) for i in whole)
+        assert scanned == sentencepieces.data_ids(sentencepieces.Encoder(m).encode([text])[0])
         assert b"".join(m.bytes[i] for i in scanned)[1:].decode() == text
 
 
+def test_giants_get_the_same_ids(spark, pieces, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    by_word = {r.doc_id: r.ids for r in sentencepieces.encode(docs, pieces).collect()}
+    assert by_word == {r.doc_id: r.ids for r in sentencepieces.encode(docs, pieces, giant=2000, chunk=128).collect()}
+
+
 def test_search_is_the_best(pieces):
     """Against every segmentation of short words."""
     m = pieces.value
@@ -143,7 +173,7 @@ def test_media(spark, odd, none):
     import hashlib
     import zlib
 
-    rows = {r.doc_id: r for r in media.probe(media.store(odd)).collect()}
+    rows = {r.doc_id: r for r in media.probe(media.store(odd), payload=True).collect()}
     for i, text, *_ in ODD:
         data = (text or "").encode()
         payload = data + b" " * (-len(data) % 192 if data else 192)
@@ -156,6 +186,38 @@ def test_media(spark, odd, none):
     assert [r.codec for r in media.probe(broken).collect()] == [None, None]
 
 
+def test_media_damaged(spark):
+    """A timescale of 0, counts beyond the box, deep nesting, two tracks, and every file that differs in some bytes or is cut off: no row fails the job."""
+    import random
+    import struct
+
+    file = media.write_media(bytes(range(192)) * 40)
+    at = file.index(b"mdhd") + 16
+    sizes = file.index(b"stsz") + 12
+    nested = b""
+    for _ in range(1200):
+        nested = struct.pack(">I4s", 8 + len(nested), b"moov") + nested
+    moov = file.index(b"moov") - 4
+    size = struct.unpack_from(">I", file, moov)[0]
+    trak = file.index(b"trak") - 4
+    track = file[trak : moov + size]
+    video = track.replace(b"raw ", b"avc1")
+    two = file[:moov] + struct.pack(">I4s", size + len(track), b"moov") + file[moov + 8 : moov + size] + video + file[moov + size :]
+    cases = [file[:at] + bytes(4) + file[at + 4 :], file[:sizes] + b"\xff" * 4 + file[sizes + 4 :], nested, two]
+    rnd = random.Random(1)
+    for _ in range(400):
+        broken = bytearray(file if rnd.random() < 0.7 else file[: rnd.randrange(len(file))])
+        for _ in range(rnd.randrange(1, 4)):
+            if len(broken):
+                broken[rnd.randrange(min(len(broken), 800))] = rnd.randrange(256)
+        cases.append(bytes(broken))
+    rows = media.probe(spark.createDataFrame([(i, bytearray(c), "x") for i, c in enumerate(cases)], "id int, media binary, tracks string"), payload=True).orderBy("id").collect()
+    assert len(rows) == len(cases)
+    assert (rows[0].codec, rows[0].duration_s, rows[0].n_samples) == ("raw ", None, 40)
+    assert rows[1].codec is None and rows[1].media_bytes is None and rows[2].tracks == []
+    assert rows[3].codec == "raw " and rows[3].n_samples == 40 and [t.codec for t in rows[3].tracks] == ["raw ", "avc1"]
+
+
 def test_html():
     text = html_text.render("<title>t</title><p>a<b>b</b> &amp; c<p>d<br>e<ul><li>x<li>y<ol><li>z</ol></ul><table><tr><th>Name<th>N<tr><td>long name<td>1</table><div hidden>no</div><script>no</script>end")
     assert text == "ab & c\n\nd\ne\n\n- x\n- y\n  1. z\n\nName       N\nlong name  1\n\nend"
@@ -163,6 +225,68 @@ def test_html():
     assert html_text.render("<p>" * 5000 + "deep") == "deep" and html_text.render("<div>" * 5000 + "deep") == "deep"
 
 
+def test_html_tables():
+    text = html_text.render("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td colspan=2>f<td>g</table>")
+    assert text == "a  b  c\n   d  e\nf     g"
+    assert html_text.render(f"<table><tr><td>{'x' * 500}<td>1<tr><td>y<td>2</table>") == f"{'x' * 500}  1\ny  2"
+
+
+def test_html_never_fails():
+    """Known traps, tags in any order, pages cut off anywhere; and time in proportion to the page."""
+    import random
+    import time
+
+    for page in ("<table><div><td><tr><td>x</table>", "<div><table><div><td>q<tr><td>r", "<ul><table><div><td><tr></ul>z", "<ol start=" + "9" * 5000 + "><li>&#" + "9" * 5000 + ";</ol>", "<td colspan=" + "9" * 5000 + ">", "<a b=\"<c>\" d=\"<e>\""):
+        html_text.render(page)
+    rnd = random.Random(2)
+    tags = "table tr td th ul ol li div p b i select option details summary pre dd dl svg math h1 tbody span a".split()
+    for _ in range(3000):
+        page = "".join(rnd.choice((f"<{rnd.choice(tags)}>", f"</{rnd.choice(tags)}>", f"<{rnd.choice(tags)} class='x' rowspan=3>", "word ", "<", '"', "'", "&#65;", "<!--")) for _ in range(30))
+        html_text.render(page)
+        html_text.render(page[: rnd.randrange(len(page))])
+    for piece in ('<a b="', "<a \"<b '", "<i><div>" + "<b>" * 50 + "</i>" * 50, "<ul><li>", "</p>", "<table><tr><td>", "<select>", "<!--", "<script>"):
+        began = time.perf_counter()
+        html_text.render(piece * (200_000 // len(piece)))
+        assert time.perf_counter() - began < 10
+
+
+def test_html_against_a_plain_renderer():
+    """Well-formed pages of paragraphs, lists and tables, against a renderer by recursion."""
+    import random
+
+    rnd = random.Random(4)
+
+    def words():
+        return " ".join(rnd.choice("alpha beta gamma delta".split()) for _ in range(rnd.randrange(1, 5)))
+
+    def items(depth, mark):
+        source, lines, ordered = "", [], rnd.random() < 0.5
+        for i in range(rnd.randrange(1, 4)):
+            w, m = words(), f"{i + 1}. " if ordered else "- "
+            lines.append(mark + m + w)
+            inner = items(depth - 1, mark + " " * len(m)) if depth and rnd.random() < 0.5 else ("", [])
+            source += f"<li>{w}{inner[0]}</li>"
+            lines += inner[1]
+        return f"<ol>{source}</ol>" if ordered else f"<ul>{source}</ul>", lines
+
+    for _ in range(200):
+        page, out = "", []
+        for _ in range(rnd.randrange(1, 6)):
+            kind = rnd.choice("plt")
+            if kind == "p":
+                w = words()
+                page, part = f"{page}<p>{w.replace(' ', ' <b>', 1)}{'</b>' if ' ' in w else ''}</p>", w
+            elif kind == "l":
+                source, lines = items(2, "")
+                page, part = page + source, "\n".join(lines)
+            else:
+                rows = [[words() for _ in range(3)] for _ in range(rnd.randrange(1, 4))]
+                page += "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+                part = "\n".join("  ".join(c.ljust(max(len(r[i]) for r in rows)) for i, c in enumerate(r)).rstrip() for r in rows)
+            out.append(part)
+        assert html_text.render(page) == "\n\n".join(out)
+
+
 @pytest.mark.parametrize("shards", [1, 3, 16])
 def test_smallest_capacity(shards):
     import random
