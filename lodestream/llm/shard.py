@@ -115,11 +115,13 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     base = cut_lineage(docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("f" * 32)).alias("g")))
     keys = cut_keys(base.groupBy("g").agg(F.sum("size").alias("size")), shards)
     shard = sum((F.when(F.col("g") > k, 1).otherwise(0) for k in keys), F.lit(0)).cast("int")
-    # slots: rows are numbered within small blocks of the order, whose first numbers are running sums over 256 x 64 blocks
-    dealt = base.withColumn("shard", shard).withColumn("b", F.substring("g", 1, 2)).withColumn("u", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
+    # slots: rows are numbered within small blocks of the order, whose first numbers are running sums over 256 x 256 blocks;
+    # the second part comes from the id, so copies of one text are in many blocks
+    of_id = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 2)
+    dealt = base.withColumn("shard", shard).withColumn("b", F.substring("g", 1, 2)).withColumn("u", of_id)
     firsts = dealt.groupBy("shard", "b", "u").count().withColumn("first", F.sum("count").over(Window.partitionBy("shard").orderBy("b", "u")) - F.col("count")).drop("count")
     number = F.row_number().over(Window.partitionBy("shard", "b", "u").orderBy("g", "doc_id"))
-    return dealt.withColumn("i", number).join(F.broadcast(firsts), ["shard", "b", "u"]).select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("i") - 1).alias("slot"))
+    return dealt.withColumn("i", number).join(firsts, ["shard", "b", "u"]).select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("i") - 1).alias("slot"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -127,4 +129,19 @@ def query(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-ORACLE = None
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(md5(text), repeat('f', 32)) AS g, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS x, substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2) AS u FROM documents),
+g AS (SELECT g, sum(size)::BIGINT AS n FROM d GROUP BY 1),
+p AS (SELECT g, n, (sum(n) OVER (ORDER BY g))::BIGINT AS upto FROM g),
+l AS (SELECT list(upto ORDER BY upto) AS us, max(upto) AS total, max(n) AS most FROM p),
+-- the least capacity by bisection; each step fills one shard, as far as half way between the bounds
+r AS (SELECT greatest(most, (total + 15) // 16) AS lo, total AS hi, 0::BIGINT AS done, 0 AS k FROM l
+  UNION ALL SELECT CASE WHEN k = 15 AND e < total THEN (lo + hi) // 2 + 1 ELSE lo END, CASE WHEN e = total THEN (lo + hi) // 2 ELSE hi END, CASE WHEN e = total OR k = 15 THEN 0 ELSE e END, CASE WHEN e = total OR k = 15 THEN 0 ELSE k + 1 END
+  FROM (SELECT lo, hi, k, total, list_last(list_filter(us, lambda v: v <= done + (lo + hi) // 2)) AS e FROM r, l WHERE lo < hi)),
+c AS (SELECT min(lo) AS capacity FROM r WHERE lo = hi),
+q AS (SELECT 0::BIGINT AS done UNION ALL SELECT list_last(list_filter(us, lambda v: v <= done + capacity)) FROM q, l, c WHERE done < total),
+s AS (SELECT g, (SELECT count(*) FROM q WHERE done > 0 AND done <= upto - n)::INT AS shard FROM p),
+t AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS crc),
+z AS (SELECT doc_id, g, u, size, xor(list_reduce([4294967295::BIGINT] || list_transform(list_filter(string_split(regexp_replace(x, '(..)', '\1,', 'g'), ','), lambda h: h <> ''), lambda h: ('0x' || h)::BIGINT), lambda v, b: xor(v >> 8, crc[xor(v & 255, b) + 1])), 4294967295) AS text_crc32 FROM d, t)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY substr(g, 1, 2), u, g, doc_id NULLS FIRST) - 1 AS slot, NULL::INT AS grown_shard FROM z JOIN s USING (g)
+"""
