@@ -55,13 +55,14 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     scale = 1 << 20
     keep = math.ceil(scale * min(1.0, train_docs / max(labelled.count(), 1)))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < keep).select("text", "lang")
-    counted = sample.mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+    counted = sample.mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     rows = counted.collect()  # of the bounded sample
     langs = sorted({r.lang for r in rows})
     tables: list[dict[str, list[float]]] = [defaultdict(lambda: [0.0] * len(langs)) for _ in range(LONGEST + 1)]
     for r in rows:
         at = langs.index(r.lang)
-        tables[0][r.word][at] += r.n
+        if r.n >= MIN_COUNT:  # rarer words count for the n-grams only
+            tables[0][r.word][at] += r.n
         for n in range(1, LONGEST + 1):
             for g in ngrams(r.word, n):
                 tables[n][g][at] += r.n
