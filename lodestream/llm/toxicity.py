@@ -6,7 +6,8 @@ letters may be closed. A token without any letter is a number and stays as it is
 
 The character model is counted over all documents: it is a table of ALPHABET ** 3 numbers, whatever the corpus. The scorer
 is a logistic regression on words and word openings, learned from a bounded sample of labelled rows that are not held out,
-TRAIN_DOCS in expectation, dealt by a hash of the id; it keeps FEATURES features at most.
+TRAIN_DOCS in expectation, dealt by a hash of the id. The model's size is FEATURES, those of the largest odds; it bounds the
+scorer, and every document and all of its words are scored.
 
 Nulls and edge cases: a null or empty text has no features and gets the base rate's score. Without labels of both kinds
 every score is the share of label 1 (0 if none). Rows that repeat are scored alike; labels that repeat a doc_id count once,
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm.common import blocks, held_out, table
+from lodestream.llm.common import blocks, cut_lineage, held_out, table
 
 TRAIN_DOCS = 20_000
 FEATURES = 600
@@ -238,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, logp, train_docs: int = TRAIN_DOCS)
     keep = math.ceil(scale * min(1.0, train_docs / max(labels.count(), 1)))
     sample = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < keep)
     texts = docs.select("doc_id", "text").where("text is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < keep).join(sample, "doc_id")
-    texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies count once
+    texts = cut_lineage(texts.groupBy("text").agg(F.max("toxic").alias("toxic")))  # copies count once; read three times
     per_class = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = per_class.get(1, 0), per_class.get(0, 0)
     if not pos or not neg:
