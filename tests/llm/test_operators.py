@@ -105,6 +105,51 @@ def test_langid(spark, sf_dir, odd, none):
     assert {r.lang_pred for r in langid.predict(odd, langid.fit(none)).collect()} == {"und"}
 
 
+def test_langid_against_a_plain_version(spark, sf_dir):
+    """Every document's language and score, counted and scored by plain Python."""
+    import math
+    import zlib
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts: dict = {}
+    for r in docs:
+        if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None and r.text is not None:
+            counts.setdefault(r.lang, Counter()).update(langid.LETTERS.findall(r.text.lower()))
+    langs = sorted(counts)
+    tables = [{la: Counter() for la in langs} for _ in range(5)]
+    for la in langs:
+        for w, n in counts[la].items():
+            if n >= 3:
+                tables[0][la][w] = n
+            for k in range(1, 5):
+                for i in range(len(w) + 3 - k):
+                    tables[k][la][f"^{w}$"[i : i + k]] += n
+    keys = [set().union(*t.values()) for t in tables]
+    total = [{la: sum(t[la].values()) + 0.1 * len(ks) for la in langs} for t, ks in zip(tables, keys)]
+
+    def score(w, la):
+        if w in keys[0]:
+            return math.log((tables[0][la][w] + 0.1) / total[0][la])
+        for k in range(4, 0, -1):
+            known = [g for i in range(len(w) + 3 - k) if (g := f"^{w}$"[i : i + k]) in keys[k]]
+            if known:
+                return sum(math.log((tables[k][la][g] + 0.1) / total[k][la]) for g in known) / len(known)
+        return 0.0
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.query(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        words = langid.LETTERS.findall((r.text or "").lower())
+        if not words:
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        sums = [math.fsum(score(w, la) for w in words) for la in langs]
+        best = max(sums)
+        assert got[r.doc_id][0] == langs[sums.index(best)]
+        assert math.isclose(got[r.doc_id][1], 1 / sum(math.exp(x - best) for x in sums), rel_tol=1e-6)
+
+
 def test_backoff_prefers_words():
     model = {"langs": ["a", "b"], 0: {"word": (-1.0, -9.0)}, 4: {"^wor": (-9.0, -1.0)}, 3: {}, 2: {}, 1: {"q": (-2.0, -8.0)}}
     scores = langid.Scores(model)
@@ -366,6 +411,48 @@ def test_toxicity(spark, odd, none):
     assert re.fullmatch("l+o+s+e+r", restore("looooser"))
 
 
+def test_viterbi_against_all_readings(spark, sf_dir):
+    """The cost of the reading that is found is the least of all readings of the lattice."""
+    import itertools
+
+    logp = toxicity.char_model(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    restorer = toxicity.Restorer(logp)
+
+    def cost(reading):
+        a = b = 0
+        total = 0.0
+        for c, p in [*reading, (" ", 0.0)]:
+            k = 0 if c == " " else int(toxicity._CODES[min(ord(c), 0x24F)]) if c else -1
+            total += p
+            if not (k < 0 or (k == 0 and b == 0)):
+                total += restorer.cost[a][b][k]
+                a, b = b, k
+        return total
+
+    for token in ("h3ll0", "1d10t", "s.t.u.p", "cooool", "@ss", "b4d", "w-0-w", "x", "ki11er", "f*n"):
+        for pairs in (False, True):
+            readings = list(itertools.product(*restorer.options(token, pairs)))
+            least = min(map(cost, readings))
+            found = [r for r in readings if "".join(c for c, _ in r).strip() == restorer.viterbi(token, pairs)]
+            assert min(map(cost, found)) == pytest.approx(least)
+
+
+def test_toxicity_against_a_plain_version(spark, sf_dir):
+    """Every document's score: its text restored whole, its features looked up one by one."""
+    import math
+
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    logp = spark.sparkContext.broadcast(toxicity.char_model(docs))
+    model = toxicity.fit(docs, labels, logp)
+    restorer = toxicity.Restorer(logp.value)
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.query(spark, sf_dir).collect()}
+    assert len(got) == docs.count()
+    for r in docs.select("doc_id", "text").collect():
+        z = model["bias"] + math.fsum(model["weights"].get(f, 0.0) for f in toxicity.features(restorer.restore(r.text or "")))
+        p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        assert math.isclose(got[r.doc_id][0], p, rel_tol=1e-9, abs_tol=1e-12) and got[r.doc_id][1] == int(p >= 0.5)
+
+
 def test_disguises(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) < 3000")
     restorer = toxicity.Restorer(toxicity.char_model(docs))
