@@ -156,6 +156,18 @@ MARKDOWN_MARKS = [
 ABBREVIATIONS = [("Dr.", "Dr"), ("Mr.", "Mr"), ("Ms.", "Ms"), ("Inc.", "Inc"), ("Ltd.", "Ltd"), ("Co.", "Co"), ("vs.", "vs"), ("e.g.", "eg"), ("i.e.", "ie"), ("etc.", "etc"), ("No.", "No")]
 
 
+#: Paths of pages that a crawl goes into.
+KEY_PAGES = "/blog /news /about /press /partners /articles /insights /media /resources /company".split()
+
+#: What an archive says of pages it hasn't got.
+NOT_ARCHIVED = """
+Wayback Machine has not archived that URL
+This URL has been excluded from the Wayback Machine
+"""
+
+MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+JOB_VARIANTS = "generic igaming cmo cpo ceo startup digital".split()
+
 #: Signs of a bot check in a page that a browser got.
 CHALLENGE_MARKERS = """
 cf-browser-verification

@@ -228,3 +228,19 @@ def model_json(text: Column) -> Column:
     """The JSON in a model's answer: without fences, from the first brace to the last; null if it doesn't parse."""
     body = F.regexp_extract(F.regexp_replace(text, r"```(?:json)?", ""), r"(?s)(\{.*\})", 1)
     return F.to_json(F.try_parse_json(F.nullif(body, F.lit(""))))
+
+
+def month_year(month: Column, year: Column) -> Column:
+    """`Mon YYYY`, the year alone without a month, null without a year."""
+    name = F.get(F.array(*map(F.lit, fixed.MONTHS)), month - 1)
+    return F.when(F.coalesce(year, F.lit(0)) == 0, F.lit(None)).when(F.coalesce(month, F.lit(0)) == 0, year.cast("string")).otherwise(F.concat(name, F.lit(" "), year.cast("string")))
+
+
+def date_rank(date: Column) -> Column:
+    """A number by which `Mon YYYY` and `YYYY` dates stand in order; 0 for none."""
+    year = F.coalesce(F.nullif(F.regexp_extract(date, r"(\d{4})", 1), F.lit("")).cast("int"), F.lit(0))
+    return year * 13 + F.coalesce(F.array_position(F.array(*map(F.lit, fixed.MONTHS)), F.left(date, F.lit(3))), F.lit(0)).cast("int")
+
+
+def file_slug(name: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(name, "[^a-zA-Z0-9_]", "_"), "_+", "_")

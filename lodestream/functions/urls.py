@@ -65,3 +65,9 @@ def is_junk(url: Column) -> Column:
     for p in fixed.JUNK_PATHS:
         out = out | F.contains(path, F.lit(p))
     return out
+
+
+def profile_slug(url: Column) -> Column:
+    """The name in a profile's URL, or a bare name with a hyphen; null for others."""
+    slug = F.nullif(F.regexp_extract(url, "/in/([^/?#]+)", 1), F.lit(""))
+    return F.coalesce(slug, F.when(url.rlike("^[a-zA-Z0-9-]+$") & F.contains(url, F.lit("-")), url))

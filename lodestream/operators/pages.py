@@ -93,3 +93,22 @@ def deep_links(pool: DataFrame, patterns: list[str], max_pages: int | None = 30,
         out = out.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).where(F.col("_n") <= per_page)
     out = out.withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy("page_id", "pos"))).where("_n = 1")
     return out.select("url", "found_on", "link_text")
+
+
+def crawl(homes: DataFrame, snapshot: DataFrame, max_pages: int | None = 10, most: int | None = 1000, same_domain: bool = True) -> DataFrame:
+    """(entity_name, url, link_text, found_on): the links of each entity's homepage, then of the key pages that it links to; first occurrences. homes: (entity_name, url, html); snapshot: (url, html). max_pages, most: key pages and links of an entity, None for all."""
+    def links_of(pages: DataFrame, depth: int) -> DataFrame:
+        out = pages.select("entity_name", "home", "page_pos", F.col("url").alias("found_on"), F.posexplode_outer(_links(F.col("html"), F.col("url"))).alias("pos", "x")).where("pos is not null")
+        return out.select("entity_name", "home", F.struct(F.lit(depth).alias("d"), "page_pos", "pos").alias("at"), F.coalesce(urls.unwrap_archive(F.col("x.url")), "x.url").alias("url"), "x.link_text", "found_on")
+
+    first = links_of(homes.select("entity_name", F.col("url").alias("home"), F.lit(0).alias("page_pos"), "url", "html"), 0)
+    path = F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1))
+    keys = first.where((urls.domain(F.col("url")) == urls.domain(F.col("home"))) & T.has_any(path, fixed.KEY_PAGES)).groupBy("entity_name", "home", "url").agg(F.min("at").alias("at"))
+    keys = keys.withColumn("page_pos", F.row_number().over(Window.partitionBy("entity_name").orderBy("at")))
+    keys = keys if max_pages is None else keys.where(F.col("page_pos") <= max_pages)
+    found = first.unionByName(links_of(keys.join(snapshot.select("url", "html"), "url").select("entity_name", "home", "page_pos", "url", "html"), 1))
+    found = found.where(urls.domain(F.col("url")) == urls.domain(F.col("home"))) if same_domain else found
+    out = found.groupBy("entity_name", "url").agg(F.min("at").alias("at"), F.min_by("link_text", "at").alias("link_text"), F.min_by("found_on", "at").alias("found_on"))
+    if most is not None:
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("at"))).where(F.col("_n") <= most)
+    return out.select("entity_name", "url", "link_text", "found_on")

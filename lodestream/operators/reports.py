@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestream.functions import text as T
@@ -48,11 +48,20 @@ def error_rollup(items: DataFrame) -> DataFrame:
 
 def top_of_each(items: DataFrame, by: str, order: list, most: int) -> DataFrame:
     """The first `most` rows of each group. order: columns, the last of which should be unique."""
-    from pyspark.sql import Window
-
     return items.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= most)
 
 
+def credits(calls: DataFrame) -> DataFrame:
+    """(entity_name, calls, failed, credits): what the calls to a paid service came to. calls: (entity_name, ok, credits)."""
+    return calls.groupBy("entity_name").agg(F.count("*").alias("calls"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.sum("credits"), F.lit(0)).alias("credits"))
+
+
+def rate_limited(calls: DataFrame, by: str, ts: str, order: str, limit: int, per: str = "1 minute") -> DataFrame:
+    """Marks the calls beyond the first `limit` of each window of time: they would have waited."""
+    turn = F.row_number().over(Window.partitionBy(by, F.window(ts, per)).orderBy(ts, order))
+    return calls.withColumn("waits", turn > limit)
+
+
 def needs_rescrape(items: DataFrame, min_words: int = 50, known_only: bool = False) -> Column:
     """Whether a page is fetched once more by the next tier: all but good successes and what no browser can read. known_only: unknown statuses are passed through, as the paid tier does."""
     status, text = F.coalesce("status", F.lit("")), F.coalesce(F.nullif("text_content", F.lit("")), F.col("text_preview"), F.lit(""))

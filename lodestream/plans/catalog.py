@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
-from lodestream.operators import bundle, content, generation, pages, qa, reports, urls
+from lodestream.operators import bundle, content, generation, pages, profiles, qa, reports, urls
 from lodestream.plans import inputs, oracles
 from lodestream.plans.inputs import articles, documents, page_items, table, url_variants
 from lodestream.sources import discovery
@@ -193,6 +193,66 @@ def _sitemaps(s, d):
     return discovery.sitemap_urls(x, most=5)
 
 
+def _sitemap_index(s, d):
+    p, k = table(s, d, "supplier"), F.col("s_suppkey")
+    one = lambda n: F.concat(F.lit("<urlset><url><loc>https://s"), k.cast("string"), F.lit(f".org/{n}</loc></url></urlset>"))
+    child = lambda n: F.concat(F.lit("https://s"), k.cast("string"), F.lit(f".org/{n}.xml"))
+    index = F.concat(F.lit("<sitemapindex><sitemap><loc> "), child("a"), F.lit("</loc></sitemap><sitemap><loc>"), child("b"), F.lit("</loc></sitemap></sitemapindex>"))
+    roots = p.select(F.col("s_name").alias("entity_name"), F.when(k % 2 == 0, index).otherwise(one("own")).alias("xml"))
+    answers = p.select(child("a").alias("url"), one("a1").alias("xml")).union(p.where(k % 3 == 0).select(child("b"), one("b1")))
+    return discovery.sitemap_urls(discovery.sitemap_pages(roots, answers)).select("entity_name", "url")
+
+
+def _feed_links(s, d):
+    k = F.col("page_id")
+    link = F.concat(F.lit("<link rel='alternate' title='T"), k.cast("string"), F.lit("' type='application/"), F.when(k % 3 == 0, "atom+xml").when(k % 3 == 1, "rss+xml").otherwise("json"), F.lit("' href='"), F.when(k % 2 == 0, "/feed").otherwise("feed.xml"), F.lit("'>"))
+    return discovery.feed_links(table(s, d, "pages").select("page_id", "url", F.concat(link, "html").alias("html")))
+
+
+def _archive(s, d):
+    k = F.col("page_id")
+    url = F.concat(F.lit("https://web.archive.org/web/2020id_/"), "url")
+    body = F.when(k % 5 == 0, "Sorry. The Wayback Machine has not archived that URL.").otherwise("text")
+    return discovery.archived(page_items(s, d).select(F.when(k % 2 == 0, url).otherwise(F.col("url")).alias("url"), F.when(k % 7 == 0, 404).otherwise(200).alias("http_status"), body.alias("body")))
+
+
+def _crawl(s, d):
+    n, k = table(s, d, "nation"), F.col("n_nationkey").cast("string")
+    base = F.concat(F.lit("https://n"), k, F.lit(".org"))
+    home = F.concat(F.lit("<a href='/news/1'>N</a><a href='/other'>O</a><a href='https://else.org/news'>E</a><a href='/about'>A</a><a href='/news/1'>again</a>"))
+    homes = n.select(F.col("n_name").alias("entity_name"), F.concat(base, F.lit("/")).alias("url"), home.alias("html"))
+    inner = n.select(F.concat(base, F.lit("/about")).alias("url"), F.lit("<a href='/team'>T</a><a href='/other'>O2</a>").alias("html"))
+    return pages.crawl(homes, inner)
+
+
+def _profile_json(s, d):
+    c, k = table(s, d, "customer"), F.col("c_custkey")
+    span = lambda y, m: F.struct(F.struct(m.cast("int").alias("month"), y.cast("int").alias("year")).alias("start"), F.lit(None).cast("struct<month: int, year: int>").alias("end"))
+    job = lambda t, y, m: F.struct(F.lit(t).alias("title"), span(y, m).alias("dateRange"))
+    group = F.struct(F.lit("Firm").alias("name"), F.struct(F.array(job("first", k % 5 + 2000, k % 13), job("second", F.lit(2002), F.lit(3)))).alias("g"))
+    group = F.struct(group["name"].alias("name"), F.struct(group["g"]["col1"].alias("elements")).alias("profilePositionInPositionGroup"))
+    p = F.struct(F.col("c_name").alias("firstName"), F.when(k % 2 == 0, F.col("c_mktsegment")).alias("headline"), F.struct(F.array(group).alias("elements")).alias("profilePositionGroups"), F.struct(F.array(F.struct(F.lit("SQL").alias("name")), F.struct(F.lit("").alias("name"))).alias("elements")).alias("profileSkills"))
+    out = profiles.parse(c.select(k.alias("id"), F.to_json(F.struct(F.array(p).alias("elements"))).alias("body")))
+    return out.select("id", "full_name", "headline", F.array_join(F.transform("positions", lambda x: F.concat_ws("/", x["title"], x["company"], x["start"])), "|").alias("positions"), F.size("education").alias("n_education"), F.array_join("skills", "|").alias("skills"))
+
+
+def _jobs(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    answer = F.concat(F.lit('{"base_variant": "'), F.when(k % 2 == 0, "cmo").otherwise("pilot"), F.lit('", "note": "a\u2014b"'), F.when(k % 3 != 0, F.concat(F.lit(', "company_name": "'), "p_name", F.lit(' & Co."'))).otherwise(""), F.lit("}"))
+    made = profiles.job_configs(p.select(k.cast("string").alias("entity_name"), answer.alias("text")))
+    return made.join(profiles.application_files(made).select("path", F.col("content").alias("config")).distinct(), "config", "left").select("entity_name", "company_name", "base_variant", "error", "path").distinct()
+
+
+def _waits(s, d):
+    e = table(s, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return reports.rate_limited(e, "user_id", "ts", "event_id", 2, "1 day").select("event_id", "waits")
+
+
+def _credits(s, d):
+    e = table(s, d, "events")
+    return reports.credits(e.select(F.col("event_type").alias("entity_name"), (F.col("value") > 40).alias("ok"), (F.col("event_id") % 7).alias("credits")))
+
+
 def _feeds(s, d):
     p, k = table(s, d, "part"), F.col("p_partkey")
     body = F.concat(F.lit('<?xml version="1.0"?><'), F.when(k % 3 == 0, "feed").when(k % 3 == 1, "rss").otherwise("html"), F.lit("><title> "), "p_name", F.lit(" </title>"), F.repeat(F.lit("<item >a</item>"), (k % 4).cast("int")))
@@ -279,6 +339,17 @@ def queries() -> dict:
         "run_summary": lambda s, d: reports.run_summary(reports.entity_summary(_statuses(s, d))),
         "error_rollup": _errors,
         "status_sort": lambda s, d: reports.by_status(_statuses(s, d).select("doc_id", "status"), "doc_id"),
+        "sitemap_index": _sitemap_index,
+        "feed_discovery": _feed_links,
+        "archive_scan": _archive,
+        "browser_crawler": _crawl,
+        "profile_source": _profile_json,
+        "job_analyzer": _jobs,
+        "rate_limiter": _waits,
+        "credits": _credits,
+        "api_requests": lambda s, d: discovery.api_requests(table(s, d, "supplier").select(F.col("s_name").alias("entity_name")), [("a", "search"), ("b", "feed")], ["CMO", "CEO"]),
+        "profile_slug": lambda s, d: table(s, d, "part").select("p_partkey", U.profile_slug(F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("https://x.org/in/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("/?a=1"))).when(F.col("p_partkey") % 3 == 1, F.replace("p_name", F.lit(" "), F.lit("-"))).otherwise(F.col("p_name"))).alias("slug")),
+        "extraction_method_counts": lambda s, d: content.histogram(_tiers(s, d).withColumn("scrape_method", F.coalesce("scrape_method", F.lit("none"))), "scrape_method", ["status"]).select("status", F.to_json("counts").alias("counts")),
         "top_of_category": lambda s, d: reports.top_of_each(table(s, d, "events").select("event_id", "event_type", "value"), "event_type", [F.desc("value"), "event_id"], 5),
         "group_by_entity": lambda s, d: content.by_entity(documents(s, d), F.col("status"), ["success", "error"]),
         "intent_breakdown": lambda s, d: content.histogram(documents(s, d), "title", ["entity_name"]).select("entity_name", F.to_json("counts").alias("counts")),

@@ -128,4 +128,15 @@ ORACLES = {
     "error_rollup": "SELECT source AS entity_name, count(*) AS errors, 'failed at ' || min(doc_id) AS first_error FROM documents WHERE doc_id % 50 = 0 GROUP BY 1",
     "status_sort": f"WITH {_STATUS} SELECT doc_id, status, CASE status WHEN 'error' THEN 0 WHEN 'skipped' THEN 1 WHEN 'low_content' THEN 2 ELSE 3 END AS status_rank FROM s",
     "top_of_category": "SELECT event_id, event_type, value, (row_number() OVER w)::INT AS rank FROM events WINDOW w AS (PARTITION BY event_type ORDER BY value DESC, event_id) QUALIFY row_number() OVER w <= 5",
+    "sitemap_index": "WITH x AS (SELECT s_name AS entity_name, s_suppkey AS k FROM supplier) SELECT entity_name, 'https://s' || k || '.org/own' AS url FROM x WHERE k % 2 = 1 UNION ALL SELECT entity_name, 'https://s' || k || '.org/a1' FROM x WHERE k % 2 = 0 UNION ALL SELECT entity_name, 'https://s' || k || '.org/b1' FROM x WHERE k % 6 = 0",
+    "feed_discovery": "SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1)) || CASE WHEN page_id % 2 = 0 THEN '/feed' ELSE '/feed.xml' END AS url, CASE WHEN page_id % 3 = 0 THEN 'atom' ELSE 'rss' END AS feed_type, 'T' || page_id AS title FROM pages WHERE page_id % 3 < 2",
+    "archive_scan": "SELECT url, 'text' AS body FROM pages WHERE page_id % 7 <> 0 AND page_id % 5 <> 0",
+    "browser_crawler": "WITH x AS (SELECT n_name AS entity_name, 'https://n' || n_nationkey || '.org' AS b FROM nation) SELECT entity_name, b || p AS url, t AS link_text, b || f AS found_on FROM x, (VALUES ('/news/1', 'N', '/'), ('/other', 'O', '/'), ('/about', 'A', '/'), ('/team', 'T', '/about')) v(p, t, f)",
+    "profile_source": "WITH x AS (SELECT *, c_custkey AS k, c_custkey % 5 + 2000 AS y, c_custkey % 13 AS m FROM customer), z AS (SELECT *, 'first/Firm/' || CASE WHEN m > 0 THEN ['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec'][m] || ' ' ELSE '' END || y AS a, 'second/Firm/Mar 2002' AS b FROM x) SELECT k AS id, c_name AS full_name, CASE WHEN k % 2 = 0 THEN c_mktsegment ELSE '' END AS headline, CASE WHEN y * 13 + m >= 2002 * 13 + 3 THEN a || '|' || b ELSE b || '|' || a END AS positions, 0 AS n_education, 'SQL' AS skills FROM z",
+    "job_analyzer": "WITH x AS (SELECT p_partkey::VARCHAR AS entity_name, CASE WHEN p_partkey % 3 <> 0 THEN p_name || ' & Co.' END AS company_name, CASE WHEN p_partkey % 2 = 0 THEN 'cmo' ELSE 'generic' END AS v FROM part) SELECT entity_name, company_name, CASE WHEN company_name IS NOT NULL THEN v END AS base_variant, CASE WHEN company_name IS NULL THEN 'Missing company_name in AI response' END AS error, regexp_replace(regexp_replace(company_name, '[^a-zA-Z0-9_]', '_', 'g'), '_+', '_', 'g') || '_' || v || '.json' AS path FROM x",
+    "rate_limiter": "SELECT event_id, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) > 2 AS waits FROM events",
+    "credits": "SELECT event_type AS entity_name, count(*) AS calls, count(*) FILTER (value <= 40) AS failed, sum(event_id % 7)::BIGINT AS credits FROM events GROUP BY 1",
+    "api_requests": "SELECT s_name AS entity_name, provider, keyword FROM supplier, (VALUES ('a', 'CMO'), ('a', 'CEO'), ('b', NULL)) v(provider, keyword)",
+    "profile_slug": "SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN replace(p_name, ' ', '-') END AS slug FROM part",
+    "extraction_method_counts": "WITH x AS (SELECT doc_id, [CASE WHEN doc_id % 2 = 0 THEN left(text, 400) END, CASE WHEN doc_id % 3 = 0 THEN left(text, 900) END, CASE WHEN doc_id % 5 = 0 THEN text END] AS t FROM documents), y AS (SELECT doc_id, list_transform(t, lambda z: len(regexp_extract_all(coalesce(z, ''), '\\S+'))) AS n FROM x), z AS (SELECT doc_id, n, CASE WHEN n[1] >= 50 THEN 1 WHEN n[2] >= 50 THEN 2 WHEN n[3] >= 50 THEN 3 END AS i FROM y), g AS (SELECT CASE WHEN i IS NULL THEN 'error' ELSE 'success' END AS status, coalesce(['http', 'browser', 'archive'][i], 'none') AS m, count(*) AS n FROM z GROUP BY 1, 2) SELECT status, '{' || string_agg('\"' || m || '\":' || n, ',' ORDER BY m) || '}' AS counts FROM g GROUP BY 1",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
+from lodestream.functions import urls as U
 
 
 def entity_items(grouped: DataFrame | None, flat: DataFrame | None) -> DataFrame:
@@ -51,6 +52,38 @@ def sitemap_urls(sitemaps: DataFrame, most: int = 10_000, include: str = "", exc
     return out.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("pos"))).where(F.col("_n") <= most).drop("_n", "pos")
 
 
+def sitemap_pages(roots: DataFrame, responses: DataFrame) -> DataFrame:
+    """(entity_name, xml): the sitemaps of each root; an index is replaced by its children, one level deep, in its order. roots: (entity_name, xml); responses: (url, xml)."""
+    index = F.contains("xml", F.lit("<sitemapindex"))
+    locs = F.transform(F.regexp_extract_all("xml", F.lit(r"(?is)<loc[^>]*>(.*?)</loc>"), F.lit(1)), T.trim_ws)
+    children = roots.where(index).select("entity_name", F.explode(locs).alias("url")).join(responses.select("url", "xml"), "url").where(~F.contains("xml", F.lit("<sitemapindex")))
+    return roots.where(~index).select("entity_name", "xml").unionByName(children.select("entity_name", "xml"))
+
+
+def feed_links(pages: DataFrame) -> DataFrame:
+    """(page_id, url, feed_type, title): the feeds that pages name in their heads. pages: (page_id, url, html)."""
+    tags = F.regexp_extract_all("html", F.lit(r"""(?i)<link[^>]+rel=["']alternate["'][^>]*>"""), F.lit(0))
+    of = lambda name: F.nullif(F.regexp_extract("tag", rf"""(?i){name}=["']([^"']+)["']""", 1), F.lit(""))
+    out = pages.select("page_id", U.origin(F.col("url")).alias("base"), F.explode_outer(tags).alias("tag")).where("tag is not null")
+    kind, href = F.lower(of("type")), of("href")
+    out = out.where(T.has_any(kind, ["rss", "atom", "xml"]) & href.isNotNull())
+    url = F.when(href.startswith("/"), F.concat("base", href)).when(href.startswith("http"), href).otherwise(F.concat(F.col("base"), F.lit("/"), href))
+    return out.select("page_id", url.alias("url"), F.when(F.contains(kind, F.lit("atom")), "atom").otherwise("rss").alias("feed_type"), of("title").alias("title"))
+
+
+def api_requests(entities: DataFrame, providers: list[tuple[str, str]], keywords: list[str]) -> DataFrame:
+    """(entity_name, provider, keyword): the calls to make: one for each keyword of a `search` provider, one for a `feed`. Both lists are the program's own."""
+    calls = [(p, k) for p, mode in providers for k in (keywords if mode == "search" else [None])]
+    each = F.array(*(F.struct(F.lit(p).alias("provider"), F.lit(k).cast("string").alias("keyword")) for p, k in calls))
+    return entities.select("entity_name", F.inline(each))
+
+
+def archived(snapshots: DataFrame) -> DataFrame:
+    """Usable answers of an archive, under the original URL. snapshots: (url, http_status, body)."""
+    good = (F.col("http_status") < 400) & ~T.has_any(F.col("body"), fixed.lines(fixed.NOT_ARCHIVED))
+    return snapshots.where(good).select(F.coalesce(U.unwrap_archive(F.col("url")), "url").alias("url"), "body")
+
+
 def feeds(bodies: DataFrame) -> DataFrame:
     """bodies: (url, body). Those that are feeds, with type, title and item count."""
     start = F.lower(F.left("body", F.lit(500)))

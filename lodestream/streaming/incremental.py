@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lodestream.functions import urls
 
@@ -25,14 +25,56 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
     return events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n")
 
 
+class _Loops(StatefulProcessor):
+    """How often each entity was sent back so far."""
+
+    def __init__(self, max_loops: int):
+        self.max_loops = max_loops
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n = self.n.get()[0] if self.n.exists() else 0
+        n += sum(int(b["decision"].str.startswith("loop_").sum()) for b in rows)
+        self.n.update((n,))
+        yield pd.DataFrame({"entity_name": [key[0]], "loop_count": [n], "exhausted": [n >= self.max_loops]})
+
+
+class _Breaker(StatefulProcessor):
+    """Failures in a row; once `limit` of them came, all later calls are aborted."""
+
+    def __init__(self, order: str, limit: int):
+        self.order, self.limit = order, limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.streak = handle.getValueState("streak", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        streak, calls = self.streak.get()[0] if self.streak.exists() else 0, pd.concat(list(rows)).sort_values(self.order)
+        aborted = []
+        for ok in calls["ok"]:
+            aborted.append(streak >= self.limit)
+            streak = streak if streak >= self.limit else 0 if ok else streak + 1
+        self.streak.update((streak,))
+        yield pd.DataFrame({"key": [key[0]] * len(calls), "call": calls[self.order].to_numpy(), "aborted": aborted})
+
+
 def loop_counts(decisions: DataFrame, max_loops: int = 3) -> DataFrame:
-    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again."""
+    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. Needs the RocksDB state store."""
+    return decisions.groupBy("entity_name").transformWithStateInPandas(_Loops(max_loops), "entity_name string, loop_count long, exhausted boolean", "update", "none")
+
+
+def breaker_stream(calls: DataFrame, by: str, order: str, limit: int = 3) -> DataFrame:
+    """(key, call, aborted) for calls with a column `ok`, in the order of whole numbers `order` within each batch. Needs the RocksDB state store."""
+    return calls.groupBy(by).transformWithStateInPandas(_Breaker(order, limit), f"key {calls.schema[by].dataType.simpleString()}, call long, aborted boolean", "append", "none")
+
+
+def pool_growth(items: DataFrame) -> DataFrame:
+    """(entity_name, items): an entity's pool as it grows, in update mode."""
+    return items.groupBy("entity_name").agg(F.count("*").alias("items"))
 
-    def count(key, batches, state: GroupState):
-        n = state.get[0] if state.exists else 0
-        for b in batches:
-            n += int(b["decision"].str.startswith("loop_").sum())
-        state.update((n,))
-        yield pd.DataFrame({"entity_name": [key[0]], "loop_count": [n], "exhausted": [n >= max_loops]})
 
-    return decisions.groupBy("entity_name").applyInPandasWithState(count, "entity_name string, loop_count long, exhausted boolean", "n long", "update", GroupStateTimeout.NoTimeout)
+def write_partial(items: DataFrame, path: str, checkpoint: str):
+    """Appends each batch's rows to Parquet as soon as it is done; a run that breaks off goes on from there, and nothing is written twice."""
+    return items.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")

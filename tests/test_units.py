@@ -70,13 +70,20 @@ def test_inputs(spark):
 def test_streaming(spark, tmp_path):
     rows = spark.sql("SELECT timestamp '2024-01-01 00:00:00' + make_interval(0,0,0,0,id,0,0) AS ts, concat('https://a.org/', id % 3, if(id % 2 = 0, '/', '')) AS url, concat('e', id % 2) AS entity_name, if(id % 4 = 0, 'approve', 'loop_tone') AS decision FROM range(12)")
     rows.write.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    for name, out, mode in (("dedup", incremental.dedup_stream(stream), "append"), ("loops", incremental.loop_counts(stream), "update")):
+    for name, out, mode in (("dedup", incremental.dedup_stream(stream), "append"), ("loops", incremental.loop_counts(stream), "update"), ("growth", incremental.pool_growth(stream), "update"), ("breaker", incremental.breaker_stream(stream.select("entity_name", F.expr("minute(ts) * 1L").alias("call"), F.lit(False).alias("ok")), "entity_name", "call"), "append")):
         q = out.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).start()
         q.processAllAvailable()
         q.stop()
     assert spark.table("dedup").count() == 3
+    written = incremental.write_partial(stream.select("url", "entity_name"), str(tmp_path / "partial"), str(tmp_path / "c")).start()
+    written.processAllAvailable()
+    written.stop()
+    assert spark.read.parquet(str(tmp_path / "partial")).count() == 12
     assert {r.entity_name: r.loop_count for r in spark.table("loops").collect()} == {"e0": 3, "e1": 6}
+    assert {r["items"] for r in spark.table("growth").collect()} == {6}
+    assert sorted((r.key, r.aborted) for r in spark.table("breaker").collect()) == [(k, a) for k in ("e0", "e1") for a in [False] * 3 + [True] * 3]
 
 
 def test_caps(spark, tmp_path):
