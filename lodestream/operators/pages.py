@@ -34,20 +34,43 @@ def meta(html: Column, attribute: str, name: str) -> Column:
 _BLOCKS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
 
 
-def extract_text(html: Column, longest: int | None = 50_000) -> Column:
-    """The main region without chrome, paragraphs apart; longest: characters kept, None for all. Blank lines between them are then deleted, as the page scraper does."""
-    cms = [T.let(_first(html, p), lambda m: F.when(F.length(m) > 100, m)) for p in fixed.REGIONS]
-    out = F.coalesce(_first(html, "(?is)<main[^>]*>(.*?)</main>"), _first(html, "(?is)<article[^>]*>(.*?)</article>"), *cms, _first(html, "(?is)<body[^>]*>(.*?)</body>"), html)
+def _cleaned(out: Column) -> Column:
+    """The text of a piece of HTML without chrome, paragraphs apart. Blank lines between them are then deleted, as the page scraper does."""
     for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript"):
         out = F.regexp_replace(out, rf"(?is)<{tag}[^>]*>.*?</{tag}>", "")
     for p, by in ((r"(?i)<br\s*/?>", "\n"), (rf"(?i)</(?:{_BLOCKS})>", "\n\n"), (rf"(?i)<(?:{_BLOCKS})[^>]*>", ""), (r"(?i)</(?:ul|ol|table|dl)>", "\n"), (r"(?i)<(?:hr)[^>]*/?>", "\n---\n")):
         out = F.regexp_replace(out, p, by)
     out = T.decode_entities(T.strip_tags(out))
     out = F.regexp_replace(F.regexp_replace(out, r"[^\S\n]+", " "), r"\n\s*\n", "\n\n")
-    out = T.trim_ws(F.regexp_replace(out, r"(?m)^\s+|\s+$", ""))
+    return T.trim_ws(F.regexp_replace(out, r"(?m)^\s+|\s+$", ""))
+
+
+def extract_text(html: Column, longest: int | None = 50_000) -> Column:
+    """The main region's text; longest: characters kept, None for all."""
+    cms = [T.let(_first(html, p), lambda m: F.when(F.length(m) > 100, m)) for p in fixed.REGIONS]
+    out = _cleaned(F.coalesce(_first(html, "(?is)<main[^>]*>(.*?)</main>"), _first(html, "(?is)<article[^>]*>(.*?)</article>"), *cms, _first(html, "(?is)<body[^>]*>(.*?)</body>"), html))
     return out if longest is None else F.left(out, F.lit(longest))
 
 
+def tiered_text(pages: DataFrame, enough: int = 30, longest: int | None = 50_000) -> DataFrame:
+    """(page_id, text_content, word_count, extraction_method). The first tier that has `enough` words, or the longest tried: `readability`, here the article's or main part's own text; `cms_dom`, all regions of known content systems together; `regex_fallback`, extract_text. `none` without any word."""
+    article = F.coalesce(_first(F.col("html"), "(?is)<article[^>]*>(.*?)</article>"), _first(F.col("html"), "(?is)<main[^>]*>(.*?)</main>"))
+    regions = F.array_join(F.concat(*(F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in fixed.REGIONS)), "\n\n")
+
+    def tried(method: str, text: Column) -> Column:
+        return T.let(text, lambda t: F.struct(t.alias("text"), T.word_count(t).alias("n"), F.lit(method).alias("method")))
+
+    def better(best: Column, next_: Column) -> Column:
+        return T.let(best, lambda b: F.when(b["n"] >= enough, b).otherwise(T.let(next_, lambda x: F.when(x["n"] > b["n"], x).otherwise(b))))
+
+    best = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit("none").alias("method"))
+    for method, text in (("readability", F.coalesce(_cleaned(article), F.lit(""))), ("cms_dom", _cleaned(regions)), ("regex_fallback", extract_text(F.col("html"), None))):
+        best = better(best, tried(method, text))
+    out = pages.select("page_id", best.alias("b"))
+    text = F.col("b.text") if longest is None else F.left("b.text", F.lit(longest))
+    return out.select("page_id", text.alias("text_content"), T.word_count(text).alias("word_count"), F.col("b.method").alias("extraction_method"))
+
+
 def page_items(pages: DataFrame, min_words: int = 50, longest: int | None = 50_000) -> DataFrame:
     """Scraped pages: title, text, counts, status. A bot wall or a text no longer than the page's own summary is low content."""
     out = pages.withColumn("text_content", extract_text(F.col("html"), longest)).withColumn("og", meta(F.col("html"), "property", "og:description"))

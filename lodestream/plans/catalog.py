@@ -193,6 +193,14 @@ def _sitemaps(s, d):
     return discovery.sitemap_urls(x, most=5)
 
 
+def _tiered_pages(s, d):
+    """Pages of three kinds: with an article, with two regions of a content system, and as they are."""
+    k = F.col("page_id")
+    words = F.repeat(F.lit("some words of text "), (k % 13).cast("int"))
+    made = F.when(k % 3 == 0, F.concat(F.lit("<article><p>"), words, F.lit("</p></article>"))).when(k % 3 == 1, F.concat(F.lit('<div class="entry-content">'), words, F.lit('</div><div class="entry-content">more</div>'))).otherwise("")
+    return table(s, d, "pages").select("page_id", F.concat(made, "html").alias("html"))
+
+
 def _sitemap_index(s, d):
     p, k = table(s, d, "supplier"), F.col("s_suppkey")
     one = lambda n: F.concat(F.lit("<urlset><url><loc>https://s"), k.cast("string"), F.lit(f".org/{n}</loc></url></urlset>"))
@@ -350,6 +358,7 @@ def queries() -> dict:
         "api_requests": lambda s, d: discovery.api_requests(table(s, d, "supplier").select(F.col("s_name").alias("entity_name")), [("a", "search"), ("b", "feed")], ["CMO", "CEO"]),
         "profile_slug": lambda s, d: table(s, d, "part").select("p_partkey", U.profile_slug(F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("https://x.org/in/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("/?a=1"))).when(F.col("p_partkey") % 3 == 1, F.replace("p_name", F.lit(" "), F.lit("-"))).otherwise(F.col("p_name"))).alias("slug")),
         "extraction_method_counts": lambda s, d: content.histogram(_tiers(s, d).withColumn("scrape_method", F.coalesce("scrape_method", F.lit("none"))), "scrape_method", ["status"]).select("status", F.to_json("counts").alias("counts")),
+        "extraction_tiers": lambda s, d: pages.tiered_text(_tiered_pages(s, d), longest=None),
         "top_of_category": lambda s, d: reports.top_of_each(table(s, d, "events").select("event_id", "event_type", "value"), "event_type", [F.desc("value"), "event_id"], 5),
         "group_by_entity": lambda s, d: content.by_entity(documents(s, d), F.col("status"), ["success", "error"]),
         "intent_breakdown": lambda s, d: content.histogram(documents(s, d), "title", ["entity_name"]).select("entity_name", F.to_json("counts").alias("counts")),

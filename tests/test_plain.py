@@ -67,7 +67,10 @@ def text_of(html):
         return m[1] if m else None
 
     regions = [first("<main[^>]*>(.*?)</main>"), first("<article[^>]*>(.*?)</article>"), *(m if m and len(m) > 100 else None for m in (first(p.removeprefix("(?is)")) for p in fixed.REGIONS)), first("<body[^>]*>(.*?)</body>"), html]
-    out = next(r for r in regions if r is not None)
+    return cleaned_text(next(r for r in regions if r is not None))
+
+
+def cleaned_text(out):
     for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript"):
         out = re.sub(rf"<{tag}[^>]*>.*?</{tag}>", "", out, flags=re.I | re.S)
     blocks = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
@@ -87,6 +90,24 @@ def test_extract_text(spark, sf_dir):
     assert got == plain
 
 
+def test_extraction_tiers(spark, sf_dir):
+    got = {r.page_id: (r.text_content, r.word_count, r.extraction_method) for r in catalog.queries()["extraction_tiers"](spark, sf_dir).collect()}
+    methods = set()
+    for p in table(sf_dir, "pages"):
+        k, words = p["page_id"], "some words of text " * (p["page_id"] % 13)
+        html = ("<article><p>" + words + "</p></article>" if k % 3 == 0 else f'<div class="entry-content">{words}</div><div class="entry-content">more</div>' if k % 3 == 1 else "") + p["html"]
+        article = re.search("<article[^>]*>(.*?)</article>", html, re.I | re.S) or re.search("<main[^>]*>(.*?)</main>", html, re.I | re.S)
+        regions = [m[1] for r in fixed.REGIONS for m in re.finditer(r.removeprefix("(?is)"), html, re.I | re.S)]
+        best = ("", 0, "none")
+        for method, text in (("readability", cleaned_text(article[1]) if article else ""), ("cms_dom", cleaned_text("\n\n".join(regions))), ("regex_fallback", text_of(html))):
+            n = len([w for w in re.split(f"{W}+", text) if w])
+            if best[1] < 30 and n > best[1]:
+                best = (text, n, method)
+        assert got[k] == best
+        methods.add(best[2])
+    assert len(methods) >= 3
+
+
 def test_split_sentences(spark, sf_dir):
     plain = []
     for d in table(sf_dir, "documents"):
