@@ -4,20 +4,19 @@ The longest common prefix of turns (role and text) of a chosen and a rejected co
 what remains of each is a completion, with the character spans that count in the loss: what the assistant says, with its
 end mark. Headers and other roles' turns are masked.
 
-Nulls and edge cases: a null role is `user`, a null text is empty. `<|` inside a text is written `< |`, so no text can forge
-a mark. Turns of the same number are ordered by role and text. A pair without one side, or with equal sides, has empty
+Nulls and edge cases: a null role is `user`, a null text is empty. `<|` and `|>` inside a role, and `<|` inside a text, are
+written `< |` and `| >`, so neither can forge a mark. Turns of the same number are ordered by role and text. A pair without one side, or with equal sides, has empty
 completions where nothing remains. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestream.llm.common import table
 
-TURNS = "array<struct<turn: int, role: string, text: string>>"
-SPANS = "array<struct<start: int, end: int>>"
+TURNS = "array<struct<turn: bigint, role: string, text: string, at: bigint>>"
 
 
 def _head(t: Column) -> Column:
@@ -33,29 +32,32 @@ def _rendered(turns: Column) -> Column:
 
 
 def _spans(turns: Column) -> Column:
-    def add(a, t):
-        start = a["at"] + F.length(_head(t))
-        end = start + F.length(_body(t))
-        new = F.when(t["role"] == "assistant", F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(F.array().cast(SPANS))
-        return F.struct(end.alias("at"), F.concat(a["spans"], new).alias("spans"))
-
-    return F.aggregate(turns, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans")), add, lambda a: a["spans"])
+    """Of what the assistant says, in characters from the first of the turns; each turn knows where it begins."""
+    first = F.get(turns, F.lit(0))["at"]
+    start = lambda t: (t["at"] - first + F.length(_head(t))).cast("int")
+    return F.transform(F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: F.struct(start(t).alias("start"), (start(t) + F.length(_body(t))).alias("end")))
 
 
 def format_preferences(turns: DataFrame) -> DataFrame:
     """turns: (pair_id, side: chosen or rejected, turn, role, text). One row a pair: prompt, completions, their loss spans."""
-    turn = F.struct(F.col("turn").cast("int").alias("turn"), F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    sides = turns.groupBy("pair_id").agg(*(F.array_sort(F.collect_list(F.when(F.col("side") == s, turn))).cast(TURNS).alias(s) for s in ("chosen", "rejected")))
+    role = F.replace(F.replace(F.coalesce("role", F.lit("user")), F.lit("<|"), F.lit("< |")), F.lit("|>"), F.lit("| >"))
+    rows = turns.repartition("pair_id").select("pair_id", "side", F.struct(F.col("turn").cast("bigint").alias("turn"), role.alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
+    size = F.length(_head(F.col("t"))) + F.length(_body(F.col("t")))
+    rows = rows.withColumn("at", F.sum(size).over(Window.partitionBy("pair_id", "side").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)) - size)
+    turn = F.struct("t.turn", "t.role", "t.text", "at")
+    sides = rows.groupBy("pair_id").agg(*(F.array_sort(F.collect_list(F.when(F.col("side") == s, turn))).cast(TURNS).alias(s) for s in ("chosen", "rejected")))
     both = F.least(F.size("chosen"), F.size("rejected"))
     c, r = F.col("chosen"), F.col("rejected")
     differ = F.filter(F.sequence(F.lit(0), F.greatest(both - 1, F.lit(0))), lambda i: (F.get(c, i)["role"] != F.get(r, i)["role"]) | (F.get(c, i)["text"] != F.get(r, i)["text"]))
     sides = sides.withColumn("n_prompt", F.when(both == 0, 0).otherwise(F.coalesce(F.array_min(differ), both)))
     rest = {s: F.slice(s, F.col("n_prompt") + 1, F.greatest(F.size(s), F.lit(1))) for s in ("chosen", "rejected")}
     longer = F.when(F.size("chosen") > 0, c).otherwise(r)
+    sides = sides.withColumn("shared", F.slice(longer, F.lit(1), F.col("n_prompt"))).withColumns({f"{s}_rest": x for s, x in rest.items()})
+    c, r = F.col("chosen_rest"), F.col("rejected_rest")
     return sides.select(
-        "pair_id", F.col("n_prompt").alias("n_prompt_turns"), _rendered(F.slice(longer, F.lit(1), F.col("n_prompt"))).alias("prompt"),
-        _rendered(rest["chosen"]).alias("chosen"), _spans(rest["chosen"]).alias("chosen_spans"),
-        _rendered(rest["rejected"]).alias("rejected"), _spans(rest["rejected"]).alias("rejected_spans"),
+        "pair_id", F.col("n_prompt").alias("n_prompt_turns"), _rendered(F.col("shared")).alias("prompt"),
+        _rendered(c).alias("chosen"), _spans(c).alias("chosen_spans"),
+        _rendered(r).alias("rejected"), _spans(r).alias("rejected_spans"),
     )
 
 
