@@ -13,8 +13,8 @@ Those bounds, which no similar pair fails, are of sizes, of positions under A, a
 Last, the sets of pairs that passed all orders are fetched and their intersection is counted.
 
 Documents of equal sets are one class. In round one each class is a candidate of the least class of its rarest shared
-token, in round two of those of its other tokens where they are not connected yet, so a group of near copies gives
-candidates in proportion to its size; in round three, pairs of one token that are still not connected are candidates, if
+token, in round two of those of its other tokens where they are not connected yet, then of those that share a token and the
+first token under one of some more orders, so a group of near copies gives candidates in proportion to its size; in round three, pairs of one token that are still not connected are candidates, if
 their sizes and smaller parity bitmaps allow it. So every link that joins components is found, and a group of n near copies
 needs no n * n pairs.
 
@@ -43,6 +43,7 @@ TOKEN_BYTES, COUNTED = 6, 1 << 47  # of a token under order A; tokens below COUN
 BITMAP_BITS = 24
 SEEN = 100_000
 FOLDED = 8  # longs of the smaller bitmap of round three
+MINS = 3
 GROUP = 1 << 19
 WORD = byte_class(" \t\n\x0b\x0c\r")
 
@@ -105,7 +106,8 @@ def _signed(batches):
         offsets = np.concatenate([[0], np.cumsum([len(m) // 8 for m in maps])]).astype(np.int32)
         maps = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(maps), np.int64)))
         folded = pa.FixedSizeListArray.from_arrays(pa.array(np.frombuffer(b"".join(parity(s, 64 * FOLDED) for s in found), np.int64)), FOLDED).cast(pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array(sigs, pa.int64()), maps, folded, pa.array(firsts, pa.binary())], ["doc_id", "n", "sig", "bits", "folded", "firsts"])
+        mins = _lists([np.array([mix(s ^ np.uint64(i)).min() if len(s) else 0 for i in range(1, MINS + 1)], np.uint64).view(np.int64) for s in found])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array(sigs, pa.int64()), maps, folded, mins, pa.array(firsts, pa.binary())], ["doc_id", "n", "sig", "bits", "folded", "mins", "firsts"])
 
 
 class Group:
@@ -245,8 +247,11 @@ def _bit(column: str):
 
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """(v, c): the least vertex c that v is connected with, for the vertices of edges (a, b); by large and small stars."""
+    def state(edges: DataFrame):
+        return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
     edges = tables.keep(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    before = state(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -255,7 +260,7 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
         small = large.join(least, "a")
         last, edges = edges, tables.keep(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").union(least.select("a", F.col("m").alias("b"))).distinct())
         tables.drop(last)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = state(edges)
         if now == before:
             return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
         before = now
@@ -272,9 +277,9 @@ def link(docs: DataFrame) -> DataFrame:
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     tables = Tables(spark)
     docs = docs.select("doc_id", "text", _bit("doc_id").alias("p"))
-    signed = tables.keep(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, bits array<bigint>, folded array<bigint>, firsts binary"))
+    signed = tables.keep(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n bigint, sig bigint, bits array<bigint>, folded array<bigint>, mins array<bigint>, firsts binary"))
     rows = signed.select("doc_id", "n", "sig")
-    classes = tables.keep(signed.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("folded").alias("folded")))
+    classes = tables.keep(signed.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("folded").alias("folded"), F.first("mins").alias("mins")))
 
     n_groups = 1 + (signed.agg(F.sum(F.length("firsts"))).first()[0] or 0) // (TOKEN_BYTES * GROUP)
     grouped = signed.where("firsts is not null").select(F.pmod(F.xxhash64("sig"), F.lit(n_groups)).alias("grp"), "sig", "n", "firsts").groupBy("grp")
@@ -295,10 +300,12 @@ def link(docs: DataFrame) -> DataFrame:
         return rows.join(connected.select(F.col("v").alias(of_), F.col("c").alias(name)), of_, "left").withColumn(name, F.coalesce(name, of_))
 
     def with_links(more: DataFrame) -> DataFrame:
-        """The components with more links: those between the same two components count once."""
-        ends = labelled(labelled(more, "a", "c"), "b", "d").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-        new = components(connected.select(F.col("v").alias("a"), F.col("c").alias("b")).union(ends), tables)
-        tables.drop(connected, more)
+        """The components with more links: those between the same two components count once, and only components that have some are worked on."""
+        ends = labelled(labelled(more, "a", "c"), "b", "d").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
+        joined = components(ends, tables)
+        new = connected.join(joined.select(F.col("v").alias("c"), F.col("c").alias("m")), "c", "left").select("v", F.coalesce("m", "c").alias("c")).unionByName(joined)
+        new = tables.keep(new)
+        tables.drop(connected, joined, more)
         return new
 
     # round two: with the leads of its other tokens, where they are not connected yet
@@ -308,18 +315,33 @@ def link(docs: DataFrame) -> DataFrame:
         connected = with_links(more)
     tables.drop(firsts)
 
-    # round three: pairs of one token that are not connected yet; leads have been compared with all
-    at = tables.keep(labelled(near.select("token", "sig", "n", "pos"), "sig", "c"))
+    def unconnected(rows: DataFrame) -> DataFrame:
+        """The rows, labelled anew, of tokens that classes of more than one component have."""
+        at = labelled(rows, "sig", "c")
+        return at.join(at.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("token"), "token")
+
+    # still round two: with the leads of those that share a token and the first token under one of MINS more orders, as near copies of each other mostly do
+    left = tables.keep(unconnected(near.select("token", "sig", "n", "pos")).join(classes.select("sig", "folded", "mins"), "sig"))
     tables.drop(near)
-    open_ = at.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("token")
-    left = tables.keep(at.join(open_, "token").join(classes.select("sig", "folded"), "sig"))
-    tables.drop(at)
+    by_min = left.select("token", "sig", "n", "pos", "c", F.explode("mins").alias("first"))
+    heads = by_min.groupBy("token", "first").agg(F.min(F.struct("pos", "sig", "n", "c")).alias("h"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+    heads = heads.select("token", "first", *(F.col(f"h.{c}").alias(f"lead_{c}") for c in ("pos", "sig", "n", "c")))
+    stars = by_min.join(heads, ["token", "first"]).where("c != lead_c").where(_possible("n", "pos", "lead_n", "lead_pos"))
+    more = verified(stars.select(F.least("sig", "lead_sig").alias("a"), F.greatest("sig", "lead_sig").alias("b")).distinct(), classes, docs, tables)
+    if not more.isEmpty():
+        connected = with_links(more)
+
+    # round three: pairs of one token that are not connected yet; leads have been compared with all
+    prev = F.lag("token").over(Window.partitionBy("sig").orderBy("pos"))
+    before, left = left, tables.keep(unconnected(left.drop("c", "mins")).withColumn("prev", prev))
+    tables.drop(before)
     size = F.floor(F.log(F.col("n") + 0.5) / F.log(F.lit(4 / 3)))  # similar sets are at most one step apart
     y = left.withColumn("size", size).alias("y")
     x = left.withColumn("size", F.explode(F.array(size, size + 1))).withColumn("up", F.col("size") - size).alias("x")
     ordered = (F.col("up") == 1) | (F.col("x.c") < F.col("y.c"))
     differing = sum(F.bit_count(F.get("x.folded", F.lit(i)).bitwiseXOR(F.get("y.folded", F.lit(i)))) for i in range(FOLDED))
-    apart = ordered & (F.col("x.c") != F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos") & (differing * 7 <= F.col("x.n") + F.col("y.n"))
+    begins = F.coalesce(F.col("x.prev") != F.col("y.prev"), F.lit(True))  # else the pair has met at the token before
+    apart = ordered & begins & (F.col("x.c") != F.col("y.c")) & _possible("x.n", "x.pos", "y.n", "y.pos") & (differing * 7 <= F.col("x.n") + F.col("y.n"))
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.size") == F.col("y.size")) & apart)
     pairs = tables.keep(pairs.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct())
     tables.drop(left)
