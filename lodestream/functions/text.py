@@ -18,6 +18,9 @@ ASCII_B = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
 
 
 def ascii_words(pattern: str) -> str:
+    """The pattern's \\b between ASCII word characters and others. Next to a character that is of a word in any case, one look suffices."""
+    pattern = re.sub(r"(?m)(^|\|)\\b(?=[A-Za-z]|\\d)", rf"\1(?<!{_W})", pattern)
+    pattern = re.sub(r"(?<=[A-Za-z)}?])\\b(?=\||$)", f"(?!{_W})", pattern)
     return pattern.replace(r"\b", ASCII_B)
 
 

@@ -60,9 +60,9 @@ def boilerplate_frequency(items: DataFrame, separator: str = r"\n\s*\n", thresho
 
 def boilerplate_strip(items: DataFrame, separator: str = r"\n\s*\n", threshold: float = 0.5, min_block: int = 20, min_ratio: float = 0.3, known: bool = True) -> DataFrame:
     """Texts without frequent and known blocks; what would keep too little is restored and flagged. An entity's frequent blocks are at most its blocks a page / threshold, as hashes of one row, so each page is filtered where it is."""
-    pages = _pages_of_blocks(items, separator)
-    frequent = _frequent(pages, threshold, min_block).groupBy("entity_name").agg(F.collect_set("h").alias("frequent"))
-    out = pages.join(frequent, "entity_name", "left").withColumn("frequent", F.coalesce("frequent", F.array().cast("array<bigint>")))
+    frequent = _frequent(_pages_of_blocks(items, separator), threshold, min_block).groupBy("entity_name").agg(F.collect_set("h").alias("frequent"))
+    out = items.join(frequent, "entity_name", "left").withColumn("frequent", F.coalesce("frequent", F.array().cast("array<bigint>")))
+    out = _pages_of_blocks(out, separator)  # after the join, so that it moves texts alone
     kept = F.filter("bs", lambda x: ~((F.length(x["norm"]) >= min_block) & F.array_contains("frequent", x["h"])) & (~T.is_known_boilerplate(x["norm"]) if known else F.lit(True)))
     out = out.withColumn("rest", F.array_join(F.transform(kept, lambda x: x["block"]), "\n\n")).drop("bs", "frequent")
     size, gone = F.length("text_content"), F.greatest(F.length("text_content") - F.length("rest"), F.lit(0))

@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 from lodestream.functions import urls
 
 
+TEXTS = ("documents", "pages", "part", "conversations")  # tables whose rows are much work
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores where there are fewer files than cores: a file of one row group is one task otherwise. Tables of many files are read as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def page_items(spark, sf_dir) -> DataFrame:
