@@ -58,6 +58,33 @@ def analyses(responses: DataFrame, model: str) -> DataFrame:
     return good.withColumn("word_count", F.col("word_count").cast("bigint")).unionByName(bad)
 
 
+def plans(responses: DataFrame) -> DataFrame:
+    """responses: (entity_name, text). A row for each answer: the SEO plan, flat and as JSON, with warnings on its meta lengths and its own, or an error where the answer holds no JSON object."""
+    parsed = responses.select("entity_name", T.model_json(F.col("text")).alias("plan"))
+    good = bundle.seo_plan_flat(parsed.where("plan is not null")).join(parsed.where("plan is not null"), "entity_name")
+    own = F.array_join(bundle.as_list(F.get_json_object("plan", "$.warnings")), "\n")
+    good = good.withColumn("warnings", F.concat_ws("\n", F.nullif("warnings", F.lit("")), F.nullif(own, F.lit(""))))
+    good = good.select("entity_name", F.lit("planned").alias("status"), "primary_keyword", "keywords_text", "faq_count", "warnings", F.lit("").alias("error"), F.col("plan").alias("seo_plan_json"))
+    empty = [F.lit("").alias(c) for c in ("primary_keyword", "keywords_text")]
+    return good.unionByName(parsed.where("plan is null").select("entity_name", F.lit("error").alias("status"), *empty, F.lit(0).alias("faq_count"), F.lit("").alias("warnings"), F.lit("no JSON object in the answer").alias("error"), F.lit(None).cast("string").alias("seo_plan_json")))
+
+
+def writer_content(analysis: Column, plan: Column, sources: Column) -> Column:
+    """What an article is written from: the analysis and the plan as JSON, and the sources' text."""
+    return F.concat(F.lit("=== COMPANY ANALYSIS ===\n"), analysis, F.lit("\n\n=== SEO CONTENT PLAN ===\n"), plan, F.lit("\n\n=== SOURCE CONTENT (scraped pages) ===\n"), sources)
+
+
+def written(responses: DataFrame) -> DataFrame:
+    """responses: (entity_name, text, meta_title, error). A row for each article: its counts, whether it cites, a preview; an error row where there is no text."""
+    text = F.coalesce("text", F.lit(""))
+    cites = text.rlike(r"\[#\d+\]") | text.rlike(r"\[.*?\]\(https?://.*?\)") | F.contains(text, F.lit("(Source:"))
+    there = F.col("text").isNotNull()
+    return responses.select(
+        "entity_name", F.when(there, "written").otherwise("error").alias("status"), T.word_count(text).alias("word_count"), F.regexp_count(text, F.lit(r"(?m)^#{2,3}\s+")).alias("section_count"), cites.alias("has_citations"),
+        F.when(there, F.coalesce(F.nullif("meta_title", F.lit("")), "entity_name")).otherwise("").alias("meta_title"), T.preview(text, 300).alias("content_preview"), text.alias("content_markdown"), F.when(there, "").otherwise(F.coalesce("error", F.lit("no answer"))).alias("error"),
+    )
+
+
 def claims(articles: DataFrame, batch: int = 10, longest: int = 200) -> DataFrame:
     """(entity_name, pos, batch, idx, claim): factual claims in the order of the text, in batches; long ones are cut."""
     found = F.filter(T.split_sentences(F.col("markdown")), T.is_claim)

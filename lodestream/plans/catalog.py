@@ -99,6 +99,18 @@ def _analyzed(s, d):
     return generation.analyses(p.select(k.cast("string").alias("entity_name"), answer.alias("text"), F.lit(7).alias("word_count")), "p/m")
 
 
+def _planned(s, d):
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    answer = F.when(k % 9 == 0, "I can't.").otherwise(F.concat(F.lit("```json\n"), F.regexp_replace(_plan(k), "^\\{", '{"warnings": ["a", "b"], '), F.lit("\n```")))
+    return generation.plans(p.select(k.cast("string").alias("entity_name"), answer.alias("text"))).drop("seo_plan_json")
+
+
+def _written(s, d):
+    a, k = articles(s, d), F.col("k")
+    content = generation.writer_content(F.lit("{}"), F.lit("{}"), F.col("p_name"))
+    return generation.written(a.select("entity_name", F.when(k % 4 != 0, F.concat("markdown", F.when(k % 5 == 0, content).otherwise(""))).alias("text"), F.when(k % 3 == 0, F.col("title")).alias("meta_title"), F.when(k % 8 == 0, "timed out").alias("error")))
+
+
 def _zipped(s, d):
     c = generation.claims(articles(s, d), 2)
     k = F.element_at(F.split("entity_name", " "), -1).cast("int")
@@ -339,6 +351,8 @@ def queries() -> dict:
         "source_assembly": _sources,
         "prompt_build": _prompts,
         "content_analyzer": _analyzed,
+        "seo_planner": _planned,
+        "content_writer": _written,
         "claim_verdicts": _zipped,
         "tone_editor": _revisions,
         "rescrape_partition": lambda s, d: _statuses(s, d).select("doc_id", reports.needs_rescrape(_statuses(s, d)).alias("by_browser"), reports.needs_rescrape(_statuses(s, d), known_only=True).alias("by_api")),

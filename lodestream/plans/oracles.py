@@ -139,4 +139,6 @@ ORACLES = {
     "api_requests": "SELECT s_name AS entity_name, provider, keyword FROM supplier, (VALUES ('a', 'CMO'), ('a', 'CEO'), ('b', NULL)) v(provider, keyword)",
     "profile_slug": "SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN replace(p_name, ' ', '-') END AS slug FROM part",
     "extraction_method_counts": "WITH x AS (SELECT doc_id, [CASE WHEN doc_id % 2 = 0 THEN left(text, 400) END, CASE WHEN doc_id % 3 = 0 THEN left(text, 900) END, CASE WHEN doc_id % 5 = 0 THEN text END] AS t FROM documents), y AS (SELECT doc_id, list_transform(t, lambda z: len(regexp_extract_all(coalesce(z, ''), '\\S+'))) AS n FROM x), z AS (SELECT doc_id, n, CASE WHEN n[1] >= 50 THEN 1 WHEN n[2] >= 50 THEN 2 WHEN n[3] >= 50 THEN 3 END AS i FROM y), g AS (SELECT CASE WHEN i IS NULL THEN 'error' ELSE 'success' END AS status, coalesce(['http', 'browser', 'archive'][i], 'none') AS m, count(*) AS n FROM z GROUP BY 1, 2) SELECT status, '{' || string_agg('\"' || m || '\":' || n, ',' ORDER BY m) || '}' AS counts FROM g GROUP BY 1",
+    "seo_planner": f"WITH x AS (SELECT *, p_partkey % 9 = 0 AS bad, length('About ' || p_name || ' and more of the kind') AS n, length({_DESC}) AS m, string_split(p_name, ' ')[1] AS w FROM part) SELECT p_partkey::VARCHAR AS entity_name, CASE WHEN bad THEN 'error' ELSE 'planned' END AS status, CASE WHEN bad THEN '' ELSE w END AS primary_keyword, CASE WHEN bad THEN '' ELSE 'Primary: ' || w || chr(10) || 'Secondary: ' || replace(p_type, ' ', ', ') || chr(10) || 'Long-tail: long tail' END AS keywords_text, CASE WHEN bad THEN 0 ELSE (p_partkey % 3 = 0)::INT END AS faq_count, CASE WHEN bad THEN '' ELSE concat_ws('; ', CASE WHEN n > 60 THEN 'Meta title is ' || n || ' chars (recommended: ' || chr(8804) || '60)' END, CASE WHEN m NOT BETWEEN 150 AND 160 THEN 'Meta description is ' || m || ' chars (recommended: 150-160)' END) || CASE WHEN n > 60 OR m NOT BETWEEN 150 AND 160 THEN chr(10) ELSE '' END || 'a' || chr(10) || 'b' END AS warnings, CASE WHEN bad THEN 'no JSON object in the answer' ELSE '' END AS error FROM x",
+    "content_writer": f"WITH {_MD}, x AS (SELECT *, k % 4 <> 0 AS there, '## [Category: ' || slug || ']' || chr(10) || chr(10) || para || chr(10) || chr(10) || '- first point' || chr(10) || '- second point' || chr(10) || chr(10) || '## Meta' || chr(10) || chr(10) || 'Title: x' || CASE WHEN k % 5 = 0 THEN '=== COMPANY ANALYSIS ===' || chr(10) || '{{}}' || chr(10) || chr(10) || '=== SEO CONTENT PLAN ===' || chr(10) || '{{}}' || chr(10) || chr(10) || '=== SOURCE CONTENT (scraped pages) ===' || chr(10) || p_name ELSE '' END AS t FROM m) SELECT entity_name, CASE WHEN there THEN 'written' ELSE 'error' END AS status, CASE WHEN there THEN len(regexp_extract_all(t, '\\S+')) ELSE 0 END::INT AS word_count, CASE WHEN there THEN 2 ELSE 0 END AS section_count, there AS has_citations, CASE WHEN NOT there THEN '' WHEN k % 3 = 0 THEN 'About ' || p_name ELSE entity_name END AS meta_title, CASE WHEN NOT there THEN '' WHEN length(t) > 300 THEN left(t, 300) || '...' ELSE t END AS content_preview, CASE WHEN there THEN t ELSE '' END AS content_markdown, CASE WHEN there THEN '' WHEN k % 8 = 0 THEN 'timed out' ELSE 'no answer' END AS error FROM x",
 }
