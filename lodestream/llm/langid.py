@@ -39,14 +39,23 @@ def ngrams(word: str, n: int) -> list[str]:
 
 
 def _counted(batches):
-    """Word counts by language, summed over a partition."""
+    """Counts by language of words (size 0) and of their n-grams (size n), summed over a partition."""
     counts: dict[str, Counter] = defaultdict(Counter)
     for batch in batches:
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             counts[lang].update(LETTERS.findall(text.lower()))
-    rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
-    for lo in range(0, len(rows), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[lo : lo + 100_000])], ["lang", "word", "n"])
+    for lang, words in counts.items():
+        for size in range(LONGEST + 1):
+            keys = words
+            if size:
+                keys = Counter()
+                for w, n in words.items():
+                    for g in ngrams(w, size):
+                        keys[g] += n
+            rows = list(keys.items())
+            for lo in range(0, len(rows), 100_000):
+                k, n = zip(*rows[lo : lo + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array([size] * len(k), pa.int32()), pa.array(k), pa.array(n, pa.int64())], ["lang", "size", "key", "n"])
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
@@ -55,17 +64,12 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     scale = 1 << 20
     keep = math.ceil(scale * min(1.0, train_docs / max(labelled.count(), 1)))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < keep).select("text", "lang")
-    counted = sample.mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rows = counted.collect()  # of the bounded sample
+    counted = sample.mapInArrow(_counted, "lang string, size int, key string, n bigint").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
+    rows = counted.where(f"size > 0 or n >= {MIN_COUNT}").collect()  # of the bounded sample; rarer words count for the n-grams only
     langs = sorted({r.lang for r in rows})
     tables: list[dict[str, list[float]]] = [defaultdict(lambda: [0.0] * len(langs)) for _ in range(LONGEST + 1)]
     for r in rows:
-        at = langs.index(r.lang)
-        if r.n >= MIN_COUNT:  # rarer words count for the n-grams only
-            tables[0][r.word][at] += r.n
-        for n in range(1, LONGEST + 1):
-            for g in ngrams(r.word, n):
-                tables[n][g][at] += r.n
+        tables[r.size][r.key][langs.index(r.lang)] += r.n
     model: dict = {"langs": langs}
     for n, counts in enumerate(tables):
         keys = list(counts)
