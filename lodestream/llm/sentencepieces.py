@@ -35,7 +35,7 @@ from lodestream.llm.common import Tables, blocks, mix, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK, SEGMENT = 65_536, 4096, 256
-CACHE = 150_000
+CACHE = 100_000
 MARK = "▁"
 NONE = -(1 << 60)
 LOW = 64  # the low bits of a packed score hold a length
@@ -338,8 +338,8 @@ def _cut(prefix: str, chunk: int, ahead: int):
 def _transfers(model):
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 32):
-                part = batch.slice(lo, 32)
+            for lo in range(0, batch.num_rows, 8):
+                part = batch.slice(lo, 8)
                 t = transfers(model.value, part.column("chunk").to_pylist(), part.column("size").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("key"), part.column("i"), pa.array([x.tobytes() for x in t], pa.binary())], ["key", "i", "t"])
 
