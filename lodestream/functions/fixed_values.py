@@ -196,5 +196,69 @@ REGIONS = [
 ]
 
 
+#: Elements that hold a page's text in content systems, in the order in which they are tried.
+CMS_SELECTORS = """
+.entry-content
+.post-content
+.page-content
+.wp-block-post-content
+.elementor-widget-text-editor .elementor-widget-container
+.elementor-widget-theme-post-content .elementor-widget-container
+[data-widget_type^="text-editor"] .elementor-widget-container
+.et_pb_text_inner
+.et_pb_post_content
+#et-main-area .et_pb_module
+.wpb_text_column .wpb_wrapper
+main
+article
+[role="main"]
+#content
+.content-area
+.site-content
+"""
+
+#: Elements that are never text.
+NOISE_SELECTORS = """
+script
+style
+nav
+footer
+header
+aside
+noscript
+iframe
+svg
+form
+[role="navigation"]
+[role="banner"]
+[role="contentinfo"]
+.cookie-banner
+.cookie-notice
+#cookie-consent
+.cc-window
+.gdpr-banner
+.gdpr-notice
+.newsletter-signup
+.newsletter-form
+.social-share
+.share-buttons
+.sidebar
+#sidebar
+.comments
+#comments
+.breadcrumb
+.breadcrumbs
+"""
+
+#: Patterns of class names and ids by which a reader mode judges elements.
+READABLE = {
+    "unlikely": "-ad-|ai2html|banner|breadcrumbs|combx|comment|community|cover-wrap|disqus|extra|footer|gdpr|header|legends|menu|related|remark|replies|rss|shoutbox|sidebar|skyscraper|social|sponsor|supplemental|ad-break|agegate|pagination|pager|popup|yom-remote",
+    "maybe": "and|article|body|column|content|main|mathjax|shadow",
+    "positive": "article|body|content|entry|hentry|h-entry|main|page|pagination|post|text|blog|story",
+    "negative": "-ad-|hidden|^hid$| hid$| hid |^hid |banner|combx|comment|com-|contact|footer|gdpr|masthead|media|meta|outbrain|promo|related|scroll|share|shoutbox|sidebar|skyscraper|sponsor|shopping|tags|widget",
+}
+UNLIKELY_ROLES = "menu menubar complementary navigation alert alertdialog dialog".split()
+
+
 def lines(text: str) -> list[str]:
     return [x for x in text.split("\n") if x]

@@ -44,15 +44,37 @@ def strip_tracking(url: Column) -> Column:
     return F.when(F.size(query) > 0, F.concat(path, F.lit("?"), F.array_join(query, "&"))).otherwise(path)
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """An absolute, scheme-relative, root-relative or relative reference against a base, cleaned of tracking."""
-    folder = F.regexp_replace(F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"^([a-zA-Z]+://[^/]+)$", "$1/"), r"[^/]*$", "")
+def _without_dots(url: Column) -> Column:
+    """Dot segments of the path folded away, a segment at a time onto a stack; `..` at the root stays there, one at the end leaves the slash."""
+    parts = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
+
+    def fold(path: Column) -> Column:
+        segments = F.split(F.substring(path, 2, 1 << 30), "/")
+        last = F.element_at(segments, -1)
+        empty = F.array().cast("array<string>")
+        step = lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+        kept = F.aggregate(segments, empty, step)
+        return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+
+    some = F.regexp_extract(url, parts, 2).rlike(r"/\.{1,2}(/|$)")
+    return F.when(some, F.concat(F.regexp_extract(url, parts, 1), fold(F.regexp_extract(url, parts, 2)), F.regexp_extract(url, parts, 3))).otherwise(url)
+
+
+def absolute(base: Column, href: Column) -> Column:
+    """A reference against a base, as RFC 3986 resolves it: absolute, scheme-relative, root-relative, query or fragment alone, or relative with dot segments."""
+    bare = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.regexp_replace(F.regexp_replace(bare, r"^([a-zA-Z]+://[^/]+)$", "$1/"), r"[^/]*$", "")
     scheme = F.regexp_extract(base, r"^([a-zA-Z]+:)", 1)
     out = (
-        F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(origin(base), href))
-        .when(href.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), href)).otherwise(F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
+        F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(F.regexp_extract(base, r"^([a-zA-Z]+://[^/?#]+)", 1), href))
+        .when(href.startswith("?"), F.concat(bare, href)).when((href == "") | href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href)).otherwise(F.concat(folder, href))
     )
-    return strip_tracking(out)
+    return _without_dots(out)
+
+
+def resolve(base: Column, href: Column) -> Column:
+    """A reference against a base, cleaned of tracking."""
+    return strip_tracking(absolute(base, href))
 
 
 def unwrap_archive(url: Column) -> Column:

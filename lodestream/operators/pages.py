@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +72,42 @@ def tiered_text(pages: DataFrame, enough: int = 30, longest: int | None = 50_000
     return out.select("page_id", text.alias("text_content"), T.word_count(text).alias("word_count"), F.col("b.method").alias("extraction_method"))
 
 
+DOM_TEXT = "page_id {id}, text string, n int, method string"
+
+
+def _dom_text(enough: int):
+    """Of each page the text of the first tree tier that has `enough` words, or of the longer one."""
+    from lodestream.functions import dom
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 64):  # a page's tree is some times its size
+                some, rows = batch.slice(lo, 64), []
+                for html in some.column("html").to_pylist():
+                    root, best = dom.parse(html or ""), ("", 0, "none")
+                    for method, read in (("readability", dom.readable_text), ("cms_dom", dom.cms_text)):
+                        text = read(root) if best[1] < enough else ""
+                        if (n := dom.count_words(text)) > best[1]:
+                            best = (text, n, method if method != "readability" or n >= enough else "none")
+                    rows.append(best)
+                texts, counts, methods = (pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.string())))
+                yield pa.RecordBatch.from_arrays([some.column("page_id"), texts, counts, methods], ["page_id", "text", "n", "method"])
+
+    return run
+
+
+def dom_text(pages: DataFrame, enough: int = 30, longest: int | None = 50_000) -> DataFrame:
+    """(page_id, text_content, word_count, extraction_method): the article by node scores (`readability`), then the elements of content systems (`cms_dom`), both on one tree of the page; then extract_text (`regex_fallback`), which runs only for pages whose tree gave less than `enough` words. A shorter text of an article is kept, as `none`, where nothing else gives more. Null pages have no text. The tree is left whole by each tier, so that none depends on what an earlier one took out."""
+    of_tree = pages.select("page_id", "html").mapInArrow(_dom_text(enough), DOM_TEXT.format(id=pages.schema["page_id"].dataType.simpleString()))
+    few = of_tree.where(F.col("n") < enough).select("page_id")
+    by_pattern = pages.join(few, "page_id", "left_semi").select("page_id", extract_text(F.col("html"), None).alias("other"))
+    both = of_tree.join(by_pattern, "page_id", "left").withColumn("more", (F.col("n") < enough) & (T.word_count(F.col("other")) > F.col("n")))
+    text = F.when(F.col("more"), F.col("other")).otherwise(F.col("text"))
+    text = text if longest is None else F.left(text, F.lit(longest))
+    method = F.when(F.col("more"), "regex_fallback").otherwise(F.col("method"))
+    return both.select("page_id", text.alias("text_content"), T.word_count(text).alias("word_count"), method.alias("extraction_method"))
+
+
 def page_items(pages: DataFrame, min_words: int = 50, longest: int | None = 50_000) -> DataFrame:
     """Scraped pages: title, text, counts, status. A bot wall or a text no longer than the page's own summary is low content."""
     out = pages.withColumn("text_content", extract_text(F.col("html"), longest)).withColumn("og", meta(F.col("html"), "property", "og:description"))
