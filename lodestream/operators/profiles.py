@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestream.functions import docx
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
 
@@ -61,3 +62,129 @@ def application_files(configs: DataFrame) -> DataFrame:
     """(path, content) of the JSON file of each good config, for a text sink. The names are the companies', as file names allow."""
     good = configs.where("error is null")
     return good.select(F.concat(T.file_slug(F.coalesce("company_name", "entity_name")), F.lit("_"), "base_variant", F.lit(".json")).alias("path"), F.col("config").alias("content"))
+
+
+CONFIG = (
+    "company_name string, base_variant string, fit_score double, "
+    "job_analysis struct<explicit_requirements: array<struct<requirement: string, priority: string, frequency: int>>, preferred_qualifications: array<string>, industry_language: array<string>, "
+    "operational_context: struct<team_size: string, reporting_to: string, scope: string, location: string>, culture_signals: array<string>>, "
+    "gaps array<string>, suggestions struct<summary: {one}, highlights: {one}, competencies: {one}, job_bullets: {one}>, "
+    "cv struct<summary: string, highlights: array<string>, competencies: array<struct<category: string, items: array<string>>>, otherExp: string, jobs: map<string, struct<role: string, intro: string, bullets: array<string>>>>"
+).format(one="struct<has_suggestions: boolean, items: array<struct<type: string, job: string, current: string, suggested: string, addresses: string>>>")
+
+_SUGGESTED = [("summary", "Summary Suggestions"), ("highlights", "Highlights Suggestions"), ("competencies", "Competency Suggestions"), ("job_bullets", "Job Bullet Suggestions")]
+_BLUE = "2B5C6E"
+
+
+def _heading(text) -> Column:
+    return docx.paragraph(docx.run(F.lit(text) if isinstance(text, str) else text, 28, _BLUE, bold=True), before=300, after=100)
+
+
+def _subheading(text) -> Column:
+    return docx.paragraph(docx.run(F.lit(text) if isinstance(text, str) else text, 22, "1a1a1a", bold=True), before=200, after=60)
+
+
+def _label(name: str, value: Column) -> Column:
+    return docx.paragraph(docx.run(F.lit(f"{name}: "), color=_BLUE, bold=True), docx.run(value), after=30)
+
+
+def _rule() -> Column:
+    return docx.paragraph(before=60, after=60, rule=True)
+
+
+def _some(*paragraphs: Column) -> Column:
+    """Those that are not null, as an array."""
+    return F.filter(F.array(*(p.cast(docx.PARAGRAPHS[6:-1]) for p in paragraphs)), lambda p: p.isNotNull())
+
+
+def _each(items: Column, make) -> Column:
+    return F.coalesce(F.transform(items, make), F.array().cast(docx.PARAGRAPHS))
+
+
+def _given(text: Column) -> Column:
+    return T.or_else(text)
+
+
+def suggestion_paragraphs(c: Column, made_on: Column, owner: str = "the applicant") -> Column:
+    """The document that explains an application: the five layers of the job's analysis, gaps, suggestions. c: a struct of CONFIG."""
+    job, context = c["job_analysis"], c["job_analysis"]["operational_context"]
+    times = lambda r: F.when(r["frequency"] > 1, F.concat(F.lit(" (mentioned "), r["frequency"].cast("string"), F.lit("x)"))).otherwise("")
+    text = lambda x: F.coalesce(x, F.lit(""))
+    body = lambda x: docx.paragraph(docx.run(x))
+    dashed = lambda xs: _each(xs, lambda x: body(F.concat(F.lit("  - "), text(x))))
+    layers = F.concat(
+        _some(_heading("5-Layer Job Ad Analysis"), _rule(), _subheading("Layer 1: Explicit Requirements")),
+        _each(job["explicit_requirements"], lambda r: body(F.concat(F.lit("  ["), text(r["priority"]), F.lit("] "), text(r["requirement"]), times(r)))),
+        _some(_subheading("Layer 2: Preferred Qualifications")), dashed(job["preferred_qualifications"]),
+        _some(_subheading("Layer 3: Industry Language & Keywords"), body(F.concat(F.lit("  "), F.coalesce(F.array_join(job["industry_language"], ", "), F.lit("")))), _subheading("Layer 4: Operational Context")),
+        _some(*(F.when(_given(context[k]).isNotNull(), _label(name, context[k])) for name, k in (("Team", "team_size"), ("Reports to", "reporting_to"), ("Scope", "scope"), ("Location", "location")))),
+        _some(_subheading("Layer 5: Culture Signals")), dashed(job["culture_signals"]),
+    )
+    none = F.array().cast(docx.PARAGRAPHS)
+
+    def gap(g: Column, i: Column) -> Column:
+        of = lambda k: F.get_json_object(g, f"$.{k}")  # noqa: E731  an object or a bare text
+        head = F.concat((i + 1).cast("string"), F.lit(". "), F.coalesce(_given(of("requirement")), g), F.lit(" ["), text(of("priority")), F.lit("]"))
+        return _some(_subheading(head), F.when(_given(of("closest_match")).isNotNull(), _label("Closest existing content", of("closest_match"))), F.when(_given(of("question")).isNotNull(), _label(f"Question for {owner}", of("question"))))
+
+    gaps = F.when(F.size(c["gaps"]) > 0, F.concat(_some(_heading("Content Gaps"), _rule()), F.flatten(F.transform(c["gaps"], gap)))).otherwise(none)
+
+    def suggestion(x: Column, i: Column) -> Column:
+        head = F.concat((i + 1).cast("string"), F.lit(". ["), text(x["type"]), F.lit("]"), F.when(_given(x["job"]).isNotNull(), F.concat(F.lit(" ("), x["job"], F.lit(")"))).otherwise(""))
+        return _some(_subheading(head), F.when(_given(x["current"]).isNotNull(), _label("CURRENT", x["current"])), _label("SUGGESTED", x["suggested"]), _label("ADDRESSES", x["addresses"]))
+
+    def section(key: str, title: str) -> Column:
+        s = c["suggestions"][key]
+        return F.when(s["has_suggestions"] & (F.size(s["items"]) > 0), F.concat(_some(_heading(title), _rule()), F.flatten(F.transform(s["items"], suggestion)))).otherwise(none)
+
+    title = docx.paragraph(docx.run(F.concat(F.lit("CV Analysis & Suggestions - "), text(c["company_name"])), 36, _BLUE, bold=True))
+    note = docx.paragraph(docx.run(F.concat(F.lit("Generated "), made_on, F.lit(". Review each suggestion and approve/reject.")), color="666666", italics=True), after=200)
+    return F.concat(_some(title, note), F.when(job.isNotNull(), layers).otherwise(none), gaps, *(section(*x) for x in _SUGGESTED))
+
+
+def cv_paragraphs(c: Column) -> Column:
+    """The tailored CV: summary, highlights, competencies, jobs in their order and other experience, each only if given. c: a struct of CONFIG."""
+    cv, none = c["cv"], F.array().cast(docx.PARAGRAPHS)
+    body = lambda x: docx.paragraph(docx.run(x))
+    dashed = lambda xs: _each(xs, lambda x: body(F.concat(F.lit("  - "), F.coalesce(x, F.lit("")))))
+
+    def part(title: str, there: Column, content: Column) -> Column:
+        return F.when(there, F.concat(_some(_heading(title), _rule()), content)).otherwise(none)
+
+    competency = lambda x: body(F.concat(F.coalesce(x["category"], F.lit("")), F.lit(": "), F.coalesce(F.array_join(x["items"], ", "), F.lit(""))))
+    job = lambda x: F.concat(_some(_subheading(F.concat(F.coalesce(x["value"]["role"], F.lit("")), F.lit(", "), x["key"])), F.when(_given(x["value"]["intro"]).isNotNull(), body(x["value"]["intro"]))), dashed(x["value"]["bullets"]))
+    return F.concat(
+        part("Summary", _given(cv["summary"]).isNotNull(), _some(body(cv["summary"]))), part("Highlights", F.size(cv["highlights"]) > 0, dashed(cv["highlights"])),
+        part("Competencies", F.size(cv["competencies"]) > 0, _each(cv["competencies"], competency)), part("Experience", F.size(cv["jobs"]) > 0, F.flatten(F.transform(F.map_entries(cv["jobs"]), job))),
+        part("Other Experience", _given(cv["otherExp"]).isNotNull(), _some(body(cv["otherExp"]))),
+    )
+
+
+def _config() -> Column:
+    """The answer as a struct; null where it is no JSON."""
+    return F.when(F.get_json_object("config", "$").isNotNull(), F.from_json("config", CONFIG))
+
+
+def application_documents(configs: DataFrame, made_on: Column | None = None, prefix: str = "CV_") -> DataFrame:
+    """(entity_name, pool_pos, name, content binary): the CV and the suggestions as Word documents and the answer as JSON of each entity with an analysis. configs: (entity_name, pool_pos, config JSON). Of entities whose names make the same file the last keeps it, as if written in turn."""
+    made_on = F.date_format(F.current_date(), "yyyy-MM-dd") if made_on is None else made_on
+    rows = configs.withColumn("c", _config()).where("c is not null")
+    slug = T.file_slug(F.coalesce(_given(F.col("c.company_name")), "entity_name"))
+    last = rows.withColumn("slug", slug).groupBy("slug").agg(F.max_by(F.struct("entity_name", "pool_pos", "config", "c"), F.struct("pool_pos", "entity_name")).alias("r")).select("slug", "r.*")
+    c = F.col("c")
+    parts = F.array(
+        F.struct(F.concat(F.lit(prefix), "slug", F.lit("_tailored.docx")).alias("name"), cv_paragraphs(c).alias("p")),
+        F.struct(F.concat(F.lit("SUGGESTIONS_"), "slug", F.lit(".docx")).alias("name"), suggestion_paragraphs(c, made_on).alias("p")),
+        F.struct(F.concat(F.lit("RESPONSE_"), "slug", F.lit(".json")).alias("name"), F.lit(None).cast(docx.PARAGRAPHS).alias("p")),
+    )
+    files = last.select("entity_name", "pool_pos", "config", F.explode(parts).alias("f")).select("entity_name", "pool_pos", "f.name", "f.p", "config")
+    content = F.when(F.col("p").isNotNull(), docx.document("p")).otherwise(F.encode("config", "UTF-8"))
+    return files.select("entity_name", "pool_pos", "name", content.alias("content"))
+
+
+def application_summary(configs: DataFrame, files: DataFrame) -> DataFrame:
+    """(entity_name, cv_filename, suggestions_filename, response_filename, variant, fit_score, cv_size_kb, status, error) of each config; an error where there is no analysis. files: of application_documents."""
+    of = files.groupBy("entity_name", "pool_pos").agg(*(F.max(F.when(F.col("name").rlike(p), F.col(v))).alias(k) for k, p, v in (("cv_filename", "_tailored\\.docx$", "name"), ("suggestions_filename", "^SUGGESTIONS_", "name"), ("response_filename", "^RESPONSE_", "name"))), F.max(F.when(F.col("name").rlike("_tailored\\.docx$"), F.length("content"))).alias("n"))
+    out = configs.withColumn("c", _config()).join(of, ["entity_name", "pool_pos"], "left")
+    bad = F.when(F.col("c").isNull(), "No analysis data from job-analyzer").when(F.col("cv_filename").isNull(), "Another entity has the same file name")
+    return out.select("entity_name", "cv_filename", "suggestions_filename", "response_filename", F.col("c.base_variant").alias("variant"), F.col("c.fit_score").alias("fit_score"), T.js_round(F.col("n") / 1024).cast("int").alias("cv_size_kb"), F.when(bad.isNull(), "success").otherwise("error").alias("status"), bad.alias("error"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
 from lodestream.operators import bundle, content, generation, pages, profiles, qa, reports, urls
-from lodestream.plans import inputs, oracles
+from lodestream.plans import inputs, more, oracles
 from lodestream.plans.inputs import articles, documents, page_items, table, url_variants
 from lodestream.sources import discovery
 from lodestream.streaming import incremental
@@ -393,8 +393,8 @@ def queries() -> dict:
         "relational_top_orders": lambda s, d: table(s, d, "orders").withColumn("r", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))).where("r <= 3").join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey", "o_totalprice", "r"),
         "relational_semi_anti": lambda s, d: table(s, d, "part").join(table(s, d, "lineitem").where("l_quantity > 49"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey"),
     }
-    return q
+    return q | more.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.ORACLES
+    return oracles.ORACLES | more.ORACLES
