@@ -36,6 +36,7 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 FREQUENT = 1 << 13
 CACHE = 1 << 18
+LONG = 256  # longer keys are encoded whenever they come
 FAN = 64
 SLICE = 1 << 20
 
@@ -82,7 +83,7 @@ class Lengths(dict):
             self.asked += 1
             if len(self.cache) >= self.size:
                 self.cache.clear()
-            if len(key) < 256:
+            if len(key) < LONG:
                 self.cache[key] = n
         return n
 
@@ -95,7 +96,7 @@ def commonest(counts: Counter, most: int) -> list[tuple[str, int]]:
 
 
 def _packed(task: int, counts: Counter, most: int) -> pa.RecordBatch:
-    top = commonest(counts, most)
+    top = [x for x in commonest(counts, most) if len(x[0]) < LONG]
     columns = [[task], [[k for k, _ in top]], [[n for _, n in top]]]
     kinds = [pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["task", "keys", "ns"])
@@ -115,7 +116,7 @@ def _summary(most: int):
         for batch in blocks(batches, "text"):
             for text in batch.column("text").to_pylist():
                 for keys in pre_tokens(text or ""):
-                    counts.update(k for k in keys if len(k) < 64)
+                    counts.update(keys)
                 if len(counts) > 8 * most:
                     counts = Counter(dict(commonest(counts, most)))
         yield _packed(TaskContext.get().partitionId(), counts, most)
@@ -141,7 +142,7 @@ def frequent_keys(docs: DataFrame, most: int = FREQUENT) -> list[str]:
     rows = docs.select("text").mapInArrow(_summary(most), kinds)
     while tasks > FAN:
         rows, tasks = rows.groupBy(F.floor(F.col("task") / FAN)).applyInArrow(_merged(most), kinds), -(-tasks // FAN)
-    counts = _unpacked((r["keys"], r["ns"]) for r in rows.toLocalIterator())  # FAN rows at most
+    counts = _unpacked((r["keys"], r["ns"]) for r in rows.collect())  # FAN rows at most
     return [k for k, _ in commonest(counts, most)]
 
 
