@@ -260,5 +260,69 @@ READABLE = {
 UNLIKELY_ROLES = "menu menubar complementary navigation alert alertdialog dialog".split()
 
 
+#: Parts of paths by which pages are taken for a company's people, products and awards, and pages of each that are fetched.
+MEDIA_PAGES = {
+    "team": ("/about /team /leadership /people /management /our-team /staff /executives /founders /who-we-are".split(), 3),
+    "products": ("/products /solutions /platform /services /software /features /demo /tools /technology".split(), 3),
+    "awards": ("/awards /certifications /recognition /achievements /accreditations /partners".split(), 2),
+}
+#: Images of each class that are kept.
+MEDIA_CAPS = {"team": 10, "products": 10, "awards": 5}
+LOGO_WORDS = "logo|brand|site-icon"
+PERSON_WORDS = "team|people|staff|executive|leadership|headshot|avatar|portrait|founder|ceo|cto|director|manager|board"
+PRODUCT_WORDS = "product|platform|dashboard|screenshot|demo|software|interface|solution|feature|tool|game|slot|casino|betting|sportsbook"
+NO_PRODUCT_WORDS = "logo|icon|badge|arrow|button"
+AWARD_WORDS = "award|badge|cert|seal|winner|recognition|trophy|medal|accredit|compliance|licensed"
+SPACER_WORDS = r"spacer|pixel|arrow|button|icon\."
+
+#: Claims that a verifier looks up: one pattern a line; those after the empty line are matched with case.
+FACT_PATTERNS = r"""
+\b\d+(?:\.\d+)?\s*(?:million|billion|trillion)\b
+\bUSD\s*\d+
+\bEUR\s*\d+
+\bGBP\s*\d+
+\bfounded\s+in\s+\d{4}\b
+\bestablished\s+in\s+\d{4}\b
+\blaunched\s+in\s+\d{4}\b
+\bsince\s+\d{4}\b
+\bheadquartered\s+in\b
+\bbased\s+in\b
+\bemploys?\s+(?:over\s+|more\s+than\s+|approximately\s+)?\d
+\b\d+\s+employees?\b
+\blicensed?\s+(?:by|in|from)\b
+\bregulated\s+by\b
+\bacquired\s+(?:by|for)\b
+\bmerged\s+with\b
+\bpartnership\s+with\b
+\bsponsors?\s+(?:of|the)\b
+\bpowered\s+by\b
+\boperates?\s+in\s+\d+
+\bover\s+\d+\s+(?:brands?|markets?|countries|games?|titles?)\b
+
+\b\d{1,3}(?:,\d{3})+\b
+\b\d+(?:\.\d+)?\s*%
+\$\s*\d+
+\b€\s*\d+
+\b£\s*\d+
+\bin\s+\d{4}\b
+"""
+
+#: What a verifier takes for general knowledge.
+FACT_EXCEPTIONS = r"""
+\bigaming\s+is\b
+\bonline\s+gambling\s+is\b
+\bthe\s+industry\s+(?:is|has|continues)\b
+\bglobally\b
+\bgenerally\s+(?:speaking|considered)\b
+\bit\s+is\s+(?:widely|commonly|generally)\b
+\bas\s+(?:one\s+of\s+)?the\s+(?:largest|biggest|most)\b
+\bis\s+(?:a|an)\s+(?:popular|common|well-known|leading|major)\b
+\bplays?\s+(?:a|an)\s+(?:important|key|crucial|vital)\s+role\b
+\bcontinues?\s+to\s+(?:grow|expand|evolve)\b
+"""
+#: Stems of those of its patterns that match without a digit.
+FACT_STEMS = "headquartered based licens regulated acquired merged partnership sponsor powered".split()
+
+
 def lines(text: str) -> list[str]:
     return [x for x in text.split("\n") if x]

@@ -156,10 +156,11 @@ def _where(text: Column, mark: str, pattern: str, by: str) -> Column:
     return let(text, lambda t: F.when(F.contains(t, F.lit(mark)), F.regexp_replace(t, pattern, by)).otherwise(t))
 
 
-def split_sentences(text: Column, shortest: int = 10) -> Column:
-    """Sentences of more than `shortest` characters, free of Markdown marks."""
+def split_sentences(text: Column, shortest: int = 10, citations: bool = True) -> Column:
+    """Sentences of more than `shortest` characters, free of Markdown marks; without citations also of [#n] and [n]."""
     for mark, pattern, by in fixed.MARKDOWN_MARKS:
         text = _where(text, mark, pattern, by)
+    text = text if citations else _where(text, "[", r"\[#?\d+\]", "")
     same = "|".join(re.escape(long[:-1]) for long, short in fixed.ABBREVIATIONS if long == short + ".")
     text = _where(text, ".", rf"(?<!{_W})({same})\.", "$1\x01")
     for long, short in fixed.ABBREVIATIONS:
@@ -169,15 +170,19 @@ def split_sentences(text: Column, shortest: int = 10) -> Column:
     return F.filter(parts, lambda s: F.length(s) > shortest)
 
 
-def is_claim(sentence: Column) -> Column:
+def is_claim(sentence: Column, patterns: str = fixed.CLAIM_PATTERNS, exceptions: str = fixed.GENERAL_KNOWLEDGE_PATTERNS, stems: list[str] = fixed.CLAIM_STEMS) -> Column:
     """A factual claim that is not general knowledge. No pattern matches without a digit or one of the stems that are looked for first."""
-    both = fixed.CLAIM_PATTERNS.strip("\n").split("\n\n")
-    free, cased = ("|".join(fixed.lines(x)) for x in both)
-    general = "|".join(fixed.lines(fixed.GENERAL_KNOWLEDGE_PATTERNS))
-    may = sentence.rlike("[0-9]") | has_any(F.lower(sentence), fixed.CLAIM_STEMS)
+    free, cased = ("|".join(fixed.lines(x)) for x in patterns.strip("\n").split("\n\n"))
+    general = "|".join(fixed.lines(exceptions))
+    may = sentence.rlike("[0-9]") | has_any(F.lower(sentence), stems)
     return may & (sentence.rlike("(?i)" + ascii_words(free)) | sentence.rlike(ascii_words(cased))) & ~sentence.rlike("(?i)" + ascii_words(general))
 
 
+def is_fact(sentence: Column) -> Column:
+    """A claim that a verifier looks up: more patterns and more exceptions than those of uncited claims."""
+    return is_claim(sentence, fixed.FACT_PATTERNS, fixed.FACT_EXCEPTIONS, fixed.FACT_STEMS)
+
+
 def front_matter(markdown: Column) -> Column:
     """What stands between the first line and the next line of ---, null if there is none."""
     return F.nullif(F.regexp_extract(markdown, r"^---\s*\n([\s\S]*?)\n---", 1), F.lit(""))

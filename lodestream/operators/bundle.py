@@ -2,31 +2,74 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
 
-_MARKER = r"(?m)^(#{1,6})\s+\[[A-Za-z]+:\s*([a-z0-9-]+)\]\s*"
+_MARKER = r"(?m)^(#{1,6})\s+\[([^\]]+)\]"
+_OLD_MARKER = r"(?m)^(#{1,6})\s+\[[A-Za-z]+:\s*([a-z0-9-]+)\]\s*"
 
 
 def strip_markers(markdown: Column) -> Column:
     """Headings `## [Type: some-slug]` become `## Some Slug`: distinct slugs are replaced one by one."""
-    slugs = F.array_distinct(F.regexp_extract_all(markdown, F.lit(_MARKER), F.lit(2)))
+    slugs = F.array_distinct(F.regexp_extract_all(markdown, F.lit(_OLD_MARKER), F.lit(2)))
     return F.aggregate(slugs, markdown, lambda t, s: F.regexp_replace(t, F.concat(F.lit(r"(?m)^(#{1,6})\s+\[[A-Za-z]+:\s*"), s, F.lit(r"\][^\S\n]*")), F.concat(F.lit("$1 "), T.slug_to_title(s))))
 
 
-def markdown_output(articles: DataFrame) -> DataFrame:
-    """articles: (entity_name, markdown, title, citations array<struct<index,url,title>>). Citations become footnotes, under front matter."""
-    body = T.trim_ws(F.regexp_replace(strip_markers(F.col("markdown")), r"(?s)\n*## Meta.*$", ""))
-    ref = T.refs(F.col("markdown"))
-    noted = F.regexp_replace(body, r"\[#(\d+)\]", "[^$1]")
-    source = lambda n: F.get(F.filter("citations", lambda c: c["index"] == n), F.lit(0))
-    notes = F.array_join(F.transform(ref, lambda n: F.concat(F.lit("[^"), n.cast("string"), F.lit("]: "), F.coalesce(F.concat_ws(" - ", source(n)["title"], source(n)["url"]), F.lit("")))), "\n")
-    front = F.concat(F.lit('---\ntitle: "'), F.replace("title", F.lit('"'), F.lit('\\"')), F.lit('"\n---\n\n'))
-    whole = F.concat(front, noted, F.when(F.size(ref) > 0, F.concat(F.lit("\n\n"), notes)).otherwise(""))
-    return articles.select("entity_name", whole.alias("final_markdown"), T.word_count(body).alias("word_count"), F.regexp_count(body, F.lit(r"(?m)^#{2,3}\s+")).alias("section_count"), F.size(ref).alias("citation_count"))
+def plain_headings(markdown: Column) -> Column:
+    """Headings without their brackets: the slug of a category or tag as a title, other texts as they are. Distinct texts are replaced one by one."""
+    def one(t: Column, x: Column) -> Column:
+        slug = F.nullif(F.regexp_extract(x, r"^(?:(?:Primary|Secondary) Category|Tag): \s*(.*)$", 1), F.lit(""))
+        by = F.coalesce(T.slug_to_title(slug), x)
+        return F.regexp_replace(t, F.concat(F.lit(r"(?m)^(#{1,6})\s+\["), T.escape_regex(x), F.lit(r"\]")), F.concat(F.lit("$1 "), F.regexp_replace(by, r"([\\$])", r"\\$1")))
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(markdown, F.lit(_MARKER), F.lit(2))), markdown, one)
+
+
+def _yaml(text: Column) -> Column:
+    """A text as a YAML scalar: bare where that is safe, else in single quotes."""
+    bare = text.rlike(r"^[\p{L}\p{N}_/(.+][\p{L}\p{N}_ .,()/+&#'’–—;=$%@!?*^~-]*$") & ~text.rlike(r"\s$|\s#|^[+.-]?[0-9]|^[.~]") & ~F.lower(text).isin("true", "false", "null", "yes", "no", "on", "off", "y", "n")
+    return F.when(bare, text).otherwise(F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'")))
+
+
+def front_matter(name: Column, analysis: Column) -> Column:
+    """Title, categories and tags between lines of ---; lists only where the analysis has them."""
+    def listed(head: str, xs: Column) -> Column:
+        return F.when(F.size(xs) > 0, F.concat(F.lit(f"\n{head}:"), F.array_join(F.transform(xs, lambda x: F.concat(F.lit("\n  - "), _yaml(x))), ""))).otherwise("")
+
+    get = lambda path, *fields: F.transform(as_list(F.get_json_object(analysis, f"$.{path}")), lambda e: F.coalesce(label(e, *fields), e))
+    categories = F.concat(get("categories.primary", "slug", "name"), get("categories.secondary", "slug", "name"))
+    tags = F.concat(get("tags.existing", "slug", "name"), get("tags.suggested_new", "label", "slug"))
+    return F.concat(F.lit("---\ntitle: "), _yaml(name), listed("categories", categories), listed("tags", tags), F.lit("\n---\n\n"))
+
+
+def _source(n: Column) -> Column:
+    return F.get(F.filter("citations", lambda c: c["index"] == n), F.lit(0))
+
+
+def footnotes(markdown: Column) -> Column:
+    """[#n] as [^n], with a note for each number below a rule; a number without source says so. Uses the column citations."""
+    def note(n: Column) -> Column:
+        known = F.concat(F.coalesce(_source(n)["title"], F.lit("")), F.lit(" — "), F.coalesce(_source(n)["url"], F.lit("")))
+        return F.concat(F.lit("[^"), n.cast("string"), F.lit("]: "), F.coalesce(F.when(_source(n).isNotNull(), known), F.concat(F.lit("Source "), n.cast("string"))))
+
+    ref = T.refs(markdown)
+    return F.when(F.size(ref) > 0, F.concat(F.regexp_replace(markdown, r"\[#(\d+)\]", "[^$1]"), F.lit("\n\n---\n\n"), F.array_join(F.transform(ref, note), "\n"))).otherwise(markdown)
+
+
+def markdown_output(articles: DataFrame, citations: str = "footnotes", markers: bool = False, front: bool = True, meta: bool = False) -> DataFrame:
+    """articles: (entity_name, markdown, citations array<struct<index,url,title>>, analysis JSON or null). citations: `footnotes`, `inline` (as they are) or `strip`; markers: keep the brackets of headings; front: front matter; meta: keep the section Meta. Words and sections of the whole."""
+    body = F.col("markdown") if meta else T.trim_ws(F.regexp_replace("markdown", r"\n## \[?Meta\]?[\s\S]*$", ""))
+    body = body if markers else plain_headings(body)
+    body = {"footnotes": footnotes, "strip": lambda t: F.regexp_replace(t, r"\s*\[#\d+\]", "")}.get(citations, lambda t: t)(body)
+    whole = F.concat(front_matter(F.col("entity_name"), F.col("analysis")) if front else F.lit(""), T.trim_ws(body))
+    out = articles.where("markdown != ''").select("entity_name", "markdown", whole.alias("final_markdown"))
+    return out.select("entity_name", "final_markdown", T.word_count(F.col("final_markdown")).alias("word_count"), F.regexp_count("final_markdown", F.lit(r"(?m)^#{2,3}\s+")).alias("section_count"), F.size(T.refs(F.col("markdown"))).alias("citation_count"), F.replace(F.left("final_markdown", F.lit(200)), F.lit("\n"), F.lit(" ")).alias("content_preview"))
 
 
 def _inline(line: Column) -> Column:
@@ -62,6 +105,61 @@ def html_output(articles: DataFrame) -> DataFrame:
     return articles.select("entity_name", page.alias("final_html"), T.kb_size(page).alias("html_size_kb"), F.regexp_count(body, F.lit("<h[1-6]>")).alias("heading_count"))
 
 
+@pandas_udf(StringType())
+def _rendered(markdown: pd.Series) -> pd.Series:
+    from lodestream.functions.markdown import to_html
+
+    return markdown.map(lambda x: None if x is None else to_html(x))
+
+
+def _cited(markdown: Column) -> Column:
+    return F.regexp_replace(markdown, r"\[#(\d+)\]", '<sup><a href="#source-$1" id="ref-$1">[$1]</a></sup>')
+
+
+def _sources_section(markdown: Column) -> Column:
+    """The sources of a text's numbers, each with a link back."""
+    def item(n: Column) -> Column:
+        number, source = n.cast("string"), _source(n)
+        name = F.coalesce(T.or_else(source["title"]), T.or_else(source["url"]), F.concat(F.lit("Source "), number))
+        linked = F.concat(F.lit('<a href="'), T.escape_html(source["url"]), F.lit('" target="_blank" rel="noopener">'), T.escape_html(name), F.lit("</a>"))
+        shown = F.when(F.coalesce(source["url"], F.lit("")) != "", linked).otherwise(T.escape_html(name))
+        return F.concat(F.lit('<li id="source-'), number, F.lit('">'), shown, F.lit(' <a href="#ref-'), number, F.lit('">↩</a></li>'))
+
+    ref = T.refs(markdown)
+    return F.when(F.size(ref) > 0, F.concat(F.lit('\n<section class="sources"><h2>Sources</h2><ol>'), F.array_join(F.transform(ref, item), ""), F.lit("</ol></section>"))).otherwise("")
+
+
+def _organization(name: Column, analysis: Column) -> Column:
+    """schema.org data of an analysis as JSON, without blanks; absent facts are left out."""
+    fact = lambda k: T.or_else(F.get_json_object(analysis, f"$.key_facts.{k}"))
+    some = lambda xs: F.when(F.size(xs) > 0, xs)
+    typed = lambda kind, *more: F.struct(F.lit(kind).alias("@type"), *more)
+    slug = F.get(F.transform(as_list(F.get_json_object(analysis, "$.categories.primary")), lambda e: label(e, "slug")), F.lit(0))
+    listed = lambda k, *fields: F.transform(as_list(fact(k)), lambda e: label(e, *fields))
+    return F.to_json(F.struct(
+        F.lit("https://schema.org").alias("@context"), F.lit("Organization").alias("@type"), name.alias("name"), fact("founded").alias("foundingDate"),
+        F.when(fact("headquarters").isNotNull(), typed("PostalAddress", fact("headquarters").alias("addressLocality"))).alias("address"), F.when(fact("employees").isNotNull(), typed("QuantitativeValue", fact("employees").alias("value"))).alias("numberOfEmployees"),
+        some(listed("awards", "detail")).alias("award"), some(F.transform(listed("licenses", "detail", "name"), lambda x: typed("EducationalOccupationalCredential", F.lit("license").alias("credentialCategory"), x.alias("name")))).alias("hasCredential"),
+        some(F.transform(listed("key_people", "name"), lambda x: typed("Person", x.alias("name")))).alias("member"), fact("contact.email").alias("email"), fact("contact.phone").alias("telephone"),
+        F.concat(name, F.lit(" is a company in the "), T.slug_to_title(slug), F.lit(" industry.")).alias("description"),
+    ))
+
+
+def html_documents(articles: DataFrame, schema_org_data: bool = True, css: str = "", sources: bool = True, wrap: bool = False) -> DataFrame:
+    """articles: (entity_name, markdown, citations, analysis JSON or null). The article as HTML with numbered sources, data for search engines and a style; wrap: as a whole document. css: a style element or nothing."""
+    rows = articles.where("markdown != ''").withColumn("html", _rendered(_cited(plain_headings(F.col("markdown")))))
+    html = F.concat("html", _sources_section(F.col("markdown"))) if sources else F.col("html")
+    has = F.col("analysis").isNotNull() if schema_org_data else F.lit(False)
+    data = F.when(has, F.concat(F.lit('<script type="application/ld+json">\n'), _organization(F.col("entity_name"), F.col("analysis")), F.lit("\n</script>")))
+    style = F.lit(css or None).cast("string")
+    if wrap:
+        whole = F.concat(F.lit('<!DOCTYPE html>\n<html lang="en">\n<head>\n<meta charset="UTF-8">\n<meta name="viewport" content="width=device-width, initial-scale=1.0">\n<title>'), T.escape_html(F.col("entity_name")), F.lit("</title>\n"), F.coalesce(style, F.lit("")), F.lit("\n"), F.coalesce(data, F.lit("")), F.lit("\n</head>\n<body>\n"), html, F.lit("\n</body>\n</html>"))
+    else:
+        whole = F.concat_ws("\n", style, data, html)
+    out = rows.select("entity_name", html.alias("html"), whole.alias("final_html"), has.alias("has_schema_org"))
+    return out.select("entity_name", "final_html", T.kb_size(F.col("final_html")).alias("html_size_kb"), "has_schema_org", F.regexp_count("html", F.lit("<h[1-6]")).alias("heading_count"), T.trim_ws(T.collapse_ws(F.left(T.strip_tags(F.col("final_html")), F.lit(200)))).alias("content_preview"))
+
+
 def as_list(json: Column) -> Column:
     """The entries of a JSON array as texts (objects as JSON), of one value as an array of it, of null as an empty one."""
     value = F.coalesce(F.trim(json), F.lit(""))
@@ -198,11 +296,11 @@ def company_media(images: DataFrame, top: int = 5) -> DataFrame:
     return scored.withColumn("rank", n).where(F.col("rank") <= top).select("entity_name", "rank", "src", "score")
 
 
-def analysis_flat(items: DataFrame) -> DataFrame:
-    """items: (entity_name, analysis JSON of any of the three schemas: texts, {slug, why}, {detail, source}). A lone secondary list counts as primary."""
+def analysis_flat(items: DataFrame, *also: str) -> DataFrame:
+    """also: columns that are kept. items: (entity_name, analysis JSON of any of the three schemas: texts, {slug, why}, {detail, source}). A lone secondary list counts as primary."""
     dash = " \u2014 "
     lists = {"p0": as_list(_at("analysis", "categories.primary")), "s0": as_list(_at("analysis", "categories.secondary")), "old": _labels("analysis", "tags.existing", "slug", "label"), "new": F.transform(as_list(F.coalesce(_at("analysis", "tags.suggested_new"), _at("analysis", "tags.suggested"))), lambda e: label(e, "slug", "label")), "cites": as_list(_at("analysis", "source_citations"))}
-    out = items.select("entity_name", *(c.alias(k) for k, c in lists.items()), *(T.or_else(_at("analysis", f"key_facts.{k}")).alias(k.replace(".", "_")) for k in ("founded", "headquarters", "hq", "employees", "key_people", "licenses", "awards", "partnerships", "offices", "contact.email", "contact.phone", "contact.website")))
+    out = items.select("entity_name", *also, *(c.alias(k) for k, c in lists.items()), *(T.or_else(_at("analysis", f"key_facts.{k}")).alias(k.replace(".", "_")) for k in ("founded", "headquarters", "hq", "employees", "key_people", "licenses", "awards", "partnerships", "offices", "contact.email", "contact.phone", "contact.website")))
     lone = (F.size("p0") == 0) & (F.size("s0") > 0)
     out = out.withColumn("primary", F.when(lone, F.col("s0")).otherwise(F.col("p0"))).withColumn("secondary", F.when(lone, F.array().cast("array<string>")).otherwise(F.col("s0")))
     slug = lambda e: label(e, "slug", "label")
@@ -222,7 +320,7 @@ def analysis_flat(items: DataFrame) -> DataFrame:
     get = F.get_json_object
     cite = lambda e, i: F.when(~e.startswith("{"), F.concat(number(i), F.lit(". "), e)).when(get(e, "$.index").isNotNull(), F.concat(F.lit("[#"), get(e, "$.index"), F.lit("] "), F.coalesce(get(e, "$.url"), F.lit("undefined")), F.coalesce(F.concat(F.lit(dash), T.or_else(get(e, "$.title"))), F.lit("")))).otherwise(F.concat(number(i), F.lit(". "), F.coalesce(get(e, "$.claim"), F.lit("undefined")), F.lit(dash), F.array_join(as_list(get(e, "$.sources")), ", ")))
     return out.select(
-        "entity_name", F.coalesce(F.nullif(F.array_join(F.transform("primary", slug), ", "), F.lit("")), F.lit("Unknown")).alias("primary_category"), tags_preview.alias("tags_preview"),
+        "entity_name", *also, F.coalesce(F.nullif(F.array_join(F.transform("primary", slug), ", "), F.lit("")), F.lit("Unknown")).alias("primary_category"), tags_preview.alias("tags_preview"),
         joined(" \u00b7 ", "No facts extracted", fact("Est. ", F.col("founded")), place, F.concat(F.lit("~"), F.col("employees"), F.lit(" employees"))).alias("facts_preview"),
         joined("\n", "No categories assigned", line("Primary: ", F.transform("primary", why)), line("Secondary: ", F.transform("secondary", why))).alias("categories_text"),
         joined("\n", "No tags extracted", line("Existing: ", F.col("old")), line("Suggested new: ", F.col("new"))).alias("tags_text"), facts_text.alias("key_facts_text"),
@@ -230,13 +328,13 @@ def analysis_flat(items: DataFrame) -> DataFrame:
     )
 
 
-def seo_plan_flat(items: DataFrame) -> DataFrame:
-    """items: (entity_name, plan JSON). Keywords by tier, FAQ count, warnings on the lengths of title and description."""
+def seo_plan_flat(items: DataFrame, *also: str) -> DataFrame:
+    """also: columns that are kept. items: (entity_name, plan JSON). Keywords by tier, FAQ count, warnings on the lengths of title and description."""
     tier = lambda head, k: T.let(as_list(_at("plan", f"target_keywords.{k}")), lambda xs: F.when(F.size(xs) > 0, F.concat(F.lit(head), F.array_join(xs, ", "))))
     primary = F.coalesce(T.or_else(_at("plan", "target_keywords.primary")), F.lit("Not specified"))
     n, m = F.length(T.or_else(_at("plan", "meta.title"))), F.length(T.or_else(_at("plan", "meta.description")))
     warn = F.concat_ws("; ", F.when(n > 60, F.concat(F.lit("Meta title is "), n.cast("string"), F.lit(" chars (recommended: \u226460)"))), F.when(~m.between(150, 160), F.concat(F.lit("Meta description is "), m.cast("string"), F.lit(" chars (recommended: 150-160)"))))
-    return items.select("entity_name", primary.alias("primary_keyword"), F.concat_ws("\n", F.concat(F.lit("Primary: "), primary), tier("Secondary: ", "secondary"), tier("Long-tail: ", "long_tail")).alias("keywords_text"), F.size(as_list(_at("plan", "faqs"))).alias("faq_count"), warn.alias("warnings"))
+    return items.select("entity_name", *also, primary.alias("primary_keyword"), F.concat_ws("\n", F.concat(F.lit("Primary: "), primary), tier("Secondary: ", "secondary"), tier("Long-tail: ", "long_tail")).alias("keywords_text"), F.size(as_list(_at("plan", "faqs"))).alias("faq_count"), warn.alias("warnings"))
 
 
 def profile_completeness(profiles: DataFrame) -> DataFrame:

@@ -48,20 +48,19 @@ def build_prompt(template: str, content: Column, docs: dict[str, str] | None = N
 
 
 def analyses(responses: DataFrame, model: str) -> DataFrame:
-    """responses: (entity_name, text, word_count). A row for each answer: the analysis, flat and as JSON, or an error where the answer holds no JSON object."""
+    """responses: (entity_name, text, word_count). A row for each answer, however many an entity has: the analysis, flat and as JSON, or an error where the answer holds no JSON object."""
     parsed = responses.withColumn("analysis", T.model_json(F.col("text")))
-    good = bundle.analysis_flat(parsed.where("analysis is not null"))
-    texts = [c for c in good.columns if c != "entity_name"]
-    good = good.join(parsed.where("analysis is not null").select("entity_name", "analysis", "word_count"), "entity_name")
-    good = good.select("entity_name", F.lit("analyzed").alias("status"), *texts, "word_count", F.lit(model).alias("model_used"), F.col("analysis").alias("analysis_json"), F.lit(None).cast("string").alias("error"))
+    good = bundle.analysis_flat(parsed.where("analysis is not null"), "analysis", "word_count")
+    texts = [c for c in good.columns if c not in ("entity_name", "analysis", "word_count")]
+    good = good.select("entity_name", F.lit("analyzed").alias("status"), *texts, F.col("word_count").cast("bigint").alias("word_count"), F.lit(model).alias("model_used"), F.col("analysis").alias("analysis_json"), F.lit(None).cast("string").alias("error"))
     bad = parsed.where("analysis is null").select("entity_name", F.lit("error").alias("status"), *(F.lit("").alias(c) for c in texts), F.lit(0).cast("bigint").alias("word_count"), F.lit(model).alias("model_used"), F.lit(None).cast("string").alias("analysis_json"), F.lit("no JSON object in the answer").alias("error"))
-    return good.withColumn("word_count", F.col("word_count").cast("bigint")).unionByName(bad)
+    return good.unionByName(bad)
 
 
 def plans(responses: DataFrame) -> DataFrame:
-    """responses: (entity_name, text). A row for each answer: the SEO plan, flat and as JSON, with warnings on its meta lengths and its own, or an error where the answer holds no JSON object."""
+    """responses: (entity_name, text). A row for each answer, however many an entity has: the SEO plan, flat and as JSON, with warnings on its meta lengths and its own, or an error where the answer holds no JSON object."""
     parsed = responses.select("entity_name", T.model_json(F.col("text")).alias("plan"))
-    good = bundle.seo_plan_flat(parsed.where("plan is not null")).join(parsed.where("plan is not null"), "entity_name")
+    good = bundle.seo_plan_flat(parsed.where("plan is not null"), "plan")
     own = F.array_join(bundle.as_list(F.get_json_object("plan", "$.warnings")), "\n")
     good = good.withColumn("warnings", F.concat_ws("\n", F.nullif("warnings", F.lit("")), F.nullif(own, F.lit(""))))
     good = good.select("entity_name", F.lit("planned").alias("status"), "primary_keyword", "keywords_text", "faq_count", "warnings", F.lit("").alias("error"), F.col("plan").alias("seo_plan_json"))
@@ -87,7 +86,7 @@ def written(responses: DataFrame) -> DataFrame:
 
 def claims(articles: DataFrame, batch: int = 10, longest: int = 200) -> DataFrame:
     """(entity_name, pos, batch, idx, claim): factual claims in the order of the text, in batches; long ones are cut."""
-    found = F.filter(T.split_sentences(F.col("markdown")), T.is_claim)
+    found = F.filter(T.split_sentences(F.col("markdown"), 15, citations=False), T.is_fact)
     short = F.when(F.length("claim") > longest, F.concat(F.left("claim", F.lit(longest - 3)), F.lit("..."))).otherwise(F.col("claim"))
     out = articles.select("entity_name", F.posexplode_outer(found).alias("pos", "claim")).where("pos is not null")
     return out.select("entity_name", "pos", F.floor(F.col("pos") / batch).cast("int").alias("batch"), (F.col("pos") % batch).cast("int").alias("idx"), short.alias("claim"))
@@ -101,13 +100,52 @@ def zip_verdicts(claims: DataFrame, responses: DataFrame) -> DataFrame:
     return out.select("entity_name", "pos", "claim", F.coalesce(F.nullif("v.verdict", F.lit("")), F.lit("unsupported")).alias("verdict"), F.col("v.quote").alias("quote"), F.coalesce(F.nullif("v.severity", F.lit("")), F.lit("medium")).alias("severity"))
 
 
-def revised(texts: DataFrame) -> DataFrame:
-    """texts: (entity_name, original, answer, keywords array<string>). The answer without fences, changed lines, keyword and word counts before and after."""
+def occurrences(text: Column, needle: Column) -> Column:
+    """How often a text stands in another, in any case and inside words too, without overlaps."""
+    low, part = F.lower(text), F.lower(needle)
+    return F.when(part == "", 0).otherwise(F.size(F.split(low, T.escape_regex(part))) - 1)
+
+
+def placements(markdown: Column, keywords: Column) -> Column:
+    """array of (keyword, locations): whether each stands in a heading of level 1 or 2, in the first line below such a heading that is none itself, or else in the text. Those that stand nowhere are left out."""
+    lines = F.transform(F.split(markdown, "\n"), lambda x: F.lower(T.trim_ws(x)))
+
+    def of(ls: Column) -> Column:
+        is_head = lambda x: x.rlike(r"^#{1,2}\s+")
+        plain = lambda x: (x != "") & ~x.rlike(r"^#{1,6}\s+")
+        # backwards, the next plain line of each line
+        back = F.aggregate(F.reverse(ls), F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("first")), lambda s, x: F.struct(F.when(plain(x), x).otherwise(s["next"]).alias("next"), F.when(is_head(x) & (s["next"] != ""), F.concat(s["first"], F.array(s["next"]))).otherwise(s["first"]).alias("first")))
+        heads = F.array_join(F.filter(ls, is_head), "\n")
+        firsts = F.array_join(back["first"], "\n")
+
+        def one(k: Column) -> Column:
+            low = F.lower(k)
+            head, first = F.contains(heads, low), F.contains(firsts, low)
+            places = F.array_compact(F.array(F.when(head, "heading"), F.when(first, "first_paragraph"), F.when(~head & ~first & F.contains(F.lower(markdown), low), "body")))
+            return F.struct(k.alias("keyword"), places.alias("locations"))
+
+        return F.filter(F.transform(keywords, one), lambda x: F.size(x["locations"]) > 0)
+
+    return T.let(lines, of)
+
+
+def target_keywords(plan: Column) -> Column:
+    """All keywords of a plan of either shape, in order and once each: primary, secondary, long tail. plan: JSON."""
+    get = lambda path: bundle.as_list(F.get_json_object(plan, f"$.{path}"))
+    return F.array_distinct(F.concat(*(get(f"{a}.{b}") for b, c in (("primary", "head_terms"), ("secondary", "mid_tail"), ("long_tail", "long_tail")) for a, b in (("target_keywords", b), ("keywords_used", c)))))
+
+
+def revised(texts: DataFrame, style: str = "professional") -> DataFrame:
+    """texts: (entity_name, original, answer, keywords array<string>). The answer without fences; changed lines; keyword occurrences, also inside words, and word counts before and after; where the keywords stand now; a summary and a preview."""
     text = F.regexp_replace(F.regexp_replace("answer", r"^```(?:markdown|md)?\s*\n?", ""), r"\n?```\s*$", "")
     out = texts.withColumn("revised", text).withColumn("o", F.split("original", "\n")).withColumn("r", F.split("revised", "\n"))
     changed = F.size(F.filter(F.sequence(F.lit(0), F.greatest(F.size("o"), F.size("r")) - 1), lambda i: ~T.trim_ws(F.coalesce(F.get("o", i), F.lit(""))).eqNullSafe(T.trim_ws(F.coalesce(F.get("r", i), F.lit(""))))))
-    times = lambda c: F.aggregate(F.transform("keywords", lambda k: T.count_occurrences(F.col(c), k)), F.lit(0), lambda a, x: a + x)
-    return out.select("entity_name", "revised", changed.alias("lines_changed"), times("original").alias("keywords_before"), times("revised").alias("keywords_after"), T.word_count(F.col("original")).alias("words_before"), T.word_count(F.col("revised")).alias("words_after"))
+    times = lambda c: F.aggregate(F.transform("keywords", lambda k: occurrences(F.col(c), k)), F.lit(0), lambda a, x: a + x)
+    out = out.select("entity_name", "revised", changed.alias("lines_changed"), times("original").alias("keywords_before"), times("revised").alias("keywords_after"), T.word_count(F.col("original")).alias("words_before"), T.word_count(F.col("revised")).alias("words_after"), F.size("keywords").alias("n"), placements(F.col("revised"), F.col("keywords")).alias("placed"))
+    text_of = F.array_join(F.transform("placed", lambda p: F.concat(p["keyword"], F.lit(": "), F.array_join(p["locations"], ", "))), "\n")
+    more = F.col("words_after") - F.col("words_before")
+    said = F.format_string(f"%d lines changed | %d/%d target keywords placed | keyword occurrences: %d -> %d | word count: %d -> %d (%s%d) | tone style: {style}", "lines_changed", F.size("placed"), "n", "keywords_before", "keywords_after", "words_before", "words_after", F.when(more >= 0, "+").otherwise(""), more)
+    return out.select("entity_name", "revised", "lines_changed", "keywords_before", "keywords_after", "words_before", "words_after", F.size("placed").alias("keywords_placed"), F.when(F.size("placed") == 0, "No keyword placements detected.").otherwise(text_of).alias("placements_text"), said.alias("revision_summary"), T.preview(F.col("revised"), 300).alias("content_preview"))
 
 
 def plain_dashes(text: Column) -> Column:

@@ -42,8 +42,21 @@ def run_summary(entities: DataFrame) -> DataFrame:
 
 
 def error_rollup(items: DataFrame) -> DataFrame:
-    """(entity_name, errors, first_error): entities with failures and the message of the first. items: (entity_name, pool_pos, error)."""
-    return items.where("error is not null and error != ''").groupBy("entity_name").agg(F.count("*").alias("errors"), F.min_by("error", "pool_pos").alias("first_error"))
+    """(entity_name, errors, first_error, error): entities with failures, how many, the message of the first, and the line `entity: message` that a run's summary lists. items: (entity_name, pool_pos, error)."""
+    out = items.where("error is not null and error != ''").groupBy("entity_name").agg(F.count("*").alias("errors"), F.min_by("error", "pool_pos").alias("first_error"))
+    return out.withColumn("error", F.concat("entity_name", F.lit(": "), "first_error"))
+
+
+def step_errors(items: DataFrame, entities: DataFrame, what: str = "links") -> DataFrame:
+    """One row of a step: what was found of how many entities, how many failed, and their errors as `entity: message` in the order of names. entities: (entity_name). Only failed entities are gathered: a line each."""
+    failed = error_rollup(items)
+    found = items.agg(F.count_if(F.col("error").isNull() | (F.col("error") == "")).alias("total_items"))
+    lines = failed.agg(F.count("*").alias("failed"), F.array_sort(F.collect_list("error")).alias("errors"))
+    all_ = entities.select("entity_name").distinct().agg(F.count("*").alias("total_entities"))
+    out = all_.crossJoin(found).crossJoin(lines)  # a row each
+    good = F.col("total_entities") - F.col("failed")
+    said = F.when(F.col("failed") > 0, F.format_string(f"%d {what} from %d of %d entities (%d failed)", "total_items", good, "total_entities", "failed")).otherwise(F.format_string(f"%d {what} from %d entities", "total_items", "total_entities"))
+    return out.select("total_entities", "total_items", "failed", said.alias("description"), F.array_join("errors", "\n").alias("errors"))
 
 
 def top_of_each(items: DataFrame, by: str, order: list, most: int) -> DataFrame:
@@ -56,10 +69,15 @@ def credits(calls: DataFrame) -> DataFrame:
     return calls.groupBy("entity_name").agg(F.count("*").alias("calls"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.sum("credits"), F.lit(0)).alias("credits"))
 
 
-def rate_limited(calls: DataFrame, by: str, ts: str, order: str, limit: int, per: str = "1 minute") -> DataFrame:
-    """Marks the calls beyond the first `limit` of each window of time: they would have waited."""
-    turn = F.row_number().over(Window.partitionBy(by, F.window(ts, per)).orderBy(ts, order))
-    return calls.withColumn("waits", turn > limit)
+def rate_limited(calls: DataFrame, by: str, ts: str, order: str, per_minute: int) -> DataFrame:
+    """calls with sent_ms, when a queue that spaces calls by 60000 / per_minute milliseconds (rounded up) lets each go, and wait_ms until then. Of calls in the order of ts and `order`, call i goes at i * d + max(t_j - j * d for j up to i): one running maximum for each `by`."""
+    spacing = -(-60_000 // per_minute)
+    w = Window.partitionBy(by).orderBy(ts, order)
+    turn = (F.row_number().over(w) - 1) * F.lit(spacing).cast("bigint")
+    asked = F.unix_millis(F.col(ts).cast("timestamp"))
+    out = calls.withColumn("_turn", turn).withColumn("_asked", asked)
+    sent = F.max(F.col("_asked") - F.col("_turn")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_turn")
+    return out.withColumn("sent_ms", sent).withColumn("wait_ms", F.col("sent_ms") - F.col("_asked")).drop("_turn", "_asked")
 
 
 def needs_rescrape(items: DataFrame, min_words: int = 50, known_only: bool = False) -> Column:
@@ -71,6 +89,15 @@ def needs_rescrape(items: DataFrame, min_words: int = 50, known_only: bool = Fal
     return ~(good | (status == "skipped"))
 
 
+def rescrape(items: DataFrame, min_words: int = 50, known_only: bool = False, copies: int = 3) -> DataFrame:
+    """items with `again`: needs_rescrape, and also good pages whose trimmed text stands on `copies` pages or more, which is boilerplate. Counted by hash and length of the text. Counts are a row for each text that repeats, never one for each page."""
+    text = T.trim_ws(F.col("text_content"))
+    keyed = items.withColumn("_t", F.when((F.col("status") == "success") & (text != ""), F.sha2(text, 256)))
+    often = keyed.where("_t is not null").groupBy("_t").agg(F.count("*").alias("_n")).where(F.col("_n") >= copies).drop("_n")
+    marked = keyed.join(often.withColumn("_often", F.lit(True)), "_t", "left")
+    return marked.withColumn("again", needs_rescrape(items, min_words, known_only) | F.coalesce(F.col("_often"), F.lit(False))).drop("_t", "_often")
+
+
 def first_good(items: DataFrame, tiers: list[tuple[str, DataFrame]], min_words: int = 50) -> DataFrame:
     """Each page with the text of the first tier that gave enough words and no bot wall; `error` where none did. tiers: name and (url, text_content), in the order in which they are tried."""
     out = items

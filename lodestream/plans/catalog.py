@@ -96,13 +96,13 @@ def _prompts(s, d):
 def _analyzed(s, d):
     p, k = table(s, d, "part"), F.col("p_partkey")
     answer = F.when(k % 9 == 0, "I can't.").otherwise(F.concat(F.lit("Here:\n```json\n"), _analysis_json(k), F.lit("\n```")))
-    return generation.analyses(p.select(k.cast("string").alias("entity_name"), answer.alias("text"), F.lit(7).alias("word_count")), "p/m")
+    return generation.analyses(p.select((k - (k % 10 == 1).cast("int")).cast("string").alias("entity_name"), answer.alias("text"), F.lit(7).alias("word_count")), "p/m")
 
 
 def _planned(s, d):
     p, k = table(s, d, "part"), F.col("p_partkey")
     answer = F.when(k % 9 == 0, "I can't.").otherwise(F.concat(F.lit("```json\n"), F.regexp_replace(_plan(k), "^\\{", '{"warnings": ["a", "b"], '), F.lit("\n```")))
-    return generation.plans(p.select(k.cast("string").alias("entity_name"), answer.alias("text"))).drop("seo_plan_json")
+    return generation.plans(p.select((k - (k % 10 == 1).cast("int")).cast("string").alias("entity_name"), answer.alias("text"))).drop("seo_plan_json")
 
 
 def _written(s, d):
@@ -119,9 +119,28 @@ def _zipped(s, d):
     return generation.zip_verdicts(c, answers.select("entity_name", "batch", text.alias("text")))
 
 
+def _marked(s, d):
+    """Articles with headings of each kind, a section that only begins like Meta, Meta in brackets, sources that are missing, and analyses."""
+    a, k = articles(s, d), F.col("k")
+    head = F.when(k % 3 == 0, "## [Primary Category: ").when(k % 3 == 1, "## [Tag: ").otherwise("## [See: ")
+    md = F.replace("markdown", F.lit("## [Category: "), head)
+    md = F.replace(md, F.lit("\n\n## Meta"), F.concat(F.lit("\n\n### Metallurgy\n\nOre."), F.when(k % 2 == 0, "\n\n## [Meta]").when(k % 5 == 0, "").otherwise("\n\n## Meta")))
+    facts = F.struct((k % 100 + 1900).alias("founded"), F.array(F.lit("A1")).alias("licenses"), F.when(k % 8 == 0, "Malta").alias("headquarters"))
+    slug = lambda x: F.array(F.struct(F.lower(F.replace(x, F.lit("#"), F.lit("-"))).alias("slug")))
+    analysis = F.to_json(F.struct(F.struct(slug(F.col("p_brand")).alias("primary")).alias("categories"), F.struct(F.array(F.struct(F.lit("new one").alias("label"))).alias("suggested_new")).alias("tags"), facts.alias("key_facts")))
+    return a.withColumn("markdown", md).withColumn("analysis", F.when(k % 4 != 0, analysis))
+
+
+def _html_documents(s, d, wrap=False):
+    return bundle.html_documents(_marked(s, d), css="<style>p { color: red }</style>" if wrap else "", wrap=wrap)
+
+
 def _revisions(s, d):
-    a = articles(s, d)
-    return generation.revised(a.select("entity_name", F.col("markdown").alias("original"), F.concat(F.lit("```markdown\n"), F.replace("markdown", F.lit("Growth is steady"), F.lit("The growth is steady, as people say")), F.lit("\n```")).alias("answer"), F.array(F.lit("people"), F.lit("growth")).alias("keywords")))
+    """Articles revised in one line, two or none; keywords inside other words, in headings and nowhere."""
+    a, k = articles(s, d), F.col("k")
+    answer = F.when(k % 3 == 0, F.replace("markdown", F.lit("Growth is steady"), F.lit("The growth is steady, as a salesperson says"))).when(k % 3 == 1, F.replace(F.replace("markdown", F.lit("- first"), F.lit("# people\n\n- at first")), F.lit("Title"), F.lit("Name"))).otherwise(F.col("markdown"))
+    plan = F.to_json(F.struct(F.struct(F.lit("people").alias("primary"), F.array(F.lit("Growth"), F.lit("person")).alias("secondary")).alias("target_keywords"), F.struct(F.array(F.lit("point"), F.lit("people")).alias("head_terms"), F.when(k % 2 == 0, F.array(F.lit("no such"))).alias("long_tail")).alias("keywords_used")))
+    return generation.revised(a.select("entity_name", F.col("markdown").alias("original"), F.concat(F.lit("```markdown\n"), answer, F.lit("\n```")).alias("answer"), generation.target_keywords(plan).alias("keywords")))
 
 
 def _statuses(s, d):
@@ -264,8 +283,8 @@ def _jobs(s, d):
 
 
 def _waits(s, d):
-    e = table(s, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    return reports.rate_limited(e, "user_id", "ts", "event_id", 2, "1 day").select("event_id", "waits")
+    e = table(s, d, "events").select("event_id", "event_type", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"))
+    return reports.rate_limited(e, "event_type", "ts", "event_id", 7).select("event_id", "sent_ms", "wait_ms")
 
 
 def _credits(s, d):
@@ -355,7 +374,7 @@ def queries() -> dict:
         "content_writer": _written,
         "claim_verdicts": _zipped,
         "tone_editor": _revisions,
-        "rescrape_partition": lambda s, d: _statuses(s, d).select("doc_id", reports.needs_rescrape(_statuses(s, d)).alias("by_browser"), reports.needs_rescrape(_statuses(s, d), known_only=True).alias("by_api")),
+        "rescrape_partition": lambda s, d: reports.rescrape(_statuses(s, d)).select("doc_id", F.col("again").alias("by_browser"), reports.needs_rescrape(_statuses(s, d), known_only=True).alias("by_api")),
         "tier_fallback": _tiers,
         "entity_summary": lambda s, d: reports.entity_summary(_statuses(s, d)),
         "run_summary": lambda s, d: reports.run_summary(reports.entity_summary(_statuses(s, d))),
@@ -381,7 +400,11 @@ def queries() -> dict:
         "latest_wins": lambda s, d: content.latest(table(s, d, "conversations").select("conv_id", F.col("turn").alias("pool_pos"), F.when(F.col("role") == "user", F.col("text")).alias("user_text"), F.when(F.col("role") == "assistant", F.col("text")).alias("assistant_text")), ["user_text", "assistant_text"], "conv_id"),
         "slugify": lambda s, d: table(s, d, "part").select("p_partkey", T.slugify(F.concat("p_name", F.lit(" & Co. "), "p_brand")).alias("slug"), T.slug_to_title(T.slugify(F.col("p_type"))).alias("title")),
         "meta_output": lambda s, d: bundle.meta_output(_bundles(s, d)),
-        "markdown_output": lambda s, d: bundle.markdown_output(articles(s, d)),
+        "markdown_output": lambda s, d: bundle.markdown_output(_marked(s, d)),
+        "markdown_output_plain": lambda s, d: bundle.markdown_output(_marked(s, d), "strip", markers=True, front=False, meta=True),
+        "html_documents": _html_documents,
+        "html_documents_wrapped": lambda s, d: _html_documents(s, d, wrap=True),
+        "step_errors": lambda s, d: reports.step_errors(documents(s, d).select("entity_name", "pool_pos", F.when(F.col("status") == "error", F.concat(F.lit("failed at "), "pool_pos")).alias("error")), documents(s, d)),
         "html_output": lambda s, d: bundle.html_output(articles(s, d)),
         "json_output": lambda s, d: bundle.json_output(_bundles(s, d)),
         "json_output_flat": lambda s, d: bundle.json_output(_bundles(s, d), "flat"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Over all cores where there are fewer files than cores: a file of one row group is one task otherwise. Tables of many files are read as they are."""
+    """Over all cores where the scan has fewer tasks than there are cores, as for a file of one row group. A table that Spark reads in enough tasks is not shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if os.environ.get("BENCH_SPREAD") != "0" and df.rdd.getNumPartitions() < cores else df
 
 
 def page_items(spark, sf_dir) -> DataFrame:

@@ -25,30 +25,39 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
     return events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n")
 
 
+#: Decisions after which an entity is not sent back any more.
+FINAL = ("approve", "failed")
+
+
 class _Loops(StatefulProcessor):
-    """How often each entity was sent back so far."""
+    """How often each entity was sent back so far. What is known of an entity goes with its last decision, and in any case when it was not heard of for `keep_ms`."""
 
-    def __init__(self, max_loops: int):
-        self.max_loops = max_loops
+    def __init__(self, max_loops: int, keep_ms: int | None):
+        self.max_loops, self.keep_ms = max_loops, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.n = handle.getValueState("n", "n long")
+        self.n = handle.getValueState("n", "n long", self.keep_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        n = self.n.get()[0] if self.n.exists() else 0
-        n += sum(int(b["decision"].str.startswith("loop_").sum()) for b in rows)
-        self.n.update((n,))
+        n, over = self.n.get()[0] if self.n.exists() else 0, False
+        for b in rows:
+            n += int(b["decision"].str.startswith("loop_").sum())
+            over = over or bool(b["decision"].isin(FINAL).any())
+        if over:
+            self.n.clear()
+        else:
+            self.n.update((n,))
         yield pd.DataFrame({"entity_name": [key[0]], "loop_count": [n], "exhausted": [n >= self.max_loops]})
 
 
 class _Breaker(StatefulProcessor):
-    """Failures in a row; once `limit` of them came, all later calls are aborted."""
+    """Failures in a row; once `limit` of them came, later calls are aborted. A key that was not called for `keep_ms` begins anew."""
 
-    def __init__(self, order: str, limit: int):
-        self.order, self.limit = order, limit
+    def __init__(self, order: str, limit: int, keep_ms: int | None):
+        self.order, self.limit, self.keep_ms = order, limit, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.streak = handle.getValueState("streak", "n long")
+        self.streak = handle.getValueState("streak", "n long", self.keep_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         streak, calls = self.streak.get()[0] if self.streak.exists() else 0, pd.concat(list(rows)).sort_values(self.order)
@@ -56,18 +65,23 @@ class _Breaker(StatefulProcessor):
         for ok in calls["ok"]:
             aborted.append(streak >= self.limit)
             streak = streak if streak >= self.limit else 0 if ok else streak + 1
-        self.streak.update((streak,))
+        if streak:
+            self.streak.update((streak,))
+        else:  # a key whose last call went well needs no state
+            self.streak.clear()
         yield pd.DataFrame({"key": [key[0]] * len(calls), "call": calls[self.order].to_numpy(), "aborted": aborted})
 
 
-def loop_counts(decisions: DataFrame, max_loops: int = 3) -> DataFrame:
-    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. Needs the RocksDB state store."""
-    return decisions.groupBy("entity_name").transformWithStateInPandas(_Loops(max_loops), "entity_name string, loop_count long, exhausted boolean", "update", "none")
+def loop_counts(decisions: DataFrame, max_loops: int = 3, keep_ms: int | None = 30 * 86_400_000) -> DataFrame:
+    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. State ends with a final decision or after keep_ms without one (None: never). Needs the RocksDB state store."""
+    mode = "none" if keep_ms is None else "processingTime"
+    return decisions.groupBy("entity_name").transformWithStateInPandas(_Loops(max_loops, keep_ms), "entity_name string, loop_count long, exhausted boolean", "update", mode)
 
 
-def breaker_stream(calls: DataFrame, by: str, order: str, limit: int = 3) -> DataFrame:
-    """(key, call, aborted) for calls with a column `ok`, in the order of whole numbers `order` within each batch. Needs the RocksDB state store."""
-    return calls.groupBy(by).transformWithStateInPandas(_Breaker(order, limit), f"key {calls.schema[by].dataType.simpleString()}, call long, aborted boolean", "append", "none")
+def breaker_stream(calls: DataFrame, by: str, order: str, limit: int = 3, keep_ms: int | None = 86_400_000) -> DataFrame:
+    """(key, call, aborted) for calls with a column `ok`, in the order of whole numbers `order` within each batch. State is kept for keys that fail only, and for keep_ms after their last call (None: for ever). Needs the RocksDB state store."""
+    mode = "none" if keep_ms is None else "processingTime"
+    return calls.groupBy(by).transformWithStateInPandas(_Breaker(order, limit, keep_ms), f"key {calls.schema[by].dataType.simpleString()}, call long, aborted boolean", "append", mode)
 
 
 def pool_growth(items: DataFrame) -> DataFrame:
@@ -75,6 +89,25 @@ def pool_growth(items: DataFrame) -> DataFrame:
     return items.groupBy("entity_name").agg(F.count("*").alias("items"))
 
 
+def new_to_pool(links: DataFrame, pool: DataFrame) -> DataFrame:
+    """Links whose URL the entity's pool doesn't have, the first by `found_on` and text of each. links, pool: (entity_name, url, ...); a link of an entity without any pool row counts for nothing."""
+    started = pool.select("entity_name").distinct()
+    fresh = links.join(started, "entity_name", "left_semi").join(pool.select("entity_name", "url"), ["entity_name", "url"], "left_anti")
+    rest = [c for c in links.columns if c not in ("entity_name", "url")]
+    return fresh.groupBy("entity_name", "url").agg(F.min(F.struct(*rest)).alias("r")).select("entity_name", "url", "r.*")
+
+
+def grow_pool(links: DataFrame, pool_path: str, checkpoint: str):
+    """A writer that adds each batch's new links to the pool below pool_path, one folder `batch=n` for each batch. A batch joins with the pool as it was before: folders of other batches. A batch that is run again, after a restart, replaces its own folder, so nothing is added twice."""
+    schema = links.schema
+
+    def add(batch: DataFrame, n: int) -> None:
+        pool = batch.sparkSession.read.schema(schema.add("batch", "long")).option("basePath", pool_path).parquet(pool_path).where(F.col("batch") < n)
+        new_to_pool(batch, pool).write.mode("overwrite").parquet(f"{pool_path}/batch={n}")
+
+    return links.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+
+
 def write_partial(items: DataFrame, path: str, checkpoint: str):
     """Appends each batch's rows to Parquet as soon as it is done; a run that breaks off goes on from there, and nothing is written twice."""
     return items.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
