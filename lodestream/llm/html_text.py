@@ -6,8 +6,10 @@ cells padded to the width of their column. Pages are independent, so one pass ov
 
 Nulls and edge cases: a null page gives null text, an empty one an empty text. Broken markup (open tags, stray end tags, a
 page cut off anywhere) is rendered as far as it goes; a quote that is never closed belongs to its tag's attributes as any
-other character. Cells under a rowspan or colspan are empty cells. Columns are padded to their widest cell of up to WIDEST
-characters; longer cells stick out. Indentation stops at DEEPEST characters. Time and memory follow the page's size. Rows
+other character. Cells under a rowspan or colspan are empty cells; a column in which no cell begins takes no room. Columns
+are padded to their widest cell of up to WIDEST characters; longer cells stick out. A table with a table inside is there for
+layout: its cells are blocks, one below another, so that no line is laid out more than once. Indentation stops at DEEPEST
+characters, padding at FARTHEST, and no more than MOST_SPANS runs of rowspans shift a row; past these, cells follow one another two blanks apart. Time and memory follow the page's size. Rows
 that repeat are rendered alike. Other columns are kept.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +40,9 @@ ATTR = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^'
 COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?]|/[^a-zA-Z])[^>]*+>?", re.S)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 WIDEST, DEEPEST = 120, 120
+FARTHEST, MOST_SPANS = 4000, 200
+#: Attributes that say how text shows.
+USED = frozenset("style hidden start value colspan rowspan open multiple size selected disabled".split())
 
 
 def unescape(text: str) -> str:
@@ -51,11 +57,16 @@ def number(text: str, most: int) -> int:
     return most if len(digits) > 9 else min(int(digits or "1"), most)
 
 
+NONE: dict[str, str] = {}
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """holds: of a table, whether another is inside."""
+
+    __slots__ = ("tag", "attrs", "children", "holds")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.holds = tag, attrs or NONE, [], False
 
 
 class Stack:
@@ -103,13 +114,14 @@ def parse(source: str) -> Node:
         done = m.end()
         if m.re is COMMENT:
             continue
-        tag, attrs, first = m[2].lower(), {}, source.find(">", done)
+        tag, attrs, first = sys.intern(m[2].lower()), {}, source.find(">", done)
         if first < 0:  # cut off: shown as it is
             stack.nodes[-1].children.append(unescape(source[at:]))
             break
         stop = size if quotes else first
         while done < stop and source[done] != ">" and (a := ATTR.match(source, done, stop)):
-            attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
+            if (name := a[1].lower()) in USED:
+                attrs.setdefault(name, unescape(a[2] or a[3] or a[4] or ""))
             done = a.end()
         end = source.find(">", done)
         if end < 0:  # the last ends of tags are within quotes: from here on quotes don't count
@@ -118,7 +130,9 @@ def parse(source: str) -> Node:
         if tag == "html":
             continue
         if m[1]:
-            if tag in BLOCK or tag in HIDDEN or tag in FOREIGN or tag == "select":
+            if tag == "p" and not (stack.last({"p"}) > stack.last(P_SCOPE)):  # the end of none is an empty one
+                stack.nodes[-1].children.append(Node("p", NONE))
+            elif tag in BLOCK or tag in HIDDEN or tag in FOREIGN or tag == "select":
                 stack.close({tag}, {"table"} if tag not in ("table", "body", "div") else set())
             else:
                 stack.close({tag}, BLOCK)
@@ -137,6 +151,8 @@ def parse(source: str) -> Node:
             stack.nodes[-1].children.append(row)
             stack.push(row)
         node = Node(tag, attrs)
+        if tag == "table" and (outer := stack.last({"table"})):
+            stack.nodes[outer].holds = True
         stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*+>?", re.I).search(source, done)
@@ -164,7 +180,7 @@ def choose(select: Node) -> None:
     chosen = [o for o in options if "selected" in o.attrs][-1:] or [o for o in options if "disabled" not in o.attrs][:1]
     for o in options:
         if o not in chosen:
-            o.attrs["hidden"] = ""
+            o.attrs = {**o.attrs, "hidden": ""}
 
 
 class Out:
@@ -220,14 +236,26 @@ class Out:
         return "".join(self.parts)
 
 
-def aligned(rows: list[list[str]]) -> list[str]:
-    """Cells padded to their columns' widths; a cell of several lines takes several."""
-    cells = [[c.split("\n") for c in row] for row in rows]
-    widths = [0] * max(map(len, cells), default=0)
+def aligned(rows: list[list[tuple[int, str]]]) -> list[str]:
+    """Cells, with the columns where they begin, padded to their columns' widths; a cell of several lines takes several. Columns in which no cell begins are left out."""
+    place = {c: i for i, c in enumerate(sorted({c for row in rows for c, _ in row}))}
+    widths, cells = [0] * len(place), [[(place[c], text.split("\n")) for c, text in row] for row in rows]
     for row in cells:
-        for i, cell in enumerate(row):
-            widths[i] = max(widths[i], *(len(line) for line in cell if len(line) <= WIDEST), 0)
-    return ["  ".join((c[j] if j < len(c) else "").ljust(w) for c, w in zip(row, widths)) for row in cells for j in range(max(map(len, row), default=0))]
+        for i, lines in row:
+            widths[i] = max(widths[i], *(len(line) for line in lines if len(line) <= WIDEST), 0)
+    upto = [0]
+    for w in widths:
+        upto.append(upto[-1] + w + 2)
+    out = []
+    for row in cells:
+        for j in range(max((len(lines) for _, lines in row), default=0)):
+            line, at = [], 0  # at: where the line stands if no cell sticks out
+            for i, lines in row:
+                if j < len(lines) and lines[j]:
+                    line += [" " * max(min(upto[i], FARTHEST) - at, 2 * bool(line)), lines[j]]
+                    at = min(upto[i], FARTHEST) + min(len(lines[j]), widths[i])
+            out.append("".join(line))
+    return out
 
 
 def visible(node: Node, shown: bool) -> tuple[bool, bool]:
@@ -239,19 +267,35 @@ def visible(node: Node, shown: bool) -> tuple[bool, bool]:
 
 
 class Grid:
-    """A table's rows, and up to which row each column is taken by a cell above."""
+    """A table's rows of (column, text), and the runs of columns that cells above still take: (first, end, up to which row)."""
 
     def __init__(self):
-        self.rows: list[list[str]] = []
-        self.taken: dict[int, int] = {}
+        self.rows: list[list[tuple[int, str]]] = []
+        self.taken: list[list[int]] = []
+        self.new: list[list[int]] = []
+        self.at = self.run = 0
+
+    def row(self) -> None:
+        """Begins a row; what was taken up to it is free again."""
+        self.rows.append([])
+        self.taken = [t for t in sorted(self.taken + self.new) if t[2] >= len(self.rows)]
+        self.new, self.at, self.run = [], 0, 0
 
     def put(self, row: int, text: str, across: int, down: int) -> None:
-        cells = self.rows[row]
-        while self.taken.get(len(cells), 0) > row:
-            cells.append("")
-        if down > 1:
-            self.taken.update((len(cells) + i, row + down) for i in range(across))
-        cells += [text] + [""] * (across - 1)
+        if row == len(self.rows) - 1:  # a cell that ends later, in broken markup, keeps its row's last place
+            while self.run < len(self.taken) and self.taken[self.run][0] <= self.at:
+                self.at = max(self.at, self.taken[self.run][1])
+                self.run += 1
+            if down > 1 and len(self.taken) + len(self.new) < MOST_SPANS:
+                last = self.new[-1] if self.new else None
+                if last and last[1] == self.at and last[2] == row + down:
+                    last[1] += across
+                else:
+                    self.new.append([self.at, self.at + across, row + down])
+            self.rows[row].append((self.at, text))
+            self.at += across
+        else:
+            self.rows[row].append((self.rows[row][-1][0] + 1 if self.rows[row] else 0, text))
 
 
 def render(source: str) -> str:
@@ -295,15 +339,19 @@ def render(source: str) -> str:
                 lists.append([tag == "ol", number(node.attrs.get("start", "1"), 10**9)])
             elif tag == "li":
                 of = lists[-1] if lists else [False, 1]
+                if value := re.match(r"\s*([+-]?\d{1,9})", node.attrs.get("value", "")):
+                    of[1] = int(value[1])
                 out.mark = f"{of[1]}. " if of[0] else "- "
                 of[1] += 1
                 left = out.indent(len(out.mark))
             elif tag in ("dd", "blockquote"):
                 left = out.indent(2)
             elif tag == "table":
-                tables.append(Grid())
-            elif tag == "tr" and tables:
-                tables[-1].rows.append([])
+                tables.append(None if node.holds else Grid())
+            elif tag == "tr" and tables and tables[-1]:
+                tables[-1].row()
+            elif tag in ("td", "th") and tables and not tables[-1]:
+                out.block(1)
             elif tag in ("td", "th") and tables and tables[-1].rows:
                 left = (tables[-1], len(tables[-1].rows) - 1)
                 outs.append(Out())
@@ -321,7 +369,8 @@ def render(source: str) -> str:
         elif left and tag in ("li", "dd", "blockquote"):
             out.prefix = out.prefix[:-left]
         elif tag == "table":
-            out.lines(aligned(tables.pop().rows))
+            if grid := tables.pop():
+                out.lines(aligned(grid.rows))
         elif left:
             lists.pop()
             grid, row = left
