@@ -476,3 +476,71 @@ def test_html_formulas_pictures_and_choices():
     assert render("<p>size <select><option>S<option selected>M<option>L</select> only") == "size M only"
     assert render("<select><option>S</option><option>M</option></select>") == "S"
     assert render("<select multiple><option>S<option>M</select>") == "S\nM"
+
+
+@pytest.mark.parametrize("page", ["<table><tr><td>x" * 13_000, "<table><tr>" + "<td colspan=1000>x" * 11_000, "<table>" + "".join(f"<tr><td rowspan={9000 - i}>x" for i in range(9000)), "<table>" + "".join(f"<td rowspan={9000 - i}>x" for i in range(6000)) + "<tr><td>y" * 6000, "<td>x" * 40_000, "a</p>" * 40_000, "<ol><li value=9>x" * 12_000])
+def test_pages_of_tables_take_time_and_memory_by_their_size(page):
+    import time
+    import tracemalloc
+
+    began = time.time()
+    out = html_text.render(page)
+    assert time.time() - began < 5  # under 2 on an idle machine
+    assert out.count("x") == page.count(">x") and out.count("y") == page.count(">y")
+    tracemalloc.start()
+    html_text.render(page)
+    assert tracemalloc.get_traced_memory()[1] < 200 * len(page)
+    tracemalloc.stop()
+
+
+def test_ends_of_no_paragraph_and_numbers_of_items():
+    assert html_text.render("<p>text</p>after</p>more") == "text\n\nafter\n\nmore"
+    assert html_text.render("<ol><li>a<li value=9>b<li>c<li value=x>d</ol>") == "1. a\n9. b\n10. c\n11. d"
+    spans = html_text.render("<table><tr><th colspan=9>Head<th>Z<tr><td rowspan=2>a<td>bb<td>c<tr><td>d<td>e<tr><td>long cell<td>f</table>")
+    assert spans == "Head           Z\na          bb  c\n           d   e\nlong cell  f"
+    assert html_text.render("<table><tr><td>left<table><tr><td>i<td>j<tr><td>kk<td>l</table><td>right</table>after") == "left\n\ni   j\nkk  l\n\nright\n\nafter"
+
+
+def test_toxicity_reads_long_tokens_in_linear_time():
+    import time
+
+    import numpy as np
+
+    r = toxicity.Restorer(np.zeros((toxicity.ALPHABET,) * 3))
+    began = time.time()
+    for text in ("x1" + "!" * 60_000 + "a", "x1" + "!" * 60_000, "!a" * 30_000, "a " * 30_000, "a1" * 30_000):
+        r.features(text)
+    assert time.time() - began < 10
+    assert r.read("c0ol!!!") == r.read("c0ol") and r.read("c0ol!!") == r.read("c0ol")
+
+
+def readings(restorer, token):
+    """All readings of a token with the least cost of each."""
+    import itertools
+
+    costs = {}
+    for path in itertools.product(*restorer.options(token), [(" ", 0.0)]):
+        a = b = 0
+        total = 0.0
+        for c, p in path:
+            k = 0 if c == " " else min(int(toxicity._CODES[min(ord(c), 0x24F)]), 60) if c else -1
+            total += p
+            if not (k < 0 or k == 0 and b == 0):
+                total += restorer.cost[a][b][k]
+                a, b = b, k
+        text = "".join(c for c, _ in path).strip()
+        costs[text] = min(costs.get(text, total), total)
+    return costs
+
+
+def test_toxicity_lattice_against_all_readings():
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(4)
+    r = toxicity.Restorer(-np.abs(np.random.default_rng(5).normal(2, 1, (toxicity.ALPHABET,) * 3)))
+    for _ in range(200):
+        token = "".join(rnd.choice("abé013@$!*.x") for _ in range(rnd.randrange(1, 8)))
+        costs = readings(r, token)
+        assert costs[r.viterbi(token)] == pytest.approx(min(costs.values()))
