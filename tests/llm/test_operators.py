@@ -497,7 +497,7 @@ def test_ends_of_no_paragraph_and_numbers_of_items():
     assert html_text.render("<p>text</p>after</p>more") == "text\n\nafter\n\nmore"
     assert html_text.render("<ol><li>a<li value=9>b<li>c<li value=x>d</ol>") == "1. a\n9. b\n10. c\n11. d"
     spans = html_text.render("<table><tr><th colspan=9>Head<th>Z<tr><td rowspan=2>a<td>bb<td>c<tr><td>d<td>e<tr><td>long cell<td>f</table>")
-    assert spans == "Head           Z\na          bb  c\n           d   e\nlong cell  f"
+    assert spans == "Head              Z\na          bb  c\n           d   e\nlong cell  f"
     assert html_text.render("<table><tr><td>left<table><tr><td>i<td>j<tr><td>kk<td>l</table><td>right</table>after") == "left\n\ni   j\nkk  l\n\nright\n\nafter"
 
 
