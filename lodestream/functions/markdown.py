@@ -11,7 +11,7 @@ _FENCE = re.compile(r"( {0,3})(`{3,}|~{3,})[ \t]*([^`]*)$")
 _ITEM = re.compile(r"( {0,3})([-*+]|\d{1,9}[.)])(?:([ \t]+)(.*)|())$")
 _QUOTE = re.compile(r" {0,3}> ?")
 _ALIGN = re.compile(r"[ \t]*\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*$")
-_HTML = re.compile(r" {0,3}<(?:/?[a-zA-Z][^>]*>|!--)")
+_HTML = re.compile(r" {0,3}<(?:/?[a-zA-Z][\w-]*(?=[\s/>])[^>]*>|!--)")
 _SETEXT = re.compile(r" {0,3}(=+|-+)[ \t]*$")
 DEEPEST = 100  # blocks inside one another; what lies deeper is text
 
@@ -54,7 +54,7 @@ def blocks(lines: list[str], depth: int = 0, tight: bool = False) -> str:
 
     def flush() -> None:
         if para:
-            text = inline("\n".join(x.strip(" \t") if i == 0 else x.lstrip() for i, x in enumerate(para)).rstrip())
+            text = inline("\n".join(x.lstrip() for x in para).rstrip())
             out.append(text if tight else f"<p>{text}</p>")
             para.clear()
 

@@ -74,7 +74,12 @@ def pages_to_fetch(homes: DataFrame, most: int = 8) -> DataFrame:
     links = F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), lambda h: resolve_media(h, F.col("url")))
     own = F.array_distinct(F.filter(links, lambda u: u.isNotNull() & (U.domain(u) == U.domain(F.col("url")))))
     path = lambda u: F.lower(F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1))
-    typed = F.concat(*(F.transform(F.slice(F.filter("own", lambda u, ps=parts: T.has_any(path(u), ps)), 1, n), lambda u, k=kind: F.struct(F.lit(k).alias("type"), u.alias("url"))) for kind, (parts, n) in fixed.MEDIA_PAGES.items()))
+
+    def of(kind: str, parts: list[str], n: int) -> Column:
+        chosen = F.slice(F.filter("own", lambda u: T.has_any(path(u), parts)), 1, n)
+        return F.transform(chosen, lambda u: F.struct(F.lit(kind).alias("type"), u.alias("url")))
+
+    typed = F.concat(*(of(kind, *x) for kind, x in fixed.MEDIA_PAGES.items()))
     out = homes.where("html != ''").withColumn("own", own).select("entity_name", F.posexplode(F.slice(typed, 1, most - 1)).alias("page", "p"))
     return out.select("entity_name", "p.type", (F.col("page") + 1).alias("page"), "p.url")
 

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestream.functions import docx
+from lodestream.functions import fixed_values as fixed
 from lodestream.functions import urls as U
-from lodestream.operators import content, keywords, pages, profiles
+from lodestream.operators import content, keywords, pages, profiles, site_media
 from lodestream.plans.inputs import page_items, table
 from lodestream.sources import files
 
@@ -115,6 +116,39 @@ def _coverage(s, d):
     return keywords.keyword_coverage(_keywords(s, d), _keyword_table(s, d))
 
 
+_LINKS = '<a href="/about#us">A</a><a href="/our-team/x">T</a><a href="/about">again</a><a href="https://www.e{k}.org/products/a">P</a><a href=\'/awards\'>W</a><a href="https://else.org/team">E</a><a href="/platform/../platform">F</a><a href="people">R</a><a href="#top">N</a><a href="/staff">S</a>'
+_HOME_IMAGES = '<img src="/img/brand-dark.svg" alt="Firm" width="120"><img alt="x" src="data:image/png;base64,xx"><IMG SRC=\'//cdn.org/award-{k}.png#f\' class="badge"><img src="/img/icon-site.png" id="site-icon" width=16><img src="plain.jpg">'
+_INNER_IMAGES = '<img src="/p/{k}-1.jpg" alt="Ann Smith"><img src="/p/{k}-2.jpg" alt="the ceo" width="39"><img src="/p/{k}-2.jpg" alt="the ceo" width="40"><img src="/p/wide.jpg" width="900"><img src="/p/spacer.gif" alt="Bob Jones"><img src="/p/logo.png" class="logo" width="200"><img src="pic-{k}.png"><img src="/p/seal.png" alt="winner"><img src="/p/button.png" alt="demo">'
+
+
+def _site(s, d, template: str):
+    return F.replace(F.lit(template), F.lit("{k}"), F.col("page_id").cast("string"))
+
+
+def _media(s, d):
+    """The pages table as homepages with links and pictures put in front, and the pages that they link to, some of them missing."""
+    p, k = table(s, d, "pages"), F.col("page_id")
+    base = F.concat(F.lit("https://e"), k.cast("string"), F.lit(".org"))
+    head = F.concat(F.when(k % 3 == 0, "<meta content='/og.png' property='og:image'>").otherwise(""), F.lit('<link rel="shortcut icon" href="/fav.ico">'))
+    images = F.when(k % 4 != 3, _site(s, d, _HOME_IMAGES)).otherwise("")
+    homes = p.select(k.alias("entity_name"), F.concat(base, F.lit("/start/")).alias("url"), F.when(k % 17 != 5, F.concat(head, _site(s, d, _LINKS), images, "html")).alias("html"))
+    paths = F.array(*map(F.lit, ("/about", "/our-team/x", "/products/a", "/awards", "/platform/../platform", "/start/people", "/staff")))
+    host = F.when(F.col("path") == "/products/a", F.concat(F.lit("https://www.e"), k.cast("string"), F.lit(".org"))).otherwise(base)
+    inner = p.select("page_id", F.posexplode(paths).alias("i", "path")).where("(page_id + i) % 5 != 0").select(F.concat(host, "path").alias("url"), F.repeat(_site(s, d, _INNER_IMAGES), (k % 4).cast("int")).alias("html"))
+    checked = p.select(F.explode(F.array(F.concat(base, F.lit("/img/brand-dark.svg")), F.concat(base, F.lit("/p/logo.png")), F.concat(base, F.lit("/og.png")), F.concat(base, F.lit("/p/"), k.cast("string"), F.lit("-1.jpg")), F.concat(base, F.lit("/p/wide.jpg")), F.concat(F.lit("https://cdn.org/award-"), k.cast("string"), F.lit(".png")), F.concat(base, F.lit("/fav.ico")))).alias("url")).where("length(url) % 7 != 1")
+    return homes, inner, checked
+
+
+def _media_all(s, d):
+    homes, inner, _ = _media(s, d)
+    return site_media.company_media_of_pages(homes, inner)
+
+
+def _media_checked(s, d):
+    homes, inner, checked = _media(s, d)
+    return site_media.company_media_of_pages(homes, inner, checked)
+
+
 def queries() -> dict:
     return {
         "dom_tiers": lambda s, d: pages.dom_text(_cluttered(s, d), longest=None),
@@ -127,6 +161,8 @@ def queries() -> dict:
         "cv_files": _cv,
         "keyword_documents": _keywords,
         "keyword_coverage": _coverage,
+        "company_media_of_pages": _media_all,
+        "company_media_checked": _media_checked,
     }
 
 
@@ -135,7 +171,49 @@ _TIMES = "'  [high] Skill ' || k || CASE WHEN k % 3 > 1 THEN ' (mentioned ' || k
 _WORDS_OF = "SELECT DISTINCT unnest(string_split(p_name, ' ') || [p_type, p_name, 'the', 'of the', 'on', 't', '.', 'The', 'no such term']) AS keyword FROM part"
 _FOUND = r"f AS (SELECT doc_id, keyword, len(regexp_extract_all(text, '(?i)\b' || regexp_replace(keyword, '([.])', '\\\1', 'g') || '\b'))::BIGINT AS n FROM documents, k WHERE contains(lower(text), lower(keyword)))"
 
+def _media_sql(checked: bool) -> str:
+    of = lambda t: "'" + t.replace("'", "''").replace("{k}", "' || k || '") + "'"
+    resolve = lambda h: f"regexp_replace(CASE WHEN {h} = '' OR starts_with({h}, 'data:') OR starts_with({h}, 'javascript:') THEN NULL WHEN regexp_matches({h}, '^https?://') THEN {h} WHEN starts_with({h}, '//') THEN 'https:' || {h} WHEN starts_with({h}, '/') THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || {h} ELSE regexp_replace(regexp_extract(url, '^(.*/)[^/]*$', 1) || {h}, '/[^/]+/[.][.]/', '/') END, '#.*$', '')"
+    domain = lambda u: f"regexp_replace(lower(regexp_extract({u}, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\\.', '')"
+    path = lambda u: f"regexp_extract({u}, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1)"
+    kinds = " UNION ALL ".join(f"SELECT * FROM (SELECT entity_name, '{kind}' AS type, {i} AS o, n, u, row_number() OVER (PARTITION BY entity_name ORDER BY n) AS c FROM own WHERE {' OR '.join(f"contains(lower({path('u')}), '{x}')" for x in parts)}) WHERE c <= {most}" for i, (kind, (parts, most)) in enumerate(fixed.MEDIA_PAGES.items()))
+    attr = lambda name: f"regexp_extract(tag, '(?i){name}\\s*=\\s*[\"'']([^\"'']*?)[\"'']', 1)"
+    num = lambda name: f"coalesce(TRY_CAST(regexp_extract(tag, '(?i){name}\\s*=\\s*[\"'']?(\\d{{1,9}})', 1) AS INT), 0)"
+    has = lambda c, words: f"regexp_matches({c}, '(?i){words}')"
+    score = " + ".join(f"{n} * {has('a' if place == 'any' else 'src', pattern)}::INT" for place, pattern, n in fixed.LOGO_SIGNS)
+    classes = {"team": "type = 'team' AND large AND person", "products": f"type = 'products' AND large AND ({has('a', fixed.PRODUCT_WORDS)} OR width > 400 OR (width = 0 AND NOT person AND NOT {has('a', fixed.NO_PRODUCT_WORDS)}))", "awards": f"(type = 'awards' AND large OR type = 'home') AND {has('a', fixed.AWARD_WORDS)}"}
+    capped = " UNION ALL ".join(f"SELECT entity_name, '{c}' AS class, src, min(n) AS n FROM (SELECT entity_name, src, row_number() OVER (PARTITION BY entity_name ORDER BY type = 'home', page, pos) AS n FROM j WHERE {cond}) WHERE n <= {fixed.MEDIA_CAPS[c]} GROUP BY 1, 3" for c, cond in classes.items())
+    ok = "src IN (SELECT url FROM checked)" if checked else "true"
+    listed = lambda c: f"coalesce(list(src ORDER BY n) FILTER (class = '{c}' AND ok), [])"
+    json = lambda c: f"'[' || array_to_string(list_transform({c}, lambda v: '\"' || v || '\"'), ',') || ']'"
+    return f"""WITH b AS (SELECT page_id AS k, page_id AS entity_name, 'https://e' || page_id || '.org' AS base, 'https://e' || page_id || '.org/start/' AS url, html AS h FROM pages),
+      homes AS (SELECT entity_name, k, base, url, CASE WHEN k % 17 <> 5 THEN CASE WHEN k % 3 = 0 THEN '<meta content=''/og.png'' property=''og:image''>' ELSE '' END || '<link rel="shortcut icon" href="/fav.ico">' || {of(_LINKS)} || CASE WHEN k % 4 <> 3 THEN {of(_HOME_IMAGES)} ELSE '' END || h END AS html FROM b),
+      checked AS (SELECT url FROM (SELECT unnest([base || '/img/brand-dark.svg', base || '/p/logo.png', base || '/og.png', base || '/p/' || k || '-1.jpg', base || '/p/wide.jpg', 'https://cdn.org/award-' || k || '.png', base || '/fav.ico']) AS url FROM b) WHERE length(url) % 7 <> 1),
+      paths AS (SELECT k, base, unnest(['/about', '/our-team/x', '/products/a', '/awards', '/platform/../platform', '/start/people', '/staff']) AS p, unnest([0, 1, 2, 3, 4, 5, 6]) AS i FROM b),
+      snapshot AS (SELECT CASE WHEN p = '/products/a' THEN 'https://www.e' || k || '.org' ELSE base END || p AS url, repeat({of(_INNER_IMAGES)}, (k % 4)::INT) AS html FROM paths WHERE (k + i) % 5 <> 0),
+      links AS (SELECT entity_name, url, regexp_extract_all(html, '(?i)<a\\s[^>]*href\\s*=\\s*["'']([^"''#][^"'']*)["'']', 1) AS l FROM homes WHERE html <> ''),
+      each AS (SELECT entity_name, url, trim(l[n]) AS h, n FROM links, unnest(range(1, len(l) + 1)) t(n)),
+      own AS (SELECT entity_name, u, min(n) AS n FROM (SELECT entity_name, url, n, {resolve('h')} AS u FROM each) WHERE u IS NOT NULL AND {domain('u')} = {domain('url')} GROUP BY 1, 2),
+      kinds AS ({kinds}), wanted AS (SELECT * FROM (SELECT entity_name, type, u AS url, row_number() OVER (PARTITION BY entity_name ORDER BY o, n) AS page FROM kinds) WHERE page <= 7),
+      all_pages AS (SELECT entity_name, 'home' AS type, 0 AS page, url, html FROM homes WHERE html <> '' UNION ALL SELECT entity_name, type, page, f.url, s.html FROM wanted f JOIN snapshot s ON f.url = s.url),
+      tags AS (SELECT entity_name, type, page, url, regexp_extract_all(html, '(?i)<img[^>]*>') AS l FROM all_pages), t AS (SELECT entity_name, type, page, url, n AS pos, l[n] AS tag FROM tags, unnest(range(1, len(l) + 1)) x(n)),
+      i0 AS (SELECT *, regexp_extract(tag, '(?i)src\\s*=\\s*["'']([^"'']+)["'']', 1) AS s, {attr('alt')} AS alt, {attr('class')} AS cls, {attr('id')} AS id, {num('width')} AS width FROM t),
+      i1 AS (SELECT *, {resolve('s')} AS src FROM i0), i AS (SELECT *, src || ' ' || alt || ' ' || cls || ' ' || id AS a FROM i1 WHERE src IS NOT NULL),
+      j AS (SELECT *, NOT (width BETWEEN 1 AND 39 OR {has('src', fixed.SPACER_WORDS)}) AS large, {has("alt || ' ' || cls || ' ' || id", fixed.PERSON_WORDS)} OR regexp_matches(alt, '^[A-Z][a-z]+ [A-Z][a-z]+') AS person, {score} - 3 * ({has('a', 'icon')} AND NOT {has('a', 'logo')})::INT + 2 * (width > 100)::INT - 3 * (width BETWEEN 1 AND 31)::INT AS score FROM i),
+      logos AS (SELECT entity_name, 'logo' AS class, src, n FROM (SELECT entity_name, src, row_number() OVER (PARTITION BY entity_name ORDER BY k) AS n FROM (SELECT entity_name, src, min((-score, page, pos)) AS k FROM j WHERE {has('a', 'logo|brand')} OR type = 'home' AND {has('a', fixed.LOGO_WORDS)} GROUP BY 1, 2)) WHERE n <= 5),
+      extra AS (SELECT entity_name, 'og' AS class, base || '/og.png' AS src, 1 AS n FROM homes WHERE html <> '' AND k % 3 = 0 UNION ALL SELECT entity_name, 'icon', base || '/fav.ico', 1 FROM homes WHERE html <> ''),
+      kept AS (SELECT *, {ok} AS ok FROM ({capped} UNION ALL SELECT * FROM logos UNION ALL SELECT * FROM extra)),
+      g AS (SELECT entity_name, {listed('logo')} AS logos, {listed('team')} AS team, {listed('products')} AS products, {listed('awards')} AS awards, {listed('og')} AS og, {listed('icon')} AS icon, count(*) FILTER (class = 'logo') AS every FROM kept GROUP BY 1),
+      f AS (SELECT entity_name, count(*) AS n, array_to_string(list({path('url')} ORDER BY page) FILTER (type = 'team'), ', ') AS team_pages, array_to_string(list({path('url')} ORDER BY page) FILTER (type = 'products'), ', ') AS product_pages FROM wanted GROUP BY 1),
+      r AS (SELECT h.entity_name, h.url, coalesce(h.html, '') <> '' AS there, coalesce(logos, []) AS logos, coalesce(g.team, []) AS team, coalesce(g.products, []) AS products, coalesce(g.awards, []) AS awards, coalesce(og, [])[1] AS og, CASE WHEN every > 0 THEN logos[1] ELSE icon[1] END AS logo, coalesce(f.n, 0) AS n, team_pages, product_pages FROM homes h LEFT JOIN g USING (entity_name) LEFT JOIN f USING (entity_name))
+      SELECT entity_name, coalesce(logo, '') AS logo_url, coalesce(og, '') AS og_image_url, len(team)::INT AS team_photo_count, len(products)::INT AS screenshot_count, len(awards)::INT AS award_count, {json('team')} AS team_photos_json, {json('products')} AS screenshots_json, {json('awards')} AS awards_json, {json('logos')} AS all_logos_json,
+        CASE WHEN there THEN concat_ws(chr(10), 'Fetched ' || n + 1 || ' pages from ' || {domain('url')}, 'Logo: ' || logo, 'OG Image: ' || og, CASE WHEN len(team) > 0 THEN 'Team photos: ' || len(team) END, CASE WHEN len(products) > 0 THEN 'Product screenshots: ' || len(products) END, CASE WHEN len(awards) > 0 THEN 'Award images: ' || len(awards) END, CASE WHEN len(logos) > 0 THEN 'Logo variants: ' || len(logos) END, 'Team pages found: ' || team_pages, 'Product pages found: ' || product_pages) ELSE 'No homepage URL available' END AS media_summary,
+        CASE WHEN logo IS NOT NULL THEN 'ok' WHEN og IS NOT NULL OR len(team) + len(products) + len(awards) > 0 THEN 'partial' ELSE 'no_media' END AS status FROM r"""
+
+
 ORACLES = {
+    "company_media_of_pages": _media_sql(checked=False),
+    "company_media_checked": _media_sql(checked=True),
     "resolve_dot_segments": f"""WITH h AS (SELECT page_id, url || CASE WHEN page_id % 3 = 0 THEN '/one/two.html?q=/a/b' ELSE '' END AS base, {_HREFS}[page_id % {len(_HREFS)} + 1] AS href FROM pages),
       b AS (SELECT *, regexp_extract(base, '^([a-zA-Z]+://[^/?#]+)', 1) AS site, regexp_replace(base, '[?#].*$', '') AS bare FROM h),
       f AS (SELECT *, CASE WHEN starts_with(href, '/') THEN href ELSE regexp_extract(CASE WHEN bare = site THEN '/' ELSE substr(bare, length(site) + 1) END, '^(.*/)', 1) || href END AS whole FROM b),

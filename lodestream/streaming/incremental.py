@@ -73,7 +73,7 @@ class _Breaker(StatefulProcessor):
 
 
 def loop_counts(decisions: DataFrame, max_loops: int = 3, keep_ms: int | None = 30 * 86_400_000) -> DataFrame:
-    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. State ends with a final decision or after keep_ms without one (None: never). Needs the RocksDB state store."""
+    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. State ends with a final decision or after keep_ms without one (None: never); by the clock, so the query runs on batches without rows too and wants a processing-time trigger. Needs the RocksDB state store."""
     mode = "none" if keep_ms is None else "processingTime"
     return decisions.groupBy("entity_name").transformWithStateInPandas(_Loops(max_loops, keep_ms), "entity_name string, loop_count long, exhausted boolean", "update", mode)
 
