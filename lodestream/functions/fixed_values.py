@@ -275,6 +275,9 @@ NO_PRODUCT_WORDS = "logo|icon|badge|arrow|button"
 AWARD_WORDS = "award|badge|cert|seal|winner|recognition|trophy|medal|accredit|compliance|licensed"
 SPACER_WORDS = r"spacer|pixel|arrow|button|icon\."
 
+#: Paths under which sites have feeds, in the order in which they are tried.
+FEED_PATHS = "/feed /rss /feed.xml /rss.xml /atom.xml /blog/feed /news/feed /feed/rss /feed/atom".split()
+
 #: Claims that a verifier looks up: one pattern a line; those after the empty line are matched with case.
 FACT_PATTERNS = r"""
 \b\d+(?:\.\d+)?\s*(?:million|billion|trillion)\b

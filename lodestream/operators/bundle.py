@@ -217,8 +217,8 @@ def json_output(artefacts: DataFrame, output_format: str = "strapi", flatten_key
     return out.withColumns({"field_count": count_fields(F.col("final_json")), "json_size_kb": T.kb_size(F.col("final_json"))})
 
 
-def meta_output(items: DataFrame, title_max: int = 60, desc_min: int = 150, desc_max: int = 160) -> DataFrame:
-    """items: (entity_name, seo_plan JSON, analysis JSON or null). Keywords of both; a plan without title has the entity's name."""
+def meta_output(items: DataFrame, title_max: int = 60, desc_min: int = 150, desc_max: int = 160, twitter: bool = False) -> DataFrame:
+    """twitter: also the tags of that site. items: (entity_name, seo_plan JSON, analysis JSON or null). Keywords of both; a plan without title has the entity's name."""
     title, description = F.coalesce(F.nullif(_at("seo_plan", "meta.title"), F.lit("")), "entity_name"), F.coalesce(_at("seo_plan", "meta.description"), F.lit(""))
     keywords = F.array_distinct(F.filter(F.concat(_labels("analysis", "categories.primary", "slug"), _labels("analysis", "categories.secondary", "slug"), _labels("analysis", "tags.existing", "slug"), _labels("analysis", "tags.suggested_new", "label", "slug"), as_list(_at("seo_plan", "target_keywords.primary")), as_list(_at("seo_plan", "target_keywords.secondary")), as_list(_at("seo_plan", "target_keywords.long_tail"))), lambda k: k.isNotNull()))
     out = items.where("seo_plan is not null").select("entity_name", title.alias("meta_title"), description.alias("meta_description"), T.slugify(F.col("entity_name")).alias("slug"), keywords.alias("k"))
@@ -226,7 +226,8 @@ def meta_output(items: DataFrame, title_max: int = 60, desc_min: int = 150, desc
     text = lambda what, x, most: F.concat(F.lit(f"{what}: "), x.cast("string"), F.lit(f"/{most}"))
     warn = F.array_compact(F.array(F.when(n > title_max, text("Title too long", n, title_max)), F.when(m < desc_min, text("Description too short", m, desc_min)), F.when(m > desc_max, text("Description too long", m, desc_max))))
     og = F.struct(F.col("meta_title").alias("og:title"), F.col("meta_description").alias("og:description"), F.lit("article").alias("og:type"))
-    doc = F.to_json(F.struct(F.col("meta_title").alias("title"), F.col("meta_description").alias("description"), "slug", F.col("k").alias("keywords"), og.alias("og"), F.when(F.size(warn) > 0, warn).alias("warnings")))
+    card = F.struct(F.lit("summary").alias("twitter:card"), F.col("meta_title").alias("twitter:title"), F.col("meta_description").alias("twitter:description"))
+    doc = F.to_json(F.struct(F.col("meta_title").alias("title"), F.col("meta_description").alias("description"), "slug", F.col("k").alias("keywords"), og.alias("og"), *([card.alias("twitter")] if twitter else []), F.when(F.size(warn) > 0, warn).alias("warnings")))
     return out.select("entity_name", "meta_title", "meta_description", "slug", n.alias("title_length"), m.alias("description_length"), F.size("k").alias("keyword_count"), F.array_join(warn, "; ").alias("warnings"), F.when(F.size(warn) > 0, "warning").otherwise("ok").alias("status"), doc.alias("meta_json"))
 
 

@@ -120,9 +120,12 @@ def by_entity(items: DataFrame, status: Column, kinds: list[str]) -> DataFrame:
     return items.groupBy("entity_name").agg(F.count("*").alias("total"), *(F.count_if(status == k).alias(k) for k in kinds))
 
 
-def histogram(items: DataFrame, key: str, by: list[str]) -> DataFrame:
-    """A map of counts by value of `key`, for each group."""
+def histogram(items: DataFrame, key: str, by: list[str], by_count: bool = False) -> DataFrame:
+    """A map of counts by value of `key`, for each group; in the order of the values, or by falling count and then by value."""
     counts = items.groupBy(*by, key).agg(F.count("*").alias("n"))
+    if by_count:
+        ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), key, "n")))
+        return counts.groupBy(*by).agg(F.map_from_entries(F.transform(ranked, lambda x: F.struct(x[key], x["n"]))).alias("counts"))
     return counts.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias("counts"))
 
 

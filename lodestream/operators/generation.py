@@ -16,9 +16,16 @@ def _before(size: Column, by: str = "entity_name", order: str = "pool_pos") -> C
     return F.coalesce(F.sum(size).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def _soonest(rows: DataFrame, most: int) -> DataFrame:
+    """The first `most` rows of each entity: no more can come before the cut, so the running total is over few rows however many an entity has. Up to spark.sql.optimizer.windowGroupLimitThreshold rows (1,000 unless set) Spark takes them in each task before the shuffle."""
+    n = F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos"))
+    return rows.withColumn("_n", n).where(F.col("_n") <= most).drop("_n")
+
+
 def assemble_sources(items: DataFrame, most: int = 100_000, least: int = 100) -> DataFrame:
     """(entity_name, source_text): texts in pool order with boundaries between them, up to `most` characters; of the first that doesn't fit the beginning, if more than `least` characters are left. Rows beyond the limit go before anything is gathered."""
     rows = items.where("text_content != ''").select("entity_name", "pool_pos", "text_content", F.length("text_content").alias("n"))
+    rows = _soonest(rows, most // (len(BOUNDARY) + 1) + 2)  # a text has a character at least
     before = _before(F.col("n") + len(BOUNDARY))
     rows = rows.withColumn("start", F.greatest(before - len(BOUNDARY), F.lit(0))).where(F.col("start") <= most)
     whole = F.concat(F.when(F.col("start") > 0, BOUNDARY).otherwise(""), "text_content")
@@ -33,6 +40,7 @@ def assemble_pages(items: DataFrame, most: int = 100_000) -> DataFrame:
     page = F.concat(F.lit("--- Page: "), F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled")), F.lit(" ("), "url", F.lit(") ---\n"), F.coalesce("text_content", F.lit("")))
     rows = items.select("entity_name", "pool_pos", page.alias("page"), F.coalesce("word_count", F.lit(0)).alias("word_count"))
     words = rows.groupBy("entity_name").agg(F.sum("word_count").alias("word_count"))
+    rows = _soonest(rows, most // (len("--- Page: Untitled () ---") + 2) * 2 + 2)  # a page has its header at least
     rows = rows.withColumn("start", _before(F.length("page") + 2)).where(F.col("start") <= most)
     out = rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pool_pos", "page")))["page"], "\n\n").alias("all"))
     cut = F.when(F.length("all") > most, F.concat(F.left("all", F.lit(most)), F.lit(f"\n\n[Content truncated at {most} characters]"))).otherwise(F.col("all"))

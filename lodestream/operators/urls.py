@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.functions import fixed_values as fixed
@@ -11,20 +11,21 @@ from lodestream.functions import urls
 
 
 def dedup(items: DataFrame, key=None, order: str = "pool_pos") -> DataFrame:
-    """Flags what repeats an earlier row of the same key. One shuffle, by key."""
-    same = Window.partitionBy("norm_url").orderBy(order)
+    """Flags what repeats an earlier row of the same key. The first row of each key comes from a partial aggregate, and only keys that repeat are joined back, in a stage of its own where Spark can split a key that very many rows have: no window holds such a key in one task. `order` is unique within a key."""
     out = items.withColumn("norm_url", key if key is not None else urls.normalize(F.col("url")))
-    out = out.withColumn("_n", F.row_number().over(same)).withColumn("_first", F.first("url").over(same))
-    again = F.col("_n") > 1
-    return out.select(F.col("norm_url").alias("url"), F.col("url").alias("original_url"), F.when(again, F.col("_first")).alias("duplicate_of"), F.when(again, "duplicate").otherwise("unique").alias("status"), "entity_name")
+    firsts = out.groupBy("norm_url").agg(F.min(F.struct(order, "url")).alias("_f"), F.count("*").alias("_n")).where("_n > 1").select("norm_url", "_f")
+    out = out.join(firsts, "norm_url", "left")
+    again = F.col(order) != F.col(f"_f.{order}")
+    return out.select(F.col("norm_url").alias("url"), F.col("url").alias("original_url"), F.when(again, F.col("_f.url")).alias("duplicate_of"), F.when(again, "duplicate").otherwise("unique").alias("status"), "entity_name")
 
 
 def canonicalize(items: DataFrame, responses: DataFrame) -> DataFrame:
-    """Final URLs, first of each over all entities. responses: (url, final_url)."""
+    """Final URLs, first of each over all entities, by a partial aggregate. responses: (url, final_url)."""
     bare = lambda c: F.regexp_replace(c, "/+$", "")
     out = items.join(responses.select("url", "final_url"), "url", "left").withColumn("to", F.coalesce("final_url", "url"))
+    first = F.min(F.struct("pool_pos", "url", "to", "entity_name")).alias("f")
+    out = out.groupBy(bare(F.lower("to")).alias("_k")).agg(first).select("f.url", "f.to", "f.entity_name")
     moved = bare(F.col("to")) != bare(F.col("url"))
-    out = out.withColumn("_n", F.row_number().over(Window.partitionBy(bare(F.lower("to"))).orderBy("pool_pos"))).where("_n = 1")
     return out.select(F.when(moved, F.col("to")).otherwise(F.col("url")).alias("url"), F.col("url").alias("original_url"), F.when(moved, "redirected").otherwise("unchanged").alias("status"), F.when(moved, F.concat_ws(" -> ", "url", "to")).alias("redirect_detail"), "entity_name")
 
 

@@ -395,6 +395,9 @@ def queries() -> dict:
         "top_of_category": lambda s, d: reports.top_of_each(table(s, d, "events").select("event_id", "event_type", "value"), "event_type", [F.desc("value"), "event_id"], 5),
         "group_by_entity": lambda s, d: content.by_entity(documents(s, d), F.col("status"), ["success", "error"]),
         "intent_breakdown": lambda s, d: content.histogram(documents(s, d), "title", ["entity_name"]).select("entity_name", F.to_json("counts").alias("counts")),
+        "intent_breakdown_by_count": lambda s, d: content.histogram(documents(s, d).withColumn("kind", F.concat("title", F.lit(" "), F.col("doc_id") % 3)), "kind", ["entity_name"], by_count=True).select("entity_name", F.to_json("counts").alias("counts")),
+        "flagged_first": lambda s, d: reports.flagged_first(_statuses(s, d).select("doc_id", "status"), F.col("status") == "low_content", "doc_id"),
+        "meta_output_twitter": lambda s, d: bundle.meta_output(_bundles(s, d), twitter=True).select("entity_name", F.get_json_object("meta_json", "$.twitter").alias("twitter")),
         "average_score": lambda s, d: _verdicts(s, d).agg(T.js_round(F.avg("hallucination_score"), 3).cast("double").alias("avg_score"), F.count("*").alias("n")),
         "origin_mode": lambda s, d: page_items(s, d).groupBy("entity_name", U.origin(F.col("url")).alias("origin")).agg(F.count("*").alias("n"), F.min("pool_pos").alias("p")).groupBy("entity_name").agg(F.max_by("origin", F.struct("n", -F.col("p"))).alias("origin")),
         "latest_wins": lambda s, d: content.latest(table(s, d, "conversations").select("conv_id", F.col("turn").alias("pool_pos"), F.when(F.col("role") == "user", F.col("text")).alias("user_text"), F.when(F.col("role") == "assistant", F.col("text")).alias("assistant_text")), ["user_text", "assistant_text"], "conv_id"),

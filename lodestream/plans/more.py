@@ -11,7 +11,7 @@ from lodestream.functions import fixed_values as fixed
 from lodestream.functions import urls as U
 from lodestream.operators import content, keywords, pages, profiles, site_media
 from lodestream.plans.inputs import page_items, table
-from lodestream.sources import files
+from lodestream.sources import discovery, files
 
 
 def scratch(spark) -> str:
@@ -149,6 +149,21 @@ def _media_checked(s, d):
     return site_media.company_media_of_pages(homes, inner, checked)
 
 
+def _feeds(s, d):
+    """Sites of customers: homepages that name feeds, some twice or of other kinds, and answers under known paths, some of them no feeds."""
+    c, k = table(s, d, "customer"), F.col("c_custkey")
+    base = F.concat(F.lit("https://c"), k.cast("string"), F.lit(".org"))
+    link = lambda kind, href, title: F.lit(f"<link title='{title}' rel=\"alternate\" type=\"{kind}\" href=\"{href}\">")
+    home = F.concat(F.when(k % 2 == 0, link("application/rss+xml", "/named", "Named")).otherwise(""), link("text/css", "/style", "no"), F.when(k % 3 == 0, link("application/atom+xml", "feed.xml", "")).otherwise(""), F.when(k % 6 == 0, link("application/xml", "/named", "again")).otherwise(""))
+    rss = F.concat(F.lit("<?xml?><RSS><title> Own </title>"), F.repeat(F.lit("<item>i</item>"), (k % 4).cast("int")))
+    answer = lambda path, status, body: c.select(F.concat(base, F.lit(path)).alias("url"), status.cast("int").alias("http_status"), body.alias("body"))
+    answers = answer("", F.when(k % 7 == 0, 500).otherwise(200), home)
+    for path, status, body in (("/feed", F.when(k % 5 == 0, 404).otherwise(200), F.lit("<feed><entry a=1>")), ("/rss", F.lit(200), F.when(k % 4 == 0, "<html>").otherwise(rss)), ("/feed.xml", F.lit(201), rss), ("/named", F.when(k % 4 == 0, 404).otherwise(200), F.lit("<rdf:RDF><item ><item>"))):
+        answers = answers.unionByName(answer(path, status, body))
+    sites = c.select(F.col("c_name").alias("entity_name"), F.when(k % 11 != 0, F.when(k % 2 == 0, F.concat(base, F.lit("/"))).otherwise(F.regexp_replace(base, "^https://", ""))).alias("website"))
+    return discovery.discover_feeds(sites, answers, most=3)
+
+
 def queries() -> dict:
     return {
         "dom_tiers": lambda s, d: pages.dom_text(_cluttered(s, d), longest=None),
@@ -161,6 +176,7 @@ def queries() -> dict:
         "cv_files": _cv,
         "keyword_documents": _keywords,
         "keyword_coverage": _coverage,
+        "discover_feeds": _feeds,
         "company_media_of_pages": _media_all,
         "company_media_checked": _media_checked,
     }
@@ -212,6 +228,12 @@ def _media_sql(checked: bool) -> str:
 
 
 ORACLES = {
+    "discover_feeds": """WITH c AS (SELECT c_name AS entity_name, c_custkey AS k, 'https://c' || c_custkey || '.org' AS base FROM customer WHERE c_custkey % 11 <> 0),
+      body AS (SELECT base || '/feed' AS url, 'atom' AS feed_type, NULL AS title, 1 AS item_count FROM c WHERE k % 5 <> 0 UNION ALL SELECT base || '/rss', 'rss', 'Own', k % 4 FROM c WHERE k % 4 <> 0 UNION ALL SELECT base || '/feed.xml', 'rss', 'Own', k % 4 FROM c UNION ALL SELECT base || '/named', 'rdf', NULL, 2 FROM c WHERE k % 4 <> 0),
+      named AS (SELECT entity_name, base || '/named' AS url, 0 AS o, 'rss' AS kind, 'Named' AS name FROM c WHERE k % 7 <> 0 AND k % 2 = 0 UNION ALL SELECT entity_name, base || '/feed.xml', 1, 'atom', NULL FROM c WHERE k % 7 <> 0 AND k % 3 = 0),
+      probed AS (SELECT entity_name, base || p AS url, 2 + i AS o, NULL AS kind, NULL AS name FROM c, (VALUES (0, '/feed'), (1, '/rss'), (2, '/feed.xml'), (3, '/rss.xml'), (4, '/atom.xml'), (5, '/blog/feed'), (6, '/news/feed'), (7, '/feed/rss'), (8, '/feed/atom')) t(i, p) WHERE base || p IN (SELECT url FROM body) AND (entity_name, base || p) NOT IN (SELECT (entity_name, url) FROM named)),
+      f AS (SELECT * FROM named UNION ALL SELECT * FROM probed)
+      SELECT entity_name, f.url, coalesce(feed_type, kind, 'unknown') AS feed_type, coalesce(name, title) AS title, coalesce(item_count, 0)::INT AS item_count FROM f LEFT JOIN body USING (url) QUALIFY row_number() OVER (PARTITION BY entity_name ORDER BY o) <= 3""",
     "company_media_of_pages": _media_sql(checked=False),
     "company_media_checked": _media_sql(checked=True),
     "resolve_dot_segments": f"""WITH h AS (SELECT page_id, url || CASE WHEN page_id % 3 = 0 THEN '/one/two.html?q=/a/b' ELSE '' END AS base, {_HREFS}[page_id % {len(_HREFS)} + 1] AS href FROM pages),

@@ -164,6 +164,9 @@ ORACLES = {
     "tier_fallback": "WITH x AS (SELECT doc_id, [CASE WHEN doc_id % 2 = 0 THEN left(text, 400) END, CASE WHEN doc_id % 3 = 0 THEN left(text, 900) END, CASE WHEN doc_id % 5 = 0 THEN text END] AS t FROM documents), y AS (SELECT doc_id, list_transform(t, lambda z: len(regexp_extract_all(coalesce(z, ''), '\\S+'))) AS n FROM x), z AS (SELECT doc_id, n, CASE WHEN n[1] >= 50 THEN 1 WHEN n[2] >= 50 THEN 2 WHEN n[3] >= 50 THEN 3 END AS i FROM y) SELECT doc_id, ['http', 'browser', 'archive'][i] AS scrape_method, coalesce(n[i], 0)::INT AS word_count, CASE WHEN i IS NULL THEN 'error' ELSE 'success' END AS status FROM z",
     "entity_summary": f"WITH {_STATUS}, {_SUMMARY} SELECT * FROM e",
     "run_summary": f"WITH {_STATUS}, {_SUMMARY}, r AS (SELECT count(*) AS total_entities, sum(total)::BIGINT AS total, sum(success)::BIGINT AS success, sum(low_content)::BIGINT AS low_content, sum(errors)::BIGINT AS errors, sum(skipped)::BIGINT AS skipped FROM e) SELECT *, CASE WHEN errors + skipped + low_content > 0 THEN success || ' scraped, ' || (errors + skipped + low_content) || ' issues (' || concat_ws(', ', CASE WHEN errors > 0 THEN errors || ' errors' END, CASE WHEN skipped > 0 THEN skipped || ' skipped' END, CASE WHEN low_content > 0 THEN low_content || ' low content' END) || ') of ' || total || ' total' ELSE total || ' URLs ' || chr(8212) || ' all scraped successfully' END AS description FROM r",
+    "intent_breakdown_by_count": f"WITH {_DOCS}, g AS (SELECT entity_name, title || ' ' || doc_id % 3 AS kind, count(*) AS n FROM d GROUP BY 1, 2) SELECT entity_name, '{{' || string_agg('\"' || kind || '\":' || n, ',' ORDER BY n DESC, kind) || '}}' AS counts FROM g GROUP BY 1",
+    "flagged_first": f"WITH {_STATUS} SELECT doc_id, status, (status <> 'low_content')::INT AS flag_rank FROM s",
+    "meta_output_twitter": f"""WITH {_BUNDLES} SELECT entity_name, '{{"twitter:card":"summary","twitter:title":"About ' || p_name || ' and more of the kind","twitter:description":"' || {_DESC} || '"}}' AS twitter FROM b WHERE hp""",
     "error_rollup": "SELECT source AS entity_name, count(*) AS errors, 'failed at ' || min(doc_id) AS first_error, source || ': failed at ' || min(doc_id) AS error FROM documents WHERE doc_id % 50 = 0 GROUP BY 1",
     "status_sort": f"WITH {_STATUS} SELECT doc_id, status, CASE status WHEN 'error' THEN 0 WHEN 'skipped' THEN 1 WHEN 'low_content' THEN 2 ELSE 3 END AS status_rank FROM s",
     "top_of_category": "SELECT event_id, event_type, value, (row_number() OVER w)::INT AS rank FROM events WINDOW w AS (PARTITION BY event_type ORDER BY value DESC, event_id) QUALIFY row_number() OVER w <= 5",

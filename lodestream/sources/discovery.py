@@ -92,6 +92,48 @@ def feeds(bodies: DataFrame) -> DataFrame:
     return bodies.where(has("<rss") | has("<feed") | has("<rdf:rdf")).select("url", F.when(has("<feed"), "atom").when(has("<rdf:rdf"), "rdf").otherwise("rss").alias("feed_type"), F.nullif(T.trim_ws(title), F.lit("")).alias("title"), (F.regexp_count("body", F.lit(r"(?i)<item[\s>]")) + F.regexp_count("body", F.lit(r"(?i)<entry[\s>]"))).alias("item_count"))
 
 
+def site_base(website):
+    """A website's address without a slash at its end."""
+    site = F.trim(website)
+    return F.regexp_replace(F.when(site.startswith("http"), site).otherwise(F.concat(F.lit("https://"), site)), "/$", "")
+
+
+def discover_feeds(entities: DataFrame, responses: DataFrame, most: int | None = 10, probe: bool = True) -> DataFrame:
+    """(entity_name, url, feed_type, title, item_count): feeds that a homepage names, in its order, then known paths that hold one; `most` of each entity, None for all. What a named feed's own answer says goes before what the link says, but for its title. entities: (entity_name, website), one row each; responses: (url, http_status, body). An entity without website has none. The known paths are a few rows of an array."""
+    bases = entities.where("website != ''").select("entity_name", site_base(F.col("website")).alias("base"))
+    good = responses.where(F.col("http_status").between(200, 299)).groupBy("url").agg(F.min("body").alias("body"))
+    homes = bases.join(good.withColumnRenamed("url", "base"), "base")
+    named = homes.select("entity_name", F.posexplode(_feed_tags(F.col("body"), F.col("base"))).alias("pos", "f")).select("entity_name", F.col("pos"), "f.*")
+    named = named.groupBy("entity_name", "url").agg(F.min(F.struct("pos", "feed_type", "title")).alias("l")).select("entity_name", "url", F.struct(F.lit(0).alias("tier"), "l.pos").alias("at"), F.col("l.feed_type").alias("link_type"), F.col("l.title").alias("link_title"))
+    content = feeds(good)
+    found = named.join(content, "url", "left")
+    if probe:
+        paths = F.array(*map(F.lit, fixed.FEED_PATHS))
+        asked = bases.select("entity_name", "base", F.posexplode(paths).alias("pos", "path")).select("entity_name", F.concat("base", "path").alias("url"), F.struct(F.lit(1).alias("tier"), "pos").alias("at"))
+        probed = asked.join(content, "url").join(named.select("entity_name", "url"), ["entity_name", "url"], "left_anti")
+        none = F.lit(None).cast("string")
+        found = found.unionByName(probed.select(*asked.columns, none.alias("link_type"), none.alias("link_title"), "feed_type", "title", "item_count"))
+    out = found.select("entity_name", "at", "url", F.coalesce("feed_type", "link_type", F.lit("unknown")).alias("feed_type"), T.or_else(F.col("link_title"), F.col("title")).alias("title"), F.coalesce("item_count", F.lit(0)).alias("item_count"))
+    if most is not None:
+        from pyspark.sql import Window
+
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("at"))).where(F.col("_n") <= most)
+    return out.select("entity_name", "url", "feed_type", "title", "item_count")
+
+
+def _feed_tags(html, base):
+    """array of (url, feed_type, title) of the feeds that a page names."""
+    of = lambda tag, name: F.nullif(F.regexp_extract(tag, rf"""(?i){name}=["']([^"']+)["']""", 1), F.lit(""))
+
+    def one(tag):
+        kind, href = F.lower(of(tag, "type")), of(tag, "href")
+        url = F.when(href.startswith("/"), F.concat(base, href)).when(href.startswith("http"), href).otherwise(F.concat(base, F.lit("/"), href))
+        return F.struct(F.when(T.has_any(kind, ["rss", "atom", "xml"]), url).alias("url"), F.when(F.contains(kind, F.lit("atom")), "atom").otherwise("rss").alias("feed_type"), of(tag, "title").alias("title"))
+
+    tags = F.regexp_extract_all(html, F.lit(r"""(?i)<link[^>]+rel=["']alternate["'][^>]*>"""), F.lit(0))
+    return F.filter(F.transform(tags, one), lambda x: x["url"].isNotNull())
+
+
 def api_items(payloads: DataFrame, fields: dict[str, list[str]], keywords: list[str] = (), exclude: list[str] = (), search_in: tuple = ("title", "snippet")) -> DataFrame:
     """payloads: (source, body JSON). Each field takes the first path that has a value; keywords must, exclusions mustn't be found."""
     out = payloads.select("*", *(T.or_else(*(F.get_json_object("body", p) for p in paths)).alias(f) for f, paths in fields.items()))

@@ -72,14 +72,14 @@ class _Breaker(StatefulProcessor):
         yield pd.DataFrame({"key": [key[0]] * len(calls), "call": calls[self.order].to_numpy(), "aborted": aborted})
 
 
-def loop_counts(decisions: DataFrame, max_loops: int = 3, keep_ms: int | None = 30 * 86_400_000) -> DataFrame:
-    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. State ends with a final decision or after keep_ms without one (None: never); by the clock, so the query runs on batches without rows too and wants a processing-time trigger. Needs the RocksDB state store."""
+def loop_counts(decisions: DataFrame, max_loops: int = 3, keep_ms: int | None = None) -> DataFrame:
+    """decisions: (entity_name, decision). How often each entity was sent back, and whether it may be again. State ends with a final decision and, where keep_ms is given, that long after the last one; by the clock, so such a query runs on batches without rows too and wants a processing-time trigger. Needs the RocksDB state store."""
     mode = "none" if keep_ms is None else "processingTime"
     return decisions.groupBy("entity_name").transformWithStateInPandas(_Loops(max_loops, keep_ms), "entity_name string, loop_count long, exhausted boolean", "update", mode)
 
 
-def breaker_stream(calls: DataFrame, by: str, order: str, limit: int = 3, keep_ms: int | None = 86_400_000) -> DataFrame:
-    """(key, call, aborted) for calls with a column `ok`, in the order of whole numbers `order` within each batch. State is kept for keys that fail only, and for keep_ms after their last call (None: for ever). Needs the RocksDB state store."""
+def breaker_stream(calls: DataFrame, by: str, order: str, limit: int = 3, keep_ms: int | None = None) -> DataFrame:
+    """(key, call, aborted) for calls with a column `ok`, in the order of whole numbers `order` within each batch. State is kept for keys that fail only, and where keep_ms is given no longer than that after their last call, with a processing-time trigger. Needs the RocksDB state store."""
     mode = "none" if keep_ms is None else "processingTime"
     return calls.groupBy(by).transformWithStateInPandas(_Breaker(order, limit, keep_ms), f"key {calls.schema[by].dataType.simpleString()}, call long, aborted boolean", "append", mode)
 
