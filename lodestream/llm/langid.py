@@ -59,31 +59,36 @@ def _counted(batches):
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
-    """{"langs": [...], 0: {word: scores}, n: {n-gram: scores}} from rows that are not held out and have a language."""
+    """{"langs": [...], 0: (words, scores), n: (n-grams, scores)} from rows that are not held out and have a language: words as an Arrow array, scores as a matrix of them by languages. The counts come to the driver as Arrow columns, so it never holds an object for each."""
     labelled = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null").where(~held_out("doc_id"))
     scale = 1 << 20
     keep = math.ceil(scale * min(1.0, train_docs / max(labelled.count(), 1)))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < keep).select("text", "lang")
     counted = sample.mapInArrow(_counted, "lang string, size int, key string, n bigint").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
-    rows = counted.where(f"size > 0 or n >= {MIN_COUNT}").collect()  # of the bounded sample; rarer words count for the n-grams only
-    langs = sorted({r.lang for r in rows})
-    tables: list[dict[str, list[float]]] = [defaultdict(lambda: [0.0] * len(langs)) for _ in range(LONGEST + 1)]
-    for r in rows:
-        tables[r.size][r.key][langs.index(r.lang)] += r.n
-    model: dict = {"langs": langs}
-    for n, counts in enumerate(tables):
-        keys = list(counts)
-        x = np.array([counts[k] for k in keys]).reshape(-1, max(len(langs), 1)) + 0.1
-        scores = np.log(x / x.sum(axis=0)) if keys else x
-        model[n] = dict(zip(keys, map(tuple, scores.tolist())))
+    rows = counted.where(f"size > 0 or n >= {MIN_COUNT}").toArrow()  # of the bounded sample; rarer words count for the n-grams only
+    langs = sorted(rows.column("lang").unique().to_pylist())
+    lang = np.asarray(pa.compute.index_in(rows.column("lang").combine_chunks(), pa.array(langs, pa.string())), np.int64) if langs else np.zeros(0, np.int64)
+    size, model = np.asarray(rows.column("size")), {"langs": langs}
+    for k in range(LONGEST + 1):
+        of = np.flatnonzero(size == k)
+        coded = rows.column("key").take(pa.array(of)).combine_chunks().dictionary_encode()
+        x = np.full((len(coded.dictionary), max(len(langs), 1)), 0.1)
+        np.add.at(x, (np.asarray(coded.indices, np.int64), lang[of]), np.asarray(rows.column("n"))[of])
+        model[k] = (coded.dictionary, np.log(x / x.sum(axis=0)))
     return model
 
 
+def _tables(model: dict) -> dict:
+    """The model with a dictionary of scores for each size, as a worker looks them up."""
+    return {"langs": model["langs"]} | {k: dict(zip(model[k][0].to_pylist(), map(tuple, model[k][1].tolist()))) for k in range(LONGEST + 1)}
+
+
 class Scores(dict):
     """word -> row of `rows`; rows of unseen words are worked out once and forgotten when there are too many."""
 
     def __init__(self, model: dict):
-        self.model, self.known = model, len(model[0])
+        self.model = model = _tables(model)
+        self.known = len(model[0])
         self.reset()
 
     def reset(self):

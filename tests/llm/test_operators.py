@@ -151,7 +151,11 @@ def test_langid_against_a_plain_version(spark, sf_dir):
 
 
 def test_backoff_prefers_words():
-    model = {"langs": ["a", "b"], 0: {"word": (-1.0, -9.0)}, 4: {"^wor": (-9.0, -1.0)}, 3: {}, 2: {}, 1: {"q": (-2.0, -8.0)}}
+    import numpy as np
+    import pyarrow as pa
+
+    of = {0: {"word": (-1.0, -9.0)}, 4: {"^wor": (-9.0, -1.0)}, 3: {}, 2: {}, 1: {"q": (-2.0, -8.0)}}
+    model = {"langs": ["a", "b"]} | {k: (pa.array(list(d), pa.string()), np.array(list(d.values())).reshape(-1, 2)) for k, d in of.items()}
     scores = langid.Scores(model)
     assert scores.of("word")[0] == "a" and scores.of("worst")[0] == "b" and scores.of("qz")[0] == "a"
 
