@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import docx
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import urls as U
-from lodestream.operators import content, keywords, pages, profiles, site_media
+from lodestream.operators import content, keywords, pages, profiles, seo, site_media
 from lodestream.plans.inputs import page_items, table
 from lodestream.sources import discovery, files
 
@@ -164,6 +164,23 @@ def _feeds(s, d):
     return discovery.discover_feeds(sites, answers, most=3)
 
 
+def _seo_plans(s, d):
+    """Plans of parts: with all places of keywords, with some, with an outline of an older kind, and with neither."""
+    p, k = table(s, d, "part"), F.col("p_partkey")
+    words = F.split("p_name", " ")
+    whole = F.struct(
+        F.struct(words.alias("headline_keywords"), F.array(F.lit("a"), F.lit("b")).alias("body_keywords")).alias("overview"), F.array(F.struct(F.lower("p_type").alias("category_slug"), F.lit("primary").alias("category_tier"), words.alias("heading_keywords"), F.array(F.lit("c")).alias("body_keywords")), F.struct(F.lit("other").alias("category_slug"), F.lit(None).cast("string").alias("category_tier"), F.lit(None).cast("array<string>").alias("heading_keywords"), F.lit(None).cast("array<string>").alias("body_keywords"))).alias("categories"),
+        F.array(F.struct(F.lit("t").alias("tag_slug"), F.array("p_brand").alias("keywords")), F.struct(F.lit("none").alias("tag_slug"), F.array().cast("array<string>").alias("keywords"))).alias("tags"), F.struct(F.array(F.lit("iso")).alias("keywords")).alias("credentials"), F.struct(F.array(F.lit("why"), F.lit("how")).alias("keywords")).alias("faq"),
+    )
+    some = F.struct(F.array(F.struct(F.lit("t").alias("tag_slug"), F.array(F.lit("x"), F.lit("x")).alias("keywords"))).alias("tags"))
+    section = lambda i: F.struct(F.concat(F.lit(f"S{i} "), "p_name").alias("heading"), F.lit("intro" if i % 2 else None).cast("string").alias("type"), F.lit(100 * i or None).cast("int").alias("word_target"), (F.array(F.lit("kw")) if i == 1 else F.lit(None).cast("array<string>")).alias("keywords"), (F.array(F.struct(F.lit("sub").alias("heading"), F.lit(50).alias("word_target"))) if i == 2 else F.lit(None).cast("array<struct<heading: string, word_target: int>>")).alias("subsections"))
+    meta = F.struct(F.when(k % 3 != 0, F.col("p_name")).alias("title"), F.lit("What it is").alias("description"), F.when(k % 2 == 0, 7).alias("description_chars"))
+    faq = F.struct(F.lit("Why?").alias("question"), F.when(k % 2 == 0, "brief").alias("answer_brief"), F.lit("answer").alias("answer"), F.when(k % 5 == 0, "kw").alias("target_keyword"))
+    json = lambda *more: F.to_json(F.struct(F.struct(F.get(words, F.lit(0)).alias("primary"), F.slice(words, 2, 9).alias("secondary")).alias("target_keywords"), meta.alias("meta"), F.when(k % 7 != 0, F.array(faq, faq)).alias("faqs"), F.when(k % 2 == 1, "calm").alias("tone_notes"), *more))
+    plan = F.when(k % 4 == 0, json(whole.alias("keyword_distribution"))).when(k % 4 == 1, json(some.alias("keyword_distribution"))).when(k % 4 == 2, json(F.array(*map(section, range(6))).alias("content_outline"))).otherwise(json())
+    return seo.seo_plan_texts(p.select(k.cast("string").alias("entity_name"), plan.alias("plan")))
+
+
 def queries() -> dict:
     return {
         "dom_tiers": lambda s, d: pages.dom_text(_cluttered(s, d), longest=None),
@@ -177,6 +194,7 @@ def queries() -> dict:
         "keyword_documents": _keywords,
         "keyword_coverage": _coverage,
         "discover_feeds": _feeds,
+        "seo_plan_texts": _seo_plans,
         "company_media_of_pages": _media_all,
         "company_media_checked": _media_checked,
     }
@@ -228,6 +246,13 @@ def _media_sql(checked: bool) -> str:
 
 
 ORACLES = {
+    "seo_plan_texts": """WITH x AS (SELECT *, p_partkey AS k, chr(10) AS nl, string_split(p_name, ' ') AS w FROM part),
+      f AS (SELECT *, 'Q1: Why?' || nl || 'Direction: ' || CASE WHEN k % 2 = 0 THEN 'brief' ELSE 'answer' END || CASE WHEN k % 5 = 0 THEN nl || 'Keyword: kw' ELSE '' END AS q FROM x)
+      SELECT k::VARCHAR AS entity_name, w[1] AS primary_keyword, CASE k % 4 WHEN 0 THEN '2 categories, 2 tags, ' || len(list_distinct(w || ['a', 'b', 'c', p_brand])) || ' unique keywords' WHEN 1 THEN '0 categories, 1 tags, 1 unique keywords' WHEN 2 THEN array_to_string(list_transform(range(4), lambda i: 'S' || i || ' ' || p_name || CASE WHEN i % 2 = 1 THEN ' [intro]' ELSE '' END), ', ') || ' (+2)' ELSE '' END AS keyword_plan_preview,
+        CASE WHEN k % 3 <> 0 THEN p_name ELSE '' END AS meta_title, CASE WHEN k % 7 <> 0 THEN 2 ELSE 0 END AS faq_count, 'Primary: ' || w[1] || CASE WHEN len(w) > 1 THEN nl || 'Secondary: ' || array_to_string(w[2:], ', ') ELSE '' END AS keywords_text,
+        CASE k % 4 WHEN 0 THEN concat_ws(nl, 'Overview:', '  Headline: ' || array_to_string(w, ', '), '  Body: a, b', '', 'Categories:', '  ' || lower(p_type) || ' (primary):', '    Heading: ' || array_to_string(w, ', '), '    Body: c', '  other (?):', '', 'Tags:', '  t: ' || p_brand, '', 'Credentials: iso', '', 'FAQ: why, how') WHEN 1 THEN concat_ws(nl, '', 'Tags:', '  t: x, x')
+          WHEN 2 THEN array_to_string(list_transform(range(6), lambda i: 'S' || i || ' ' || p_name || CASE WHEN i % 2 = 1 THEN ' [intro]' ELSE '' END || ' (' || CASE WHEN i = 0 THEN '?' ELSE (100 * i)::VARCHAR END || ' words)' || CASE WHEN i = 1 THEN ' ' || chr(8212) || ' kw: kw' WHEN i = 2 THEN nl || '  ' || chr(9492) || ' sub (50 words)' ELSE '' END), chr(10)) ELSE '' END AS keyword_distribution_text,
+        'Title: ' || CASE WHEN k % 3 <> 0 THEN p_name || ' (' || length(p_name) ELSE 'Not generated (0' END || ' chars)' || nl || 'Description: What it is (' || CASE WHEN k % 2 = 0 THEN 7 ELSE 10 END || ' chars)' AS meta_text, CASE WHEN k % 7 <> 0 THEN q || nl || nl || 'Q2' || substr(q, 3) ELSE 'No FAQs generated' END AS faqs_text, CASE WHEN k % 2 = 1 THEN 'calm' ELSE '' END AS tone_notes FROM f""",
     "discover_feeds": """WITH c AS (SELECT c_name AS entity_name, c_custkey AS k, 'https://c' || c_custkey || '.org' AS base FROM customer WHERE c_custkey % 11 <> 0),
       body AS (SELECT base || '/feed' AS url, 'atom' AS feed_type, NULL AS title, 1 AS item_count FROM c WHERE k % 5 <> 0 UNION ALL SELECT base || '/rss', 'rss', 'Own', k % 4 FROM c WHERE k % 4 <> 0 UNION ALL SELECT base || '/feed.xml', 'rss', 'Own', k % 4 FROM c UNION ALL SELECT base || '/named', 'rdf', NULL, 2 FROM c WHERE k % 4 <> 0),
       named AS (SELECT entity_name, base || '/named' AS url, 0 AS o, 'rss' AS kind, 'Named' AS name FROM c WHERE k % 7 <> 0 AND k % 2 = 0 UNION ALL SELECT entity_name, base || '/feed.xml', 1, 'atom', NULL FROM c WHERE k % 7 <> 0 AND k % 3 = 0),
