@@ -326,6 +326,15 @@ FACT_EXCEPTIONS = r"""
 #: Stems of those of its patterns that match without a digit.
 FACT_STEMS = "headquartered based licens regulated acquired merged partnership sponsor powered".split()
 
+# What a profile's row says of where it came from, and why it has none.
+PROFILE_METHODS = ("voyager", "scrapelinkedin", "none")
+PROFILE_ERRORS = {"disabled": "Voyager failed, fallback disabled", "answer": "All methods failed: ScrapeLinkedIn API error: HTTP %s \u2014 %s", "unknown": "Unknown error", "none": "All methods failed: no answer"}
+
+# What an article is written from.
+WRITER_SECTIONS = ("=== COMPANY ANALYSIS ===", "=== SEO CONTENT PLAN ===", "=== SOURCE CONTENT (scraped pages) ===")
+WRITER_MISSING = "Missing upstream output: %s. Run these submodules first."
+WRITER_NEEDS = ("content-analyzer", "seo-planner")
+
 
 def lines(text: str) -> list[str]:
     return [x for x in text.split("\n") if x]

@@ -338,11 +338,16 @@ def seo_plan_flat(items: DataFrame, *also: str) -> DataFrame:
     return items.select("entity_name", *also, primary.alias("primary_keyword"), F.concat_ws("\n", F.concat(F.lit("Primary: "), primary), tier("Secondary: ", "secondary"), tier("Long-tail: ", "long_tail")).alias("keywords_text"), F.size(as_list(_at("plan", "faqs"))).alias("faq_count"), warn.alias("warnings"))
 
 
-def profile_completeness(profiles: DataFrame) -> DataFrame:
-    """profiles: (id, headline, summary, positions array<struct<description>>, education, skills, languages, location, certifications, volunteer: arrays). Weights sum to 100; under 50 is incomplete."""
+def completeness() -> Column:
+    """The points of a profile's columns; all weights sum to 100."""
     text = lambda c: F.coalesce(F.length(c), F.lit(0)) > 0
     some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
     told = F.coalesce(F.exists("positions", lambda p: F.coalesce(F.length(p["description"]), F.lit(0)) > 20), F.lit(False))
     rules = [(text("headline"), 10), (F.coalesce(F.length("summary"), F.lit(0)) > 50, 15), (some("positions"), 20), (told, 10), (some("education"), 15), (some("skills"), 10), (some("languages"), 5), (text("location"), 5), (some("certifications"), 5), (some("volunteer"), 5)]
-    score = sum((F.when(c, w).otherwise(0) for c, w in rules), F.lit(0))
+    return sum((F.when(c, w).otherwise(0) for c, w in rules), F.lit(0))
+
+
+def profile_completeness(profiles: DataFrame) -> DataFrame:
+    """profiles: (id, headline, summary, positions array<struct<description>>, education, skills, languages, location, certifications, volunteer: arrays). Weights sum to 100; under 50 is incomplete."""
+    score = completeness()
     return profiles.select("id", score.alias("completeness_score"), F.when(score < 50, "incomplete").otherwise("success").alias("status"))

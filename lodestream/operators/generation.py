@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
 from lodestream.operators import bundle
 
@@ -35,15 +36,15 @@ def assemble_sources(items: DataFrame, most: int = 100_000, least: int = 100) ->
     return rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pool_pos", "part")))["part"], "").alias("source_text"))
 
 
-def assemble_pages(items: DataFrame, most: int = 100_000) -> DataFrame:
+def assemble_pages(items: DataFrame, most: int = 100_000, what: str = "Content") -> DataFrame:
     """(entity_name, entity_content, word_count): each page under a header, cut at `most` characters with a note; pages that begin beyond the cut go before anything is gathered."""
-    page = F.concat(F.lit("--- Page: "), F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled")), F.lit(" ("), "url", F.lit(") ---\n"), F.coalesce("text_content", F.lit("")))
+    page = F.concat(F.lit("--- Page: "), F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled")), F.lit(" ("), F.coalesce(F.nullif("url", F.lit("")), F.lit("unknown")), F.lit(") ---\n"), F.coalesce("text_content", F.lit("")))
     rows = items.select("entity_name", "pool_pos", page.alias("page"), F.coalesce("word_count", F.lit(0)).alias("word_count"))
     words = rows.groupBy("entity_name").agg(F.sum("word_count").alias("word_count"))
     rows = _soonest(rows, most // (len("--- Page: Untitled () ---") + 2) * 2 + 2)  # a page has its header at least
     rows = rows.withColumn("start", _before(F.length("page") + 2)).where(F.col("start") <= most)
     out = rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pool_pos", "page")))["page"], "\n\n").alias("all"))
-    cut = F.when(F.length("all") > most, F.concat(F.left("all", F.lit(most)), F.lit(f"\n\n[Content truncated at {most} characters]"))).otherwise(F.col("all"))
+    cut = F.when(F.length("all") > most, F.concat(F.left("all", F.lit(most)), F.lit(f"\n\n[{what} truncated at {most} characters]"))).otherwise(F.col("all"))
     return out.select("entity_name", cut.alias("entity_content")).join(words, "entity_name")
 
 
@@ -78,7 +79,29 @@ def plans(responses: DataFrame) -> DataFrame:
 
 def writer_content(analysis: Column, plan: Column, sources: Column) -> Column:
     """What an article is written from: the analysis and the plan as JSON, and the sources' text."""
-    return F.concat(F.lit("=== COMPANY ANALYSIS ===\n"), analysis, F.lit("\n\n=== SEO CONTENT PLAN ===\n"), plan, F.lit("\n\n=== SOURCE CONTENT (scraped pages) ===\n"), sources)
+    heads = fixed.WRITER_SECTIONS
+    return F.concat(F.lit(f"{heads[0]}\n"), analysis, F.lit(f"\n\n{heads[1]}\n"), plan, F.lit(f"\n\n{heads[2]}\n"), sources)
+
+
+def article_requests(items: DataFrame, template: str, docs: dict[str, str] | None = None, most: int = 100_000) -> DataFrame:
+    """(entity_name, prompt, meta_title, source_pages, error) of each entity: the prompt of its article, or an error that names what is missing.
+
+    items: (entity_name, pool_pos, source_submodule, url, title, text_content, output JSON, meta_title). The last analysis and
+    the last plan count; all other rows with a text are sources, in pool order under their headers and cut at `most`
+    characters. Sources are not needed. Repeated pool positions stand in the order of their pages' texts.
+    """
+    analyzer, planner = fixed.WRITER_NEEDS
+    by = F.coalesce("source_submodule", F.lit(""))
+    last = lambda m: F.max_by(F.struct("output", "meta_title"), F.when(by == m, F.struct("pool_pos", "output")))
+    is_source = ~by.isin(analyzer, planner) & (F.col("text_content") != "")
+    told = items.groupBy("entity_name").agg(F.max(by == analyzer).alias("analyzed"), last(analyzer)["output"].alias("analysis"), F.max(by == planner).alias("planned"), last(planner).alias("plan"), F.count_if(is_source).alias("source_pages"))
+    sources = assemble_pages(items.where(is_source).select("entity_name", "pool_pos", "url", "title", "text_content", F.lit(0).alias("word_count")), most, "Source content").drop("word_count")
+    missing = F.array_compact(F.array(F.when(~F.col("analyzed"), analyzer), F.when(~F.col("planned"), planner)))
+    error = F.when(F.size(missing) > 0, F.format_string(fixed.WRITER_MISSING, F.array_join(missing, ", ")))
+    rows = told.withColumn("error", error).join(sources, "entity_name", "left")
+    text = writer_content(F.coalesce("analysis", F.lit("{}")), F.coalesce("plan.output", F.lit("{}")), F.coalesce("entity_content", F.lit("")))
+    title = F.coalesce(T.or_else(F.get_json_object("plan.output", "$.meta.title"), F.col("plan.meta_title")), F.col("entity_name"))
+    return rows.select("entity_name", F.when(F.col("error").isNull(), build_prompt(template, text, docs)).alias("prompt"), F.when(F.col("error").isNull(), title).otherwise("").alias("meta_title"), "source_pages", F.coalesce("error", F.lit("")).alias("error"))
 
 
 def written(responses: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import docx
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import text as T
+from lodestream.operators import bundle, content
 
 _SPAN = "dateRange: struct<start: struct<month: int, year: int>, end: struct<month: int, year: int>>"
 _NAMES = "struct<elements: array<struct<name: string>>>"
@@ -50,6 +51,102 @@ def parse(profiles: DataFrame) -> DataFrame:
     return out.withColumns({c: F.coalesce(c, F.from_json(F.lit("[]"), out.schema[c].dataType)) for c in lists})
 
 
+_JOB = "array<struct<title: string, position: string, company: string, company_name: string, location: string, start_date: string, start: string, end_date: string, end: string, description: string>>"
+_SCHOOL = "array<struct<school: string, institution: string, degree: string, degree_name: string, field: string, field_of_study: string, start_date: string, start: string, end_date: string, end: string, description: string>>"
+FLAT = (
+    "full_name string, name string, headline string, title string, location string, summary string, about string, "
+    f"experience {_JOB}, positions {_JOB}, education {_SCHOOL}, skills array<string>, languages array<string>, certifications array<string>"
+)
+
+
+def _named(items: Column) -> Column:
+    """Names of bare texts or of objects with a name."""
+    name = lambda x: F.when(x.startswith("{") & F.get_json_object(x, "$").isNotNull(), F.get_json_object(x, "$.name")).otherwise(x)
+    return F.coalesce(F.transform(items, lambda x: F.coalesce(name(x), F.lit(""))), F.array().cast("array<string>"))
+
+
+def parse_flat(profiles: DataFrame) -> DataFrame:
+    """profiles: (id, body JSON of a flat profile, bare or under `data`). The columns of `parse`; entries stay in the order given, names may be empty, and there is no voluntary work."""
+    body = T.or_else(F.get_json_object("body", "$.data"), F.col("body"))
+    out = profiles.select("id", F.from_json(body, FLAT).alias("p"))
+    p = lambda k: F.col(f"p.{k}")
+    dates = lambda x: [T.or_else(x["start_date"], x["start"]).alias("start"), T.or_else(x["end_date"], x["end"]).alias("end")]
+    job = lambda x: F.struct(_text(x["title"], x["position"]).alias("title"), _text(x["company"], x["company_name"]).alias("company"), _text(x["location"]).alias("location"), *dates(x), _text(x["description"]).alias("description"))
+    school = lambda x: F.struct(_text(x["school"], x["institution"]).alias("school"), _text(x["degree"], x["degree_name"]).alias("degree"), _text(x["field"], x["field_of_study"]).alias("field"), *dates(x), _text(x["description"]).alias("description"))
+    out = out.select(
+        "id", _text(p("full_name"), p("name")).alias("full_name"), _text(p("headline"), p("title")).alias("headline"), _text(p("location")).alias("location"), _text(p("summary"), p("about")).alias("summary"),
+        F.transform(F.coalesce(p("experience"), p("positions")), job).alias("positions"), F.transform(p("education"), school).alias("education"), _named(p("skills")).alias("skills"), _named(p("languages")).alias("languages"), _named(p("certifications")).alias("certifications"),
+        F.array().cast("array<struct<role: string, organization: string, description: string>>").alias("volunteer"),
+    )
+    return out.withColumns({c: F.coalesce(c, F.from_json(F.lit("[]"), out.schema[c].dataType)) for c in ("positions", "education")})
+
+
+def profile_texts(parsed: DataFrame) -> DataFrame:
+    """The columns of `parse` with counts, points and readable texts of the lists."""
+    some = lambda c: F.nullif(c, F.lit(""))
+    below = lambda c: F.concat(F.lit("\n"), some(c))
+    between = " \u2014 "
+    job = lambda x: F.concat_ws("\n", F.concat(x["title"], F.when(x["company"] != "", F.concat(F.lit(" @ "), x["company"])).otherwise("")), F.concat_ws(between, x["start"], F.coalesce(x["end"], F.lit("Present"))), some(x["location"]), below(x["description"]))
+    school = lambda x: F.concat_ws("\n", x["school"], some(F.concat_ws(", ", some(x["degree"]), some(x["field"]))), some(F.concat_ws(between, x["start"], x["end"])), below(x["description"]))
+    help_ = lambda x: F.concat_ws("\n", x["role"], F.concat(F.lit("@ "), some(x["organization"])), below(x["description"]))
+    texts = {"experience_text": F.array_join(F.transform("positions", job), "\n\n---\n\n"), "education_text": F.array_join(F.transform("education", school), "\n\n"), "volunteer_text": F.array_join(F.transform("volunteer", help_), "\n\n")}
+    joined = {f"{c}_text": F.array_join(c, ", ") for c in ("skills", "languages", "certifications")}
+    counts = {"experience_count": F.size("positions"), "education_count": F.size("education"), "skills_count": F.size("skills")}
+    return parsed.withColumns(texts | joined | counts | {"completeness_score": bundle.completeness()})
+
+
+def stopped_at(tries: DataFrame, failures: int = 3) -> DataFrame:
+    """(entity_name, stop): the number of the row at which a run has failed so many times in a row, for runs that have; later rows are not tried. tries: (entity_name, _i from 0, failed). No window over a run: each failure counts for the rows that it may end a series at."""
+    ends = tries.where("failed").select("entity_name", F.explode(F.sequence(F.col("_i"), F.col("_i") + failures - 1)).alias("_i"))
+    whole = ends.groupBy("entity_name", "_i").agg(F.count("*").alias("n")).where(F.col("n") == failures)
+    return whole.groupBy("entity_name").agg(F.min("_i").alias("stop"))
+
+
+def scraped(wanted: DataFrame, first: DataFrame, second: DataFrame, fallback: bool = True, failures: int = 3) -> DataFrame:
+    """A row for each wanted profile, from the first service, or else the second.
+
+    wanted: (id, run, pool_pos, entity_name, url), numbered within the run, one session (null is one too), by pool_pos. first: (id, body), a full
+    profile; an answer that is missing or has no elements is a failure, and after `failures` of them in a row the rest of the
+    run goes to the second service unasked. second: (url, http_status, body), one row a URL; an answer fails from status 400 on
+    and without `success`. Of the first service only profiles that it is asked for are parsed.
+    """
+    asked = content.numbered(wanted.select("id", F.coalesce(F.col("run").cast("string"), F.lit("")).alias("entity_name"), "pool_pos", F.col("entity_name").alias("who"), "url"))
+    elements = F.size(F.from_json(F.get_json_object("body", "$.elements"), "array<string>"))
+    asked = asked.join(first.select("id", F.when(elements > 0, F.col("body")).alias("body")), "id", "left")
+    stop = stopped_at(asked.select("entity_name", "_i", F.col("body").isNull().alias("failed")), failures)
+    asked = asked.join(stop, "entity_name", "left").withColumn("body", F.when(F.col("stop").isNull() | (F.col("_i") <= F.col("stop")), F.col("body")))
+    asked = asked.select("id", F.col("who").alias("entity_name"), "url", "body")
+    voyager, other, none = fixed.PROFILE_METHODS
+    failed = asked.where("body is null").drop("body")
+    keys = ["id", "entity_name", "url", "scrape_method", "error"]
+    said = failed.withColumn("error", F.lit(fixed.PROFILE_ERRORS["disabled"]))
+    good = asked.where("body is not null").select("id", "entity_name", "url", F.lit(voyager).alias("scrape_method"), F.lit(None).cast("string").alias("error"), "body")
+    parts = [(good, parse)]
+    if fallback:
+        get = lambda k: F.get_json_object("body", f"$.{k}")
+        ok = (F.coalesce("http_status", F.lit(0)) < 400) & ~F.coalesce(get("success"), F.lit("")).isin("", "false", "0")
+        reason = F.format_string(fixed.PROFILE_ERRORS["answer"], F.coalesce(F.col("http_status").cast("string"), F.lit("")), F.coalesce(T.or_else(get("message"), get("error")), F.lit(fixed.PROFILE_ERRORS["unknown"])))
+        tried = failed.join(second, "url", "left")
+        error = F.when(F.col("body").isNull() & F.col("http_status").isNull(), fixed.PROFILE_ERRORS["none"]).when(~ok, reason)
+        tried = tried.select("id", "entity_name", "url", F.lit(other).alias("scrape_method"), error.alias("error"), "body")
+        parts.append((tried.where("error is null"), parse_flat))
+        said = tried.where("error is not null")
+    rows = [profile_texts(of(part.select(F.struct(*keys).alias("id"), "body"))).select("id.*", *_SHOWN, F.when(F.col("completeness_score") < 50, "incomplete").otherwise("success").alias("status")) for part, of in parts]
+    out = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+    empty = said.select("id", "entity_name", "url", F.lit(none).alias("scrape_method"), "error", F.col("entity_name").alias("full_name"), F.lit(0).alias("completeness_score"), F.lit("error").alias("status"))
+    return out.unionByName(empty, allowMissingColumns=True)
+
+
+_SHOWN = "full_name headline location summary experience_count education_count skills_count completeness_score experience_text education_text skills_text languages_text certifications_text volunteer_text".split()
+
+
+def scrape_summary(rows: DataFrame, cost: float = 0.01) -> DataFrame:
+    """One row: how many profiles each service gave, how many failed, what the second cost. rows: of `scraped`."""
+    voyager, other, _ = fixed.PROFILE_METHODS
+    n = lambda m: F.count_if(F.col("scrape_method") == m)
+    return rows.agg(F.count("*").alias("total"), n(voyager).alias("first_service"), n(other).alias("second_service"), F.count_if(F.col("status") == "error").alias("failed"), F.count_if(F.col("status") == "incomplete").alias("incomplete"), F.round(n(other) * cost, 2).alias("cost_usd"))
+
+
 def job_configs(responses: DataFrame) -> DataFrame:
     """(entity_name, company_name, base_variant, config JSON, error) of a model's answers: dashes made plain, unknown variants generic, an error without a company. responses: (entity_name, text)."""
     out = responses.select("entity_name", F.translate(T.model_json(F.col("text")), "\u2013\u2014", "--").alias("config"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import docx
 from lodestream.functions import fixed_values as fixed
 from lodestream.functions import urls as U
-from lodestream.operators import content, keywords, pages, profiles, seo, site_media
+from lodestream.operators import content, generation, keywords, pages, profiles, seo, site_media
 from lodestream.plans.inputs import page_items, table
 from lodestream.sources import discovery, files
 
@@ -181,6 +181,50 @@ def _seo_plans(s, d):
     return seo.seo_plan_texts(p.select(k.cast("string").alias("entity_name"), plan.alias("plan")))
 
 
+_FLAT_UNDER_DATA = '{"success": true, "data": {"name": "N{k}", "title": "T", "about": "A", "positions": [{"position": "P", "company_name": "C", "start": "2001", "end_date": "Jan 2003"}, {"title": "Q", "start_date": "2020"}], "skills": "none", "certifications": [{"name": "X"}, {}]}}'
+_FLAT_BARE = '{"success": true, "full_name": "F{k}", "headline": "H", "location": "L", "summary": "a summary that is a little longer than fifty characters", "experience": [], "positions": [{"title": "no"}], "education": [{"institution": "I", "degree_name": "MA", "field": "F", "end": "1999", "description": "E"}], "skills": ["a", {"name": "b"}], "languages": ["x"]}'
+
+
+def _scrape_inputs(s, d):
+    """Customers as profiles, their nations as sessions. The first service answers in full, with an empty list or not at all; the second in both flat shapes, with errors or not at all."""
+    c, k = table(s, d, "customer"), F.col("c_custkey")
+    url = F.concat(F.lit("https://x.org/in/"), k.cast("string"))
+    some = lambda of, **fields: F.struct(F.array(F.struct(*(v.alias(n) for n, v in fields.items()))).alias(of))
+    date = F.struct(F.struct(F.lit(3).alias("month"), F.lit(2001).alias("year")).alias("start"))
+    job = some("elements", title=F.lit("Head"), locationName=F.when(k % 3 == 0, "Rome"), dateRange=date, description=F.repeat(F.lit("d"), (k % 40).cast("int")))
+    group = some("elements", company=F.struct(F.lit("Firm").alias("name")), profilePositionInPositionGroup=job)
+    school = some("elements", schoolName=F.lit("School"), degreeName=F.when(k % 5 == 0, "BA"), fieldOfStudy=F.when(k % 2 == 1, "Art"))
+    help_ = some("elements", role=F.lit("Guide"), companyName=F.when(k % 2 == 0, "Club"))
+    full = some("elements", firstName=F.col("c_name"), headline=F.when(k % 2 == 0, F.col("c_mktsegment")), summary=F.repeat(F.lit("s"), (k % 100).cast("int")), geoLocation=F.struct(F.struct(F.when(k % 4 != 0, "Malta").alias("defaultLocalizedName")).alias("geo")), profilePositionGroups=group, profileEducations=school, profileVolunteerExperiences=F.when(k % 7 == 0, help_))
+    wanted = c.select(k.alias("id"), F.col("c_nationkey").alias("run"), k.alias("pool_pos"), F.col("c_name").alias("entity_name"), url.alias("url"))
+    first = c.where("c_acctbal >= 5000 or c_custkey % 2 = 0").select(k.alias("id"), F.when(F.col("c_acctbal") < 5000, '{"elements": []}').otherwise(F.to_json(full)).alias("body"))
+    of = lambda t: F.replace(F.lit(t), F.lit("{k}"), k.cast("string"))
+    body = F.when(k % 4 == 0, of(_FLAT_UNDER_DATA)).when(k % 4 == 1, of(_FLAT_BARE)).when(k % 4 == 2, '{"success": false, "error": "no such profile"}').otherwise('{"message": "slow down"}')
+    second = c.where("c_custkey % 9 <> 4").select(url.alias("url"), F.when(k % 8 == 1, 500).otherwise(200).alias("http_status"), body.alias("body"))
+    return wanted, first, second
+
+
+def _article_requests(s, d):
+    """Turns of conversations as pages, and for most conversations two analyses and one or two plans."""
+    t = table(s, d, "conversations")
+    k = F.col("conv_id")
+    none = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    sources = t.select(k.cast("string").alias("entity_name"), F.col("turn").cast("long").alias("pool_pos"), F.when(F.col("turn") == 1, "page-scraper").alias("source_submodule"), F.when(F.col("turn") % 3 != 2, F.concat(F.lit("u"), "turn")).alias("url"), F.when(F.col("turn") > 0, F.col("role")).alias("title"), F.when(F.col("turn") != 3, F.col("text")).alias("text_content"), *none("output", "meta_title"))
+    made = t.select("conv_id").distinct()
+    n = k.cast("string")
+
+    def answers(rows, name: str, pos: int, output, title=None):
+        return rows.select(n.alias("entity_name"), F.lit(pos).cast("long").alias("pool_pos"), F.lit(name).alias("source_submodule"), *none("url", "title"), F.lit("an answer").alias("text_content"), output.alias("output"), (F.lit(None).cast("string") if title is None else title).alias("meta_title"))
+
+    parts = [
+        answers(made.where(k % 5 != 0), "content-analyzer", 1000, F.lit('{"a": 0}')), answers(made.where(k % 5 != 0), "content-analyzer", 1001, F.concat(F.lit('{"a": '), n, F.lit("}"))),
+        answers(made.where(k % 7 != 0), "seo-planner", 1002, F.when(k % 3 == 0, F.concat(F.lit('{"meta":{"title":"Plan '), n, F.lit('"}}'))).otherwise("{}"), F.when(k % 4 == 0, F.concat(F.lit("Title "), n))), answers(made.where(k % 14 == 1), "seo-planner", 1003, F.lit('{"last":1}')),
+    ]
+    for part in parts:
+        sources = sources.unionByName(part)
+    return generation.article_requests(sources, "Write {doc:rules}{doc:none}: {entity_content}", {"rules": "well"}, 300)
+
+
 def queries() -> dict:
     return {
         "dom_tiers": lambda s, d: pages.dom_text(_cluttered(s, d), longest=None),
@@ -197,6 +241,10 @@ def queries() -> dict:
         "seo_plan_texts": _seo_plans,
         "company_media_of_pages": _media_all,
         "company_media_checked": _media_checked,
+        "profile_fallback": lambda s, d: profiles.scraped(*_scrape_inputs(s, d)),
+        "profile_no_fallback": lambda s, d: profiles.scraped(*_scrape_inputs(s, d), fallback=False).select("id", "scrape_method", "status", "error", "completeness_score"),
+        "profile_scrape_summary": lambda s, d: profiles.scrape_summary(profiles.scraped(*_scrape_inputs(s, d))),
+        "article_requests": _article_requests,
     }
 
 
@@ -245,7 +293,37 @@ def _media_sql(checked: bool) -> str:
         CASE WHEN logo IS NOT NULL THEN 'ok' WHEN og IS NOT NULL OR len(team) + len(products) + len(awards) > 0 THEN 'partial' ELSE 'no_media' END AS status FROM r"""
 
 
+#: Profiles, numbered within their session; `last` is where a session stops asking the first service.
+_SCRAPED = """c AS (SELECT *, c_custkey AS k, c_acctbal < 5000 AS bad, row_number() OVER w AS i, count_if(c_acctbal < 5000) OVER (w ROWS 2 PRECEDING) AS run3 FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_custkey)),
+      a AS (SELECT *, coalesce(min(CASE WHEN run3 = 3 THEN i END) OVER (PARTITION BY c_nationkey), 1000000000) AS last FROM c),
+      b AS (SELECT *, CASE WHEN NOT bad AND i <= last THEN 'voyager' WHEN k % 9 <> 4 AND k % 8 <> 1 AND k % 4 < 2 THEN 'scrapelinkedin' ELSE 'none' END AS m FROM a)"""
+_FULL_SCORE = "(CASE WHEN k % 2 = 0 THEN 10 ELSE 0 END + CASE WHEN k % 100 > 50 THEN 15 ELSE 0 END + 20 + CASE WHEN k % 40 > 20 THEN 10 ELSE 0 END + 15 + CASE WHEN k % 4 <> 0 THEN 5 ELSE 0 END + CASE WHEN k % 7 = 0 THEN 5 ELSE 0 END)"
+_API_ERROR = "CASE WHEN k % 9 = 4 THEN 'All methods failed: no answer' ELSE 'All methods failed: ScrapeLinkedIn API error: HTTP ' || CASE WHEN k % 8 = 1 THEN 500 ELSE 200 END || ' ' || chr(8212) || ' ' || CASE k % 4 WHEN 2 THEN 'no such profile' WHEN 3 THEN 'slow down' ELSE 'Unknown error' END END"
+
+
+def _by_method(full: str, data: str, bare: str, none: str = "NULL") -> str:
+    return f"CASE WHEN m = 'voyager' THEN {full} WHEN m = 'none' THEN {none} WHEN k % 4 = 0 THEN {data} ELSE {bare} END"
+
+
 ORACLES = {
+    "profile_fallback": f"""WITH {_SCRAPED}, x AS (SELECT *, chr(10) AS nl, ' ' || chr(8212) || ' ' AS dash, {_by_method(_FULL_SCORE, '35', '60', '0')} AS score FROM b)
+      SELECT k AS id, c_name AS entity_name, 'https://x.org/in/' || k AS url, m AS scrape_method, CASE WHEN m = 'none' THEN {_API_ERROR} END AS error, {_by_method('c_name', "'N' || k", "'F' || k", 'c_name')} AS full_name,
+        {_by_method("CASE WHEN k % 2 = 0 THEN c_mktsegment ELSE '' END", "'T'", "'H'")} AS headline, {_by_method("CASE WHEN k % 4 <> 0 THEN 'Malta' ELSE '' END", "''", "'L'")} AS location, {_by_method("repeat('s', (k % 100)::INT)", "'A'", "'a summary that is a little longer than fifty characters'")} AS summary,
+        {_by_method('1', '2', '0')} AS experience_count, {_by_method('1', '0', '1')} AS education_count, {_by_method('0', '0', '2')} AS skills_count, score AS completeness_score,
+        {_by_method("concat_ws(nl, 'Head @ Firm', 'Mar 2001' || dash || 'Present', CASE WHEN k % 3 = 0 THEN 'Rome' END, CASE WHEN k % 40 > 0 THEN nl || repeat('d', (k % 40)::INT) END)", "concat_ws(nl, 'P @ C', '2001' || dash || 'Jan 2003', '', '---', '', 'Q', '2020' || dash || 'Present')", "''")} AS experience_text,
+        {_by_method("concat_ws(nl, 'School', CASE WHEN k % 2 = 1 OR k % 5 = 0 THEN concat_ws(', ', CASE WHEN k % 5 = 0 THEN 'BA' END, CASE WHEN k % 2 = 1 THEN 'Art' END) END)", "''", "concat_ws(nl, 'I', 'MA, F', '1999', '', 'E')")} AS education_text,
+        {_by_method("''", "''", "'a, b'")} AS skills_text, {_by_method("''", "''", "'x'")} AS languages_text, {_by_method("''", "'X, '", "''")} AS certifications_text, {_by_method("CASE WHEN k % 7 = 0 THEN concat_ws(nl, 'Guide', CASE WHEN k % 2 = 0 THEN '@ Club' END) ELSE '' END", "''", "''")} AS volunteer_text,
+        CASE WHEN m = 'none' THEN 'error' WHEN score < 50 THEN 'incomplete' ELSE 'success' END AS status FROM x""",
+    "profile_no_fallback": f"""WITH {_SCRAPED}, x AS (SELECT k, m = 'voyager' AS got, {_FULL_SCORE} AS score FROM b)
+      SELECT k AS id, CASE WHEN got THEN 'voyager' ELSE 'none' END AS scrape_method, CASE WHEN NOT got THEN 'error' WHEN score < 50 THEN 'incomplete' ELSE 'success' END AS status, CASE WHEN NOT got THEN 'Voyager failed, fallback disabled' END AS error, CASE WHEN got THEN score ELSE 0 END AS completeness_score FROM x""",
+    "profile_scrape_summary": f"""WITH {_SCRAPED}, x AS (SELECT m, {_by_method(_FULL_SCORE, '35', '60')} AS score FROM b)
+      SELECT count(*) AS total, count(*) FILTER (m = 'voyager') AS first_service, count(*) FILTER (m = 'scrapelinkedin') AS second_service, count(*) FILTER (m = 'none') AS failed, count(*) FILTER (score < 50) AS incomplete, round(count(*) FILTER (m = 'scrapelinkedin') * 0.01::DOUBLE, 2) AS cost_usd FROM x""",
+    "article_requests": """WITH c AS (SELECT conv_id AS k, chr(10) AS nl, turn, turn <> 3 AND text <> '' AS source, '--- Page: ' || CASE WHEN turn > 0 AND role <> '' THEN role ELSE 'Untitled' END || ' (' || CASE WHEN turn % 3 <> 2 THEN 'u' || turn ELSE 'unknown' END || ') ---' || chr(10) || text AS page FROM conversations),
+      g AS (SELECT k, any_value(nl) AS nl, count(*) FILTER (source) AS source_pages, coalesce(string_agg(page, chr(10) || chr(10) ORDER BY turn) FILTER (source), '') AS pages FROM c GROUP BY 1),
+      p AS (SELECT *, k % 5 <> 0 AS analyzed, k % 7 <> 0 AS planned, CASE WHEN k % 14 = 1 THEN '{"last":1}' WHEN k % 3 = 0 THEN '{"meta":{"title":"Plan ' || k || '"}}' ELSE '{}' END AS plan FROM g)
+      SELECT k::VARCHAR AS entity_name, CASE WHEN analyzed AND planned THEN 'Write well: === COMPANY ANALYSIS ===' || nl || '{"a": ' || k || '}' || nl || nl || '=== SEO CONTENT PLAN ===' || nl || plan || nl || nl || '=== SOURCE CONTENT (scraped pages) ===' || nl || CASE WHEN length(pages) > 300 THEN left(pages, 300) || nl || nl || '[Source content truncated at 300 characters]' ELSE pages END END AS prompt,
+        CASE WHEN NOT (analyzed AND planned) THEN '' WHEN starts_with(plan, '{"meta') THEN 'Plan ' || k WHEN k % 4 = 0 AND k % 14 <> 1 THEN 'Title ' || k ELSE k::VARCHAR END AS meta_title, source_pages,
+        CASE WHEN analyzed AND planned THEN '' ELSE 'Missing upstream output: ' || concat_ws(', ', CASE WHEN NOT analyzed THEN 'content-analyzer' END, CASE WHEN NOT planned THEN 'seo-planner' END) || '. Run these submodules first.' END AS error FROM p""",
     "seo_plan_texts": """WITH x AS (SELECT *, p_partkey AS k, chr(10) AS nl, string_split(p_name, ' ') AS w FROM part),
       f AS (SELECT *, 'Q1: Why?' || nl || 'Direction: ' || CASE WHEN k % 2 = 0 THEN 'brief' ELSE 'answer' END || CASE WHEN k % 5 = 0 THEN nl || 'Keyword: kw' ELSE '' END AS q FROM x)
       SELECT k::VARCHAR AS entity_name, w[1] AS primary_keyword, CASE k % 4 WHEN 0 THEN '2 categories, 2 tags, ' || len(list_distinct(w || ['a', 'b', 'c', p_brand])) || ' unique keywords' WHEN 1 THEN '0 categories, 1 tags, 1 unique keywords' WHEN 2 THEN array_to_string(list_transform(range(4), lambda i: 'S' || i || ' ' || p_name || CASE WHEN i % 2 = 1 THEN ' [intro]' ELSE '' END), ', ') || ' (+2)' ELSE '' END AS keyword_plan_preview,

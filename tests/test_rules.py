@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import markdown
 from lodestream.functions import text as T
-from lodestream.operators import bundle, generation, reports, site_media
+from lodestream.operators import bundle, generation, profiles, reports, site_media
 
 
 def one(spark, column):
@@ -140,3 +140,42 @@ def test_html_documents(spark):
     assert rows["C"].final_html == "<p>y</p>\n" and not rows["C"].has_schema_org and "D" not in rows
     whole = {r.entity_name: r.final_html for r in bundle.html_documents(df, wrap=True, css="<style></style>", sources=False).collect()}
     assert whole["A & B"].startswith("<!DOCTYPE html>\n") and "<title>A &amp; B</title>\n<style></style>\n<script" in whole["A & B"] and "Sources" not in whole["A & B"]
+
+
+def test_flat_profiles(spark):
+    bodies = [
+        '{"success": true, "data": {"name": "A", "experience": [{"position": "P", "start_date": "", "start": "1999"}, {"title": "{x}"}], "positions": [{"title": "not this"}], "skills": ["{a", {"name": "b"}, {}, null, "{}"]}}',
+        '{"full_name": "B", "name": "C", "positions": [{"title": "T"}], "languages": {"name": "x"}, "education": []}',
+        "no JSON", None,
+    ]
+    rows = profiles.parse_flat(spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, body string")).orderBy("id").collect()
+    assert [tuple(x) for x in rows[0].positions] == [("P", "", "", "1999", None, ""), ("{x}", "", "", None, None, "")] and rows[0].skills == ["{a", "b", "", "", ""]
+    assert rows[1].full_name == "B" and [x.title for x in rows[1].positions] == ["T"] and rows[1].languages == [] and rows[1].education == []
+    assert all(r.full_name == "" and r.positions == [] and r.skills == [] for r in rows[2:])
+
+
+def test_a_session_stops_after_failures_in_a_row(spark):
+    runs = {"a": "fgffgfffgf", "b": "ffgffg", "c": "ffffff", "d": "f", "e": "gggfff"}
+    tries = spark.createDataFrame([(r, i, x == "f") for r, s in runs.items() for i, x in enumerate(s)], "entity_name string, _i long, failed boolean")
+    assert {r.entity_name: r.stop for r in profiles.stopped_at(tries).collect()} == {"a": 7, "c": 2, "e": 5}
+    assert {r.entity_name: r.stop for r in profiles.stopped_at(tries, 1).collect()} == {"a": 0, "b": 0, "c": 0, "d": 0, "e": 3}
+
+
+def test_scraping_without_rows_or_answers(spark):
+    wanted = spark.createDataFrame([(1, "r", 0, None, "u"), (2, None, 0, "n", None)], "id int, run string, pool_pos long, entity_name string, url string")
+    first, second = spark.createDataFrame([], "id int, body string"), spark.createDataFrame([], "url string, http_status int, body string")
+    assert sorted((r.id, r.status, r.error) for r in profiles.scraped(wanted, first, second).collect()) == [(1, "error", "All methods failed: no answer"), (2, "error", "All methods failed: no answer")]
+    assert profiles.scraped(wanted.where("false"), first, second).count() == 0
+
+
+def test_article_requests_of_odd_items(spark):
+    rows = [
+        ("x", 5, "content-analyzer", None, None, None, '{"a":1}', None), ("x", 1, "seo-planner", None, None, None, None, ""), ("x", 2, None, "", "", "first", None, None), ("x", 2, "other", "u", "t", "second", None, None), ("x", 3, "other", "u", "t", None, None, None),
+        ("y", 1, "other", "u", "t", "text", None, None), ("z", 1, "content-analyzer", None, None, "ignored", None, None),
+    ]
+    items = spark.createDataFrame(rows, "entity_name string, pool_pos long, source_submodule string, url string, title string, text_content string, output string, meta_title string")
+    got = {r.entity_name: r for r in generation.article_requests(items, "{entity_content}").collect()}
+    assert got["x"].prompt == '=== COMPANY ANALYSIS ===\n{"a":1}\n\n=== SEO CONTENT PLAN ===\n{}\n\n=== SOURCE CONTENT (scraped pages) ===\n--- Page: Untitled (unknown) ---\nfirst\n\n--- Page: t (u) ---\nsecond' and got["x"].meta_title == "x" and got["x"].source_pages == 2
+    assert got["y"].prompt is None and got["y"].error == "Missing upstream output: content-analyzer, seo-planner. Run these submodules first."
+    assert got["z"].error == "Missing upstream output: seo-planner. Run these submodules first." and got["z"].source_pages == 0
+    assert generation.article_requests(items.where("false"), "{entity_content}").count() == 0
