@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import text as T
 from lodestream.functions import urls as U
 from lodestream.operators import bundle, content, generation, pages, profiles, qa, reports, urls
-from lodestream.plans import inputs, more, oracles
+from lodestream.plans import inputs, more, oracles, page_oracles
 from lodestream.plans.inputs import articles, documents, page_items, table, url_variants
 from lodestream.sources import discovery
 from lodestream.streaming import incremental
@@ -423,4 +423,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.ORACLES | more.ORACLES
+    return oracles.ORACLES | more.ORACLES | page_oracles.ORACLES
