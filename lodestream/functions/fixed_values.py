@@ -335,6 +335,25 @@ WRITER_SECTIONS = ("=== COMPANY ANALYSIS ===", "=== SEO CONTENT PLAN ===", "===
 WRITER_MISSING = "Missing upstream output: %s. Run these submodules first."
 WRITER_NEEDS = ("content-analyzer", "seo-planner")
 
+# How pages are read by patterns: links, meta tags before and after their content, what is no text, what parts paragraphs.
+ANCHOR = r"""(?is)<a\s[^>]*href\s*=\s*["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
+NO_LINKS = "mailto: javascript: tel: ftp: data:".split()
+META_BEFORE = r"""(?i)<meta[^>]+{attribute}=["']{name}["'][^>]+content=["']([^"']+)["']"""
+META_AFTER = r"""(?i)<meta[^>]+content=["']([^"']+)["'][^>]+{attribute}=["']{name}["']"""
+TITLE = "(?is)<title[^>]*>(.*?)</title>"
+FIRST_HEADING = "(?is)<h1[^>]*>(.*?)</h1>"
+MAIN_PARTS = ["(?is)<main[^>]*>(.*?)</main>", "(?is)<article[^>]*>(.*?)</article>"]
+BODY = "(?is)<body[^>]*>(.*?)</body>"
+CHROME_TAGS = "script style nav footer header aside noscript".split()
+BLOCK_TAGS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
+TEXT_BREAKS = [
+    (r"(?i)<br\s*/?>", "\n"),
+    (rf"(?i)</(?:{BLOCK_TAGS})>", "\n\n"),
+    (rf"(?i)<(?:{BLOCK_TAGS})[^>]*>", ""),
+    (r"(?i)</(?:ul|ol|table|dl)>", "\n"),
+    (r"(?i)<(?:hr)[^>]*/?>", "\n---\n"),
+]
+
 
 def lines(text: str) -> list[str]:
     return [x for x in text.split("\n") if x]

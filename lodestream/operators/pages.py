@@ -11,7 +11,6 @@ from lodestream.functions import text as T
 from lodestream.functions import urls
 
 # explode_outer and a filter: for a plain explode Catalyst would work the array out once more, for a filter on its size
-ANCHOR = r"""(?is)<a\s[^>]*href\s*=\s*["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
 SECTIONS = ("nav", "header", "footer", "body")
 
 
@@ -23,23 +22,19 @@ def _first(html: Column, *patterns: str) -> Column:
 
 def title(html: Column) -> Column:
     """<title>, even if empty, else og:title, else the first heading."""
-    og = _first(html, r"""(?i)<meta[^>]+property=["']og:title["'][^>]+content=["']([^"']+)["']""", r"""(?i)<meta[^>]+content=["']([^"']+)["'][^>]+property=["']og:title["']""")
-    return T.decode_entities(F.coalesce(T.trim_ws(_first(html, "(?is)<title[^>]*>(.*?)</title>")), T.trim_ws(og), T.trim_ws(T.strip_tags(_first(html, "(?is)<h1[^>]*>(.*?)</h1>")))))
+    og = _first(html, *(p.format(attribute="property", name="og:title") for p in (fixed.META_BEFORE, fixed.META_AFTER)))
+    return T.decode_entities(F.coalesce(T.trim_ws(_first(html, fixed.TITLE)), T.trim_ws(og), T.trim_ws(T.strip_tags(_first(html, fixed.FIRST_HEADING)))))
 
 
 def meta(html: Column, attribute: str, name: str) -> Column:
-    a = rf"""{attribute}=["']{name}["']"""
-    return T.decode_entities(T.trim_ws(_first(html, rf"""(?i)<meta[^>]+{a}[^>]+content=["']([^"']+)["']""", rf"""(?i)<meta[^>]+content=["']([^"']+)["'][^>]+{a}""")))
-
-
-_BLOCKS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
+    return T.decode_entities(T.trim_ws(_first(html, *(p.format(attribute=attribute, name=name) for p in (fixed.META_BEFORE, fixed.META_AFTER)))))
 
 
 def _cleaned(out: Column) -> Column:
     """The text of a piece of HTML without chrome, paragraphs apart. Blank lines between them are then deleted, as the page scraper does."""
-    for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript"):
+    for tag in fixed.CHROME_TAGS:
         out = F.regexp_replace(out, rf"(?is)<{tag}[^>]*>.*?</{tag}>", "")
-    for p, by in ((r"(?i)<br\s*/?>", "\n"), (rf"(?i)</(?:{_BLOCKS})>", "\n\n"), (rf"(?i)<(?:{_BLOCKS})[^>]*>", ""), (r"(?i)</(?:ul|ol|table|dl)>", "\n"), (r"(?i)<(?:hr)[^>]*/?>", "\n---\n")):
+    for p, by in fixed.TEXT_BREAKS:
         out = F.regexp_replace(out, p, by)
     out = T.decode_entities(T.strip_tags(out))
     out = F.regexp_replace(F.regexp_replace(out, r"[^\S\n]+", " "), r"\n\s*\n", "\n\n")
@@ -49,13 +44,13 @@ def _cleaned(out: Column) -> Column:
 def extract_text(html: Column, longest: int | None = 50_000) -> Column:
     """The main region's text; longest: characters kept, None for all."""
     cms = [T.let(_first(html, p), lambda m: F.when(F.length(m) > 100, m)) for p in fixed.REGIONS]
-    out = _cleaned(F.coalesce(_first(html, "(?is)<main[^>]*>(.*?)</main>"), _first(html, "(?is)<article[^>]*>(.*?)</article>"), *cms, _first(html, "(?is)<body[^>]*>(.*?)</body>"), html))
+    out = _cleaned(F.coalesce(*(_first(html, p) for p in fixed.MAIN_PARTS), *cms, _first(html, fixed.BODY), html))
     return out if longest is None else F.left(out, F.lit(longest))
 
 
 def tiered_text(pages: DataFrame, enough: int = 30, longest: int | None = 50_000) -> DataFrame:
     """(page_id, text_content, word_count, extraction_method). The first tier that has `enough` words, or the longest tried: `readability`, here the article's or main part's own text; `cms_dom`, all regions of known content systems together; `regex_fallback`, extract_text. `none` without any word."""
-    article = F.coalesce(_first(F.col("html"), "(?is)<article[^>]*>(.*?)</article>"), _first(F.col("html"), "(?is)<main[^>]*>(.*?)</main>"))
+    article = F.coalesce(*(_first(F.col("html"), p) for p in reversed(fixed.MAIN_PARTS)))
     regions = F.array_join(F.concat(*(F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in fixed.REGIONS)), "\n\n")
 
     def tried(method: str, text: Column) -> Column:
@@ -117,8 +112,8 @@ def page_items(pages: DataFrame, min_words: int = 50, longest: int | None = 50_0
 
 def _links(section: Column, base: Column) -> Column:
     """array of (url, link_text) of a piece of HTML."""
-    whole = F.transform(F.regexp_extract_all(section, F.lit(ANCHOR), F.lit(0)), lambda a: F.struct(F.regexp_extract(a, ANCHOR, 1).alias("h"), F.regexp_extract(a, ANCHOR, 2).alias("t")))
-    pairs = F.filter(whole, lambda p: ~p["h"].rlike(r"(?i)^\s*(mailto:|javascript:|tel:|ftp:|data:)"))
+    whole = F.transform(F.regexp_extract_all(section, F.lit(fixed.ANCHOR), F.lit(0)), lambda a: F.struct(F.regexp_extract(a, fixed.ANCHOR, 1).alias("h"), F.regexp_extract(a, fixed.ANCHOR, 2).alias("t")))
+    pairs = F.filter(whole, lambda p: ~p["h"].rlike(rf"(?i)^\s*({'|'.join(fixed.NO_LINKS)})"))
     return F.transform(pairs, lambda p: F.struct(urls.resolve(base, T.trim_ws(p["h"])).alias("url"), F.left(T.trim_ws(F.regexp_replace(p["t"], "<[^>]*>", "")), F.lit(200)).alias("link_text")))
 
 

@@ -38,23 +38,19 @@ def _path(url: str) -> str:
     return f"lower(regexp_extract({url}, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1))"
 
 
-_ANCHOR = r"""(?is)<a\s[^>]*href\s*=\s*["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
-
-
 def _anchors(rows: str) -> str:
     """CTEs `each` and `found` of the links in the column part of `rows`: base, link, link_text and i. Links of these tables are whole or begin at the root."""
     target = "regexp_replace(CASE WHEN starts_with(h, '/') THEN regexp_extract(base, '^([a-zA-Z]+://[^/?#]+)', 1) || h ELSE h END, '#.*$', '')"
-    return f"""each AS (SELECT * EXCLUDE (hs, ts), {_trimmed('hs[i]')} AS h, ts[i] AS t FROM (SELECT * EXCLUDE (part, hs), unnest(range(1, len(hs) + 1)) AS i, hs FROM (SELECT *, regexp_extract_all(part, {_text(_ANCHOR)}, 1) AS hs, regexp_extract_all(part, {_text(_ANCHOR)}, 2) AS ts FROM {rows}))),
-      found AS (SELECT *, {target} AS link, left({_trimmed(_replaced('t', ('<[^>]*>', '')))}, 200) AS link_text FROM each WHERE NOT regexp_matches(h, '(?i)^(mailto|javascript|tel|ftp|data):') AND regexp_matches(h, '^(https?://|/[^/])'))"""
+    return f"""each AS (SELECT * EXCLUDE (hs, ts), {_trimmed('hs[i]')} AS h, ts[i] AS t FROM (SELECT * EXCLUDE (part, hs), unnest(range(1, len(hs) + 1)) AS i, hs FROM (SELECT *, regexp_extract_all(part, {_text(fixed.ANCHOR)}, 1) AS hs, regexp_extract_all(part, {_text(fixed.ANCHOR)}, 2) AS ts FROM {rows}))),
+      found AS (SELECT *, {target} AS link, left({_trimmed(_replaced('t', ('<[^>]*>', '')))}, 200) AS link_text FROM each WHERE NOT regexp_matches(h, '(?i)^({'|'.join(fixed.NO_LINKS)})') AND regexp_matches(h, '^(https?://|/[^/])'))"""
 
 
 def _section(name: str) -> str:
     return f"array_to_string(regexp_extract_all(html, {_text(rf'(?is)<{name}[\s>].*?</{name}>')}), chr(10))"
 
 
-_BLOCK_TAGS = "p|div|h[1-6]|li|tr|blockquote|section|article|figcaption"
-_CHROME = [(rf"(?is)<{tag}[^>]*>.*?</{tag}>", "") for tag in ("script", "style", "nav", "footer", "header", "aside", "noscript")]
-_BREAKS = [(r"(?i)<br\s*/?>", "chr(10)"), (rf"(?i)</(?:{_BLOCK_TAGS})>", "chr(10) || chr(10)"), (rf"(?i)<(?:{_BLOCK_TAGS})[^>]*>", ""), (r"(?i)</(?:ul|ol|table|dl)>", "chr(10)"), (r"(?i)<hr[^>]*/?>", "chr(10) || '---' || chr(10)"), ("<[^>]+>", " ")]
+_CHROME = [(rf"(?is)<{tag}[^>]*>.*?</{tag}>", "") for tag in fixed.CHROME_TAGS]
+_BREAKS = [*fixed.TEXT_BREAKS, ("<[^>]+>", " ")]
 
 
 def _cleaned(html: str) -> str:
