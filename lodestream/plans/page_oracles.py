@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lodestream.functions import fixed_values as fixed
+from lodestream.plans import oracles
 
 _WS = r"[\s\x{b}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 
@@ -99,5 +100,9 @@ ORACLES = {
       n AS (SELECT *, {_words('a')} AS na, {_words('b')} AS nb, {_words('c')} AS nc FROM x),
       k AS (SELECT *, CASE WHEN na >= 30 THEN 1 WHEN nb >= 30 THEN 2 WHEN greatest(na, nb, nc) = 0 THEN 0 WHEN na >= nb AND na >= nc THEN 1 WHEN nb >= nc THEN 2 ELSE 3 END AS tier FROM n)
       SELECT page_id, coalesce([a, b, c][tier], '') AS text_content, coalesce([na, nb, nc][tier], 0)::INT AS word_count, ['none', 'readability', 'cms_dom', 'regex_fallback'][tier + 1] AS extraction_method FROM k""",
+    "html_output": f"""WITH {oracles._MD}, x AS (SELECT entity_name, concat_ws(chr(10), '<!DOCTYPE html>', '<html lang="en"><head><meta charset="utf-8"><title>About ' || p_name || '</title></head><body>', '<h2>' || replace(p_brand, '#', ' ') || '</h2>',
+        '<p>' || regexp_replace(regexp_replace(para, '[*]{{2}}(.*?)[*]{{2}}', '<strong>\\1</strong>', 'g'), '\\[#(\\d+)\\]', '<sup><a href="#cite-\\1">[\\1]</a></sup>', 'g') || '</p>', '<ul><li>first point</li><li>second point</li></ul>', '<h2>Meta</h2>', '<p>Title: x</p>',
+        '<ol>' || array_to_string(list_transform([1, 2, 3], lambda i: '<li id="cite-' || i || '"><a href="https://s' || i || '.org/' || k || '">Source ' || i || '</a></li>'), '') || '</ol>', '</body></html>') AS final_html FROM m)
+      SELECT entity_name, final_html, floor(octet_length(encode(final_html)) / 1024 * 10 + 0.5) / 10 AS html_size_kb, 2 AS heading_count FROM x""",
     "split_sentences": f"WITH x AS (SELECT doc_id, {_sentences('text')} AS l FROM documents) SELECT doc_id, (i - 1)::INT AS pos, l[i] AS sentence FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM x)",
 }
