@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,6 +24,21 @@ def _open(path: str):
     return fs.LocalFileSystem(), path
 
 
+def _delete(files, folder: str, tries: int = 50) -> None:
+    """A folder that may be gone already, or in which another task still writes or deletes."""
+    from pyarrow import fs
+
+    for n in range(tries):
+        try:
+            return files.delete_dir(folder)
+        except OSError:
+            if files.get_file_info(folder).type == fs.FileType.NotFound:
+                return None
+            if n + 1 == tries:
+                raise
+            time.sleep(0.1)
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     folder: str
@@ -30,16 +46,18 @@ class Staged(WriterCommitMessage):
 
 
 class FileWriter(DataSourceWriter):
-    """Each task writes into a folder of its own below the target; the files move to their names only when all tasks are done. A job that fails, and each attempt of a task that does, leaves nothing."""
+    """Each task writes into a folder of its own below the target; the files move to their names only when all tasks are done. A job that fails, and each attempt of a task that does, leaves nothing: the driver makes the folder of the tasks' folders, and a task that still runs when it has been deleted can't bring it back."""
 
     def __init__(self, path: str, overwrite: bool):
         self.path, self.overwrite, self.staging = path.rstrip("/"), overwrite, f"_staging-{uuid.uuid4().hex}"
+        files, base = _open(self.path)
+        files.create_dir(f"{base}/{self.staging}", recursive=True)
 
     def write(self, iterator) -> Staged:
         files, base = _open(self.path)
         task = TaskContext.get()
         folder, seen = f"{base}/{self.staging}/{task.partitionId()}-{task.taskAttemptId()}", set()
-        files.create_dir(folder, recursive=True)
+        files.create_dir(folder, recursive=False)
         try:
             for row in iterator:
                 if not row.name or "/" in row.name or row.name.startswith(("_", ".")) or row.name in seen:
@@ -48,7 +66,7 @@ class FileWriter(DataSourceWriter):
                 with files.open_output_stream(f"{folder}/{row.name}") as out:
                     out.write(bytes(row.content or b""))
         except BaseException:
-            files.delete_dir(folder)
+            _delete(files, folder)
             raise
         return Staged(folder, len(seen))
 
@@ -75,10 +93,7 @@ class FileWriter(DataSourceWriter):
 
     def abort(self, messages: list[Staged | None]) -> None:
         files, base = _open(self.path)
-        try:
-            files.delete_dir(f"{base}/{self.staging}")
-        except FileNotFoundError:
-            pass
+        _delete(files, f"{base}/{self.staging}")
 
 
 class Files(DataSource):
