@@ -99,25 +99,30 @@ def site_base(website):
 
 
 def discover_feeds(entities: DataFrame, responses: DataFrame, most: int | None = 10, probe: bool = True) -> DataFrame:
-    """(entity_name, url, feed_type, title, item_count): feeds that a homepage names, in its order, then known paths that hold one; `most` of each entity, None for all. What a named feed's own answer says goes before what the link says, but for its title. entities: (entity_name, website), one row each; responses: (url, http_status, body). An entity without website has none. The known paths are a few rows of an array."""
+    """(entity_name, url, feed_type, title, item_count): feeds that a homepage names, in its order, then known paths that hold one; `most` of each entity, None for all. What a named feed's own answer says goes before what the link says, but for its title. entities: (entity_name, website), one row each; responses: (url, http_status, body). An entity without website has none.
+
+    Known paths are looked for at the ends of the answers' URLs, so that no entity is multiplied by them. The size of texts that are made or exploded is not known to Spark before they are there, so that it would broadcast all of them: both sides of each join are shuffled.
+    """
     bases = entities.where("website != ''").select("entity_name", site_base(F.col("website")).alias("base"))
     good = responses.where(F.col("http_status").between(200, 299)).groupBy("url").agg(F.min("body").alias("body"))
-    homes = bases.join(good.withColumnRenamed("url", "base"), "base")
-    named = homes.select("entity_name", F.posexplode(_feed_tags(F.col("body"), F.col("base"))).alias("pos", "f")).select("entity_name", F.col("pos"), "f.*")
-    named = named.groupBy("entity_name", "url").agg(F.min(F.struct("pos", "feed_type", "title")).alias("l")).select("entity_name", "url", F.struct(F.lit(0).alias("tier"), "l.pos").alias("at"), F.col("l.feed_type").alias("link_type"), F.col("l.title").alias("link_title"))
+    homes = bases.join(good.withColumnRenamed("url", "base").hint("merge"), "base")
+    named = homes.select("entity_name", F.posexplode(_feed_tags(F.col("body"), F.col("base"))).alias("pos", "f"))
+    named = named.select("entity_name", "f.url", F.struct(F.lit(0).alias("tier"), "pos").alias("at"), F.col("f.feed_type").alias("link_type"), F.col("f.title").alias("link_title"))
     content = feeds(good)
-    found = named.join(content, "url", "left")
+    found = named.join(content.hint("merge"), "url", "left").select(*named.columns, "feed_type", "title", "item_count")
     if probe:
-        paths = F.array(*map(F.lit, fixed.FEED_PATHS))
-        asked = bases.select("entity_name", "base", F.posexplode(paths).alias("pos", "path")).select("entity_name", F.concat("base", "path").alias("url"), F.struct(F.lit(1).alias("tier"), "pos").alias("at"))
-        probed = asked.join(content, "url").join(named.select("entity_name", "url"), ["entity_name", "url"], "left_anti")
+        paths = F.array(*(F.struct(F.lit(n).alias("pos"), F.lit(path).alias("path")) for n, path in enumerate(fixed.FEED_PATHS)))
+        held = content.withColumn("p", F.explode(F.filter(paths, lambda x: F.endswith("url", x["path"]))))
+        held = held.withColumn("base", F.left("url", F.length("url") - F.length("p.path")))
         none = F.lit(None).cast("string")
-        found = found.unionByName(probed.select(*asked.columns, none.alias("link_type"), none.alias("link_title"), "feed_type", "title", "item_count"))
+        probed = bases.join(held.hint("merge"), "base").select("entity_name", "url", F.struct(F.lit(1).alias("tier"), "p.pos").alias("at"), none.alias("link_type"), none.alias("link_title"), "feed_type", "title", "item_count")
+        found = found.unionByName(probed)
+    found = found.groupBy("entity_name", "url").agg(F.min(F.struct("at", "link_type", "link_title", "feed_type", "title", "item_count")).alias("f")).select("entity_name", "url", "f.*")
     out = found.select("entity_name", "at", "url", F.coalesce("feed_type", "link_type", F.lit("unknown")).alias("feed_type"), T.or_else(F.col("link_title"), F.col("title")).alias("title"), F.coalesce("item_count", F.lit(0)).alias("item_count"))
     if most is not None:
         from pyspark.sql import Window
 
-        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("at"))).where(F.col("_n") <= most)
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy("entity_name").orderBy("at", "url"))).where(F.col("_n") <= most)
     return out.select("entity_name", "url", "feed_type", "title", "item_count")
 
 

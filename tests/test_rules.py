@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import markdown
 from lodestream.functions import text as T
 from lodestream.operators import bundle, generation, profiles, reports, site_media
+from lodestream.sources import discovery
 
 
 def one(spark, column):
@@ -179,3 +180,16 @@ def test_article_requests_of_odd_items(spark):
     assert got["y"].prompt is None and got["y"].error == "Missing upstream output: content-analyzer, seo-planner. Run these submodules first."
     assert got["z"].error == "Missing upstream output: seo-planner. Run these submodules first." and got["z"].source_pages == 0
     assert generation.article_requests(items.where("false"), "{entity_content}").count() == 0
+
+
+def test_feeds_of_sites_broadcast_nothing_that_grows(spark, tmp_path):
+    """Spark takes exploded and made texts for as small as the table that they come from, and would gather them on the driver."""
+    sites = spark.createDataFrame([("a", "https://a.org"), ("b", "a.org/"), ("c", "https://c.org"), ("d", "")], "entity_name string, website string")
+    home = '<link rel="alternate" type="application/rss+xml" href="/blog/feed" title="B"><link rel="alternate" type="application/atom+xml" href="/none">'
+    rows = [("https://a.org", 200, home), ("https://a.org/blog/feed", 200, "<feed><entry >"), ("https://a.org/feed", 200, "<rss><title>T</title>"), ("https://a.org/rss", 404, "<rss>"), ("https://c.org/blog/feed", 200, "<rss>")]
+    sites.write.parquet(f"{tmp_path}/sites")
+    spark.createDataFrame(rows, "url string, http_status int, body string").write.parquet(f"{tmp_path}/answers")
+    got = discovery.discover_feeds(spark.read.parquet(f"{tmp_path}/sites"), spark.read.parquet(f"{tmp_path}/answers"))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    of_a = {("https://a.org/blog/feed", "atom", "B", 1), ("https://a.org/none", "atom", None, 0), ("https://a.org/feed", "rss", "T", 0)}
+    assert {tuple(r) for r in got.collect()} == {(e, *r) for e in "ab" for r in of_a} | {("c", "https://c.org/blog/feed", "rss", None, 0)}
