@@ -12,37 +12,39 @@ from lodestream.operators import bundle
 BOUNDARY = "\n\n---SOURCE BOUNDARY---\n\n"
 
 
-def _before(size: Column, by: str = "entity_name", order: str = "pool_pos") -> Column:
-    """The running total of what stands before a row."""
-    return F.coalesce(F.sum(size).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+def _before(size: Column, *order: str) -> Column:
+    """The running total of what stands before a row of its entity."""
+    return F.coalesce(F.sum(size).over(Window.partitionBy("entity_name").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def _soonest(rows: DataFrame, most: int) -> DataFrame:
+def _soonest(rows: DataFrame, most: int, *order: str) -> DataFrame:
     """The first `most` rows of each entity: no more can come before the cut, so the running total is over few rows however many an entity has. Up to spark.sql.optimizer.windowGroupLimitThreshold rows (1,000 unless set) Spark takes them in each task before the shuffle."""
-    n = F.row_number().over(Window.partitionBy("entity_name").orderBy("pool_pos"))
+    n = F.row_number().over(Window.partitionBy("entity_name").orderBy(*order))
     return rows.withColumn("_n", n).where(F.col("_n") <= most).drop("_n")
 
 
 def assemble_sources(items: DataFrame, most: int = 100_000, least: int = 100) -> DataFrame:
     """(entity_name, source_text): texts in pool order with boundaries between them, up to `most` characters; of the first that doesn't fit the beginning, if more than `least` characters are left. Rows beyond the limit go before anything is gathered."""
     rows = items.where("text_content != ''").select("entity_name", "pool_pos", "text_content", F.length("text_content").alias("n"))
-    rows = _soonest(rows, most // (len(BOUNDARY) + 1) + 2)  # a text has a character at least
-    before = _before(F.col("n") + len(BOUNDARY))
+    order = "pool_pos", "text_content"
+    rows = _soonest(rows, most // (len(BOUNDARY) + 1) + 2, *order)  # a text has a character at least
+    before = _before(F.col("n") + len(BOUNDARY), *order)
     rows = rows.withColumn("start", F.greatest(before - len(BOUNDARY), F.lit(0))).where(F.col("start") <= most)
     whole = F.concat(F.when(F.col("start") > 0, BOUNDARY).otherwise(""), "text_content")
     left = F.lit(most) - F.col("start")
     part = F.when(F.length(whole) <= left, whole).when(left > least, F.concat(F.left(whole, left.cast("int")), F.lit("\n[TRUNCATED]"))).otherwise("")
-    rows = rows.select("entity_name", "pool_pos", part.alias("part"))
-    return rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pool_pos", "part")))["part"], "").alias("source_text"))
+    rows = rows.select("entity_name", "start", part.alias("part"))
+    return rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "part")))["part"], "").alias("source_text"))
 
 
 def assemble_pages(items: DataFrame, most: int = 100_000, what: str = "Content") -> DataFrame:
-    """(entity_name, entity_content, word_count): each page under a header, cut at `most` characters with a note; pages that begin beyond the cut go before anything is gathered."""
+    """(entity_name, entity_content, word_count): each page under a header, cut at `most` characters with a note; pages whose separator begins beyond the cut go before anything is gathered. Repeated positions stand in the order of their pages."""
     page = F.concat(F.lit("--- Page: "), F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled")), F.lit(" ("), F.coalesce(F.nullif("url", F.lit("")), F.lit("unknown")), F.lit(") ---\n"), F.coalesce("text_content", F.lit("")))
     rows = items.select("entity_name", "pool_pos", page.alias("page"), F.coalesce("word_count", F.lit(0)).alias("word_count"))
     words = rows.groupBy("entity_name").agg(F.sum("word_count").alias("word_count"))
-    rows = _soonest(rows, most // (len("--- Page: Untitled () ---") + 2) * 2 + 2)  # a page has its header at least
-    rows = rows.withColumn("start", _before(F.length("page") + 2)).where(F.col("start") <= most)
+    order = "pool_pos", "page"
+    rows = _soonest(rows, most // (len("--- Page: Untitled () ---") + 2) * 2 + 2, *order)  # a page has its header at least
+    rows = rows.withColumn("start", _before(F.length("page") + 2, *order)).where(F.col("start") - 2 <= most)  # one that begins just behind the cut shows that there is more
     out = rows.groupBy("entity_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pool_pos", "page")))["page"], "\n\n").alias("all"))
     cut = F.when(F.length("all") > most, F.concat(F.left("all", F.lit(most)), F.lit(f"\n\n[{what} truncated at {most} characters]"))).otherwise(F.col("all"))
     return out.select("entity_name", cut.alias("entity_content")).join(words, "entity_name")

@@ -193,3 +193,22 @@ def test_feeds_of_sites_broadcast_nothing_that_grows(spark, tmp_path):
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     of_a = {("https://a.org/blog/feed", "atom", "B", 1), ("https://a.org/none", "atom", None, 0), ("https://a.org/feed", "rss", "T", 0)}
     assert {tuple(r) for r in got.collect()} == {(e, *r) for e in "ab" for r in of_a} | {("c", "https://c.org/blog/feed", "rss", None, 0)}
+
+
+def test_pages_that_end_just_before_the_cut(spark):
+    """A page of 399, 400 and 401 characters, with another behind it and without; a page has 25 besides its text."""
+    rows = [(f"{n}{'+' * more}", pos, "u", "t" * 4, "x" * (n - 24) if pos == 0 else "y", 1) for n in (397, 398, 399, 400, 401) for more in (0, 1) for pos in range(more + 1)]
+    pages = spark.createDataFrame(rows, "entity_name string, pool_pos int, url string, title string, text_content string, word_count int")
+    got = {r.entity_name: r.entity_content for r in generation.assemble_pages(pages, 400).collect()}
+    for name, content in got.items():
+        whole = f"--- Page: tttt (u) ---\n{'x' * (int(name[:3]) - 24)}" + "\n\n--- Page: tttt (u) ---\ny" * name.endswith("+")
+        assert content == (whole if len(whole) <= 400 else whole[:400] + "\n\n[Content truncated at 400 characters]"), name
+    assert len(got) == 10
+
+
+def test_repeated_positions_are_cut_in_the_order_of_their_pages(spark):
+    rows = [("e", 1, "u", "t", c * 150, 0) for c in "dacb"] + [("e", 0, "u", "t", "z", 0)]
+    pages = spark.createDataFrame(rows, "entity_name string, pool_pos int, url string, title string, text_content string, word_count int")
+    whole = "\n\n".join(f"--- Page: t (u) ---\n{x}" for x in ("z", *(c * 150 for c in "abcd")))
+    assert generation.assemble_pages(pages, 300).first().entity_content == whole[:300] + "\n\n[Content truncated at 300 characters]"
+    assert generation.assemble_sources(pages, 400).first().source_text == generation.BOUNDARY.join(["z", "a" * 150, "b" * 150])
