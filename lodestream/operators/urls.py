@@ -39,11 +39,16 @@ def filter_patterns(items: DataFrame, exclude: list[str], include: list[str] = (
     return items.select("url", F.when(hit.isNull(), "kept").otherwise("excluded").alias("status"), hit.alias("matched_pattern"), "entity_name")
 
 
-def liveness(items: DataFrame, head: DataFrame, browser: DataFrame) -> DataFrame:
-    """HEAD 200-399 lives; 403, 429 and 503 get a second look by browser, where a bot check is dead whatever its status. Each response: (url, http_status, body); a browser row without status is a failed fetch, a URL without browser row was not looked at and is kept."""
-    h = head.select("url", F.col("http_status").alias("h"))
-    b = browser.select("url", F.lit(True).alias("looked"), F.col("http_status").alias("b"), F.coalesce(F.length("body"), F.lit(0)).alias("size"), T.has_any(F.coalesce("body", F.lit("")), fixed.lines(fixed.CHALLENGE_MARKERS)).alias("challenge"))
-    out = items.join(h, "url", "left").join(b, "url", "left")
+def liveness(items: DataFrame, head: DataFrame, browser: DataFrame, by: str = "url") -> DataFrame:
+    """HEAD 200-399 lives; 403, 429 and 503 get a second look by browser, where a bot check is dead whatever its status. Each response: (url, http_status, body); a browser row without status is a failed fetch, a URL without browser row was not looked at and is kept.
+
+    by: the column that joins responses to items; `url`, or a row's id where each row was asked for by itself and rows repeat URLs. Of several responses for one key the one with the least status counts, so that an item stays one row.
+    """
+    one = lambda df, *columns: df.groupBy(by).agg(F.min(F.struct(F.isnull(columns[0]).alias("failed"), *columns)).alias("r"))
+    h = one(head.select(by, F.col("http_status").alias("h")), "h").select(by, "r.h")
+    seen = browser.select(by, F.col("http_status").alias("b"), F.coalesce(F.length("body"), F.lit(0)).alias("size"), T.has_any(F.coalesce("body", F.lit("")), fixed.lines(fixed.CHALLENGE_MARKERS)).alias("challenge"))
+    b = one(seen, "b", "size", "challenge").select(by, F.lit(True).alias("looked"), "r.b", "r.size", "r.challenge")
+    out = items.join(h, by, "left").join(b, by, "left")
     status = F.coalesce(F.col("b").cast("string"), F.lit("failed"))
     reason = (
         F.when(F.col("h").between(200, 399), F.lit(None)).when(~F.coalesce(F.col("h").isin(403, 429, 503), F.lit(False)), F.concat(F.lit("head "), F.coalesce(F.col("h").cast("string"), F.lit("failed"))))

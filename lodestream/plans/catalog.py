@@ -25,7 +25,7 @@ def _liveness(s, d):
     h, k = _heads(s, d), F.col("page_id")
     status = F.when(k % 11 == 0, F.lit(None)).when(F.length("url") % 2 == 0, 200).otherwise(403).cast("int")
     body = F.concat(F.left("html", F.length("url") * 30), F.when(k % 5 == 0, "<title>Just a moment...</title>").otherwise(""))
-    return urls.liveness(page_items(s, d).select("url"), h.select("url", "http_status"), h.where(k % 13 != 0).select("url", status.alias("http_status"), body.alias("body")))
+    return urls.liveness(page_items(s, d).select("page_id", "url"), h.select("page_id", "http_status"), h.where(k % 13 != 0).select("page_id", status.alias("http_status"), body.alias("body")), by="page_id")
 
 
 def _redirects(s, d):

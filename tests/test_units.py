@@ -128,6 +128,17 @@ def test_liveness_challenge(spark):
     assert got == {"a": "kept", "b": "dead_link", "c": "kept", "d": "dead_link"}
 
 
+def test_liveness_of_repeated_urls(spark):
+    """Rows with one URL each have their own answer by id; by URL a row stays one row, whatever the answers."""
+    items = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, url string")
+    head = spark.createDataFrame([(1, "a", 200), (2, "a", 404), (3, "b", 403)], "id int, url string, http_status int")
+    browser = spark.createDataFrame([(3, "b", None, None), (3, "b", 500, "x"), (3, "b", 500, "y" * 2000)], "id int, url string, http_status int, body string")
+    by_id = urls.liveness(items, head.drop("url"), browser.drop("url"), by="id").collect()
+    assert sorted((r.url, r.status, r.reason or "") for r in by_id) == [("a", "dead_link", "head 404"), ("a", "kept", ""), ("b", "dead_link", "browser 500")]
+    by_url = urls.liveness(items.drop("id"), head.drop("id"), browser.drop("id")).collect()
+    assert sorted((r.url, r.status) for r in by_url) == [("a", "kept"), ("a", "kept"), ("b", "dead_link")]
+
+
 def test_meta_checks(spark):
     rows = [("a", "A good title of the right length, cut\u2026", "d" * 155, ["good", "d"]), ("b", None, None, ["x"]), ("c", "Same title as another entity has it", "e" * 155 + "x", ["e"]), ("d", "same TITLE as another entity has it", "f" * 155, ["same", "f"])]
     got = {r.entity_name: (r.checks_passed, r.checks_total) for r in qa.meta_compliance(spark.createDataFrame(rows, "entity_name string, title string, description string, head_terms array<string>")).collect()}
