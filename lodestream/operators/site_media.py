@@ -87,10 +87,11 @@ def pages_to_fetch(homes: DataFrame, most: int = 8) -> DataFrame:
 def company_media_of_pages(homes: DataFrame, snapshot: DataFrame, checked: DataFrame | None = None, most: int = 8) -> DataFrame:
     """(entity_name, logo_url, og_image_url, team_photo_count, screenshot_count, award_count, team_photos_json, screenshots_json, awards_json, all_logos_json, media_summary, status) of each company.
 
-    homes: (entity_name, url, html); snapshot: (url, html), the pages that could be fetched; checked: (url), addresses that answered (None: all count). A null or empty homepage gives an empty row. Caps count repeated pictures, which are then left out; ties of logos go to the first.
+    homes: (entity_name, url, html); snapshot: (url, html), the pages that could be fetched; checked: (url), addresses that answered (None: all count). A null or empty homepage gives an empty row. Caps count repeated pictures, which are then left out; ties of logos go to the first. Both sides of the joins with pages and addresses are shuffled: their size is not known to Spark before they are there, so that it would broadcast them.
     """
     fetch = pages_to_fetch(homes, most)
-    pages = fetch.join(snapshot.where("html is not null").dropDuplicates(["url"]).select("url", "html"), "url").select("entity_name", "type", "page", "url", "html")
+    there = snapshot.where("html is not null").groupBy("url").agg(F.min("html").alias("html"))
+    pages = fetch.join(there.hint("merge"), "url").select("entity_name", "type", "page", "url", "html")
     home = homes.where("html != ''").select("entity_name", F.lit("home").alias("type"), F.lit(0).alias("page"), "url", "html")
     images = home.unionByName(pages).select("entity_name", "type", "page", F.posexplode(image_tags(F.col("html"), F.col("url"))).alias("pos", "i"))
     i, on, sub = F.col("i"), lambda t: F.col("type") == t, F.col("type") != "home"
@@ -102,18 +103,19 @@ def company_media_of_pages(homes: DataFrame, snapshot: DataFrame, checked: DataF
     found = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(k).alias("class"), o.alias("at"))) for k, c, o in classes)))
     rows = images.select("entity_name", F.explode(found).alias("f"), i["src"].alias("src"), score.alias("score")).select("entity_name", "f.class", "f.at", "src", "score")
 
-    n = F.row_number().over(Window.partitionBy("entity_name", "class").orderBy("at"))
-    cap = F.coalesce(*(F.when(F.col("class") == k, m) for k, m in fixed.MEDIA_CAPS.items()))
-    some = rows.where("class != 'logo'").withColumn("n", n).where(F.col("n") <= cap)
+    # one pass over the pictures for all classes: logos by score and each address once, the others by place
+    cap = F.coalesce(*(F.when(F.col("class") == k, m) for k, m in fixed.MEDIA_CAPS.items()), F.lit(5))
+    rows = rows.select("entity_name", "class", "src", F.struct(F.when(F.col("class") == "logo", -F.col("score")).otherwise(0).alias("s"), "at").alias("k")).repartition("entity_name", "class")
+    again = F.row_number().over(Window.partitionBy("entity_name", "class", "src").orderBy("k"))
+    n = F.row_number().over(Window.partitionBy("entity_name", "class").orderBy("k"))
+    some = rows.withColumn("again", again).where("class != 'logo' or again = 1").withColumn("n", n).where(F.col("n") <= cap)
     some = some.groupBy("entity_name", "class", "src").agg(F.min("n").alias("n"))
-    logos = rows.where("class = 'logo'").groupBy("entity_name", "class", "src").agg(F.min(F.struct((-F.col("score")).alias("s"), "at")).alias("k"))
-    logos = logos.withColumn("n", F.row_number().over(Window.partitionBy("entity_name").orderBy("k"))).where("n <= 5").select("entity_name", "class", "src", "n")
     icon = F.coalesce(link_href(F.col("html"), "(?:shortcut )?icon"), link_href(F.col("html"), "apple-touch-icon"))
     extra = home.select("entity_name", F.inline(F.array(F.struct(F.lit("og").alias("class"), resolve_media(meta_content(F.col("html"), "og:image"), F.col("url")).alias("src")), F.struct(F.lit("icon").alias("class"), resolve_media(icon, F.col("url")).alias("src"))))).where("src is not null")
-    kept = some.unionByName(logos).unionByName(extra.withColumn("n", F.lit(1)))
+    kept = some.unionByName(extra.withColumn("n", F.lit(1)))
     ok = F.lit(True)
     if checked is not None:
-        kept = kept.join(checked.select(F.col("url").alias("src")).distinct().withColumn("ok", F.lit(True)), "src", "left")
+        kept = kept.join(checked.select(F.col("url").alias("src")).distinct().withColumn("ok", F.lit(True)).hint("merge"), "src", "left")
         ok = F.coalesce("ok", F.lit(False))
     lists = F.array_sort(F.collect_list(F.struct("class", "n", "src", ok.alias("ok"))))  # 32 at most
     of = kept.groupBy("entity_name").agg(lists.alias("all"))

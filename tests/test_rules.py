@@ -212,3 +212,16 @@ def test_repeated_positions_are_cut_in_the_order_of_their_pages(spark):
     whole = "\n\n".join(f"--- Page: t (u) ---\n{x}" for x in ("z", *(c * 150 for c in "abcd")))
     assert generation.assemble_pages(pages, 300).first().entity_content == whole[:300] + "\n\n[Content truncated at 300 characters]"
     assert generation.assemble_sources(pages, 400).first().source_text == generation.BOUNDARY.join(["z", "a" * 150, "b" * 150])
+
+
+def test_company_media_reads_pictures_once_and_broadcasts_no_pages(spark, tmp_path):
+    home = '<a href="/team">T</a><a href="/products">P</a><img src="/logo-a.png"><img src="/logo-b.svg"><img src="/logo-a.png"><img src="/award.png">'
+    inner = '<img src="/p/ann.jpg" alt="Ann Smith"><img src="/p/ann.jpg" alt="Ann Smith"><img src="/p/wide.jpg" width="900">'
+    spark.createDataFrame([("e", "https://e.org/", home)], "entity_name string, url string, html string").write.parquet(f"{tmp_path}/homes")
+    spark.createDataFrame([("https://e.org/team", inner), ("https://e.org/products", inner), ("https://e.org/team", None)], "url string, html string").write.parquet(f"{tmp_path}/pages")
+    got = site_media.company_media_of_pages(spark.read.parquet(f"{tmp_path}/homes"), spark.read.parquet(f"{tmp_path}/pages"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode(filter(transform(regexp_extract_all(html") == 1
+    assert "strategy=merge" in plan
+    r = got.first()
+    assert (r.all_logos_json, r.team_photos_json, r.screenshots_json, r.awards_json) == ('["https://e.org/logo-b.svg","https://e.org/logo-a.png"]', '["https://e.org/p/ann.jpg"]', '["https://e.org/p/wide.jpg"]', '["https://e.org/award.png"]')
