@@ -68,10 +68,9 @@ def _applications(s, d):
     """Written, read back, and their texts."""
     folder = scratch(s)
     made = profiles.application_documents(_configs(s, d), F.lit("2026-01-31"))
-    files.save_files(made, folder)
-    back = s.read.format("binaryFile").load(f"{folder}/[A-Z]*").select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    files.save_files(made, folder, folders=int(s.conf.get("spark.sql.shuffle.partitions")))
     text = F.when(F.col("name").endswith(".docx"), F.array_join(docx.document_texts("content"), "\n")).otherwise(F.get_json_object(F.decode("content", "UTF-8"), "$.company_name"))
-    return back.select(F.url_decode("name").alias("name"), text.alias("text"))
+    return files.load_files(s, folder).select("name", text.alias("text"))
 
 
 def _application_rows(s, d):

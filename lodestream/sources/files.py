@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,80 +40,187 @@ def _delete(files, folder: str, tries: int = 50) -> None:
             time.sleep(0.1)
 
 
+_PART = re.compile(r"part-\d{5,}-of-\d{5,}")
+
+
+def _part(name: str, folders: int) -> str:
+    """The folder of a file among so many; none for files that lie side by side."""
+    return f"part-{zlib.crc32(name.encode()) % folders:05d}-of-{folders:05d}" if folders else ""
+
+
+def _listed(files, folder: str) -> list:
+    """The files of a folder, without the sink's own."""
+    from pyarrow import fs
+
+    return [x for x in files.get_file_info(fs.FileSelector(folder)) if x.type == fs.FileType.File and not x.base_name.startswith("_")]
+
+
+def _parts(files, folder: str) -> list[str]:
+    from pyarrow import fs
+
+    return sorted(x.path for x in files.get_file_info(fs.FileSelector(folder)) if x.type == fs.FileType.Directory and _PART.fullmatch(x.base_name))
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     folder: str
-    files: int
+    parts: list[str]
 
 
 class FileWriter(DataSourceWriter):
-    """Each task writes into a folder of its own below the target; the files move to their names only when all tasks are done. A job that fails, and each attempt of a task that does, leaves nothing: the driver makes the folder of the tasks' folders, and a task that still runs when it has been deleted can't bring it back."""
+    """Each task writes into a folder of its own below the target; the files move to their names only when all tasks are done, or with `folders` the folders of their parts do. A job that fails, and each attempt of a task that does, leaves nothing: the driver makes the folder of the tasks' folders, and a task that still runs when it has been deleted can't bring it back."""
 
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite, self.staging = path.rstrip("/"), overwrite, f"_staging-{uuid.uuid4().hex}"
+    def __init__(self, path: str, overwrite: bool, folders: int = 0):
+        self.path, self.overwrite, self.folders, self.staging = path.rstrip("/"), overwrite, folders, f"_staging-{uuid.uuid4().hex}"
         files, base = _open(self.path)
+        if not overwrite and self._there(files, f"{base}/_SUCCESS"):
+            with files.open_input_stream(f"{base}/_SUCCESS") as x:
+                before = int(x.read() or b"0")
+            if before != folders:
+                raise ValueError(f"the folder has its files in {before} parts, not {folders}")
         files.create_dir(f"{base}/{self.staging}", recursive=True)
 
+    @staticmethod
+    def _there(files, path: str) -> bool:
+        from pyarrow import fs
+
+        return files.get_file_info(path).type != fs.FileType.NotFound
+
     def write(self, iterator) -> Staged:
         files, base = _open(self.path)
         task = TaskContext.get()
-        folder, seen = f"{base}/{self.staging}/{task.partitionId()}-{task.taskAttemptId()}", set()
+        folder, seen, parts = f"{base}/{self.staging}/{task.partitionId()}-{task.taskAttemptId()}", set(), set()
         files.create_dir(folder, recursive=False)
         try:
             for row in iterator:
                 if not row.name or "/" in row.name or row.name.startswith(("_", ".")) or row.name in seen:
                     raise ValueError(f"a file needs a name of its own, without slashes: {row.name!r}")
                 seen.add(row.name)
-                with files.open_output_stream(f"{folder}/{row.name}") as out:
+                part = _part(row.name, self.folders)
+                if part and part not in parts:
+                    files.create_dir(f"{folder}/{part}", recursive=False)
+                parts.add(part)
+                with files.open_output_stream(f"{folder}/{part}/{row.name}" if part else f"{folder}/{row.name}") as out:
                     out.write(bytes(row.content or b""))
         except BaseException:
             _delete(files, folder)
             raise
-        return Staged(folder, len(seen))
+        return Staged(folder, sorted(parts))
 
     def commit(self, messages: list[Staged]) -> None:
-        from pyarrow import fs
-
         files, base = _open(self.path)
-        done = {m.folder for m in messages if m is not None}
-        listed = lambda folder, name=None: [x for x in files.get_file_info(fs.FileSelector(folder)) if x.type == fs.FileType.File and not x.base_name.startswith("_")]
-        staged = [x for folder in sorted(done) for x in listed(folder)]
-        again = {x.base_name for x in staged}
-        if len(again) < len(staged):
+        done = {m.folder: m.parts for m in messages if m is not None}
+        whole, moved = {}, []
+        for part in sorted({p for parts in done.values() for p in parts}):
+            staged = [f"{folder}/{part}".rstrip("/") for folder, parts in sorted(done.items()) if part in parts]
+            if part and len(staged) == 1 and (self.overwrite or not self._there(files, f"{base}/{part}")):
+                whole[part] = staged[0]
+            else:
+                moved += [(part, x) for folder in staged for x in _listed(files, folder)]
+        again = {x.base_name for _, x in moved}
+        if len(again) < len(moved):
             self.abort(messages)
             raise ValueError("two rows have one file's name")
         if self.overwrite:
-            for x in listed(base):
-                if x.base_name not in again:
+            for x in _listed(files, base):
+                if self.folders or x.base_name not in again:
                     files.delete_file(x.path)
-        for x in staged:
-            files.move(x.path, f"{base}/{x.base_name}")
+            for folder in _parts(files, base):
+                files.delete_dir(folder)
+        for part, folder in whole.items():
+            files.move(folder, f"{base}/{part}")
+        for part in sorted({part for part, _ in moved if part}):
+            files.create_dir(f"{base}/{part}")
+        for part, x in moved:
+            files.move(x.path, f"{base}/{part}/{x.base_name}" if part else f"{base}/{x.base_name}")
         files.delete_dir(f"{base}/{self.staging}")
-        with files.open_output_stream(f"{base}/_SUCCESS"):
-            pass
+        with files.open_output_stream(f"{base}/_SUCCESS") as out:
+            out.write(str(self.folders or "").encode())
 
     def abort(self, messages: list[Staged | None]) -> None:
         files, base = _open(self.path)
         _delete(files, f"{base}/{self.staging}")
 
 
+@dataclass
+class Part(InputPartition):
+    """A folder's files; some of them where names are given."""
+
+    folder: str
+    names: list[str] | None
+
+
+class FileReader(DataSourceReader):
+    """A task for each folder of the sink, which lists it itself, and for each thousand files that lie side by side."""
+
+    def __init__(self, path: str, batch: int = 8 << 20):
+        self.path, self.batch = path.rstrip("/"), batch
+
+    @staticmethod
+    def _names(files, folder: str) -> list[str]:
+        return sorted(x.base_name for x in _listed(files, folder) if not x.base_name.startswith("."))
+
+    def partitions(self) -> list[Part]:
+        files, base = _open(self.path)
+        flat = self._names(files, base)
+        out = [Part(folder, None) for folder in _parts(files, base)]
+        out += [Part(base, flat[lo : lo + 1000]) for lo in range(0, len(flat), 1000)]
+        return out or [Part(base, [])]
+
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        files, _ = _open(self.path)
+        names = partition.names if partition.names is not None else self._names(files, partition.folder)
+        held, contents, size = [], [], 0
+        for name in names:
+            with files.open_input_stream(f"{partition.folder}/{name}") as x:
+                contents.append(x.read())
+            held.append(name)
+            size += len(contents[-1])
+            if size >= self.batch or len(held) == 1000:
+                yield self._batch(held, contents)
+                held, contents, size = [], [], 0
+        if held:
+            yield self._batch(held, contents)
+
+    @staticmethod
+    def _batch(names: list[str], contents: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], ["name", "content"])
+
+
 class Files(DataSource):
-    """`df.write.format("files").save(folder)`: rows (name string, content binary), a file each."""
+    """`df.write.format("files").save(folder)`: rows (name string, content binary), a file each; `spark.read.format("files").load(folder)` gives them back. Option `folders`: files lie in so many folders by the checksum of their names, and a folder moves as a whole where the file system can do so; the driver then never has a list of files."""
 
     @classmethod
     def name(cls) -> str:
         return "files"
 
+    def schema(self) -> str:
+        return "name string, content binary"
+
     def writer(self, schema, overwrite: bool) -> FileWriter:
         if [f.name for f in schema.fields] != ["name", "content"]:
             raise ValueError("the sink takes the columns name and content")
-        return FileWriter(self.options["path"], overwrite)
+        return FileWriter(self.options["path"], overwrite, int(self.options.get("folders", "0")))
+
+    def reader(self, schema) -> FileReader:
+        if [f.name for f in schema.fields] != ["name", "content"]:
+            raise ValueError("the files have the columns name and content")
+        return FileReader(self.options["path"])
 
 
-def save_files(rows: DataFrame, folder: str, mode: str = "append") -> None:
-    """rows: (name, content binary)."""
+def save_files(rows: DataFrame, folder: str, mode: str = "append", folders: int = 0) -> None:
+    """rows: (name, content binary). With folders, a task for each of them."""
     rows.sparkSession.dataSource.register(Files)
-    rows.select("name", "content").write.format("files").mode(mode).save(folder)
+    rows = rows.select("name", "content")
+    if folders:
+        rows = rows.repartitionById(folders, F.coalesce(F.pmod(F.crc32(F.encode("name", "UTF-8")), F.lit(folders)), F.lit(0)).cast("int"))
+    rows.write.format("files").option("folders", folders).mode(mode).save(folder)
+
+
+def load_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, content binary) of each file that save_files has written."""
+    spark.dataSource.register(Files)
+    return spark.read.format("files").load(folder)
 
 
 # --- recorded responses

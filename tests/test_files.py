@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import docx
 from lodestream.functions import text as T
 from lodestream.operators import keywords, profiles
+from lodestream.plans import more
 from lodestream.sources import files
 
 
@@ -38,6 +39,70 @@ def test_a_failed_job_leaves_nothing(spark, tmp_path, bad):
     assert sorted(os.listdir(folder)) == ["kept", "sub"]
 
 
+def test_files_in_parts(spark, tmp_path):
+    rows = lambda lo, hi, tail="": spark.range(lo, hi).select(F.format_string("f%03d é", "id").alias("name"), F.encode(F.concat(F.lit("text "), "id", F.lit(tail)), "UTF-8").alias("content")).repartition(3)
+    folder = str(tmp_path / "out")
+    there = lambda: {r.name: bytes(r.content).decode() for r in files.load_files(spark, folder).collect()}
+    files.save_files(rows(0, 50), folder, folders=4)
+    assert sorted(os.listdir(folder)) == ["_SUCCESS", *(f"part-{i:05d}-of-00004" for i in range(4))]
+    assert there() == {f"f{i:03d} é": f"text {i}" for i in range(50)}
+    files.save_files(rows(40, 60, "!"), folder, folders=4)
+    assert there() == {f"f{i:03d} é": f"text {i}" + "!" * (i >= 40) for i in range(60)}
+    with pytest.raises(Exception, match="4 parts, not 0"):
+        files.save_files(rows(0, 3), folder)
+    with pytest.raises(Exception, match="4 parts, not 5"):
+        files.save_files(rows(0, 3), folder, folders=5)
+    files.save_files(rows(0, 9), folder, "overwrite", folders=5)
+    assert len(there()) == 9 and not [x for x in os.listdir(folder) if x.endswith("-of-00004")]
+    files.save_files(rows(0, 3), folder, "overwrite")
+    assert sorted(os.listdir(folder)) == ["_SUCCESS", "f000 é", "f001 é", "f002 é"] and len(there()) == 3
+    files.save_files(rows(3, 5), folder, "overwrite", folders=2)
+    assert there() == {"f003 é": "text 3", "f004 é": "text 4"}
+
+
+@pytest.mark.parametrize("folders", [0, 1, 4])
+def test_one_name_of_two_tasks_leaves_nothing(spark, tmp_path, folders):
+    rows = spark.range(0, 20, 1, 4).select(F.concat(F.lit("f"), F.col("id") % 19).alias("name"), F.encode(F.lit("x"), "UTF-8").alias("content"))
+    spark.dataSource.register(files.Files)
+    for write in (lambda x: rows.write.format("files").option("folders", folders).mode("append").save(x), lambda x: files.save_files(rows, x, folders=folders)):
+        with pytest.raises(Exception):
+            write(str(tmp_path / "out"))
+        assert os.listdir(tmp_path / "out") == []
+    rows.where("id < 19").write.format("files").option("folders", folders).mode("append").save(str(tmp_path / "out"))  # parts that several tasks wrote
+    assert files.load_files(spark, str(tmp_path / "out")).count() == 19
+
+
+def test_the_driver_moves_folders(tmp_path, monkeypatch):
+    """The work of a commit must not grow with the number of files."""
+    moves, opened = [], files._open
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            if name == "move":
+                moves.append(name)
+            return getattr(self.inner, name)
+
+    monkeypatch.setattr(files, "_open", lambda path: (Counted(opened(path)[0]), opened(path)[1]))
+    task = type("Task", (), {"partitionId": lambda self: 0, "taskAttemptId": lambda self: 7})
+    monkeypatch.setattr(files.TaskContext, "get", lambda: task())
+    row = type("Row", (), {"content": b"x"})
+    for n in (100, 400):
+        moves.clear()
+        writer = files.FileWriter(str(tmp_path / f"out{n}"), False, 4)
+        writer.commit([writer.write(type("Row", (row,), {"name": f"f{i}"}) for i in range(n))])
+        assert len(moves) == 4
+        assert sum(len(x) for _, _, x in os.walk(tmp_path / f"out{n}")) == n + 1
+
+
+def test_written_applications_are_listed_by_tasks(spark, sf_dir):
+    df = more.queries()["application_documents"](spark, sf_dir.replace("0.001", "0.01"))
+    assert not df.inputFiles() and df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert df.count() == 255
+
+
 def test_documents_open_as_office_files(spark):
     p = docx.paragraph(docx.run(F.lit("A <b> & \"c\"\x01"), 36, "2B5C6E", bold=True), docx.run(F.lit(" end "), italics=True), before=10, rule=True)
     df = spark.range(2).select(F.array(p, docx.paragraph(rule=True)).cast(docx.PARAGRAPHS).alias("p")).select(docx.document("p").alias("d"))
