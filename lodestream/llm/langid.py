@@ -29,7 +29,7 @@ from lodestream.llm.common import blocks, held_out, table
 TRAIN_DOCS = 4000
 MIN_COUNT = 3
 LONGEST = 4
-CACHE = 200_000
+CACHE = 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -78,35 +78,32 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     return model
 
 
-def _tables(model: dict) -> dict:
-    """The model with a dictionary of scores for each size, as a worker looks them up."""
-    return {"langs": model["langs"]} | {k: dict(zip(model[k][0].to_pylist(), map(tuple, model[k][1].tolist()))) for k in range(LONGEST + 1)}
-
-
 class Scores(dict):
-    """word -> row of `rows`; rows of unseen words are worked out once and forgotten when there are too many."""
+    """word -> row of `rows`, a matrix of words by languages; rows of unseen words are worked out once and forgotten when there are too many. No object is kept for a score: a worker keeps its memory for the stages that follow."""
 
     def __init__(self, model: dict):
-        self.model = model = _tables(model)
-        self.known = len(model[0])
+        self.model, self.known = model, len(model[0][0])
+        self.grams = {n: dict(zip(model[n][0].to_pylist(), range(len(model[n][0])))) for n in range(1, LONGEST + 1)}
+        self.rows = np.concatenate([model[0][1], np.zeros((1024, model[0][1].shape[1]))])
         self.reset()
 
     def reset(self):
         self.clear()
-        self.rows = list(self.model[0].values())
-        self.update(zip(self.model[0], range(self.known)))
+        self.update(zip(self.model[0][0].to_pylist(), range(self.known)))
 
     def __missing__(self, word: str) -> int:
-        self[word] = at = len(self.rows)
-        self.rows.append(self.backoff(word))
+        row, at = self.backoff(word), len(self)
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros((at - self.known, self.rows.shape[1]))])
+        self[word], self.rows[at] = at, row
         return at
 
     def backoff(self, word: str) -> tuple[float, ...]:
         for n in range(LONGEST, 0, -1):
-            known = [s for s in map(self.model[n].get, ngrams(word, n)) if s]
+            known = [i for i in map(self.grams[n].get, ngrams(word, n)) if i is not None]
             if known:
-                return tuple(sum(x) / len(known) for x in zip(*known))
-        return (0.0,) * len(self.model["langs"])
+                return tuple(sum(x) / len(known) for x in zip(*self.model[n][1][known].tolist()))
+        return (0.0,) * self.rows.shape[1]
 
     def of(self, text: str) -> tuple[str, float]:
         words = LETTERS.findall(text.lower())
@@ -116,7 +113,7 @@ class Scores(dict):
         if len(self) > self.known + CACHE:
             self.reset()
         at, times = np.unique(np.fromiter(map(self.__getitem__, words), np.int64, len(words)), return_counts=True)
-        sums = times @ np.array([self.rows[i] for i in at.tolist()])
+        sums = times @ self.rows[at]
         best = int(sums.argmax())
         return langs[best], float(1 / np.exp(np.minimum(sums - sums[best], 0)).sum())
 
@@ -124,7 +121,7 @@ class Scores(dict):
 def _predicted(model):
     def run(batches):
         scores = Scores(model.value)
-        for batch in blocks(batches, "text", 4 << 20):
+        for batch in blocks(batches, "text"):
             found = [scores.of(t or "") for t in batch.column("text").to_pylist()]
             keep = [n for n in batch.schema.names if n not in ("lang_pred", "score")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], [*keep, "lang_pred", "score"])

@@ -160,6 +160,28 @@ def test_backoff_prefers_words():
     assert scores.of("word")[0] == "a" and scores.of("worst")[0] == "b" and scores.of("qz")[0] == "a"
 
 
+def test_language_scores_take_little_memory():
+    """Workers keep what they took for the pipeline's later stages: no object for each score."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    grams = {4: ["^abc"], 3: [], 2: [], 1: list("abcdefghijklmnop")}
+    known = [f"known{i}" for i in range(10_000)]
+    model = {"langs": list("wxyz")} | {k: (pa.array(g, pa.string()), -1.0 - np.arange(4.0 * len(g)).reshape(-1, 4) / 7) for k, g in (grams | {0: known}).items()}
+    words = ["".join(chr(97 + (i >> 4 * k) % 16) for k in range(5)) for i in range(20_000)]
+    tracemalloc.start()
+    scores = langid.Scores(model)
+    for w in words:
+        scores[w]
+    taken = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(scores) == 30_000 and taken < 190 * 30_000
+    rows = model[1][1].tolist()
+    assert list(scores.rows[scores["abdca"]]) == [sum(x) / 5 for x in zip(*(rows["abcdefghijklmnop".index(c)] for c in "abdca"))]
+
+
 @pytest.fixture(scope="module")
 def pieces(spark):
     return sentencepieces.load(spark)
